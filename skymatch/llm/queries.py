@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan
+from . import license_scan, mixing, near_dedup, sharding
 from .common import table
 
 
@@ -14,7 +14,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(table(spark, sf_dir, "documents"), k=2, threshold=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_sharding": op2_sharding,
+    "op3_mixing": op3_mixing,
+    "op4_near_dedup": op4_near_dedup,
 }
 ORACLES: dict[str, str] = {}
