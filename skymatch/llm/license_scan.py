@@ -47,7 +47,7 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def _pairs(w: Column) -> Column:
+def word_pairs(w: Column) -> Column:
     n = F.size(w)
     return F.when(n < 2, F.array().cast("array<bigint>")).otherwise(
         F.zip_with(F.slice(w, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(w, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
@@ -58,7 +58,7 @@ def template_positions(spark) -> DataFrame:
     """One row per word pair of each template: template, its label, whether it is a base phrase, its pairs, position, hash."""
     rows = [(t, label, base, phrase.split()) for t, (phrase, label, base) in enumerate([(p, x, True) for p, x in BASE_PHRASES.items()] + [(p, x, False) for p, x in NOTICES.items()])]
     df = spark.createDataFrame(rows, "template int, label string, base boolean, w array<string>")
-    return df.select("template", "label", "base", (F.size("w") - 1).alias("n_pairs"), F.posexplode(_pairs(F.col("w"))).alias("t_pos", "gram"))
+    return df.select("template", "label", "base", (F.size("w") - 1).alias("n_pairs"), F.posexplode(word_pairs(F.col("w"))).alias("t_pos", "gram"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,7 +70,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spark = docs.sparkSession
     cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
     # The last element, which no template has, keeps each document in the result without a second scan.
-    every = F.concat(_pairs(F.col("w")), F.array(F.lit(None).cast("bigint")))
+    every = F.concat(word_pairs(F.col("w")), F.array(F.lit(None).cast("bigint")))
     grams = cut.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), F.posexplode(every).alias("pos", "gram"))
     # The template table is a constant of a few hundred rows, so it may be sent to every executor.
     known = template_positions(spark)

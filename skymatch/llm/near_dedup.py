@@ -106,7 +106,8 @@ def _across(threshold: int, nearest: int | None):
         out = []
         cols = [others[c].to_numpy() for c in ("node", "component", "n_shingles", "s1", "s2")]
         for node, component, n, s1, s2 in rows[["node", "component", "n_shingles", "s1", "s2"]].itertuples(index=False):
-            far = np.bitwise_count(cols[3] ^ s1).astype(np.int64) + np.bitwise_count(cols[4] ^ s2)
+            # Unsigned, since bitwise_count takes absolute values.
+            far = np.bitwise_count((cols[3] ^ s1).view(np.uint64)).astype(np.int64) + np.bitwise_count((cols[4] ^ s2).view(np.uint64))
             fit = (far <= MOST_DIFFERENT) & (cols[1] != component) & (100 * np.minimum(cols[2], n) >= threshold * np.maximum(cols[2], n))
             if nearest is None and first == second:
                 fit &= cols[0] > node

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan, mixing, near_dedup, sharding
+import corpus_pipeline
+
+from . import decontam, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_codec, topk, toxicity
 from .common import table
 
 
@@ -22,14 +25,101 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets alone, which SQL can say."""
+    docs = table(spark, sf_dir, "documents").select("source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn("target", F.round("target", 4))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(table(spark, sf_dir, "documents"), k=2, threshold=80)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_token_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_codec.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"), width=35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "mixing_targets": mixing_targets,
     "op4_near_dedup": op4_near_dedup,
+    "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
+    "op7_top_k": op7_top_k,
+    "op8_toxicity": op8_toxicity,
+    "op9_token_codec": op9_token_codec,
+    "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
+}
+
+_WORDS7 = """with q as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+)"""
+OP3_SQL = """with recursive d as (
+  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size from documents
+), s as (
+  select source, sum(size) as source_size, row_number() over (order by source nulls last) - 1 as i from d group by source
+), w as (
+  select source, cast(source_size as double) as cap0, 2.0e0 * source_size as cap, [3.0e0, 1.0e0, 2.0e0][1 + i % 3] as weight from s
+), o as (
+  select *, row_number() over (order by cap / weight, source nulls last) as k from w
+), l as (
+  select *, (1.5e0 * sum(cap0) over () - coalesce(sum(cap) over (order by k rows between unbounded preceding and 1 preceding), 0))
+    / (sum(weight) over () - coalesce(sum(weight) over (order by k rows between unbounded preceding and 1 preceding), 0)) as level from o
+), f as (
+  select arg_min(level, k) as level from l where level <= cap / weight
+)
+select o.source, cast(o.cap0 as bigint) as source_size, round(least(o.cap, f.level * o.weight), 4) as target from o, f"""
+OP7_SQL = _WORDS7 + """, s as (
+  select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from q a join q b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+)
+select query_id, rank, vec_id, score from r where rank <= 10"""
+OP10_SQL = """with w as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words from documents
+), g as (
+  select doc_id, p, list_slice(words, p, p + 34) as win from (select doc_id, words, unnest(range(1, len(words) - 33)) as p from w where len(words) >= 35)
+), r as (
+  select doc_id, p from (select doc_id, p, count(*) over (partition by win) as n from g) where n > 1
+), c as (
+  select distinct doc_id, unnest(range(p, p + 35)) as pos from r
+), n as (
+  select doc_id, count(*) as n, list(pos) as ats from c group by doc_id
+)
+select w.doc_id, cast(len(words) as bigint) as n_words, coalesce(n.n, 0) as n_removed,
+  sha256(array_to_string(case when n.ats is null then words else list_transform(list_filter(range(1, len(words) + 1), lambda i: not list_contains(n.ats, i)), lambda i: words[i]) end, ' ')) as kept_sha256
+from w left join n using (doc_id)"""
+ORACLES: dict[str, str] = {
+    "op7_top_k": OP7_SQL,
+    "op10_substring_dedup": OP10_SQL,
+    "mixing_targets": OP3_SQL,
 }
-ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
