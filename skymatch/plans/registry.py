@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import catalog_queries, filter_queries, match_queries
+
+QUERIES: dict = match_queries.QUERIES | filter_queries.QUERIES | catalog_queries.QUERIES
+ORACLES: dict = match_queries.ORACLES | filter_queries.ORACLES | catalog_queries.ORACLES
