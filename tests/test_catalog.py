@@ -183,7 +183,7 @@ def test_metrics(spark):
 
 
 def test_merge_and_conform(spark):
-    assert conform(spark.range(1).withColumnRenamed("id", "diaObjectId"), "diaObject").schema == empty(spark, "diaObject").schema
+    assert conform(spark.range(1).withColumnRenamed("id", "diaObjectId"), "diaObject").dtypes == empty(spark, "diaObject").dtypes
     o = spark.createDataFrame([(1, "g")], "diaSourceId bigint, band string")
     m = lifecycle.merge_catalogs(o, spark.createDataFrame([(2, "r", 9)], "diaSourceId bigint, band string, extra int"), "diaSource")
     assert m.columns == o.columns and sorted(map(tuple, m.collect())) == [(1, "g"), (2, "r")]

@@ -24,9 +24,9 @@ def matched(spark, s, o, config=crossmatch.MatchConfig()):
 
 def test_basic(spark):
     s = [(i, 0.04 * i, 0.04 * i, None, None) for i in range(5)]
-    o = [(i, 0.04 * (i + 1), 0.04 * (i + 1), None, None) for i in range(5)]
+    o = [(i + 1, 0.04 * (i + 1), 0.04 * (i + 1), None, None) for i in range(5)]  # 0 would mean no object
     a = assign.associate(sources(spark, s), spark.createDataFrame(o, O))
-    assert {r.diaSourceId: r.diaObjectId for r in a.matched.collect()} == {1: 0, 2: 1, 3: 2, 4: 3}
+    assert {r.diaSourceId: r.diaObjectId for r in a.matched.collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
     c = a.counts.first()
     assert (c.nUpdatedDiaObjects, c.nUnassociatedDiaObjects, a.unmatched.count()) == (4, 1, 1)
 
