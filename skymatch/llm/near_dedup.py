@@ -2,15 +2,16 @@
 
 Each document's set of word shingles is hashed by many universal hash functions; the minima are cut into bands, and documents
 that agree on a whole band meet in a bucket. Documents with the same set are one class from the start, so that copies are never
-paired. In a bucket, every class is first compared with the bucket's pivot alone, first by a 128-bit signature, then by the
-full sets; links form components by alternating stars. Only classes of one bucket that lie in different components
-after that can still hold a link that matters: those are compared with each other, in blocks of bounded size, nearest signatures
-first and in the end all, until none is left. So the components are those of all links that any bucket holds,
-while no group's pairs are ever all written out.
+paired. In a bucket, every class is first compared with the bucket's pivot alone, by a 128-bit signature and then by the full
+sets; links form components by alternating stars. Only classes of one bucket that lie in different components after that
+can still hold a link that matters. They meet in blocks of bounded size with larger sketches (the smallest 512 shingle hashes,
+which is the whole set of most documents), twice: first each block names a spanning set of likely links, and after those are
+verified and joined, all pairs that are still apart and may reach the threshold. Every link counts only once the full sets
+confirm it. So the components are those of all links that any bucket holds, while no group's pairs are ever all written out.
 
 With 32 bands of 4 minima, a pair at the threshold of 0.8 shares no bucket with probability (1 - 0.8^4)^32 = 5e-8. The
-signature holds a bit of each minimum; a pair at 0.8 agrees in 115 bits on average, and one with 90 or more is compared in full
-(fewer has probability 1e-8).
+signature holds a bit of each minimum; a pair at 0.8 differs in 13 bits on average and in more than 36 with probability 1e-9.
+A sketch's estimate may fall short of the threshold by five standard deviations.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ from .components import connected_components
 
 BANDS, BAND_ROWS = 32, 4
 MINIMA = BANDS * BAND_ROWS
-#: Signature bits that may differ in a pair that is compared in full.
-MOST_DIFFERENT = 38
-#: Classes of one bucket that one task compares with each other.
-BLOCK = 1024
-#: Of the classes in other components, so many with the nearest signatures are compared in each round; the last has no bound.
-ROUNDS: tuple[int | None, ...] = (8, 128, None)
+#: Signature bits that may differ in a pair that is compared further.
+MOST_DIFFERENT = 36
+#: Classes of one bucket that one task compares with each other, and smallest shingle hashes in a sketch.
+BLOCK, SKETCH = 1024, 512
+#: Ids up to this number (of 8 bytes each) are sent to every executor to pick documents; more are joined by a shuffle of the texts.
+SENT_IDS = 500_000
 
 
 def hash_parameters(n: int = MINIMA, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +78,7 @@ def _sketches(k: int):
 
 
 _SETS = pa.schema([("uid", pa.int64()), ("members", pa.list_(pa.int64()))])
+_SMALLEST = pa.schema([("uid", pa.int64()), ("smallest", pa.binary())])
 
 
 def _sets(k: int):
@@ -87,6 +89,16 @@ def _sets(k: int):
     return run
 
 
+def _smallest(k: int):
+    """The leading 32 bits of the SKETCH smallest shingle hashes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = WordHashes()
+        yield from batches_of(((uid, (shingles(of.of(lower_space_words(text)), k)[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()) for uid, text in rows_of(batches, "uid", "text")), _SMALLEST)
+
+    return run
+
+
 def _spark_schema(schema: pa.Schema) -> str:
     kinds = {"int64": "bigint", "binary": "binary", "list<item: int64>": "array<bigint>"}
     return ", ".join(f"{f.name} {kinds[str(f.type)]}" for f in schema)
@@ -96,26 +108,73 @@ def _different(x1: Column, x2: Column, y1: Column, y2: Column) -> Column:
     return F.bit_count(x1.bitwiseXOR(y1)) + F.bit_count(x2.bitwiseXOR(y2))
 
 
-def _across(threshold: int, nearest: int | None):
-    """Pairs of one block of a bucket that lie in different components, have fitting sizes and near signatures."""
+def similar(v: np.ndarray, whole: bool, others: list[np.ndarray], wholes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of sketch ``v`` to each of ``others``, and the sample size (0 where both are whole sets, so exact)."""
+    flat, sizes = np.concatenate(others), np.array([len(o) for o in others])
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    # Up to the smaller of the two last values, both sketches hold all of their set.
+    last = np.minimum(v[-1] if not whole else np.uint32(0xFFFFFFFF), np.where(wholes, np.uint32(0xFFFFFFFF), flat[begin + sizes - 1]))
+    seen = flat <= np.repeat(last, sizes)
+    at = np.minimum(np.searchsorted(v, flat), len(v) - 1)
+    common = np.add.reduceat(seen & (v[at] == flat), begin).astype(np.int64)
+    union = np.add.reduceat(seen, begin).astype(np.int64) + np.searchsorted(v, last, "right") - common
+    return common / np.maximum(union, 1), np.where(wholes & whole, 0, union)
+
+
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _across(threshold: int, likely: bool):
+    """Pairs of one block of a bucket that lie in different components: a spanning set of likely links, or all that may be links.
+
+    A pair that shares several buckets is looked at in the first of its shared bands alone.
+    """
+    least = threshold / 100
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        first, second = key[1], key[2]
-        rows = pdf[pdf["own"] == first]
-        others = rows if first == second else pdf[pdf["own"] == second]
-        out = []
-        cols = [others[c].to_numpy() for c in ("node", "component", "n_shingles", "s1", "s2")]
-        for node, component, n, s1, s2 in rows[["node", "component", "n_shingles", "s1", "s2"]].itertuples(index=False):
-            # Unsigned, since bitwise_count takes absolute values.
-            far = np.bitwise_count((cols[3] ^ s1).view(np.uint64)).astype(np.int64) + np.bitwise_count((cols[4] ^ s2).view(np.uint64))
-            fit = (far <= MOST_DIFFERENT) & (cols[1] != component) & (100 * np.minimum(cols[2], n) >= threshold * np.maximum(cols[2], n))
-            if nearest is None and first == second:
-                fit &= cols[0] > node
+        name, first, second = int(key[0]), key[1], key[2]
+        node, component, n, own = (pdf[c].to_numpy() for c in ("node", "component", "n_shingles", "own"))
+        s1, s2 = pdf["s1"].to_numpy(), pdf["s2"].to_numpy()
+        keys = np.stack(pdf["keys"].to_list())
+        sketches = [np.frombuffer(x, dtype="<u4") for x in pdf["smallest"]]
+        wholes = np.array([len(x) < SKETCH for x in sketches])
+        band = int(np.flatnonzero(keys[0] == name)[0])
+        names, sizes = np.unique(component, return_counts=True)
+        most = names[sizes.argmax()]  # its members are reached from the others
+        parent: dict[int, int] = {}
+        a, b = [], []
+        for i in np.flatnonzero(component != most).tolist():
+            fit = (component != component[i]) & ((component == most) | (node > node[i])) & (100 * np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i]))
+            if first != second:
+                fit &= own != own[i]
             at = np.flatnonzero(fit)
-            if nearest is not None and len(at) > nearest:
-                at = at[np.argsort(far[at], kind="stable")[:nearest]]
-            out.append(pd.DataFrame({"a": np.minimum(node, cols[0][at]), "b": np.maximum(node, cols[0][at])}))
-        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            # Unsigned, since bitwise_count takes absolute values.
+            far = np.bitwise_count((s1[at] ^ s1[i]).view(np.uint64)).astype(np.int64) + np.bitwise_count((s2[at] ^ s2[i]).view(np.uint64))
+            at = at[far <= MOST_DIFFERENT]
+            if len(at) and band:
+                at = at[~(keys[at, :band] == keys[i, :band]).any(axis=1)]
+            if not len(at):
+                continue
+            value, sample = similar(sketches[i], bool(wholes[i]), [sketches[j] for j in at.tolist()], wholes[at])
+            # Whole sets hold leading bits of hashes: a few shingles may have fallen together.
+            slack = np.where(sample > 0, 5 * np.sqrt(least * (1 - least) / np.maximum(sample, 1)), 3 / n[i])
+            if not likely:
+                at = at[value >= least - slack]
+                a += [node[i]] * len(at)
+                b += node[at].tolist()
+                continue
+            for j in at[np.argsort(-value, kind="stable")][: int((value >= least).sum())].tolist():
+                x, y = _find(parent, int(component[i])), _find(parent, int(component[j]))
+                if x != y:
+                    parent[x] = y
+                    a.append(node[i])
+                    b.append(node[j])
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
@@ -138,15 +197,19 @@ class NearDuplicates:
         self.signatures = self.classes.select("node", "n_shingles", "s1", "s2")
         self.links = self._linked()
 
+    def _texts(self, ids: DataFrame) -> DataFrame:
+        """uid and text of the documents named by ``ids`` (uid, distinct)."""
+        ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+        return self.docs.select("uid", "text").join(ids, "uid", "left_semi")
+
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Of ``pairs`` (a, b), those whose full sets meet the threshold, as edges (u, v)."""
-        ids = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
-        texts = self.docs.select("uid", "text").join(ids, "uid", "left_semi").dropDuplicates(["uid"])
-        sets = materialize(texts.mapInArrow(_sets(self.k), _spark_schema(_SETS)), "near-sets")
+        ids = materialize(pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct(), "near-ids")
+        sets = materialize(self._texts(ids).mapInArrow(_sets(self.k), _spark_schema(_SETS)).dropDuplicates(["uid"]), "near-sets")
         both = pairs.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("uid").alias("b"), F.col("members").alias("y")), "b")
         common = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("c"), (F.size("x") + F.size("y")).cast("long").alias("n"))
         edges = materialize(common.where(100 * F.col("c") >= self.threshold * (F.col("n") - F.col("c"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "near-edges")
-        release(sets)
+        release(ids, sets)
         return edges
 
     def _near(self, pairs: DataFrame) -> DataFrame:
@@ -162,25 +225,28 @@ class NearDuplicates:
         stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         tested = materialize(self._near(stars), "near-pairs")
         edges = self._verified(tested)
-        self.components = connected_components(edges)
+        self.components = materialize(connected_components(edges), "near-components")
         # Others of a bucket than its pivot: they have not been compared with each other yet.
         others = members.where("n > 2 and node <> pivot").select("key", "node", "n")
-        for nearest in ROUNDS:
-            named = others.join(self.components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        for likely in (True, False):
+            named = materialize(others.join(self.components, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-named")
             mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+            left = materialize(named.join(mixed, "key"), "near-left")
+            ids = materialize(left.select(F.col("node").alias("uid")).distinct(), "near-ids")
+            sketched = self._texts(ids).mapInArrow(_smallest(self.k), "uid bigint, smallest binary").dropDuplicates(["uid"]).withColumnRenamed("uid", "node")
+            described = materialize(self.classes.select("node", "n_shingles", "keys", "s1", "s2").join(sketched, "node"), "near-described")
             blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-            left = named.join(mixed, "key").join(self.signatures, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            rows = left.join(described, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
             # Each block meets every block of its bucket, itself included, in one group.
-            met = left.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
-            pairs = met.groupBy("key", "first", "second").applyInPandas(_across(self.threshold, nearest), "a bigint, b bigint").distinct()
+            met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
+            pairs = met.groupBy("key", "first", "second").applyInPandas(_across(self.threshold, likely), "a bigint, b bigint").distinct()
             fresh = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+            release(named, left, ids, described)
             if fresh.isEmpty():
-                if nearest is None:
-                    break
                 continue
             edges = edges.unionByName(self._verified(fresh))
             tested = tested.unionByName(fresh)
-            self.components = connected_components(edges)
+            self.components = materialize(connected_components(edges), "near-components")
         release(members, pivots)
         return edges
 
