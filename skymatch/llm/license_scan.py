@@ -89,7 +89,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .withColumn("span", F.sum("starts").over(by.rowsBetween(W.unboundedPreceding, 0)))
         .groupBy("row", "doc_id", "n_words", "template", "label", "base", "n_pairs", "span")
         .agg(F.min("diagonal").alias("start"), F.sum("votes").alias("n_hits"))
-        .withColumn("cover", F.least(F.lit(1.0), F.col("n_hits") / F.col("n_pairs")))
+        .withColumn("cover", F.when(F.col("template").isNotNull(), F.least(F.lit(1.0), F.col("n_hits") / F.col("n_pairs"))))
     )
     full = F.when(F.col("base"), F.col("n_hits") == F.col("n_pairs")).otherwise(F.col("cover") >= MIN_COVER)
     return spans.where(F.col("template").isNull() | full).select(

@@ -116,7 +116,53 @@ OP10_SQL = """with w as (
 select w.doc_id, cast(len(words) as bigint) as n_words, coalesce(n.n, 0) as n_removed,
   sha256(array_to_string(case when n.ats is null then words else list_transform(list_filter(range(1, len(words) + 1), lambda i: not list_contains(n.ats, i)), lambda i: words[i]) end, ' ')) as kept_sha256
 from w left join n using (doc_id)"""
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _op1_sql() -> str:
+    rows = ", ".join(f"({i}, '{label}', {str(base).lower()}, '{phrase}')" for i, (phrase, label, base) in enumerate([(p, x, True) for p, x in license_scan.BASE_PHRASES.items()] + [(p, x, False) for p, x in license_scan.NOTICES.items()]))
+    return f"""with d as (select doc_id, {_ALNUM} as w from documents),
+t as (select template, label, base, string_split(phrase, ' ') as w from (values {rows}) v(template, label, base, phrase)),
+tp as (select template, label, base, len(w) - 1 as n_pairs, p - 1 as t_pos, w[p] || ' ' || w[p + 1] as gram from (select *, unnest(range(1, len(w))) as p from t)),
+g as (select doc_id, p - 1 as pos, w[p] || ' ' || w[p + 1] as gram from (select doc_id, w, unnest(range(1, len(w))) as p from d where len(w) > 1)),
+v as (select doc_id, template, label, base, n_pairs, pos - t_pos as diagonal, count(distinct t_pos) as votes from g join tp on g.gram = tp.gram group by all),
+o as (select *, case when base or diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= {license_scan.MAX_SHIFT} is not true then 1 else 0 end as begins from v),
+n as (select *, sum(begins) over (partition by doc_id, template order by diagonal) as span from o),
+x as (select doc_id, template, label, base, min(diagonal) as first, sum(votes) as hits, n_pairs from n group by doc_id, template, label, base, n_pairs, span),
+k as (select doc_id, label, base, greatest(first, 0) as start, least(1e0, hits / n_pairs) as cover from x where case when base then hits = n_pairs else hits / n_pairs >= {license_scan.MIN_COVER} end)
+select d.doc_id, cast(len(any_value(d.w)) as bigint) as n_words, count(case when base then 1 end) as n_base, cast(min(case when base then start end) as bigint) as first_word, cast(max(case when base then start end) as bigint) as last_word,
+  coalesce(array_to_string(list_sort(list(distinct case when base then label end) filter (where base)), ','), '') as base_labels, coalesce(array_to_string(list_sort(list(distinct label) filter (where label is not null)), ','), '') as labels,
+  coalesce(max(cover), 0e0) as score from d left join k on d.doc_id = k.doc_id group by d.doc_id"""
+
+
+OP4_SQL = f"""with recursive w as (
+  select doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as g from w
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all
+), e as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), r as (
+  select a, b from e union select r.a, e.b from r join e on r.b = e.a
+), m as (
+  select a, min(b) as b from r group by a
+)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) as component_id, w.doc_id = least(w.doc_id, coalesce(m.b, w.doc_id)) as kept
+from w left join n on n.doc_id = w.doc_id left join m on m.a = w.doc_id"""
+OP5_SQL = f"""with w as (select doc_id, {_ALNUM} as w from documents), v as (select item_id, {_ALNUM} as w from benchmark),
+s as (select distinct doc_id, list_slice(w, p, p + 4) as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as p from w where len(w) >= 5)),
+t as (select distinct item_id, list_slice(w, p, p + 4) as g from (select item_id, w, unnest(range(1, len(w) - 3)) as p from v where len(w) >= 5)),
+n as (select item_id, count(*) as n from t group by item_id),
+c as (select doc_id, item_id, count(*) as c from s join t on s.g = t.g group by doc_id, item_id)
+select doc_id, c.item_id, n as n_shingles, c as n_common, c / n as containment from c join n on n.item_id = c.item_id where 100 * c >= 80 * n"""
 ORACLES: dict[str, str] = {
+    "op1_license_scan": _op1_sql(),
+    "op4_near_dedup": OP4_SQL,
+    "op5_decontamination": OP5_SQL,
     "op7_top_k": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
     "mixing_targets": OP3_SQL,

@@ -24,7 +24,7 @@ def test_base_matches_plain_search(docs, rows):
 def test_base_labels_stay_and_scores_are_shares(docs):
     for r in L.report(docs).collect():
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
-        assert 0 <= r.score <= 1 and (r.score == 1 or not r.n_base)
+        assert 0 <= r.score <= 1 and (r.score == 1 or not r.n_base) and (r.score == 0) == (r.labels == "")
 
 
 def test_changed_notice_is_found_across_diagonals(spark):
