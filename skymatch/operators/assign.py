@@ -110,7 +110,7 @@ def associate(sources: DataFrame, objects: DataFrame, config: MatchConfig = Matc
     placed = drop_unplaced(sources).drop("diaObjectId")
     found = match(sources, objects, config).select("diaSourceId", "diaObjectId")
     labelled = placed.join(found, "diaSourceId", "left").withColumn("diaObjectId", F.coalesce("diaObjectId", F.lit(0).cast("long")))
-    n_objects = objects.agg(F.count("*").alias("nObjects"))  # one row
+    n_objects = objects.agg(F.count("*")).scalar()
     counts = labelled.groupBy(*VISIT).agg(F.count(F.when(F.col("diaObjectId") != 0, 1)).alias("nUpdatedDiaObjects"), F.count(F.when(F.col("diaObjectId") == 0, 1)).alias("nUnmatchedDiaSources"))
-    counts = counts.crossJoin(F.broadcast(n_objects)).withColumn("nUnassociatedDiaObjects", F.col("nObjects") - F.col("nUpdatedDiaObjects")).drop("nObjects")
+    counts = counts.withColumn("nUnassociatedDiaObjects", n_objects - F.col("nUpdatedDiaObjects"))
     return Association(labelled.where("diaObjectId <> 0"), labelled.where("diaObjectId = 0"), counts)

@@ -87,15 +87,17 @@ def nll(config: MatchConfig = MatchConfig()) -> Column:
     return 0.5 * (dra * dra / va + ddec * ddec / vd) + 0.5 * F.log(va * vd)
 
 
-def _has_errors(df: DataFrame) -> list[Column]:
-    return [F.coalesce(F.max(_usable(F.col(c).cast("double"))), F.lit(False)).alias(f"{c}_ok") if c in df.columns else F.lit(False).alias(f"{c}_ok") for c in ("raErr", "decErr")]
+def _has_errors(df: DataFrame) -> Column:
+    """Aggregate: some usable raErr and some usable decErr, not necessarily in one row."""
+    found = [F.coalesce(F.max(_usable(F.col(c).cast("double"))), F.lit(False)) if c in df.columns else F.lit(False) for c in ("raErr", "decErr")]
+    return found[0] & found[1]
 
 
 def error_modes(sources: DataFrame, objects: DataFrame) -> DataFrame:
     """Per visit and detector, whether pairs are scored by likelihood: both catalogs have some usable raErr and some usable decErr."""
-    ours = drop_unplaced(sources).groupBy(*VISIT).agg(F.count("*").alias("_n"), *_has_errors(sources))
-    theirs = objects.agg(*_has_errors(objects)).select((F.col("raErr_ok") & F.col("decErr_ok")).alias("objects_ok"))
-    return ours.crossJoin(F.broadcast(theirs)).select(*VISIT, (F.col("raErr_ok") & F.col("decErr_ok") & F.col("objects_ok")).alias("by_likelihood"))  # one row on the right
+    ours = drop_unplaced(sources).groupBy(*VISIT).agg(F.count("*").alias("_n"), _has_errors(sources).alias("ours"))
+    theirs = objects.agg(F.count("*"), _has_errors(objects).alias("theirs")).select("theirs").scalar()
+    return ours.select(*VISIT, (F.col("ours") & theirs).alias("by_likelihood"))
 
 
 def scored(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:

@@ -126,10 +126,10 @@ _COUNTS = f"""{with_sql("dia_object", "dia_source")}, c as (select visit, count(
 
 def _counts(spark, d):
     sources, objects = _catalogs(spark, d)
-    n = objects.agg(F.count("*").alias("n"))
+    n = objects.agg(F.count("*")).scalar()
     zero = F.lit(0).cast("long")
     seen = sources.groupBy("visit", "detector").agg(F.count_distinct("trueId").alias("numUpdatedDiaObjects"), F.count_distinct(F.when(F.col("diaSourceId") % 23 == 1, F.col("diaSourceId"))).alias("numNewDiaObjects"))
-    return seen.crossJoin(F.broadcast(n)).withColumns({"numUnassociatedDiaObjects": F.col("n") - F.col("numUpdatedDiaObjects"), "numTotalSolarSystemObjects": zero, "numAssociatedSsObjects": zero})  # one row
+    return seen.withColumns({"numUnassociatedDiaObjects": n - F.col("numUpdatedDiaObjects"), "numTotalSolarSystemObjects": zero, "numAssociatedSsObjects": zero})
 
 
 @_query("frac_updated", f"{_COUNTS} select visit, round(case when numUpdatedDiaObjects > 0 or numUnassociatedDiaObjects > 0 then numUpdatedDiaObjects / (numUpdatedDiaObjects + numUnassociatedDiaObjects) end, 9) as frac from c")
