@@ -1,74 +1,126 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
-Examples are a bounded sample of labelled rows. Their vectors hold the words that tell the classes apart: words that are much
-more frequent in one class, counted once per group of look-alike examples, so that copies don't vote for their own words. Weights
-are 1 + log(count) times the inverse document frequency over all documents. The examples lie in an inverted index in blocks, and
-each block keeps every word's largest weight; a query visits blocks by descending bound and stops when no block can
-still enter its k nearest. Votes weighted by distance give the raw score, which an isotonic fit on the examples themselves (each
-left out of its own vote) turns into a calibrated one. The neighbours are returned as evidence.
+Examples are a bounded sample of labelled rows. Their vectors hold the terms, words and beginnings of words, that are much more
+frequent in toxic examples than in others; support is counted once per group of look-alike examples, so that copies don't
+vote for their own words. Weights are 1 + log(count) times the inverse document frequency over all documents, and each vector has
+one constant component more, so that a single chance hit lies closer to plain texts than a text full of hits does. The
+examples lie in an inverted index in blocks, and each block keeps every term's largest weight; a query visits blocks by descending
+bound and stops when no block can still enter its k nearest. Votes weighted by distance (one of them by the texts without
+any term) give the raw score, which an isotonic fit on the examples themselves, each left out of its own vote, turns into a
+calibrated one. The neighbours are returned as evidence.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import alnum_words, batches_of, materialize, release, rows_of
-from .license_scan import word_pairs, words
 from .quality import held_out
 
 #: Labelled rows that serve as examples, at most: those with the smallest hashes of their doc_id.
 SAMPLE_ROWS = 20_000
 NEIGHBOURS, BLOCK = 15, 64
-#: A word of the vectors: most of them, least look-alike groups of its class, least ratio of its rates, least z score.
-MOST_WORDS, LEAST_SUPPORT, LEAST_RATIO, LEAST_Z = 512, 3, 4.0, 5.0
+#: Terms of the vectors: most of them, least look-alike groups and share of groups, least ratio of the rates, least z score.
+MOST_TERMS, LEAST_SUPPORT, LEAST_SHARE, LEAST_RATIO, LEAST_Z = 512, 3, 0.015, 4.0, 5.0
+#: Lengths in bytes of the beginnings of longer words that are terms too; a mark keeps them apart from words.
+BEGINNINGS, MARK = (4, 5, 6, 7, 8), b"^"
 THRESHOLD = 0.3
 
 
-def telling_words(sample: DataFrame) -> list[str]:
-    """Words of ``sample`` (text, label) that are much more frequent in one class than in the other."""
-    cut = sample.select("label", words(F.col("text")).alias("w"))
-    # Look-alikes mostly share the smallest hash of their word pairs.
-    group = F.coalesce(F.array_min(word_pairs(F.col("w"))), F.xxhash64("w"))
-    cut = materialize(cut.select("label", group.alias("group"), F.array_distinct("w").alias("w")), "toxicity-words")
-    n = {r["label"]: r["n"] for r in cut.groupBy("label").agg(F.count_distinct("group").alias("n")).collect()}
-    p, q = n.get(1, 0), n.get(0, 0)
-    if not p or not q:
-        return []
-    each = cut.select("label", "group", F.explode("w").alias("word")).distinct()
-    counted = each.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-    ra, rb = (F.col("a") + 0.5) / (p + 1), (F.col("b") + 0.5) / (q + 1)
-    pooled = (F.col("a") + F.col("b")) / (p + q)
-    z = (F.col("a") / p - F.col("b") / q) / F.sqrt(pooled * (1 - pooled + 1e-12) * (1 / p + 1 / q))
-    told = ((F.col("a") >= max(LEAST_SUPPORT, 0.02 * p)) & (ra / rb >= LEAST_RATIO) & (z >= LEAST_Z)) | ((F.col("b") >= max(LEAST_SUPPORT, 0.02 * q)) & (rb / ra >= LEAST_RATIO) & (z <= -LEAST_Z))
-    rows = counted.where(told).withColumn("z", F.abs(z)).orderBy(F.desc("z"), "word").limit(MOST_WORDS).collect()
-    release(cut)
-    return [r["word"] for r in rows]
+def terms_of(word: bytes) -> list[bytes]:
+    return [word, *(MARK + word[:n] for n in BEGINNINGS if len(word) > n)]
+
+
+_SEEN = pa.schema([("group", pa.int64()), ("term", pa.binary())])
+
+
+def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for text in (t for (t,) in rows_of(batches, "text")):
+            w = alnum_words(text)
+            # Look-alikes mostly share the smallest hash of their word pairs.
+            group = min((xxhash.xxh3_64_intdigest(a + b" " + b) for a, b in zip(w, w[1:], strict=False)), default=0) >> 1
+            for term in {t for x in set(w) for t in terms_of(x)}:
+                yield group, term
+
+    yield from batches_of(rows(), _SEEN, size=20_000)
+
+
+class TermMemory(dict):
+    """The vocabulary's terms of each word, remembered up to a bounded number of words."""
+
+    def __init__(self, vocabulary: dict[bytes, int], limit: int = 300_000):
+        super().__init__()
+        self.vocabulary, self.limit = vocabulary, limit
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        found = tuple(i for t in terms_of(word) if (i := self.vocabulary.get(t)) is not None)
+        if len(self) < self.limit:
+            self[word] = found
+        return found
+
+    def of(self, text: str | None) -> list[int]:
+        return [i for found in filter(None, map(self.__getitem__, alnum_words(text))) for i in found]
 
 
 def _frequencies(vocabulary: dict[bytes, int]):
+    """How many texts hold each term, and how many texts there are (-1)."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total = np.zeros(len(vocabulary), dtype=np.int64), 0
+        n, total, memory = np.zeros(len(vocabulary), dtype=np.int64), 0, TermMemory(vocabulary)
         for (text,) in rows_of(batches, "text"):
             total += 1
-            for i in {i for w in set(alnum_words(text)) if (i := vocabulary.get(w)) is not None}:
-                n[i] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(n))], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], names=["word", "n"])
+            at = memory.of(text)
+            if at:
+                n[np.unique(at)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(n))], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], names=["term", "n"])
 
     return run
 
 
+def frequencies(texts: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
+    """Number of texts, and of those that hold each term of a bounded vocabulary."""
+    counts = dict(texts.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect())
+    return counts.get(-1) or 0, np.array([counts.get(i) or 0 for i in range(len(vocabulary))], dtype=np.float64)
+
+
+def telling_terms(sample: DataFrame) -> list[bytes]:
+    """Terms of ``sample`` (text, label) that are much more frequent in toxic examples."""
+    seen = materialize(sample.where("label = 1").select("text").mapInArrow(_terms, "group bigint, term binary").distinct(), "toxicity-terms")
+    p = seen.agg(F.count_distinct("group")).first()[0]
+    # Each text has a bounded share of terms with this support, so they are some ten thousand at most.
+    found = seen.groupBy("term").agg(F.count("*").alias("a")).where(F.col("a") >= max(LEAST_SUPPORT, LEAST_SHARE * p)).collect()
+    release(seen)
+    names = [bytes(r["term"]) for r in found]
+    q, b = frequencies(sample.where("label = 0"), {t: i for i, t in enumerate(names)})
+    if not names or not p or not q:
+        return []
+    a = np.array([r["a"] for r in found], dtype=np.float64)
+    ratio = (a + 0.5) / (p + 1) / ((b + 0.5) / (q + 1))
+    pooled = (a + b) / (p + q)
+    z = (a / p - b / q) / np.sqrt(pooled * (1 - pooled + 1e-12) * (1 / p + 1 / q))
+    kept: list[int] = []
+    for i in sorted(np.flatnonzero((ratio >= LEAST_RATIO) & (z >= LEAST_Z)).tolist(), key=lambda i: (-z[i], -len(names[i]), names[i])):
+        stem = names[i].removeprefix(MARK)
+        # Beginnings of one word that always come together are one term.
+        if len(kept) < MOST_TERMS and not any(a[i] == a[j] and b[i] == b[j] and (stem.startswith(names[j].removeprefix(MARK)) or names[j].removeprefix(MARK).startswith(stem)) for j in kept):
+            kept.append(i)
+    return [names[i] for i in kept]
+
+
 _TOLD = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())])
 
 
 def _told(vocabulary: dict[bytes, int]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(((doc_id, b" ".join(w for w in alnum_words(text) if w in vocabulary).decode(), label) for doc_id, text, label in rows_of(batches, "doc_id", "text", "label")), _TOLD)
+        memory = TermMemory(vocabulary)
+        yield from batches_of(((doc_id, b" ".join(w for w in alnum_words(text) if memory[w]).decode(), label) for doc_id, text, label in rows_of(batches, "doc_id", "text", "label")), _TOLD)
 
     return run
 
@@ -77,17 +129,21 @@ class ExampleIndex:
     """Unit vectors of the examples in an inverted index by blocks, with each block's largest weight of each word."""
 
     def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, k: int = NEIGHBOURS):
-        self.vocabulary, self.idf, self.k = vocabulary, idf, k
+        self.k = k
+        # The last component is the constant one.
+        self.constant = len(vocabulary)
+        self.idf = np.append(idf, idf.mean() if len(idf) else 1.0)
+        self.memory = TermMemory(vocabulary)
         self.ids = self.labels = np.zeros(0, dtype=np.int64)
         self.base, self.knots, self.levels = 0.5, np.zeros(0), np.zeros(0)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Words and weights of the unit vector of a whole text; nothing if it has no word of the vocabulary."""
-        of = self.vocabulary
-        at = [i for w in alnum_words(text) if (i := of.get(w)) is not None]
+        """Terms and weights of the unit vector of a whole text; nothing if it has no term of the vocabulary."""
+        at = self.memory.of(text)
         if not at:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         terms, counts = np.unique(np.array(at, dtype=np.int64), return_counts=True)
+        terms, counts = np.append(terms, self.constant), np.append(counts, 1)
         weights = (1 + np.log(counts)) * self.idf[terms]
         return terms, weights / np.sqrt((weights**2).sum())
 
@@ -104,7 +160,7 @@ class ExampleIndex:
         self.ids, self.labels = np.array([e[0] for e in kept], dtype=np.int64), np.array([e[1] for e in kept], dtype=np.int64)
         self.base = (plain[1] + 1e-3) / (sum(plain) + 1) if sum(plain) else 0.0
         blocks = -(-len(kept) // BLOCK)
-        self.largest = np.zeros((len(self.vocabulary), blocks))
+        self.largest = np.zeros((self.constant + 1, blocks))
         postings: dict[tuple[int, int], tuple[list[int], list[float]]] = {}
         for i, (_, _, terms, weights) in enumerate(kept):
             b = i // BLOCK
@@ -114,7 +170,7 @@ class ExampleIndex:
                 at[0].append(i - b * BLOCK)
                 at[1].append(w)
         self.postings = {key: (np.array(i), np.array(w)) for key, (i, w) in postings.items()}
-        raw = np.array([self.vote(*self.nearest(e[2], e[3], leave=i)) for i, e in enumerate(kept)])
+        raw = np.array([self.vote(*self.nearest(e[2], e[3], leave=i), e[3][-1]) for i, e in enumerate(kept)])
         self.knots, self.levels = isotonic(raw, self.labels)
         return self
 
@@ -136,16 +192,15 @@ class ExampleIndex:
             best = sorted(best + [(-s, i) for s, i in zip(sums[at].tolist(), (at + b * BLOCK).tolist(), strict=True) if i != leave])[: self.k]
         return np.array([i for _, i in best], dtype=np.int64), np.array([-s for s, _ in best])
 
-    def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
-        if not len(at):
-            return self.base
-        w = 1 / (1.05 - np.minimum(cosines, 1.0))
-        return float((w @ self.labels[at] + 0.1 * self.base) / (w.sum() + 0.1))
+    def vote(self, at: np.ndarray, cosines: np.ndarray, plain: float = 1.0) -> float:
+        """Share of toxic votes; the texts without any term vote once, at cosine ``plain``."""
+        w, own = 1 / (1.05 - np.minimum(cosines, 1.0)), 1 / (1.05 - plain)
+        return float((w @ self.labels[at] + own * self.base) / (w.sum() + own))
 
     def score(self, text: str | None) -> tuple[float, list[int]]:
         terms, weights = self.vector(text)
         at, cosines = self.nearest(terms, weights)
-        raw = self.vote(at, cosines)
+        raw = self.vote(at, cosines, float(weights[-1]) if len(terms) else 1.0)
         if len(at) and len(self.knots):
             raw = float(np.interp(raw, self.knots, self.levels))
         return min(1.0, max(0.0, raw)), self.ids[at].tolist()
@@ -169,11 +224,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     # Bounded by sample_rows, so it may be sent to every executor.
     examples = materialize(texts.join(F.broadcast(sample), "_id").select(F.col("_id").cast("long").alias("doc_id"), "text", "label"), "toxicity-examples")
-    vocabulary = {w.encode(): i for i, w in enumerate(telling_words(examples))}
-    # The vocabulary is bounded, so are these counts.
-    counts = dict(texts.select("text").mapInArrow(_frequencies(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect())
-    total = counts.get(-1) or 0
-    idf = np.array([math.log((1 + total) / (1 + (counts.get(i) or 0))) + 1 for i in range(len(vocabulary))])
+    vocabulary = {t: i for i, t in enumerate(telling_terms(examples))}
+    total, n = frequencies(texts, vocabulary)
+    idf = np.log((1 + total) / (1 + n)) + 1
     index = ExampleIndex(vocabulary, idf)
     # Only the words of the vocabulary leave the executors.
     slim = examples.mapInArrow(_told(vocabulary), "doc_id bigint, text string, label int")
@@ -196,8 +249,8 @@ def _score(shared):
 def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (ids of the nearest examples) of every document.
 
-    Null text is scored as empty. A text without any telling word gets the rate of such examples. Rows that share a doc_id
-    are scored each for itself. Without labels of both classes there are no telling words and the score is that rate (0 without examples).
+    Null text is scored as empty. A text without any telling term gets the rate of such examples. Rows that share a doc_id
+    are scored each for itself. Without labels of both classes there are no telling terms and the score is that rate (0 without examples).
     """
     index = fit(docs, labels, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(index)

@@ -38,13 +38,13 @@ def test_nearest_is_exact():
     index = T.ExampleIndex(vocabulary, rng.uniform(1, 5, 40), k=7)
     texts = [" ".join(f"w{j}" for j in rng.integers(0, 60, rng.integers(1, 12))) for _ in range(500)]
     index.fill((i, t, int(rng.random() < 0.3)) for i, t in enumerate(texts))
-    dense = np.zeros((len(index.ids), 40))
+    dense = np.zeros((len(index.ids), 41))
     for row, i in enumerate(index.ids.tolist()):
         terms, weights = index.vector(texts[i])
         dense[row, terms] = weights
     for t in texts[:60]:
         terms, weights = index.vector(t)
-        q = np.zeros(40)
+        q = np.zeros(41)
         q[terms] = weights
         want = np.sort((dense @ q)[dense @ q > 0])[::-1][:7]
         assert np.allclose(index.nearest(terms, weights)[1], want)
