@@ -68,7 +68,7 @@ def with_sql(*names: str, recursive: bool = False) -> str:
 
 def _view(spark: SparkSession, sf_dir: str, text: str, **frames: DataFrame) -> DataFrame:
     """Run SQL over tables of ``sf_dir`` and the given frames."""
-    names = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("customer", "events", "lineitem", "part") if f" {n}" in text}
+    names = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("customer", "events", "lineitem") if f"from {n}" in text}
     text = _spark(text)
     for n in [*names, *frames]:
         for lead in ("from ", "join "):
