@@ -101,9 +101,13 @@ def elements(table: DataFrame) -> DataFrame:
 
 
 def packed_to_id(designation: Column) -> Column:
-    """A packed designation of up to eight ASCII characters as a long: its bytes, the first one lowest."""
-    text = F.rpad(F.substring(designation, 1, 8), 8, " ")
-    return F.conv(F.hex(F.reverse(F.substring(text, 1, 7))), 16, 10).cast("long")
+    """A packed designation of up to seven ASCII characters as a long: its bytes, the first one highest."""
+    return F.conv(F.hex(F.rtrim(F.substring(designation, 1, 7))), 16, 10).cast("long")
+
+
+def id_to_packed(number: Column) -> Column:
+    """The packed designation that an id stands for; none for 0."""
+    return F.when(number != 0, F.unhex(F.hex(number.cast("long"))).cast("string"))
 
 
 def finished(ephemerides: DataFrame) -> DataFrame:

@@ -113,6 +113,24 @@ def test_chebyshev_and_positions(spark):
     assert tuple(c) == pytest.approx((1 + 1 + 3 * (2 * 0.25 - 1), 0.0, 4.0))
 
 
+def test_designations(spark):
+    df = spark.createDataFrame([("K15MK4Q",), ("00001",)], "d string").withColumn("i", solarsystem.packed_to_id(F.col("d")))
+    got = df.select("d", "i", solarsystem.id_to_packed(F.col("i")).alias("back")).collect()
+    assert got[0].i == 21164728253101137 and all(r.back == r.d for r in got)
+
+
+def test_solar_association(spark):
+    e = spark.createDataFrame([(1, 45.0, 45.0, 1.0), (2, 46.0, 45.0, 1.0)], "ssObjectId bigint, ephRa double, ephDec double, `Err(arcsec)` double")
+    s = spark.createDataFrame([(10, 45.0, 45.0 + 0.5 / 3600), (11, 45.0, 45.0 + 0.8 / 3600), (12, 46.0, 45.1)], "diaSourceId bigint, ra double, dec double").withColumn("ssObjectId", F.lit(0).cast("long"))
+    found, rest = solarsystem.associate(s, e)
+    assert [(r.diaSourceId, r.ssObjectId) for r in found.collect()] == [(10, 1)] and sorted(r.diaSourceId for r in rest.collect()) == [11, 12]
+    w = geometry.Wcs((45.0, 45.0), (100.0, 100.0), ((-1e-4, 0.0), (0.0, 1e-4)))
+    assert [r.ssObjectId for r in solarsystem.on_image(e, w, geometry.Box(0, 0, 200, 200)).collect()] == [1]
+    assert [r.ssObjectId for r in solarsystem.in_field(e, 45.0, 45.0, 0.1).collect()] == [1]
+    with pytest.raises(ValueError):
+        solarsystem.single_frame(s, e.limit(0))
+
+
 def test_midpoint(spark):
     df = spark.createDataFrame([(1.0, 3.0)], "a double, b double")
     assert df.select(detections.midpoint(F.col("a"), F.col("b"))).first()[0] == 2.0
