@@ -28,15 +28,15 @@ LASSO = 0.002
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
     """``docs`` with a column per statistic of its whole text (null as empty), and their names."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumn("_t", text).withColumn("_w", F.array_remove(F.split(F.trim(F.col("_t")), "[ \\t\\n\\r\\f\\x0B]+"), "")).withColumn("_l", F.split("_t", "\n"))
-    t, n = F.col("_t"), F.greatest(F.length("_t"), F.lit(1))
-    words = F.greatest(F.size("_w"), F.lit(1))
+    df = docs.withColumn("__text", text).withColumn("__words", F.array_remove(F.split(F.trim(F.col("__text")), "[ \\t\\n\\r\\f\\x0B]+"), "")).withColumn("__lines", F.split("__text", "\n"))
+    t, n = F.col("__text"), F.greatest(F.length("__text"), F.lit(1))
+    words = F.greatest(F.size("__words"), F.lit(1))
     without = lambda pattern: F.length(F.regexp_replace(t, pattern, ""))
     found = {
         "chars": F.log1p(F.length(t).cast("double")),
-        "mean_word": (F.length(t) - F.size("_w")) / words,
-        "distinct_words": F.size(F.array_distinct("_w")) / words,
-        "distinct_lines": F.size(F.array_distinct("_l")) / F.greatest(F.size("_l"), F.lit(1)),
+        "mean_word": (F.length(t) - F.size("__words")) / words,
+        "distinct_words": F.size(F.array_distinct("__words")) / words,
+        "distinct_lines": F.size(F.array_distinct("__lines")) / F.greatest(F.size("__lines"), F.lit(1)),
         "upper": (n - without("\\p{Lu}+")) / n,
         "digits": (n - without("[0-9]+")) / n,
         "symbols": (n - without("[^\\p{L}\\p{N}\\s.,]+")) / n,
@@ -44,7 +44,9 @@ def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list
         "symbol_runs": F.regexp_count(t, F.lit("([#$%&*!?|~=])\\1")) / words,
         "pipes": (n - F.length(F.replace(t, F.lit("|"), F.lit("")))) / words,
     }
-    return df.withColumns({f"q_{k}": F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in found.items()}).drop("_t", "_w", "_l"), [f"q_{k}" for k in found]
+    # Through explode, no later filter is moved below the statistics, where it would work them out again for every rule.
+    measured = df.withColumn("__stats", F.explode(F.array(F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in found.items()]))))
+    return measured.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__stats.{k}").alias(f"__q_{k}") for k in found]), [f"__q_{k}" for k in found]
 
 
 def held_out(id_col: Column, of: int, remainder: int) -> Column:

@@ -22,9 +22,9 @@ from .common import batches_of, materialize, new_path, release, rows_of, shuffle
 VERSION = 1
 #: log2 of the sum of all table frequencies; states lie in [2^31, 2^63) and move 32 bits at a time.
 SCALE_BITS = 20
-LANES, CHECKPOINT_ROWS = 512, 128
+LANES, CHECKPOINT_ROWS = 1024, 128
 #: Ids of a block, about: a block ends with the document that reaches it.
-BLOCK_IDS = 262_144
+BLOCK_IDS = 524_288
 END_ID = 1
 _LOW = np.uint64(1 << 31)
 _32, _BITS, _MASK = np.uint64(32), np.uint64(SCALE_BITS), np.uint64((1 << SCALE_BITS) - 1)
@@ -104,28 +104,56 @@ def decode(n: int, words: bytes, states: bytes, table: Table, row: int = 0, at:
 _TOKENIZERS: dict[int, Encoder] = {}
 
 
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct space-separated word encoded once while it is remembered.
+    """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
-    Valid for tokenizers whose pre-tokenizer never joins text across the six ASCII white-space characters and drops them.
+    Valid for tokenizers whose pre-tokenizer drops the six ASCII white-space characters, never joins text across them, parts letters
+    from what follows, and lower-cases. Then a text's ids are those of its words, and those of a word of Latin letters with
+    ASCII punctuation behind it are those of the letters and of the punctuation.
     """
 
-    def __init__(self, source: str, limit: int = 700_000):
+    def __init__(self, source: str, limit: int = 900_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_str(source), limit, {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text, END_ID appended."""
-        split = [t.encode().split() if t else [] for t in texts]
-        new = list(set().union(*split).difference(self.known)) if split else []
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = list(set().union(*split))
-        for word, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(e.ids, dtype="<u4").tobytes()
+        self.tokenizer, self.limit = Tokenizer.from_str(source), limit
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def cut(word: bytes) -> tuple[bytes, bytes]:
+        """Letters in the form they are remembered by, and the punctuation behind them; a word of another kind stays whole."""
+        core = word.rstrip(_PUNCTUATION)
+        if core.isalpha():  # ASCII letters alone
+            return core.lower(), word[len(core) :]
+        text = core.decode()
+        if text.isalpha() and max(text) < "\u0250":
+            return core, word[len(core) :]
+        return word, b""
+
+    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        found = self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)
+        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(parts, found, strict=True)}
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of every UTF-8 text, END_ID appended."""
+        split = [t.split() if t else [] for t in texts]
+        # What doesn't fit the memory any more serves these texts alone.
+        fresh = {w: self.cut(w) for w in set().union(*split) if w not in self.known} if split else {}
+        new = self._encode([p for p in {p for cut in fresh.values() for p in cut} if p and p not in self.parts])
+        here = {w: b"".join((new[p] if p in new else self.parts[p]) if p else b"" for p in cut) for w, cut in fresh.items()}
+        if len(self.parts) < self.limit:
+            self.parts |= new
+        if len(self.known) < self.limit:
+            self.known.update(here)
+            here = {}
         end = np.array([END_ID], dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) + end for words in split]
+        if not here:
+            return [b"".join(map(self.known.__getitem__, words)) + end for words in split]
+        get = self.known.get
+        return [b"".join([x if (x := get(w)) is not None else here[w] for w in words]) + end for words in split]
 
 
 def _encoder(shared) -> Encoder:
@@ -232,7 +260,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str =
     """Write all documents to the token file ``path``, in ascending order of ``id_col`` (null first; ties by text)."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     raw = materialize(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_blocks(_Shared(spark, tokenizer_json)), _RAW_SQL), "token-ids")
     # One row per id of the vocabulary.
     counts = raw.select("ids").mapInArrow(_count, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
