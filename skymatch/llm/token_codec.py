@@ -129,7 +129,7 @@ class Encoder:
         if core.isalpha():  # ASCII letters alone
             return core.lower(), word[len(core) :]
         text = core.decode()
-        if text.isalpha() and max(text) < "\u0250":
+        if text.isalpha() and text.lower().isalpha() and max(text) < "\u0250":  # the lower form of one letter ends in a combining mark
             return core, word[len(core) :]
         return word, b""
 
