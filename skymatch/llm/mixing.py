@@ -90,7 +90,7 @@ def _fit(pdf):
 
 
 class Mix:
-    """The plan of a mix: ``documents`` (uid, doc_id, source, size, source_size, target, block, passes) and ``draws``."""
+    """The plan of a mix: ``documents`` (uid, doc_id, source, size, source_size, target, block, dealt, passes, draws) and ``draws()``."""
 
     def __init__(self, docs: DataFrame, shards: int = 16, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS):
         self.spark, self.shards, self.seed = docs.sparkSession, shards, seed
@@ -114,11 +114,15 @@ class Mix:
         source = W.partitionBy("source")
         block = block.withColumn("n_in", F.count(F.when(F.col("in_extra"), 1)).over(source)).withColumn("room", F.col("extra") - F.sum(F.when(F.col("in_extra"), F.col("words")).otherwise(0)).over(source))
         edge = (F.col("room") > 0) & ~F.col("in_extra") & (F.col("nth") < F.col("n_in") + EDGE_BLOCKS)
-        self.blocks = b = materialize(block.select("source", "block", "whole", "nth", "in_extra", F.when(edge, F.col("room")).alias("room")), "mixing-blocks")
-        marked = placed.join(b.select(F.col("source").alias("s"), F.col("block").alias("k"), "nth", "in_extra", "room"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")), "left")
+        self.blocks = materialize(block.select("source", "block", "whole", "nth", "in_extra", F.when(edge, F.col("room")).alias("room")), "mixing-blocks")
+        b = materialize(self._dealt(), "mixing-dealt")
+        marked = placed.join(b.select(F.col("source").alias("s"), F.col("block").alias("k"), "nth", "in_extra", "room", "shards"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")), "left")
         fitted = marked.where("room > 0").select("source", "uid", "doc_id", "dealt", "size", "nth", "room").groupBy("source").applyInPandas(_fit, "uid long").withColumn("fits", F.lit(1))
         passes = F.col("whole") + F.coalesce(F.col("in_extra").cast("int"), F.lit(0)) + F.coalesce("fits", F.lit(0))
-        self.documents = marked.join(fitted, "uid", "left").select("uid", "doc_id", "source", "size", "source_size", "target", "block", "dealt", passes.alias("passes"))
+        # The passes over a block are numbered from 0; a document of an edge block that did not fit has one less than its block.
+        place = lambda shard, i: F.struct(i.alias("pass"), shard.alias("shard"), F.xxhash64(F.lit(seed), F.lit("place"), shard, i, "dealt", "uid").alias("place"))
+        drawn = F.transform(F.slice(F.coalesce("shards", F.array().cast("array<int>")), F.lit(1), passes), place)
+        self.documents = marked.join(fitted, "uid", "left").select("uid", "doc_id", "source", "size", "source_size", "target", "block", "dealt", passes.alias("passes"), drawn.alias("draws"))
 
     def quotas(self) -> DataFrame:
         """(source, shard, low, high): which of a source's drawn blocks, counted over all passes, go to which shard."""
@@ -130,31 +134,35 @@ class Mix:
         out = [(r["source"], s, int(ends[s, i] - split[s, i]), int(ends[s, i])) for i, r in enumerate(rows) for s in range(self.shards) if split[s, i]]
         return self.spark.createDataFrame(out, "source string, shard int, low long, high long")
 
-    def draws(self) -> DataFrame:
-        """One row per document and pass: uid, doc_id, source, size, pass, shard, position key within the shard."""
+    def _dealt(self) -> DataFrame:
+        """The blocks, each with the shards of its passes in order."""
         n = W.partitionBy("source")
         drawn = self.blocks.withColumn("n", F.count("*").over(n)).select("source", "block", F.posexplode(F.sequence(F.lit(0), F.col("whole"))).alias("pass", "_"), "whole", "nth", "n", "in_extra", "room")
         drawn = drawn.where((F.col("pass") < F.col("whole")) | F.col("in_extra") | (F.col("room") > 0)).withColumn("rank", F.col("pass") * F.col("n") + F.col("nth"))
         q = self.quotas().withColumnRenamed("source", "q")
         dealt = drawn.join(q, F.col("source").eqNullSafe(F.col("q")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select(F.col("source").alias("s"), F.col("block").alias("k"), "pass", "shard")
-        taken = self.documents.where("passes > 0")
-        out = taken.join(dealt, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")) & (F.col("pass") < F.col("passes")))
-        return out.select("uid", "doc_id", "source", "size", "pass", "shard", F.xxhash64(F.lit(self.seed), F.lit("place"), "shard", "pass", "dealt", "uid").alias("place"))
+        dealt = dealt.groupBy("s", "k").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).getField("shard").alias("shards"))
+        return self.blocks.join(dealt, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")), "left").drop("s", "k")
+
+    def draws(self) -> DataFrame:
+        """One row per document and pass: uid, doc_id, source, size, pass, shard, position key within the shard."""
+        return self.documents.select("uid", "doc_id", "source", "size", F.inline("draws"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents of the mix, a row for each time one is taken, with the columns of ``docs``."""
+    """The documents of the mix, a row for each draw, with the columns of ``docs``; rows lie by shard and by place within it."""
     columns = docs.columns
     keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "mixing-input")
     plan = Mix(keyed, seed=seed, id_col="__row", text_col=text_col, source_col=source_col)
-    passes = plan.documents.where("passes > 0").select(F.col("doc_id").alias("__row"), F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("__pass"))
-    return keyed.join(passes, "__row").select(*columns)
+    draws = plan.draws().select(F.col("doc_id").alias("__row"), F.col("shard").alias("__shard"), F.col("place").alias("__place"))
+    return keyed.join(draws, "__row").orderBy("__shard", "__place", "__row").select(*columns)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken and passes of every document.
+    """doc_id, size, source_size, target, taken, passes and draws (pass, shard and place in the shard of each) of every document.
 
     Null text has size 0 and is never short of its target; null is a source of its own, the last. Rows that share a doc_id are
     taken each for itself (they share a block, and ties go by row). An empty table gives no rows.
     """
-    return Mix(docs, **options).documents.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).cast("long").alias("taken"), F.col("passes").cast("int"))
+    passes = F.size("draws")
+    return Mix(docs, **options).documents.select("doc_id", "size", "source_size", "target", (F.col("size") * passes).cast("long").alias("taken"), passes.alias("passes"), "draws")

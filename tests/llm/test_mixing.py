@@ -69,6 +69,26 @@ def test_draws_are_disjoint_and_complete(docs):
     assert len({(r.uid, r["pass"]) for r in draws}) == len(draws) and {r.shard for r in draws} <= set(range(16))
 
 
+def test_report_and_documents_are_the_draws(docs, monkeypatch):
+    plans = []
+
+    class Kept(M.Mix):
+        def __init__(self, docs, **options):
+            super().__init__(docs, **options | {"block_words": 500})
+            plans.append(self)
+
+    monkeypatch.setattr(M, "Mix", Kept)
+    got = M.report(docs).collect()
+    assert len({d.shard for r in got for d in r.draws}) == 16
+    assert all(len(r.draws) == r.passes and r.taken == r.size * r.passes for r in got)
+    assert Counter((str(r.doc_id), d["pass"], d.shard, d.place) for r in got for d in r.draws) == Counter((str(r.doc_id), r["pass"], r.shard, r.place) for r in plans[0].draws().collect())
+    out = [len((r.text or "").split()) for r in M.mixed_documents(docs).collect()]
+    assert out == [r.size for r in sorted(plans[1].draws().collect(), key=lambda r: (r.shard, r.place))]
+    # The shards are those of the quotas.
+    monkeypatch.setattr(M, "split_quotas", lambda q, n, rng: np.concatenate([np.zeros((n - 1, len(q)), dtype=np.int64), q[None, :]]))
+    assert {d.shard for r in M.report(docs).collect() for d in r.draws} == {15}
+
+
 def test_fit_comes_close():
     taken = M.fit(np.array([1304, 5, 700, 80]), 2084)
     assert np.array([1304, 5, 700, 80])[taken].sum() == 2084
