@@ -1,16 +1,14 @@
 """Benchmark decontamination: which test items stand inside which documents.
 
-A sketch of a long document would lose a short item in it, so the items are sketched instead. Items are partitioned by size
-(powers of two of their shingle count); every item is represented by the shingles that are its minima under many
-universal hash functions, fewer functions for the partitions of small items, whose shingles all are minima. A document's
-every shingle is looked up in the tables of minima. An item whose minima are found often enough for a containment at the threshold
-to be likely is a candidate, and the whole sets decide. With 32 minima and 13 asked for, an item contained by 0.8 is missed with
-probability 1e-7; items of up to 32 shingles are looked up whole and never missed.
+A sketch of a long document would lose a short item in it, so the items are indexed instead. A document that holds c of an item's
+n shingles lacks n - c of them, so of any m shingles of the item it holds m - (n - c) at least. Every item is therefore
+represented by its n - c + EXTRA shingles that are rarest among the items, where c is the least number at the threshold (by all
+of them if it has no more). A document's every shingle is looked up in this table; an item of which EXTRA (or, if all its shingles
+are there, c) are found is a candidate, and the whole sets decide. So no item is missed, whatever its size.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,62 +17,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, alnum_words, batches_of, rows_of, shingles
-from .near_dedup import hash_parameters
 
 SHINGLE, THRESHOLD = 5, 80
-#: Minima of a large item, and how many of them a candidate's document must hold.
-MINIMA, LEAST_MINIMA = 32, 13
+#: Shingles of an item that a candidate's document must hold, out of so many more than it may lack.
+EXTRA = 8
 #: Text bytes of the items that one index holds; a larger benchmark is searched in several parts, one index after the other.
 PART_BYTES = 32 << 20
 
 
-def item_minima(x: np.ndarray) -> np.ndarray:
-    """The shingles of ``x`` that represent it: all of up to MINIMA, else those smallest under each of MINIMA hash functions."""
-    if len(x) <= MINIMA:
-        return x
-    a, b = hash_parameters(MINIMA, seed=5)
-    return np.unique(x[(a[:, None] * x[None, :] + b[:, None]).argmin(axis=1)])
-
-
 class ItemIndex:
-    """Items by size partition: sorted minima with the items that have them, and every item's whole set."""
+    """Sorted representing shingles with the items that have them, and every item's whole set."""
 
     def __init__(self, items: Iterable[tuple[int, str | None]], threshold: int = THRESHOLD):
         of = WordHashes()
-        self.threshold, self.ids, self.sets, self.need = threshold, [], [], []
-        entries: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.threshold, self.ids = threshold, []
+        sets = [np.empty(0, dtype=np.uint64)]
         for item_id, text in items:
             words = of.of(alnum_words(text))
-            if len(words) < SHINGLE:
-                continue
-            x = shingles(words, SHINGLE)
-            few = item_minima(x)
-            exact = len(few) == len(x)
-            self.need.append(-(-threshold * len(x) // 100) if exact else min(LEAST_MINIMA, len(few)))
-            entries[len(x).bit_length()] += [(int(h), len(self.ids)) for h in few]
-            self.ids.append(item_id)
-            self.sets.append(x)
-        self.partitions = []
-        for size in sorted(entries):
-            at = sorted(entries[size])
-            self.partitions.append((np.array([h for h, _ in at], dtype=np.uint64), np.array([i for _, i in at], dtype=np.int64)))
+            if len(words) >= SHINGLE:
+                self.ids.append(item_id)
+                sets.append(shingles(words, SHINGLE))
+        self.all, self.sizes = np.concatenate(sets), np.array([len(x) for x in sets[1:]], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        lacking = self.sizes - -(-threshold * self.sizes // 100)
+        most = np.minimum(self.sizes, lacking + EXTRA)
+        self.need = most - lacking
+        # The rarest first within each item.
+        _, which, counts = np.unique(self.all, return_inverse=True, return_counts=True)
+        item = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
+        order = np.lexsort((self.all, counts[which], item))
+        order = order[np.arange(len(order)) - np.repeat(self.starts, self.sizes) < np.repeat(most, self.sizes)]
+        order = order[np.argsort(self.all[order], kind="stable")]
+        self.keys, self.items = self.all[order], item[order]
 
     def found(self, x: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, its shingles, those of them in ``x``) for the items contained in the document set ``x``."""
+        low, high = np.searchsorted(self.keys, x, "left"), np.searchsorted(self.keys, x, "right")
+        hit = np.flatnonzero(high > low)
+        if not len(hit):
+            return []
         out = []
-        for keys, item in self.partitions:
-            low, high = np.searchsorted(keys, x, "left"), np.searchsorted(keys, x, "right")
-            hit = np.flatnonzero(high > low)
-            if not len(hit):
-                continue
-            # The last occurrence of a key and all before it.
-            seen = np.concatenate([item[low[i] : high[i]] for i in hit])
-            which, n = np.unique(seen, return_counts=True)
-            for i, votes in zip(which.tolist(), n.tolist(), strict=True):
-                if votes >= self.need[i]:
-                    common = int(np.isin(self.sets[i], x, assume_unique=True).sum())
-                    if 100 * common >= self.threshold * len(self.sets[i]):
-                        out.append((self.ids[i], len(self.sets[i]), common))
+        which, n = np.unique(np.concatenate([self.items[low[i] : high[i]] for i in hit]), return_counts=True)
+        for i in which[n >= self.need[which]].tolist():
+            size = int(self.sizes[i])
+            common = int(np.isin(self.all[self.starts[i] : self.starts[i] + size], x, assume_unique=True).sum())
+            if 100 * common >= self.threshold * size:
+                out.append((self.ids[i], size, common))
         return out
 
 

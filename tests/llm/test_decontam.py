@@ -53,3 +53,18 @@ def test_empty_tables(spark, docs, empty):
     none = spark.createDataFrame([], ITEMS)
     assert D.contaminated(docs, none).count() == 0 and D.decontaminate(docs, none).count() == docs.count()
     assert D.contaminated(empty, none).count() == 0
+
+
+def test_items_of_middle_size_are_never_missed():
+    rng = random.Random(8)
+    items = [[f"w{rng.randrange(10**9)}" for _ in range(rng.choice([37, 40, 44, 54, 84]))] for _ in range(2500)]
+    index = D.ItemIndex((i, " ".join(w)) for i, w in enumerate(items))
+    of = D.WordHashes()
+    for i, w in enumerate(items):
+        n = len(w) - 4
+        least = -(-80 * n // 100)
+        # The fewest shingles at the threshold, and one less.
+        a = rng.randrange(n - least + 1)
+        for common, want in ((least, [(i, n, least)]), (least - 1, [])):
+            x = of.of(alnum_words(" ".join(["before", *w[a : a + common + 4], "after"])))
+            assert index.found(D.shingles(x, 5)) == want
