@@ -1,17 +1,19 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
-Examples are a bounded sample of labelled rows. Their vectors hold the terms, words and beginnings of words, that are much more
-frequent in toxic examples than in others; support is counted once per group of look-alike examples, so that copies don't
-vote for their own words. Weights are 1 + log(count) times the inverse document frequency over all documents, and each vector has
-one constant component more, so that a single chance hit lies closer to plain texts than a text full of hits does. The
-examples lie in an inverted index in blocks, and each block keeps every term's largest weight; a query visits blocks by descending
-bound and stops when no block can still enter its k nearest. Votes weighted by distance (one of them by the texts without
-any term) give the raw score, which an isotonic fit on the examples themselves, each left out of its own vote, turns into a
+Examples are a bounded sample of labelled rows. Their vectors hold all their words, and beginnings of words that tell the classes
+apart. Weights are 1 + log(count) times the inverse document frequency over all documents (a word in no example counts in
+the length of a vector as if one document held it), times a factor for terms that are much more frequent in toxic examples than
+in others; support is counted once per group of look-alike examples, so that copies don't vote for their own words. The
+cosines to all examples are summed for a batch of texts at once, frequent terms by a matrix product and the others from inverted lists,
+and whatever may be among the k nearest is summed again from its whole vector. Votes weighted by distance (and one by the rate of
+all examples) give the raw score, which an isotonic fit on the examples themselves, each left out of its own vote, turns into a
 calibrated one. The neighbours are returned as evidence.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,9 +27,11 @@ from .quality import held_out
 
 #: Labelled rows that serve as examples, at most: those with the smallest hashes of their doc_id.
 SAMPLE_ROWS = 20_000
-NEIGHBOURS, BLOCK = 15, 64
-#: Terms of the vectors: most of them, least look-alike groups and share of groups, least ratio of the rates, least z score.
-MOST_TERMS, LEAST_SUPPORT, LEAST_SHARE, LEAST_RATIO, LEAST_Z = 512, 3, 0.015, 4.0, 5.0
+NEIGHBOURS, BATCH = 15, 64
+#: Share of the examples beyond which a term is frequent.
+FREQUENT = 0.05
+#: Terms that get a factor: least look-alike groups, least ratio of the rates, least z score.
+LEAST_SUPPORT, LEAST_RATIO, LEAST_Z = 3, 4.0, 5.0
 #: Lengths in bytes of the beginnings of longer words that are terms too; a mark keeps them apart from words.
 BEGINNINGS, MARK = (4, 5, 6, 7, 8), b"^"
 THRESHOLD = 0.3
@@ -69,141 +73,164 @@ class TermMemory(dict):
         return [i for found in filter(None, map(self.__getitem__, alnum_words(text))) for i in found]
 
 
-def _frequencies(vocabulary: dict[bytes, int]):
+def _frequencies(shared):
     """How many texts hold each term, and how many texts there are (-1)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, memory = np.zeros(len(vocabulary), dtype=np.int64), 0, TermMemory(vocabulary)
+        n, total, memory = np.zeros(len(shared.value), dtype=np.int64), 0, TermMemory(shared.value)
         for (text,) in rows_of(batches, "text"):
             total += 1
             at = memory.of(text)
             if at:
                 n[np.unique(at)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(n))], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], names=["term", "n"])
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([total, *n[some].tolist()], pa.int64())], names=["term", "n"])
 
     return run
 
 
 def frequencies(texts: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
     """Number of texts, and of those that hold each term of a bounded vocabulary."""
-    counts = dict(texts.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect())
-    return counts.get(-1) or 0, np.array([counts.get(i) or 0 for i in range(len(vocabulary))], dtype=np.float64)
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    counts = texts.select("text").mapInArrow(_frequencies(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = (counts.column(c).to_numpy() for c in ("term", "n"))
+    found = np.zeros(len(vocabulary))
+    found[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), found
 
 
-def telling_terms(sample: DataFrame) -> list[bytes]:
-    """Terms of ``sample`` (text, label) that are much more frequent in toxic examples."""
+def telling_terms(sample: DataFrame) -> dict[bytes, float]:
+    """Terms of ``sample`` (text, label) that are much more frequent in toxic examples, and the factors of their weights."""
     seen = materialize(sample.where("label = 1").select("text").mapInArrow(_terms, "group bigint, term binary").distinct(), "toxicity-terms")
     p = seen.agg(F.count_distinct("group")).first()[0]
-    # Each text has a bounded share of terms with this support, so they are some ten thousand at most.
-    found = seen.groupBy("term").agg(F.count("*").alias("a")).where(F.col("a") >= max(LEAST_SUPPORT, LEAST_SHARE * p)).collect()
+    # Terms of a bounded sample.
+    found = seen.groupBy("term").agg(F.count("*").alias("a")).where(F.col("a") >= LEAST_SUPPORT).collect()
     release(seen)
     names = [bytes(r["term"]) for r in found]
     q, b = frequencies(sample.where("label = 0"), {t: i for i, t in enumerate(names)})
     if not names or not p or not q:
-        return []
+        return {}
     a = np.array([r["a"] for r in found], dtype=np.float64)
     ratio = (a + 0.5) / (p + 1) / ((b + 0.5) / (q + 1))
     pooled = (a + b) / (p + q)
     z = (a / p - b / q) / np.sqrt(pooled * (1 - pooled + 1e-12) * (1 / p + 1 / q))
-    kept: list[int] = []
+    kept: dict[bytes, float] = {}
+    alike: dict[tuple[float, float], list[bytes]] = {}
     for i in sorted(np.flatnonzero((ratio >= LEAST_RATIO) & (z >= LEAST_Z)).tolist(), key=lambda i: (-z[i], -len(names[i]), names[i])):
-        stem = names[i].removeprefix(MARK)
+        stem, same = names[i].removeprefix(MARK), alike.setdefault((a[i], b[i]), [])
         # Beginnings of one word that always come together are one term.
-        if len(kept) < MOST_TERMS and not any(a[i] == a[j] and b[i] == b[j] and (stem.startswith(names[j].removeprefix(MARK)) or names[j].removeprefix(MARK).startswith(stem)) for j in kept):
-            kept.append(i)
-    return [names[i] for i in kept]
-
-
-_TOLD = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())])
-
-
-def _told(vocabulary: dict[bytes, int]):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = TermMemory(vocabulary)
-        yield from batches_of(((doc_id, b" ".join(w for w in alnum_words(text) if memory[w]).decode(), label) for doc_id, text, label in rows_of(batches, "doc_id", "text", "label")), _TOLD)
-
-    return run
+        if not any(stem.startswith(x) or x.startswith(stem) for x in same):
+            same.append(stem)
+            kept[names[i]] = 1 + (z[i] / LEAST_Z) ** 2
+    return kept
 
 
 class ExampleIndex:
-    """Unit vectors of the examples in an inverted index by blocks, with each block's largest weight of each word."""
-
-    def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, k: int = NEIGHBOURS):
-        self.k = k
-        # The last component is the constant one.
-        self.constant = len(vocabulary)
-        self.idf = np.append(idf, idf.mean() if len(idf) else 1.0)
-        self.memory = TermMemory(vocabulary)
+    """Unit vectors of the examples, and the lists of the examples that hold each term."""
+
+    def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, k: int = NEIGHBOURS, rare: float = 0.0):
+        """``idf`` holds the weights of the terms, ``rare`` that of a word outside the vocabulary."""
+        self.k, self.vocabulary, self.idf, self.rare = k, vocabulary, idf, rare
         self.ids = self.labels = np.zeros(0, dtype=np.int64)
-        self.base, self.knots, self.levels = 0.5, np.zeros(0), np.zeros(0)
+        self.base, self.knots, self.levels = 0.0, np.zeros(0), np.zeros(0)
+        self.memory = self.lists = None
+
+    def __getstate__(self):
+        # Each worker makes its own lists.
+        return self.__dict__ | {"memory": None, "lists": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of the unit vector of a whole text; nothing if it has no term of the vocabulary."""
+        if self.memory is None:
+            self.memory = TermMemory(self.vocabulary)
         at = self.memory.of(text)
         if not at:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         terms, counts = np.unique(np.array(at, dtype=np.int64), return_counts=True)
-        terms, counts = np.append(terms, self.constant), np.append(counts, 1)
         weights = (1 + np.log(counts)) * self.idf[terms]
-        return terms, weights / np.sqrt((weights**2).sum())
+        others = Counter(w for w in alnum_words(text) if w not in self.vocabulary)
+        other = (1 + np.log(np.fromiter(others.values(), dtype=np.float64, count=len(others)))) * self.rare
+        return terms, weights / np.sqrt((weights**2).sum() + (other**2).sum())
 
     def fill(self, examples: Iterable[tuple[int, str | None, int]]) -> ExampleIndex:
-        kept, plain = [], [0, 0]
-        for doc_id, text, label in examples:
-            terms, weights = self.vector(text)
-            if len(terms):
-                kept.append((doc_id, label, terms, weights))
-            else:
-                plain[label] += 1
-        # Alike vectors lie together, so that blocks have low bounds for all words but a few.
-        kept.sort(key=lambda e: (e[2][np.argmax(e[3])], len(e[2]), tuple(e[2].tolist()), e[0]))
+        # Single precision, in which the vectors are sent.
+        kept = sorted(((doc_id, label, *(x.astype(t) for x, t in zip(self.vector(text), (np.int32, np.float32), strict=True))) for doc_id, text, label in examples), key=lambda e: (e[0], e[1], e[2].tobytes(), e[3].tobytes()))
         self.ids, self.labels = np.array([e[0] for e in kept], dtype=np.int64), np.array([e[1] for e in kept], dtype=np.int64)
-        self.base = (plain[1] + 1e-3) / (sum(plain) + 1) if sum(plain) else 0.0
-        blocks = -(-len(kept) // BLOCK)
-        self.largest = np.zeros((self.constant + 1, blocks))
-        postings: dict[tuple[int, int], tuple[list[int], list[float]]] = {}
-        for i, (_, _, terms, weights) in enumerate(kept):
-            b = i // BLOCK
-            self.largest[terms, b] = np.maximum(self.largest[terms, b], weights)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                at = postings.setdefault((t, b), ([], []))
-                at[0].append(i - b * BLOCK)
-                at[1].append(w)
-        self.postings = {key: (np.array(i), np.array(w)) for key, (i, w) in postings.items()}
-        raw = np.array([self.vote(*self.nearest(e[2], e[3], leave=i), e[3][-1]) for i, e in enumerate(kept)])
-        self.knots, self.levels = isotonic(raw, self.labels)
+        self.base = float(self.labels.mean()) if len(kept) else 0.0
+        self.sizes = np.array([len(e[2]) for e in kept], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.terms = np.concatenate([np.zeros(0, dtype=np.int32), *(e[2] for e in kept)])
+        self.weights = np.concatenate([np.zeros(0, dtype=np.float32), *(e[3] for e in kept)])
         return self
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def _lists(self) -> None:
+        held = np.bincount(self.terms, minlength=len(self.idf))
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
+        frequent = np.flatnonzero(held > FREQUENT * len(self.ids))
+        self.row = np.full(len(self.idf), -1, dtype=np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), len(self.ids)), dtype=np.float32)
+        row = self.row[self.terms]
+        self.dense[row[row >= 0], example[row >= 0]] = self.weights[row >= 0]
+        rest = np.flatnonzero(row < 0)
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        self.held = np.where(self.row < 0, held, 0)
+        self.first = np.cumsum(self.held) - self.held
+        self.lists = example[rest], self.weights[rest]
+        self.whole = np.zeros(len(self.idf))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0 and these cosines; ties go to the earlier in the index."""
-        if not len(terms) or not len(self.ids):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = weights @ self.largest[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == self.k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            sums = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                hit = self.postings.get((t, b))
-                if hit is not None:
-                    sums[hit[0]] += w * hit[1]
-            at = np.flatnonzero(sums > 0)
-            best = sorted(best + [(-s, i) for s, i in zip(sums[at].tolist(), (at + b * BLOCK).tolist(), strict=True) if i != leave])[: self.k]
-        return np.array([i for _, i in best], dtype=np.int64), np.array([-s for s, _ in best])
-
-    def vote(self, at: np.ndarray, cosines: np.ndarray, plain: float = 1.0) -> float:
-        """Share of toxic votes; the texts without any term vote once, at cosine ``plain``."""
-        w, own = 1 / (1.05 - np.minimum(cosines, 1.0)), 1 / (1.05 - plain)
+        return self.nearest_of([(terms, weights)], [leave])[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for each of a batch of vectors; examples with the id to leave don't count."""
+        none = np.zeros(0, dtype=np.int64), np.zeros(0)
+        if not len(self.terms):
+            return [none for _ in vectors]
+        if self.lists is None:
+            self._lists()
+        asked = np.zeros((len(vectors), len(self.dense)), dtype=np.float32)
+        for q, (terms, weights) in zip(asked, vectors, strict=True):
+            row = self.row[terms]
+            q[row[row >= 0]] = weights[row >= 0]
+        frequent, found = asked @ self.dense, []
+        for near, (terms, weights), own in zip(frequent, vectors, leave, strict=True):
+            n = self.held[terms]
+            at = np.repeat(self.first[terms] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            sums = near + np.bincount(self.lists[0][at], np.repeat(weights, n) * self.lists[1][at], minlength=len(near))
+            if own is not None:
+                sums[self.ids == own] = 0
+            least = np.partition(sums, len(sums) - self.k)[len(sums) - self.k] if len(sums) > self.k else 0.0
+            # Far more than the error of single precision.
+            at = np.flatnonzero((sums > 0) & (sums >= least - 1e-4))
+            if not len(at):
+                found.append(none)
+                continue
+            n = self.sizes[at]
+            begin = np.cumsum(n) - n
+            of = np.repeat(self.starts[at] - begin, n) + np.arange(n.sum())
+            self.whole[terms] = weights
+            cosines = np.add.reduceat(self.whole[self.terms[of]] * self.weights[of], begin)
+            self.whole[terms] = 0
+            best = np.lexsort((at, -cosines))[: self.k]
+            found.append((at[best], cosines[best]))
+        return found
+
+    def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
+        """Share of toxic votes; the rate of all examples votes once, at cosine 0."""
+        w, own = 1 / (1.05 - np.minimum(cosines, 1.0)), 1 / 1.05
         return float((w @ self.labels[at] + own * self.base) / (w.sum() + own))
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        terms, weights = self.vector(text)
-        at, cosines = self.nearest(terms, weights)
-        raw = self.vote(at, cosines, float(weights[-1]) if len(terms) else 1.0)
-        if len(at) and len(self.knots):
-            raw = float(np.interp(raw, self.knots, self.levels))
-        return min(1.0, max(0.0, raw)), self.ids[at].tolist()
+    def raw(self, texts: list[str | None], leave: list[int | None]) -> list[tuple[float, np.ndarray]]:
+        """Raw score and nearest examples of every text."""
+        return [(self.vote(at, cosines), at) for at, cosines in self.nearest_of([self.vector(t) for t in texts], leave)]
+
+    def score(self, texts: list[str | None]) -> Iterator[tuple[float, list[int]]]:
+        for raw, at in self.raw(texts, [None] * len(texts)):
+            if len(at) and len(self.knots):
+                raw = float(np.interp(raw, self.knots, self.levels))
+            yield min(1.0, max(0.0, raw)), self.ids[at].tolist()
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,24 +251,49 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     # Bounded by sample_rows, so it may be sent to every executor.
     examples = materialize(texts.join(F.broadcast(sample), "_id").select(F.col("_id").cast("long").alias("doc_id"), "text", "label"), "toxicity-examples")
-    vocabulary = {t: i for i, t in enumerate(telling_terms(examples))}
+    factors = telling_terms(examples)
+    vocabulary = {t: i for i, t in enumerate(factors)}
+    # The words of the examples, so no more of them than the sample is large.
+    for (text,) in examples.select("text").toLocalIterator():
+        for word in alnum_words(text):
+            vocabulary.setdefault(word, len(vocabulary))
     total, n = frequencies(texts, vocabulary)
-    idf = np.log((1 + total) / (1 + n)) + 1
-    index = ExampleIndex(vocabulary, idf)
-    # Only the words of the vocabulary leave the executors.
-    slim = examples.mapInArrow(_told(vocabulary), "doc_id bigint, text string, label int")
-    index.fill((r["doc_id"], r["text"], r["label"]) for r in slim.toLocalIterator())
+    weights = np.log((1 + total) / (1 + n)) + 1
+    weights[: len(factors)] *= np.array(list(factors.values()))
+    index = ExampleIndex(vocabulary, weights, rare=np.log((1 + total) / 2) + 1 if total else 0.0)
+    index.fill((r["doc_id"], r["text"], r["label"]) for r in examples.toLocalIterator())
+    own = examples.mapInArrow(_raw(docs.sparkSession.sparkContext.broadcast(index)), "raw double, label int").toArrow()
+    index.knots, index.levels = isotonic(own.column("raw").to_numpy(), own.column("label").to_numpy())
     release(examples)
     return index
 
 
+_RAW = pa.schema([("raw", pa.float64()), ("label", pa.int32())])
+
+
+def _raw(shared):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for some in itertools.batched(rows_of(batches, "doc_id", "text", "label"), BATCH):
+                for (raw, _), (_, _, label) in zip(shared.value.raw([t for _, t, _ in some], [i for i, _, _ in some]), some, strict=True):
+                    yield raw, label
+
+        yield from batches_of(rows(), _RAW, size=4096)
+
+    return run
+
+
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(pa.int64()))])
 
 
 def _score(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        yield from batches_of(((doc_id, *index.score(text)) for doc_id, text in rows_of(batches, "doc_id", "text")), _SCORES, size=4096)
+        def rows():
+            for some in itertools.batched(rows_of(batches, "doc_id", "text"), BATCH):
+                for (doc_id, _), found in zip(some, shared.value.score([t for _, t in some]), strict=True):
+                    yield doc_id, *found
+
+        yield from batches_of(rows(), _SCORES, size=4096)
 
     return run
 
@@ -249,8 +301,8 @@ def _score(shared):
 def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (ids of the nearest examples) of every document.
 
-    Null text is scored as empty. A text without any telling term gets the rate of such examples. Rows that share a doc_id
-    are scored each for itself. Without labels of both classes there are no telling terms and the score is that rate (0 without examples).
+    Null text is scored as empty. A text without any word of the examples gets the rate of toxic examples (0 without examples). Rows
+    that share a doc_id are scored each for itself. Without labels of both classes no term has a factor.
     """
     index = fit(docs, labels, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(index)

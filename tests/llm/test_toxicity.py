@@ -50,6 +50,18 @@ def test_nearest_is_exact():
         assert np.allclose(index.nearest(terms, weights)[1], want)
 
 
+def test_texts_without_telling_terms_find_their_copies(spark):
+    rows, labels = corpus(300)
+    plain = "an odd kind of harm said in words that occur nowhere else at all"
+    examples = [i for i in range(300, 420) if zlib.crc32(str(i).encode()) % 4 != 2][:15]
+    rows += [(i, plain) for i in examples] + [(1000, plain), (1001, rows[7][1])]
+    labels += [(i, 0, 1) for i in examples]
+    got = {r.doc_id: r for r in T.report(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, LABELS)).collect()}
+    assert set(got[1000].evidence) == set(examples) and got[1000].predicted == 1
+    assert got[1001].evidence[0] == 7 or zlib.crc32(b"7") % 4 == 2
+    assert all(len(r.evidence) == 15 for r in got.values())
+
+
 def test_isotonic_levels_rise():
     knots, levels = T.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0, 1, 0, 1]))
     assert (np.diff(levels) > 0).all() and levels.tolist() == [0, 0.5, 1] and len(knots) == 3
