@@ -1,7 +1,8 @@
 """Token files: documents as token ids under a static range asymmetric numeral system (rANS).
 
 A token file is a folder. ``tables`` holds the shared frequency table, made from the counts of all ids in all documents.
-``blocks`` holds independent blocks in ascending doc_id order: each has the position of its first id among all ids, its
+``ranges`` holds the number of ids before each range of documents, and
+``blocks`` independent blocks in ascending doc_id order: each has its range, the position of its first id there, its
 documents with their lengths, and its ids as one rANS stream of interleaved lanes. Every block carries checkpoints (the
 lanes' states and the place in the stream at regular steps), from which decoding can start anywhere, and two checksums, of the stream
 and of the ids. Any reader needs the table and the block alone, so blocks are decoded in parallel.
@@ -9,22 +10,27 @@ and of the ids. Any reader needs the table and the block alone, so blocks are de
 
 from __future__ import annotations
 
+import json
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import batches_of, materialize, new_path, release, rows_of, shuffle_partitions
 
-VERSION = 1
+VERSION = 2
 #: log2 of the sum of all table frequencies; states lie in [2^31, 2^63) and move 32 bits at a time.
 SCALE_BITS = 20
 LANES, CHECKPOINT_ROWS = 1024, 128
 #: Ids of a block, about: a block ends with the document that reaches it.
 BLOCK_IDS = 524_288
+#: Ids of a range of documents, which one task encodes, about.
+RANGE_IDS = 32 << 20
 END_ID = 1
 _LOW = np.uint64(1 << 31)
 _32, _BITS, _MASK = np.uint64(32), np.uint64(SCALE_BITS), np.uint64((1 << SCALE_BITS) - 1)
@@ -103,24 +109,48 @@ def decode(n: int, words: bytes, states: bytes, table: Table, row: int = 0, at:
 
 _TOKENIZERS: dict[int, Encoder] = {}
 
-
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+# The parts of a tokenizer file for which a text's ids are those of its words, in order.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_WORD_END = "</w>"
+
+
+def splits_at_spaces(spec: dict) -> bool:
+    """Whether the tokenizer drops white space, never joins text across it, parts letters from the rest and lower-cases."""
+    normalizer, pre, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    steps = pre.get("pretokenizers") or []
+    return (
+        normalizer.get("normalizers") == _NORMALIZERS
+        and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+        and (steps[0].get("pattern"), steps[0].get("behavior"), steps[0].get("invert")) == ({"Regex": _SPLIT}, "Removed", True)
+        and (steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == (False, False)
+        and (model.get("type"), model.get("end_of_word_suffix"), model.get("dropout")) == ("BPE", _WORD_END, None)
+        and not any(c.isspace() for t in spec.get("added_tokens") or [] for c in t["content"])
+    )
+
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
-    Valid for tokenizers whose pre-tokenizer drops the six ASCII white-space characters, never joins text across them, parts letters
-    from what follows, and lower-cases. Then a text's ids are those of its words, and those of a word of Latin letters with
-    ASCII punctuation behind it are those of the letters and of the punctuation.
+    Where the tokenizer's file allows it (:func:`splits_at_spaces`), a text's ids are those of its words, and those of a word of Latin
+    letters with ASCII punctuation behind it are those of the letters and of the punctuation. With any other file whole
+    texts are encoded. Words are remembered in two generations of ``limit`` words, so that rare ones are forgotten.
     """
 
-    def __init__(self, source: str, limit: int = 900_000):
+    def __init__(self, source: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_str(source), limit
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.by_words = splits_at_spaces(json.loads(source))
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
+        self.end = np.array([END_ID], dtype=self.kind).tobytes()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     @staticmethod
     def cut(word: bytes) -> tuple[bytes, bytes]:
@@ -133,27 +163,56 @@ class Encoder:
             return core, word[len(core) :]
         return word, b""
 
-    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(parts, found, strict=True)}
+    def _each(self, parts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+
+    def _joined(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of letters or punctuation alone, encoded as one text and parted behind each token that ends a word."""
+        if not parts:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(parts).decode()], add_special_tokens=False)[0].ids, dtype=self.kind)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts) or ends[-1] != len(ids):
+            return self._each(parts)
+        raw, at = ids.tobytes(), (ends * ids.itemsize).tolist()
+        return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        """Remember ``fresh`` words."""
+        young, old = self.young, self.old
+        cuts, odd, even = {}, [], set()
+        for word in fresh:
+            core, tail = self.cut(word)
+            if core is word:
+                odd.append(word)
+                continue
+            cuts[word] = core, tail
+            for part in (core, tail) if tail else (core,):
+                if part not in young:
+                    if part in old:
+                        young[part] = old[part]
+                    else:
+                        even.add(part)
+        plain = list(even)
+        young.update(zip(plain, self._joined(plain), strict=True))
+        young.update(zip(odd, self._each(odd), strict=True))
+        for word, (core, tail) in cuts.items():
+            young[word] = young[core] + young[tail] if tail else young[core]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every UTF-8 text, END_ID appended."""
+        """Ids of every UTF-8 text as little-endian integers of type ``kind``, END_ID appended."""
+        if not self.by_words:
+            return [ids + self.end for ids in self._each([t or b"" for t in texts])]
         split = [t.split() if t else [] for t in texts]
-        # What doesn't fit the memory any more serves these texts alone.
-        fresh = {w: self.cut(w) for w in set().union(*split) if w not in self.known} if split else {}
-        new = self._encode([p for p in {p for cut in fresh.values() for p in cut} if p and p not in self.parts])
-        here = {w: b"".join((new[p] if p in new else self.parts[p]) if p else b"" for p in cut) for w, cut in fresh.items()}
-        if len(self.parts) < self.limit:
-            self.parts |= new
-        if len(self.known) < self.limit:
-            self.known.update(here)
-            here = {}
-        end = np.array([END_ID], dtype="<u4").tobytes()
-        if not here:
-            return [b"".join(map(self.known.__getitem__, words)) + end for words in split]
-        get = self.known.get
-        return [b"".join([x if (x := get(w)) is not None else here[w] for w in words]) + end for words in split]
+        fresh = set().union(*split).difference(self.young)
+        for word in [w for w in fresh if w in self.old]:
+            self.young[word] = self.old[word]
+        self._learn(fresh.difference(self.young))
+        out = [b"".join(map(self.young.__getitem__, words)) + self.end for words in split]
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        return out
 
 
 def _encoder(shared) -> Encoder:
@@ -178,62 +237,39 @@ class _Shared:
         return self.broadcast.value
 
 
-_RAW = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
-_RAW_SQL = "part int, block bigint, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, ids binary"
+#: A row per document; the last row of every task holds the counts of its ids instead.
+_IDS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("ids", pa.binary()), ("symbols", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+_IDS_SQL = "doc_id bigint, row bigint, ids binary, symbols array<bigint>, counts array<bigint>"
 
 
-def _blocks(shared):
+def _tokenize(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
+        narrow = encoder.kind == "<u2"
 
         def rows():
-            part, block, start = None, 0, 0
-            docs, lengths, parts, held = [], [], [], 0
+            total = np.zeros(len(encoder.last), dtype=np.int64)
             for batch in batches:
                 for a in range(0, batch.num_rows, 256):
                     piece = batch.slice(a, 256)
-                    ids = encoder.encode(piece.column(piece.schema.get_field_index("text")).to_pylist())
-                    for part, doc_id, x in zip(piece.column(piece.schema.get_field_index("part")).to_pylist(), piece.column(piece.schema.get_field_index("doc_id")).to_pylist(), ids, strict=True):  # noqa: B007
-                        docs.append(doc_id)
-                        lengths.append(len(x) // 4)
-                        parts.append(x)
-                        held += len(x) // 4
-                        if held >= BLOCK_IDS:
-                            yield part, block, start, held, docs, lengths, _narrow(b"".join(parts))
-                            block, start = block + 1, start + held
-                            docs, lengths, parts, held = [], [], [], 0
-            if docs:
-                yield part, block, start, held, docs, lengths, _narrow(b"".join(parts))
+                    doc_ids, numbers, texts = (piece.column(piece.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "row", "text"))
+                    found = encoder.encode(texts)
+                    total += np.bincount(np.frombuffer(b"".join(found), dtype=encoder.kind), minlength=len(total))
+                    for doc_id, number, ids in zip(doc_ids, numbers, found, strict=True):
+                        yield doc_id, number, (b"\x02" if narrow else b"\x04") + ids, None, None
+            at = np.flatnonzero(total)
+            yield None, None, None, at, total[at]
 
-        yield from batches_of(rows(), _RAW, size=8)
+        yield from batches_of(rows(), _IDS)
 
     return run
 
 
-def _narrow(ids: bytes) -> bytes:
-    """16-bit ids behind a byte 2, or 32-bit ids behind a byte 4."""
-    x = np.frombuffer(ids, dtype="<u4")
-    return b"\x02" + x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\x04" + ids
-
-
 def _wide(ids: bytes) -> np.ndarray:
+    """Ids of 16 bits behind a byte 2, or of 32 bits behind a byte 4."""
     return np.frombuffer(ids, dtype="<u2" if ids[0] == 2 else "<u4", offset=1).astype(np.uint32)
 
 
-_COUNTS = pa.schema([("symbol", pa.int64()), ("n", pa.int64())])
-
-
-def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, dtype=np.int64)
-    for (ids,) in rows_of(batches, "ids"):
-        n = np.bincount(_wide(ids))
-        if len(n) > len(total):
-            total = np.pad(total, (0, len(n) - len(total)))
-        total[: len(n)] += n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], schema=_COUNTS)
-
-
 _FILE = pa.schema(
     [("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]
     + [("words", pa.binary()), ("states", pa.binary()), ("mark_rows", pa.list_(pa.int64())), ("mark_words", pa.list_(pa.int64())), ("mark_states", pa.list_(pa.binary())), ("words_crc32", pa.int64()), ("ids_crc32", pa.int64())]
@@ -245,11 +281,24 @@ def _encode_blocks(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(*shared.value)
 
+        def packed(part, block, start, docs, parts):
+            ids = np.concatenate(parts)
+            e = encode(ids, table)
+            return part, block, start, len(ids), docs, [len(p) for p in parts], e["words"], e["states"], e["mark_rows"], e["mark_words"], e["mark_states"], zlib.crc32(e["words"]), zlib.crc32(ids.astype("<u4").tobytes())
+
         def rows():
-            for part, block, start, n, docs, lengths, raw in rows_of(batches, "part", "block", "start", "n_ids", "doc_ids", "lengths", "ids"):
-                ids = _wide(raw)
-                e = encode(ids, table)
-                yield part, block, start, n, docs, lengths, e["words"], e["states"], e["mark_rows"], e["mark_words"], e["mark_states"], zlib.crc32(e["words"]), zlib.crc32(ids.astype("<u4").tobytes())
+            part, block, start, held = None, 0, 0, 0
+            docs, parts = [], []
+            for part, doc_id, raw in rows_of(batches, "part", "doc_id", "ids"):  # noqa: B007
+                docs.append(doc_id)
+                parts.append(_wide(raw))
+                held += len(parts[-1])
+                if held >= BLOCK_IDS:
+                    yield packed(part, block, start, docs, parts)
+                    block, start, held = block + 1, start + held, 0
+                    docs, parts = [], []
+            if docs:
+                yield packed(part, block, start, docs, parts)
 
         yield from batches_of(rows(), _FILE, size=8)
 
@@ -257,37 +306,53 @@ def _encode_blocks(shared):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write all documents to the token file ``path``, in ascending order of ``id_col`` (null first; ties by text)."""
+    """Write all documents to the token file ``path``, in ascending order of ``id_col`` (null first; ties by a hash of the ids).
+
+    Texts are tokenized where they are read, and ids are counted there; ids alone are shuffled, to ranges whose number follows their amount.
+    """
     spark = docs.sparkSession
-    n = shuffle_partitions(spark)
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    raw = materialize(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_blocks(_Shared(spark, tokenizer_json)), _RAW_SQL), "token-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("binary").alias("text"))
+    raw = materialize(texts.mapInArrow(_tokenize(_Shared(spark, tokenizer_json)), _IDS_SQL), "token-ids")
     # One row per id of the vocabulary.
-    counts = raw.select("ids").mapInArrow(_count, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
+    counts = raw.where("symbols is not null").select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy(F.col("x.symbols").alias("symbol")).agg(F.sum("x.counts").alias("n")).toPandas()
     table = Table.of_counts(counts["symbol"].to_numpy(dtype=np.int64), counts["n"].to_numpy(dtype=np.int64))
     checksum = zlib.crc32(table.symbols.tobytes() + table.freqs.tobytes())
     spark.createDataFrame([(VERSION, SCALE_BITS, LANES, CHECKPOINT_ROWS, table.symbols.tolist(), table.freqs.tolist(), checksum)], "version int, scale_bits int, lanes int, checkpoint_rows int, symbols array<bigint>, freqs array<bigint>, crc32 bigint").coalesce(1).write.parquet(f"{path}/tables")
-    # Ids before each range of documents: one row per partition.
-    from pyspark.sql import Window as W
-
-    before = raw.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
-    placed = raw.join(before, "part").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    ranges = max(shuffle_partitions(spark), -(-int(counts["n"].sum()) // RANGE_IDS))
+    # Rows that share a doc_id can be parted too: by a hash of their ids, then by their number.
+    keyed = raw.where("ids is not null").select("doc_id", F.xxhash64("ids").alias("tie"), "row", "ids")
+    ordered = keyed.repartitionByRange(ranges, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row")
     shared = spark.sparkContext.broadcast((table.symbols, table.freqs))
-    placed.mapInArrow(_encode_blocks(shared), _FILE_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
+    blocks = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "ids").mapInArrow(_encode_blocks(shared), _FILE_SQL)
+    blocks.write.option("compression", "none").parquet(f"{path}/blocks")
+    # Ids before each range of documents: one row per range.
+    sums = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
+    sums.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before")).coalesce(1).write.parquet(f"{path}/ranges")
     release(raw)
 
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
-def _decode_blocks(shared):
+def _decode_blocks(shared, wanted: frozenset[int] | None = None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(*shared.value)
 
         def rows():
-            for start, n, docs, lengths, words, states, words_crc, ids_crc in rows_of(batches, "start", "n_ids", "doc_ids", "lengths", "words", "states", "words_crc32", "ids_crc32"):
+            columns = ("start", "n_ids", "doc_ids", "lengths", "words", "states", "mark_rows", "mark_words", "mark_states", "words_crc32", "ids_crc32")
+            for start, n, docs, lengths, words, states, mark_rows, mark_words, mark_states, words_crc, ids_crc in rows_of(batches, *columns):
                 if zlib.crc32(words) != words_crc:
                     raise ValueError(f"the block at id {start} is damaged")
+                if wanted is not None:
+                    marks, at = [(0, 0, states), *zip(mark_rows, mark_words, mark_states, strict=True)], 0
+                    for doc_id, length in zip(docs, lengths, strict=True):
+                        if doc_id in wanted:
+                            # From the last checkpoint at or before the document's first id.
+                            row, word, state = marks[bisect_right(mark_rows, at // LANES)]
+                            ids = decode(n, words, state, table, row, word, -(-(at + length) // LANES))[at - row * LANES :][:length]
+                            yield doc_id, start + at, length, ids.astype("<u4").tobytes()
+                        at += length
+                    continue
                 ids = decode(n, words, states, table).astype("<u4").tobytes()
                 if zlib.crc32(ids) != ids_crc:
                     raise ValueError(f"the block at id {start} was decoded to other ids")
@@ -301,20 +366,28 @@ def _decode_blocks(shared):
     return run
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document of a token file, checked against its checksums."""
+def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
+    """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document of a token file, checked against its checksums.
+
+    With ``doc_ids``, of those documents alone, each decoded from the checkpoint before it.
+    """
     t = spark.read.parquet(f"{path}/tables").first()
     symbols, freqs = np.array(t["symbols"], dtype=np.int64), np.array(t["freqs"], dtype=np.int64)
     if t["version"] != VERSION or t["lanes"] != LANES or t["scale_bits"] != SCALE_BITS or zlib.crc32(symbols.tobytes() + freqs.tobytes()) != t["crc32"]:
         raise ValueError(f"{path} has another version or a damaged table")
     shared = spark.sparkContext.broadcast((symbols, freqs))
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(_decode_blocks(shared), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    blocks = spark.read.parquet(f"{path}/blocks").join(spark.read.parquet(f"{path}/ranges"), "part").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    if doc_ids is not None:
+        blocks = blocks.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(i).cast("long") for i in doc_ids])))
+    return blocks.mapInArrow(_decode_blocks(shared, None if doc_ids is None else frozenset(doc_ids)), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def report(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write ``docs`` as a token file, read it back, and return doc_id, start, n_tokens, ids_crc32 of every document.
 
-    Null text counts as empty, so it has the end id alone. Rows that share a doc_id are written each for itself.
+    Null text counts as empty, so it has the end id alone. Rows that share a doc_id, repeated rows too, are written each for
+    itself; a null doc_id comes first. A very long text makes a block of its own. Other columns are ignored, whatever their
+    names. No rows: an empty file and no rows.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "tokens")

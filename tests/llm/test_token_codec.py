@@ -34,7 +34,7 @@ def test_round_trip_and_checkpoints(n):
 def test_encoder_agrees_with_whole_texts(texts):
     t = tokenizer()
     got = C.Encoder(t.to_str()).encode([x.encode() for x in texts])
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    assert [np.frombuffer(x, dtype="<u2").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
 
 
 @settings(max_examples=150, deadline=None)
@@ -44,18 +44,41 @@ def test_encoder_on_tricky_letters(texts):
     e = C.Encoder(t.to_str(), limit=3)
     for _ in range(2):
         got = e.encode([x.encode() for x in texts])
-        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+        assert [np.frombuffer(x, dtype="<u2").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
 
 
 @pytest.mark.parametrize("text", ["<|endoftext|> and<|startoftext|>x", "é é é ́x", "a b c\x1cd\x85e", "don't I'll 12.5 ... ÀΣ", None])
 def test_encoder_on_odd_texts(text):
     t = tokenizer()
-    got = np.frombuffer(C.Encoder(t.to_str()).encode([text and text.encode()])[0], dtype="<u4").tolist()
+    got = np.frombuffer(C.Encoder(t.to_str()).encode([text and text.encode()])[0], dtype="<u2").tolist()
     assert got == t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
-def test_report(docs, rows, monkeypatch):
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    e = C.Encoder(t.to_str())
+    assert not e.by_words and C.Encoder(tokenizer().to_str()).by_words
+    text = "Two  words,\n and a third"
+    assert np.frombuffer(e.encode([text.encode()])[0], dtype=e.kind).tolist() == t.encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_some_documents_from_checkpoints(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "CHECKPOINT_ROWS", 2)
+    texts = [(i, " ".join(str((i * 7919 + j) % 1000) for j in range(900))) for i in range(60)]
+    path = str(tmp_path / "tokens")
+    with open(P.path("word_bpe_49k.json")) as f:
+        C.write_tokens(spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1), path, f.read())
+    every = {r.doc_id: tuple(r) for r in C.read_tokens(spark, path).collect()}
+    some = {r.doc_id: tuple(r) for r in C.read_tokens(spark, path, [3, 31, 59, 1000]).collect()}
+    assert set(some) == {3, 31, 59} and all(every[i] == r for i, r in some.items())
+
+
+@pytest.mark.parametrize("range_ids", [32 << 20, 2000])
+def test_report(docs, rows, monkeypatch, range_ids):
     monkeypatch.setattr(C, "BLOCK_IDS", 3000)
+    monkeypatch.setattr(C, "RANGE_IDS", range_ids)
     t, start, want = tokenizer(), 0, []
     for doc_id, text, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = t.encode(text or "", add_special_tokens=False).ids + [1]
@@ -73,7 +96,8 @@ def test_damage_is_noticed(spark, tmp_path):
     blocks = spark.read.parquet(f"{path}/blocks").toPandas()
     blocks.at[0, "words_crc32"] = 1
     spark.createDataFrame(blocks, spark.read.parquet(f"{path}/blocks").schema).write.parquet(str(tmp_path / "bad/blocks"))
-    spark.read.parquet(f"{path}/tables").write.parquet(str(tmp_path / "bad/tables"))
+    for part in ("tables", "ranges"):
+        spark.read.parquet(f"{path}/{part}").write.parquet(str(tmp_path / "bad" / part))
     assert C.read_tokens(spark, path).count() == 1
     with pytest.raises(Exception, match="damaged"):
         C.read_tokens(spark, str(tmp_path / "bad")).collect()
