@@ -124,13 +124,16 @@ def _op1_sql() -> str:
     rows = ", ".join(f"({i}, '{label}', {str(base).lower()}, '{phrase}')" for i, (phrase, label, base) in enumerate([(p, x, True) for p, x in license_scan.BASE_PHRASES.items()] + [(p, x, False) for p, x in license_scan.NOTICES.items()]))
     return f"""with d as (select doc_id, {_ALNUM} as w from documents),
 t as (select template, label, base, string_split(phrase, ' ') as w from (values {rows}) v(template, label, base, phrase)),
-tp as (select template, label, base, len(w) - 1 as n_pairs, p - 1 as t_pos, w[p] || ' ' || w[p + 1] as gram from (select *, unnest(range(1, len(w))) as p from t)),
-g as (select doc_id, p - 1 as pos, w[p] || ' ' || w[p + 1] as gram from (select doc_id, w, unnest(range(1, len(w))) as p from d where len(w) > 1)),
-v as (select doc_id, template, label, base, n_pairs, pos - t_pos as diagonal, count(distinct t_pos) as votes from g join tp on g.gram = tp.gram group by all),
-o as (select *, case when base or diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= {license_scan.MAX_SHIFT} is not true then 1 else 0 end as begins from v),
-n as (select *, sum(begins) over (partition by doc_id, template order by diagonal) as span from o),
-x as (select doc_id, template, label, base, min(diagonal) as first, sum(votes) as hits, n_pairs from n group by doc_id, template, label, base, n_pairs, span),
-k as (select doc_id, label, base, greatest(first, 0) as start, least(1e0, hits / n_pairs) as cover from x where case when base then hits = n_pairs else hits / n_pairs >= {license_scan.MIN_COVER} end)
+tp as (select template, label, base, len(w) as length, p - 1 as t_pos, w[p] as a, w[p + 1] as b from (select *, unnest(range(1, len(w))) as p from t)),
+g as (select doc_id, p - 1 as pos, w[p] as a, w[p + 1] as b from (select doc_id, w, unnest(range(1, len(w))) as p from d where len(w) > 1)),
+h as (select doc_id, template, label, base, length, t_pos, pos from g join tp on g.a = tp.a and g.b = tp.b),
+n as (select *, unnest(case when base then [pos - t_pos] else range(pos - t_pos - {license_scan.MAX_SHIFT}, pos - t_pos + 1) end) as anchor from h),
+c as (select doc_id, template, label, base, length, anchor, min(pos) as first, count(distinct word) as covered from (select *, unnest([t_pos, t_pos + 1]) as word from n) group by all),
+f as (select * from c where case when base then covered = length else 100 * covered >= {round(100 * license_scan.MIN_COVER)} * length end),
+o as (select *, case when base or (anchor - lag(anchor) over (partition by doc_id, template order by anchor) <= {license_scan.MAX_SHIFT}) is not true then 1 else 0 end as begins from f),
+q as (select *, sum(begins) over (partition by doc_id, template order by anchor) as place from o),
+r as (select doc_id, template, label, base, covered, first as start, length, row_number() over (partition by doc_id, template, place order by covered desc, anchor) as nth from q),
+k as (select doc_id, label, base, start, covered / length as cover from (select *, max(case when not base then covered end) over (partition by doc_id, start) as most from r where nth = 1) where base or covered = most)
 select d.doc_id, cast(len(any_value(d.w)) as bigint) as n_words, count(case when base then 1 end) as n_base, cast(min(case when base then start end) as bigint) as first_word, cast(max(case when base then start end) as bigint) as last_word,
   coalesce(array_to_string(list_sort(list(distinct case when base then label end) filter (where base)), ','), '') as base_labels, coalesce(array_to_string(list_sort(list(distinct label) filter (where label is not null)), ','), '') as labels,
   coalesce(max(cover), 0e0) as score from d left join k on d.doc_id = k.doc_id group by d.doc_id"""
