@@ -1,13 +1,16 @@
-"""Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity scores from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of labelled rows. Their vectors hold all their words, and beginnings of words that tell the classes
 apart. Weights are 1 + log(count) times the inverse document frequency over all documents (a word in no example counts in
 the length of a vector as if one document held it), times a factor for terms that are much more frequent in toxic examples than
-in others; support is counted once per group of look-alike examples, so that copies don't vote for their own words. The
-cosines to all examples are summed for a batch of texts at once, frequent terms by a matrix product and the others from inverted lists,
-and whatever may be among the k nearest is summed again from its whole vector. Votes weighted by distance (and one by the rate of
-all examples) give the raw score, which an isotonic fit on the examples themselves, each left out of its own vote, turns into a
-calibrated one. The neighbours are returned as evidence.
+in others; support is counted once per group of look-alike examples, so that copies don't vote for their own words.
+
+Examples lie in blocks, those with the same heaviest words side by side. The index holds, for each term and block, the largest weight
+and the postings (as a matrix where a term is frequent). The products of a text's weights with a block's largest ones bound
+every cosine in it. The blocks of highest bounds are scored first; after that only blocks whose bound reaches the k-th best
+cosine so far, and what may be among the k nearest is summed again from its whole vector, so the result is exact. Votes
+weighted by distance (and one by the rate of all examples) give the raw score. An isotonic fit on examples that did not
+choose the terms, each left out of its own vote, turns it into a calibrated one. The neighbours are returned as evidence.
 """
 
 from __future__ import annotations
@@ -27,7 +30,11 @@ from .quality import held_out
 
 #: Labelled rows that serve as examples, at most: those with the smallest hashes of their doc_id.
 SAMPLE_ROWS = 20_000
-NEIGHBOURS, BATCH = 15, 64
+NEIGHBOURS, BATCH = 15, 128
+#: Examples of a block, and blocks of a text that are scored before any is ruled out.
+BLOCK, PROBED = 128, 2
+#: One in so many examples calibrates instead of choosing terms.
+CALIBRATES = 4
 #: Share of the examples beyond which a term is frequent.
 FREQUENT = 0.05
 #: Terms that get a factor: least look-alike groups, least ratio of the rates, least z score.
@@ -56,33 +63,41 @@ def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches_of(rows(), _SEEN, size=20_000)
 
 
-class TermMemory(dict):
-    """The vocabulary's terms of each word, remembered up to a bounded number of words."""
+class Terms:
+    """Looks up the terms of the vocabulary in whole texts."""
 
-    def __init__(self, vocabulary: dict[bytes, int], limit: int = 300_000):
-        super().__init__()
-        self.vocabulary, self.limit = vocabulary, limit
+    def __init__(self, vocabulary: dict[bytes, int]):
+        self.vocabulary = vocabulary
+        stems = [t.removeprefix(MARK) for t in vocabulary if t.startswith(MARK)]
+        self.heads = {t[: min(BEGINNINGS)] for t in stems}
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        found = tuple(i for t in terms_of(word) if (i := self.vocabulary.get(t)) is not None)
-        if len(self) < self.limit:
-            self[word] = found
-        return found
-
-    def of(self, text: str | None) -> list[int]:
-        return [i for found in filter(None, map(self.__getitem__, alnum_words(text))) for i in found]
+    def counts(self, text: str | None) -> tuple[dict[int, int], list[int]]:
+        """How often each term of the vocabulary stands in the text, and how often each other word."""
+        known: dict[int, int] = {}
+        others: list[int] = []
+        get, heads, n = self.vocabulary.get, self.heads, min(BEGINNINGS)
+        for word, times in Counter(alnum_words(text)).items():
+            if (i := get(word)) is not None:
+                known[i] = times
+            else:
+                others.append(times)
+            if word[:n] in heads:
+                for term in terms_of(word)[1:]:
+                    if (i := get(term)) is not None:
+                        known[i] = known.get(i, 0) + times
+        return known, others
 
 
 def _frequencies(shared):
     """How many texts hold each term, and how many texts there are (-1)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, memory = np.zeros(len(shared.value), dtype=np.int64), 0, TermMemory(shared.value)
+        n, total, terms = np.zeros(len(shared.value), dtype=np.int64), 0, Terms(shared.value)
         for (text,) in rows_of(batches, "text"):
             total += 1
-            at = memory.of(text)
+            at = list(terms.counts(text)[0])
             if at:
-                n[np.unique(at)] += 1
+                n[at] += 1
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([total, *n[some].tolist()], pa.int64())], names=["term", "n"])
 
@@ -133,28 +148,36 @@ class ExampleIndex:
         self.k, self.vocabulary, self.idf, self.rare = k, vocabulary, idf, rare
         self.ids = self.labels = np.zeros(0, dtype=np.int64)
         self.base, self.knots, self.levels = 0.0, np.zeros(0), np.zeros(0)
-        self.memory = self.lists = None
+        self.known = self.postings = None
+        self.scored = 0
 
     def __getstate__(self):
         # Each worker makes its own lists.
-        return self.__dict__ | {"memory": None, "lists": None}
+        return self.__dict__ | {"known": None, "postings": None, "dense": None, "tops": None, "entries": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of the unit vector of a whole text; nothing if it has no term of the vocabulary."""
-        if self.memory is None:
-            self.memory = TermMemory(self.vocabulary)
-        at = self.memory.of(text)
-        if not at:
+        if self.known is None:
+            self.known = Terms(self.vocabulary)
+        counts, others = self.known.counts(text)
+        if not counts:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        terms, counts = np.unique(np.array(at, dtype=np.int64), return_counts=True)
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        others = Counter(w for w in alnum_words(text) if w not in self.vocabulary)
-        other = (1 + np.log(np.fromiter(others.values(), dtype=np.float64, count=len(others)))) * self.rare
-        return terms, weights / np.sqrt((weights**2).sum() + (other**2).sum())
+        terms = np.fromiter(counts, dtype=np.int64, count=len(counts))
+        weights = (1 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))) * self.idf[terms]
+        other = (1 + np.log(np.array(others, dtype=np.float64))) * self.rare
+        order = np.argsort(terms)
+        return terms[order], (weights / np.sqrt((weights**2).sum() + (other**2).sum()))[order]
 
     def fill(self, examples: Iterable[tuple[int, str | None, int]]) -> ExampleIndex:
         # Single precision, in which the vectors are sent.
-        kept = sorted(((doc_id, label, *(x.astype(t) for x, t in zip(self.vector(text), (np.int32, np.float32), strict=True))) for doc_id, text, label in examples), key=lambda e: (e[0], e[1], e[2].tobytes(), e[3].tobytes()))
+        kept = [(doc_id, label, *(x.astype(t) for x, t in zip(self.vector(text), (np.int32, np.float32), strict=True))) for doc_id, text, label in examples]
+        shared = np.bincount(np.concatenate([np.zeros(0, dtype=np.int32), *(e[2] for e in kept)]), minlength=len(self.idf)) > 1
+
+        def place(e):
+            terms, weights = e[2][shared[e[2]]], e[3][shared[e[2]]]
+            return tuple(terms[np.argsort(-weights, kind="stable")[:3]].tolist()), e[0], e[1], e[2].tobytes(), e[3].tobytes()
+
+        kept.sort(key=place)
         self.ids, self.labels = np.array([e[0] for e in kept], dtype=np.int64), np.array([e[1] for e in kept], dtype=np.int64)
         self.base = float(self.labels.mean()) if len(kept) else 0.0
         self.sizes = np.array([len(e[2]) for e in kept], dtype=np.int64)
@@ -164,58 +187,97 @@ class ExampleIndex:
         return self
 
     def _lists(self) -> None:
+        """Per block a matrix of the frequent terms and its largest values; per other term and block the largest weight and the postings."""
         held = np.bincount(self.terms, minlength=len(self.idf))
         example = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
         frequent = np.flatnonzero(held > FREQUENT * len(self.ids))
+        blocks = -(-len(self.ids) // BLOCK)
         self.row = np.full(len(self.idf), -1, dtype=np.int32)
         self.row[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), len(self.ids)), dtype=np.float32)
+        self.dense = np.zeros((blocks, len(frequent), BLOCK), dtype=np.float32)
         row = self.row[self.terms]
-        self.dense[row[row >= 0], example[row >= 0]] = self.weights[row >= 0]
-        rest = np.flatnonzero(row < 0)
-        rest = rest[np.argsort(self.terms[rest], kind="stable")]
-        self.held = np.where(self.row < 0, held, 0)
-        self.first = np.cumsum(self.held) - self.held
-        self.lists = example[rest], self.weights[rest]
+        often = row >= 0
+        self.dense[example[often] // BLOCK, row[often], example[often] % BLOCK] = self.weights[often]
+        self.tops = np.ascontiguousarray(self.dense.max(axis=2).T)
+        rest = np.flatnonzero(~often)
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]  # by term, then by example
+        terms, examples, weights = self.terms[rest], example[rest], self.weights[rest]
+        new = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (examples[1:] // BLOCK != examples[:-1] // BLOCK)])) if len(rest) else np.zeros(0, dtype=np.int64)
+        self.entries = examples[new] // BLOCK, np.maximum.reduceat(weights, new) if len(new) else weights, new, np.diff(np.append(new, len(rest)))
+        self.first = np.searchsorted(terms[new], np.arange(len(self.idf) + 1))
+        self.postings = examples, weights
         self.whole = np.zeros(len(self.idf))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine over 0 and these cosines; ties go to the earlier in the index."""
+        """The k examples of largest cosine over 0 and these cosines; ties go to the smaller id."""
         return self.nearest_of([(terms, weights)], [leave])[0]
 
+    def _add_postings(self, sums: np.ndarray, at: np.ndarray, weights: np.ndarray) -> None:
+        """Add to ``sums`` the products of the postings of entries ``at``."""
+        _, _, begin, n = self.entries
+        n, begin = n[at], begin[at]
+        of = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        sums += np.bincount(self.postings[0][of], np.repeat(weights, n) * self.postings[1][of], minlength=len(sums))[: len(sums)]
+
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The same for each of a batch of vectors; examples with the id to leave don't count."""
-        none = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(self.terms):
-            return [none for _ in vectors]
-        if self.lists is None:
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in vectors]
+        if self.postings is None:
             self._lists()
-        asked = np.zeros((len(vectors), len(self.dense)), dtype=np.float32)
-        for q, (terms, weights) in zip(asked, vectors, strict=True):
+        blocks = len(self.dense)
+        asked = np.zeros((len(vectors), len(self.tops)), dtype=np.float32)
+        bounds, entries = np.zeros((len(vectors), blocks)), []
+        for q, (terms, weights) in enumerate(vectors):
             row = self.row[terms]
-            q[row[row >= 0]] = weights[row >= 0]
-        frequent, found = asked @ self.dense, []
-        for near, (terms, weights), own in zip(frequent, vectors, leave, strict=True):
-            n = self.held[terms]
+            asked[q, row[row >= 0]] = weights[row >= 0]
+            n = self.first[terms + 1] - self.first[terms]
             at = np.repeat(self.first[terms] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            sums = near + np.bincount(self.lists[0][at], np.repeat(weights, n) * self.lists[1][at], minlength=len(near))
-            if own is not None:
-                sums[self.ids == own] = 0
-            least = np.partition(sums, len(sums) - self.k)[len(sums) - self.k] if len(sums) > self.k else 0.0
-            # Far more than the error of single precision.
-            at = np.flatnonzero((sums > 0) & (sums >= least - 1e-4))
-            if not len(at):
-                found.append(none)
-                continue
-            n = self.sizes[at]
-            begin = np.cumsum(n) - n
-            of = np.repeat(self.starts[at] - begin, n) + np.arange(n.sum())
-            self.whole[terms] = weights
-            cosines = np.add.reduceat(self.whole[self.terms[of]] * self.weights[of], begin)
-            self.whole[terms] = 0
-            best = np.lexsort((at, -cosines))[: self.k]
-            found.append((at[best], cosines[best]))
-        return found
+            w = np.repeat(weights, n)
+            bounds[q] = np.bincount(self.entries[0][at], w * self.entries[1][at], minlength=blocks)
+            entries.append((at, w))
+        bounds += asked @ self.tops
+        # Beyond any error of single precision.
+        bounds += 1e-4
+        sums, ready = np.zeros((len(vectors), blocks * BLOCK), dtype=np.float32), np.zeros(blocks, dtype=bool)
+        chosen = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(chosen, np.argsort(-bounds, axis=1)[:, :PROBED], True, axis=1)
+        own = [np.flatnonzero(self.ids == i) if i is not None else None for i in leave]
+        least, done = np.zeros(len(vectors)), np.zeros_like(chosen)
+        for _ in range(2):
+            # One product serves all texts of the batch that ask for a block.
+            for b in np.flatnonzero(chosen.any(axis=0) & ~ready).tolist():
+                sums[:, b * BLOCK : (b + 1) * BLOCK] = asked @ self.dense[b]
+                ready[b] = True
+            for q, (at, w) in enumerate(entries):
+                some = np.flatnonzero(chosen[q][self.entries[0][at]])
+                self._add_postings(sums[q], at[some], w[some])
+                if own[q] is not None:
+                    sums[q, own[q]] = 0
+                if not done[q].any():
+                    scored = sums[q].reshape(blocks, BLOCK)[chosen[q]].ravel()
+                    least[q] = np.partition(scored, -self.k)[-self.k] if len(scored) >= self.k else 0.0
+            done |= chosen
+            # A block left out holds nothing at or above the k-th best so far, nor do the partial sums kept for it.
+            chosen = (bounds >= least[:, None]) & ~done
+        self.scored += int(done.sum())
+        return [self._summed(*v, x, float(low)) for v, x, low in zip(vectors, sums, least, strict=True)]
+
+    def _summed(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The k best, by cosines from the whole vectors of all that may be among them."""
+        at = np.flatnonzero((sums > 0) & (sums >= least - 1e-4))
+        if not len(at):
+            return at, np.zeros(0)
+        if len(at) > self.k:
+            at = at[sums[at] >= np.partition(sums[at], -self.k)[-self.k] - 1e-4]
+        n = self.sizes[at]
+        begin = np.cumsum(n) - n
+        of = np.repeat(self.starts[at] - begin, n) + np.arange(n.sum())
+        self.whole[terms] = weights
+        cosines = np.add.reduceat(self.whole[self.terms[of]] * self.weights[of], begin)
+        self.whole[terms] = 0
+        best = np.lexsort((at, self.ids[at], -cosines))[: self.k]
+        return at[best], cosines[best]
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic votes; the rate of all examples votes once, at cosine 0."""
@@ -251,7 +313,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     # Bounded by sample_rows, so it may be sent to every executor.
     examples = materialize(texts.join(F.broadcast(sample), "_id").select(F.col("_id").cast("long").alias("doc_id"), "text", "label"), "toxicity-examples")
-    factors = telling_terms(examples)
+    calibrates = F.pmod(F.xxhash64("doc_id", F.lit("calibrates")), F.lit(CALIBRATES)) == 0
+    factors = telling_terms(examples.where(~calibrates))
     vocabulary = {t: i for i, t in enumerate(factors)}
     # The words of the examples, so no more of them than the sample is large.
     for (text,) in examples.select("text").toLocalIterator():
@@ -262,7 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weights[: len(factors)] *= np.array(list(factors.values()))
     index = ExampleIndex(vocabulary, weights, rare=np.log((1 + total) / 2) + 1 if total else 0.0)
     index.fill((r["doc_id"], r["text"], r["label"]) for r in examples.toLocalIterator())
-    own = examples.mapInArrow(_raw(docs.sparkSession.sparkContext.broadcast(index)), "raw double, label int").toArrow()
+    own = examples.where(calibrates).mapInArrow(_raw(docs.sparkSession.sparkContext.broadcast(index)), "raw double, label int").toArrow()
     index.knots, index.levels = isotonic(own.column("raw").to_numpy(), own.column("label").to_numpy())
     release(examples)
     return index
@@ -302,7 +365,9 @@ def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, held_out, score, predicted and evidence (ids of the nearest examples) of every document.
 
     Null text is scored as empty. A text without any word of the examples gets the rate of toxic examples (0 without examples). Rows
-    that share a doc_id are scored each for itself. Without labels of both classes no term has a factor.
+    that share a doc_id, repeated rows too, are scored each for itself; as an example each has a vote. Of equal cosines the smaller
+    doc_id is nearer. Very long texts count whole. Without labels of both classes no term has a factor. Other columns are ignored,
+    whatever their names. No rows: no rows.
     """
     index = fit(docs, labels, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(index)

@@ -72,3 +72,28 @@ def test_odd_rows_and_missing_labels(spark, docs, rows, empty):
     got = T.report(docs, none).collect()
     assert len(got) == len(rows) and all(r.score == 0 for r in got)
     assert T.report(empty, none).count() == 0
+
+
+def test_blocks_are_ruled_out_without_loss(monkeypatch):
+    """Two kinds of texts: the blocks of the other kind are left out, ties go to the smaller id, and one's own example does not count."""
+    monkeypatch.setattr(T, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    vocabulary = {f"{c}{i}".encode(): i + 30 * (c == "b") for c in "ab" for i in range(30)}
+    index = T.ExampleIndex(vocabulary, rng.uniform(1, 5, 60), k=5)
+    texts = [" ".join(f"{'ab'[i % 2]}{j}" for j in rng.integers(0, 30, 6)) for i in range(400)]
+    texts[10] = texts[4] = texts[2]
+    index.fill((i, t, 0) for i, t in enumerate(texts))
+    vectors = [index.vector(t) for t in texts[:100]]
+    found = index.nearest_of(vectors, [*range(50), *[None] * 50])
+    place = {i: p for p, i in enumerate(index.ids.tolist())}
+    dense = np.zeros((400, 60))
+    for i, t in enumerate(texts):
+        terms, weights = index.vector(t)
+        dense[i, terms] = weights.astype(np.float32)
+    for q, (at, cosines) in enumerate(found):
+        every = np.round(dense @ np.array([dict(zip(*map(np.ndarray.tolist, vectors[q]), strict=True)).get(t, 0.0) for t in range(60)]), 12)
+        if q < 50:
+            every[q] = 0
+        want = [i for i in np.lexsort((np.arange(400), -every)) if every[i] > 0][:5]
+        assert np.allclose(cosines, every[want]) and [index.ids[p] for p in at] == want, (q, place)
+    assert index.scored < 0.6 * 100 * len(index.dense)
