@@ -71,21 +71,33 @@ class Terms:
         stems = [t.removeprefix(MARK) for t in vocabulary if t.startswith(MARK)]
         self.heads = {t[: min(BEGINNINGS)] for t in stems}
 
-    def counts(self, text: str | None) -> tuple[dict[int, int], list[int]]:
-        """How often each term of the vocabulary stands in the text, and how often each other word."""
-        known: dict[int, int] = {}
-        others: list[int] = []
-        get, heads, n = self.vocabulary.get, self.heads, min(BEGINNINGS)
-        for word, times in Counter(alnum_words(text)).items():
-            if (i := get(word)) is not None:
-                known[i] = times
-            else:
-                others.append(times)
-            if word[:n] in heads:
-                for term in terms_of(word)[1:]:
-                    if (i := get(term)) is not None:
-                        known[i] = known.get(i, 0) + times
-        return known, others
+    def beginnings(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, int]]:
+        """Words with each of their beginnings that is a term."""
+        n, heads, get = min(BEGINNINGS), self.heads, self.vocabulary.get
+        for word in [w for w in words if w[:n] in heads]:
+            for term in terms_of(word)[1:]:
+                if (i := get(term)) is not None:
+                    yield word, i
+
+    def present(self, text: str | None) -> set[int]:
+        """The terms of the vocabulary that stand in the text."""
+        words = set(alnum_words(text))
+        found = set(map(self.vocabulary.get, words))
+        found.discard(None)
+        return found.union(i for _, i in self.beginnings(words))
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The terms of the vocabulary in the text, in ascending order, how often each stands there, and how often each other word."""
+        times = Counter(alnum_words(text))
+        n = np.fromiter(times.values(), dtype=np.int64, count=len(times))
+        terms = np.fromiter(map(self.vocabulary.get, times, itertools.repeat(-1)), dtype=np.int64, count=len(times))
+        more = [(i, times[w]) for w, i in self.beginnings(times)]
+        if more:
+            terms, n = np.append(terms, [i for i, _ in more]), np.append(n, [k for _, k in more])
+        known = terms >= 0
+        others = n[~known]
+        terms, which = np.unique(terms[known], return_inverse=True)
+        return terms, np.bincount(which, n[known], minlength=len(terms)), others
 
 
 def _frequencies(shared):
@@ -95,9 +107,8 @@ def _frequencies(shared):
         n, total, terms = np.zeros(len(shared.value), dtype=np.int64), 0, Terms(shared.value)
         for (text,) in rows_of(batches, "text"):
             total += 1
-            at = list(terms.counts(text)[0])
-            if at:
-                n[at] += 1
+            at = terms.present(text)
+            n[np.fromiter(at, dtype=np.int64, count=len(at))] += 1
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([total, *n[some].tolist()], pa.int64())], names=["term", "n"])
 
@@ -153,20 +164,16 @@ class ExampleIndex:
 
     def __getstate__(self):
         # Each worker makes its own lists.
-        return self.__dict__ | {"known": None, "postings": None, "dense": None, "tops": None, "entries": None}
+        return self.__dict__ | {"known": None, "postings": None, "dense": None, "tops": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of the unit vector of a whole text; nothing if it has no term of the vocabulary."""
         if self.known is None:
             self.known = Terms(self.vocabulary)
-        counts, others = self.known.counts(text)
-        if not counts:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        terms = np.fromiter(counts, dtype=np.int64, count=len(counts))
-        weights = (1 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))) * self.idf[terms]
-        other = (1 + np.log(np.array(others, dtype=np.float64))) * self.rare
-        order = np.argsort(terms)
-        return terms[order], (weights / np.sqrt((weights**2).sum() + (other**2).sum()))[order]
+        terms, counts, others = self.known.counts(text)
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        other = (1 + np.log(others)) * self.rare
+        return terms, weights / np.sqrt((weights**2).sum() + (other**2).sum())
 
     def fill(self, examples: Iterable[tuple[int, str | None, int]]) -> ExampleIndex:
         # Single precision, in which the vectors are sent.
@@ -187,38 +194,28 @@ class ExampleIndex:
         return self
 
     def _lists(self) -> None:
-        """Per block a matrix of the frequent terms and its largest values; per other term and block the largest weight and the postings."""
+        """Short lists as postings; long ones as a matrix per block, with the largest value of each term in each block."""
         held = np.bincount(self.terms, minlength=len(self.idf))
         example = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
         frequent = np.flatnonzero(held > FREQUENT * len(self.ids))
-        blocks = -(-len(self.ids) // BLOCK)
         self.row = np.full(len(self.idf), -1, dtype=np.int32)
         self.row[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((blocks, len(frequent), BLOCK), dtype=np.float32)
+        self.dense = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK), dtype=np.float32)
         row = self.row[self.terms]
         often = row >= 0
         self.dense[example[often] // BLOCK, row[often], example[often] % BLOCK] = self.weights[often]
         self.tops = np.ascontiguousarray(self.dense.max(axis=2).T)
         rest = np.flatnonzero(~often)
-        rest = rest[np.argsort(self.terms[rest], kind="stable")]  # by term, then by example
-        terms, examples, weights = self.terms[rest], example[rest], self.weights[rest]
-        new = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (examples[1:] // BLOCK != examples[:-1] // BLOCK)])) if len(rest) else np.zeros(0, dtype=np.int64)
-        self.entries = examples[new] // BLOCK, np.maximum.reduceat(weights, new) if len(new) else weights, new, np.diff(np.append(new, len(rest)))
-        self.first = np.searchsorted(terms[new], np.arange(len(self.idf) + 1))
-        self.postings = examples, weights
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        self.held = np.where(self.row < 0, held, 0)
+        self.first = np.cumsum(self.held) - self.held
+        self.postings = example[rest], self.weights[rest]
         self.whole = np.zeros(len(self.idf))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0 and these cosines; ties go to the smaller id."""
         return self.nearest_of([(terms, weights)], [leave])[0]
 
-    def _add_postings(self, sums: np.ndarray, at: np.ndarray, weights: np.ndarray) -> None:
-        """Add to ``sums`` the products of the postings of entries ``at``."""
-        _, _, begin, n = self.entries
-        n, begin = n[at], begin[at]
-        of = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        sums += np.bincount(self.postings[0][of], np.repeat(weights, n) * self.postings[1][of], minlength=len(sums))[: len(sums)]
-
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave: list[int | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The same for each of a batch of vectors; examples with the id to leave don't count."""
         if not len(self.terms):
@@ -227,38 +224,32 @@ class ExampleIndex:
             self._lists()
         blocks = len(self.dense)
         asked = np.zeros((len(vectors), len(self.tops)), dtype=np.float32)
-        bounds, entries = np.zeros((len(vectors), blocks)), []
+        sums = np.zeros((len(vectors), blocks * BLOCK), dtype=np.float32)
         for q, (terms, weights) in enumerate(vectors):
             row = self.row[terms]
             asked[q, row[row >= 0]] = weights[row >= 0]
-            n = self.first[terms + 1] - self.first[terms]
-            at = np.repeat(self.first[terms] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            w = np.repeat(weights, n)
-            bounds[q] = np.bincount(self.entries[0][at], w * self.entries[1][at], minlength=blocks)
-            entries.append((at, w))
-        bounds += asked @ self.tops
-        # Beyond any error of single precision.
-        bounds += 1e-4
-        sums, ready = np.zeros((len(vectors), blocks * BLOCK), dtype=np.float32), np.zeros(blocks, dtype=bool)
-        chosen = np.zeros(bounds.shape, dtype=bool)
-        np.put_along_axis(chosen, np.argsort(-bounds, axis=1)[:, :PROBED], True, axis=1)
-        own = [np.flatnonzero(self.ids == i) if i is not None else None for i in leave]
-        least, done = np.zeros(len(vectors)), np.zeros_like(chosen)
-        for _ in range(2):
+            n = self.held[terms]
+            of = np.repeat(self.first[terms] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            sums[q] = np.bincount(self.postings[0][of], np.repeat(weights.astype(np.float32), n) * self.postings[1][of], minlength=sums.shape[1])
+        # What the short lists give, and the most that the long ones can add in a block, with more than any error of single precision.
+        bounds = sums.reshape(len(vectors), blocks, BLOCK).max(axis=2) + asked @ self.tops + 1e-4
+        own = [np.flatnonzero(self.ids == i) if i is not None else [] for i in leave]
+        best = np.argsort(-bounds, axis=1)[:, :PROBED]
+        least, done = np.zeros(len(vectors)), np.zeros(bounds.shape, dtype=bool)
+        chosen = np.zeros_like(done)
+        np.put_along_axis(chosen, best, True, axis=1)
+        for first in (True, False):
             # One product serves all texts of the batch that ask for a block.
-            for b in np.flatnonzero(chosen.any(axis=0) & ~ready).tolist():
-                sums[:, b * BLOCK : (b + 1) * BLOCK] = asked @ self.dense[b]
-                ready[b] = True
-            for q, (at, w) in enumerate(entries):
-                some = np.flatnonzero(chosen[q][self.entries[0][at]])
-                self._add_postings(sums[q], at[some], w[some])
-                if own[q] is not None:
-                    sums[q, own[q]] = 0
-                if not done[q].any():
-                    scored = sums[q].reshape(blocks, BLOCK)[chosen[q]].ravel()
-                    least[q] = np.partition(scored, -self.k)[-self.k] if len(scored) >= self.k else 0.0
+            for b in np.flatnonzero(chosen.any(axis=0)).tolist():
+                some = np.flatnonzero(chosen[:, b])
+                sums[some, b * BLOCK : (b + 1) * BLOCK] += asked[some] @ self.dense[b]
             done |= chosen
-            # A block left out holds nothing at or above the k-th best so far, nor do the partial sums kept for it.
+            for q in range(len(vectors)):
+                sums[q, own[q]] = 0
+                if first:
+                    scored = sums[q].reshape(blocks, BLOCK)[best[q]].ravel()
+                    least[q] = np.partition(scored, -self.k)[-self.k] if len(scored) >= self.k else 0.0
+            # A block left out holds nothing that reaches the k-th best of those scored, nor do its unfinished sums.
             chosen = (bounds >= least[:, None]) & ~done
         self.scored += int(done.sum())
         return [self._summed(*v, x, float(low)) for v, x, low in zip(vectors, sums, least, strict=True)]
