@@ -27,6 +27,24 @@ def test_matches_brute_force(docs, rows, width, chunk, monkeypatch):
     assert got == brute(rows, width)
 
 
+@pytest.mark.parametrize("fan,relayed", [(1, 3), (3, 1000)])
+def test_relays_match_brute_force(docs, rows, fan, relayed, monkeypatch):
+    for name, value in {"CHUNK_BYTES": 20_000, "BUCKET_WINDOWS": 8000, "FAN_BITS": fan, "RELAYED": relayed}.items():
+        monkeypatch.setattr(S, name, value)
+    assert sorted(map(tuple, S.report(docs, 35).collect()), key=str) == brute(rows, 35)
+
+
+def test_windows_that_share_the_first_hash_are_told_apart():
+    one, two = np.array([7, 5, 7, 7, 5], dtype=np.uint64), np.array([1, 2, 3, 1, 2], dtype=np.uint32)
+    a, b, which, times = S.distinct_pairs(one, two)
+    assert a.tolist() == [5, 7, 7] and b.tolist() == [2, 1, 3] and which.tolist() == [1, 0, 2, 1, 0] and times.tolist() == [2, 2, 1]
+    import pyarrow as pa
+
+    sent = [S._messages(0, a[1:2], b[1:2], np.array([False]), 0), S._messages(1, a[1:], b[1:], np.array([False, False]), 0)]
+    back = S._count(pa.concat_tables(sent)).to_pydict()
+    assert [np.unpackbits(np.frombuffer(x, dtype=np.uint8))[:2].tolist() for x in back["repeated"]] == [[1, 0], [1, 0]]
+
+
 def test_intervals_and_kept_words(spark):
     same = " ".join(f"s{i}" for i in range(40))
     df = spark.createDataFrame([(1, f"a {same} b"), (2, f"{same} c  d")], "doc_id bigint, text string")
