@@ -54,6 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone as far as ASCII words can tell; the two letters that ``lower`` turns into ASCII take the exact, slower way."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

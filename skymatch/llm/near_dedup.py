@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches_of, lower_space_words, materialize, mix, release, rows_of, shingles
+from .common import WordHashes, batches_of, free_name, lower_space_words, materialize, mix, release, rows_of, shingles
 from .components import connected_components
 
 BANDS, BAND_ROWS = 32, 4
@@ -36,6 +36,8 @@ MOST_DIFFERENT = 36
 BLOCK, SKETCH = 1024, 512
 #: Ids up to this number (of 8 bytes each) are sent to every executor to pick documents; more are joined by a shuffle of the texts.
 SENT_IDS = 500_000
+#: Parts into which the members of a bucket are dealt where they are joined to what is known of it.
+SALTS = 16
 
 
 def hash_parameters(n: int = MINIMA, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
@@ -183,12 +185,16 @@ class NearDuplicates:
     """Classes, links and components of ``docs``; see the module's text.
 
     ``assigned``: uid, doc_id, n_shingles, component_id (smallest doc_id), component (a uid that names it).
-    A uid stands for a (doc_id, text); repeated rows share it and so a component. Empty documents are linked with nothing.
+    Rows are numbered and kept first, so a uid is a row, repeated rows included. Empty documents are linked with nothing.
     """
 
-    def __init__(self, docs: DataFrame, k: int = 2, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, k: int = 2, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text", uid_col: str | None = None):
+        """``uid_col``, if given, numbers the rows of a kept table."""
         self.k, self.threshold = k, threshold
-        self.docs = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+        uid = F.col(uid_col) if uid_col else F.monotonically_increasing_id()
+        self.docs = docs.select(uid.alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+        if not uid_col:
+            self.docs = materialize(self.docs, "near-documents")
         self.rows = materialize(self.docs.mapInArrow(_sketches(k), _spark_schema(_SKETCH)), "near-sketches")
         full = self.rows.where("n_shingles > 0")
         self.classes = materialize(
@@ -219,19 +225,21 @@ class NearDuplicates:
         return pairs.join(one, "a").join(two, "b").where(fit & (_different(F.col("s1_a"), F.col("s2_a"), F.col("s1_b"), F.col("s2_b")) <= MOST_DIFFERENT)).select("a", "b")
 
     def _linked(self) -> DataFrame:
-        keyed = self.classes.select("node", F.explode("keys").alias("key"))
+        keyed = self.classes.select("node", F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt"), F.explode("keys").alias("key"))
+        # One bucket may hold a large share of all classes, so the few rows about it are copied and its members are parted.
+        salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         pivots = materialize(keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "near-pivots")
-        members = materialize(keyed.join(pivots, "key"), "near-members")
+        members = materialize(keyed.join(salted(pivots), ["key", "salt"]), "near-members")
         stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         tested = materialize(self._near(stars), "near-pairs")
         edges = self._verified(tested)
         self.components = materialize(connected_components(edges), "near-components")
         # Others of a bucket than its pivot: they have not been compared with each other yet.
-        others = members.where("n > 2 and node <> pivot").select("key", "node", "n")
+        others = members.where("n > 2 and node <> pivot").select("key", "salt", "node", "n")
         for likely in (True, False):
             named = materialize(others.join(self.components, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-named")
             mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-            left = materialize(named.join(mixed, "key"), "near-left")
+            left = materialize(named.join(salted(mixed), ["key", "salt"]).drop("salt"), "near-left")
             ids = materialize(left.select(F.col("node").alias("uid")).distinct(), "near-ids")
             sketched = self._texts(ids).mapInArrow(_smallest(self.k), "uid bigint, smallest binary").dropDuplicates(["uid"]).withColumnRenamed("uid", "node")
             described = materialize(self.classes.select("node", "n_shingles", "keys", "s1", "s2").join(sketched, "node"), "near-described")
@@ -261,14 +269,23 @@ class NearDuplicates:
 
 
 def report(docs: DataFrame, k: int = 2, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document. A null doc_id is its component's last choice and never kept beside another."""
+    """doc_id, n_shingles, component_id and kept of every document.
+
+    A null doc_id is its component's last choice and never kept beside another. Null and empty texts have no set and a component
+    of their own. Rows that share a doc_id, repeated rows too, are rows of their own, all kept if the doc_id is the least. Very
+    long texts are hashed whole. Other columns are ignored, whatever their names. No rows: no rows.
+    """
     found = NearDuplicates(docs, k, threshold, id_col, text_col).assigned
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one row of each component left: the one with the smallest doc_id (of equal ones, the smallest hash)."""
-    found = NearDuplicates(docs, k, threshold, id_col, text_col).assigned
-    heads = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).getField("uid").alias("__uid")).select("__uid")
-    keyed = docs.withColumn("__uid", F.xxhash64(F.col(id_col), F.col(text_col)))
-    return keyed.join(heads, "__uid", "left_semi").dropDuplicates(["__uid"]).drop("__uid")
+    """The rows of ``docs``, with all their columns, of which each component keeps one: that with the smallest doc_id (null last; of equal ones the first read).
+
+    Null and empty texts are linked with nothing, so each such row stays. No rows: no rows.
+    """
+    uid = free_name(docs, "uid")
+    keyed = materialize(docs.withColumn(uid, F.monotonically_increasing_id()), "near-input")
+    found = NearDuplicates(keyed, k, threshold, id_col, text_col, uid).assigned
+    heads = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).getField("uid").alias(uid)).select(uid)
+    return keyed.join(heads, uid, "left_semi").drop(uid)

@@ -33,8 +33,9 @@ def brute_components(rows, k):
     return [(len(s), least.get(find(i))) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_components_match_all_pairs(docs, rows, k):
+@pytest.mark.parametrize("k,sent", [(2, 500_000), (5, 500_000), (2, 0)])
+def test_components_match_all_pairs(docs, rows, k, sent, monkeypatch):
+    monkeypatch.setattr(N, "SENT_IDS", sent)  # 0: the texts are joined by a shuffle
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.report(docs, k=k).collect()), key=str)
     want = sorted(((r[0], n, c, r[0] == c) for r, (n, c) in zip(rows, brute_components(rows, k), strict=True)), key=str)
     assert got == want
@@ -65,6 +66,13 @@ def test_deduplicate_keeps_one_row_of_each(docs, rows):
     assert sorted(map(str, ids)) == sorted(map(str, linked | alone))
 
 
+def test_repeated_and_empty_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, None), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "7 as __uid", "8 as _uid")
+    out = N.deduplicate(df)
+    assert out.columns == df.columns and sorted((r.doc_id, r.text or "", r["__uid"]) for r in out.collect()) == [(1, "a b c d e f", 7), (3, "", 7), (3, "", 7), (4, "", 7)]
+
+
 def test_long_path_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7)], "u bigint, v bigint")
     got = {r.node: r.component for r in connected_components(edges).collect()}
