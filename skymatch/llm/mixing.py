@@ -2,8 +2,8 @@
 
 Targets are shares of a total by weight, each at most a set multiple of its source (the excess goes to the others by
 weight). Each source's documents are dealt by hash into blocks of about equal words. A target is met by whole passes over the
-source, then by the blocks of one more pass in permuted order, then by single documents of the few next blocks, taken in
-permuted order while they fit, with a few swaps to come closer. A splitting tree then halves the output shards again and again; at each node the
+source, then by the blocks of one more pass in permuted order, then by single documents of the few next blocks (by parts of them
+first, where they hold many documents), taken in permuted order while they fit, with a few swaps to come closer. A splitting tree then halves the output shards again and again; at each node the
 exact block quotas of all sources are split by one multivariate-hypergeometric draw, so that every shard gets a random share
 and the shares add up exactly. Each shard draws its own disjoint run of the permuted blocks and orders its documents by hash.
 """
@@ -15,15 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 TOTAL_SHARE, MOST_PASSES = 1.5, 2.0
-#: Words of a block, about, and most blocks of a source (larger sources get larger blocks).
+#: Words of a block, about, and most blocks of a source, whose order one task decides (larger sources get larger blocks, and their edge is parted further).
 BLOCK_WORDS, MOST_BLOCKS = 20_000, 4096
 #: Blocks behind the last whole one from which single documents fill what is missing.
 EDGE_BLOCKS = 8
+#: Documents of a source that one task fits, about; where the edge blocks hold more, they are parted first.
+EDGE_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -117,13 +119,46 @@ class Mix:
         self.blocks = materialize(block.select("source", "block", "whole", "nth", "in_extra", F.when(edge, F.col("room")).alias("room")), "mixing-blocks")
         b = materialize(self._dealt(), "mixing-dealt")
         marked = placed.join(b.select(F.col("source").alias("s"), F.col("block").alias("k"), "nth", "in_extra", "room", "shards"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")), "left")
-        fitted = marked.where("room > 0").select("source", "uid", "doc_id", "dealt", "size", "nth", "room").groupBy("source").applyInPandas(_fit, "uid long").withColumn("fits", F.lit(1))
+        fitted = self._fitted(marked.where("room > 0 and size > 0").select("source", "uid", "doc_id", "dealt", "size", "nth", "room")).withColumn("fits", F.lit(1))
         passes = F.col("whole") + F.coalesce(F.col("in_extra").cast("int"), F.lit(0)) + F.coalesce("fits", F.lit(0))
         # The passes over a block are numbered from 0; a document of an edge block that did not fit has one less than its block.
         place = lambda shard, i: F.struct(i.alias("pass"), shard.alias("shard"), F.xxhash64(F.lit(seed), F.lit("place"), shard, i, "dealt", "uid").alias("place"))
         drawn = F.transform(F.slice(F.coalesce("shards", F.array().cast("array<int>")), F.lit(1), passes), place)
         self.documents = marked.join(fitted, "uid", "left").select("uid", "doc_id", "source", "size", "source_size", "target", "block", "dealt", passes.alias("passes"), drawn.alias("draws"))
 
+    def _fitted(self, edge: DataFrame) -> DataFrame:
+        """uid of the documents of the edge blocks that fill each source's room.
+
+        An edge of more than EDGE_ROWS documents is dealt into parts, which are taken whole in permuted order while they fit; the few
+        parts behind them are the next, smaller edge, until one task can fit it.
+        """
+        whole, ready, level = [], [], 0
+        while True:
+            rows = edge.groupBy("source").agg(F.count("*").alias("rows")).where(F.col("rows") > EDGE_ROWS)
+            rows = rows.select(F.col("source").alias("s"), F.least(F.ceil(16 * F.col("rows") / EDGE_ROWS), F.lit(MOST_BLOCKS)).alias("parts"))
+            if rows.isEmpty():
+                break
+            level += 1
+            large = edge.join(rows, F.col("source").eqNullSafe(F.col("s")), "left")
+            ready.append(large.where("parts is null").select(*edge.columns))
+            large = large.where("parts is not null").withColumn("part", F.pmod(F.xxhash64(F.lit(self.seed), F.lit(level), "dealt", "uid"), "parts"))
+            order = W.partitionBy("source").orderBy(F.xxhash64(F.lit(self.seed), F.lit(level), "part"), "part")
+            part = large.groupBy("source", "part", "room").agg(F.sum("size").alias("words")).withColumn("place", F.row_number().over(order))
+            part = part.withColumn("fits", F.sum("words").over(order.rowsBetween(W.unboundedPreceding, 0)) <= F.col("room"))
+            source = W.partitionBy("source")
+            part = part.withColumn("n_fit", F.count(F.when(F.col("fits"), 1)).over(source)).withColumn("left", F.col("room") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("words"))).over(source), F.lit(0)))
+            part = part.where(F.col("fits") | ((F.col("left") > 0) & (F.col("place") <= F.col("n_fit") + EDGE_BLOCKS)))
+            part = part.select(F.col("source").alias("t"), F.col("part").alias("u"), "fits", "left", "place")
+            dealt = materialize(large.join(part, F.col("source").eqNullSafe(F.col("t")) & (F.col("part") == F.col("u"))).select("source", "uid", "doc_id", "dealt", "size", "fits", "left", "place"), "mixing-edge")
+            whole.append(dealt.where("fits").select("uid"))
+            edge = dealt.where("not fits").select("source", "uid", "doc_id", "dealt", "size", F.col("place").alias("nth"), F.col("left").alias("room"))
+        for more in ready:
+            edge = edge.unionByName(more)
+        fitted = edge.groupBy("source").applyInPandas(_fit, "uid long")
+        for more in whole:
+            fitted = fitted.unionByName(more)
+        return fitted
+
     def quotas(self) -> DataFrame:
         """(source, shard, low, high): which of a source's drawn blocks, counted over all passes, go to which shard."""
         # One row per source: its number of drawn blocks.
@@ -150,12 +185,16 @@ class Mix:
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents of the mix, a row for each draw, with the columns of ``docs``; rows lie by shard and by place within it."""
-    columns = docs.columns
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "mixing-input")
-    plan = Mix(keyed, seed=seed, id_col="__row", text_col=text_col, source_col=source_col)
-    draws = plan.draws().select(F.col("doc_id").alias("__row"), F.col("shard").alias("__shard"), F.col("place").alias("__place"))
-    return keyed.join(draws, "__row").orderBy("__shard", "__place", "__row").select(*columns)
+    """The documents of the mix, a row for each draw, with the columns of ``docs``; rows lie by shard and by place within it.
+
+    Null texts have size 0 and ride with their block; repeated rows are rows of their own; very long texts are taken whole; no
+    rows give no rows.
+    """
+    row, shard, place = (free_name(docs, c) for c in ("row", "shard", "place"))
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mixing-input")
+    plan = Mix(keyed, seed=seed, id_col=row, text_col=text_col, source_col=source_col)
+    draws = plan.draws().select(F.col("doc_id").alias(row), F.col("shard").alias(shard), F.col("place").alias(place))
+    return keyed.join(draws, row).orderBy(shard, place, row).drop(row, shard, place)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

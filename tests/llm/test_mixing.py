@@ -53,6 +53,19 @@ def test_report(docs, rows):
     assert sorted(map(tuple, M.report(docs).select("doc_id", "size", "taken").collect()), key=str) == sorted(((r.doc_id, r.size, r.taken) for r in got), key=str)
 
 
+def test_large_edges_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(M, "EDGE_ROWS", 20)
+    monkeypatch.setattr(M, "MOST_BLOCKS", 32)
+    rng = np.random.default_rng(2)
+    rows = [(i if i % 3 else 7, " ".join(["w"] * int(n)), "abc"[i % 3]) for i, n in enumerate(rng.integers(1, 40, 900))]
+    got = M.report(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), block_words=300).collect()
+    assert len(got) == 900 and all(r.taken <= 2 * r.size for r in got)
+    by = {}
+    for r in got:
+        by.setdefault((r.source_size, r.target), []).append(r.taken)
+    assert len(by) == 3 and all(abs(sum(x) - target) <= 0.01 * target for (_, target), x in by.items())
+
+
 def test_quotas_add_up():
     rng = np.random.default_rng(1)
     q = np.array([100, 3, 0, 57])
@@ -95,7 +108,9 @@ def test_fit_comes_close():
 
 
 def test_mixed_documents_keep_columns(docs):
+    docs = docs.selectExpr("*", "1 as __row", "2 as __pass", "3 as place")
     out = M.mixed_documents(docs)
+    assert out.columns == docs.columns and {(r["__row"], r["__pass"], r.place, r.shard) for r in out.collect()} == {(1, 2, 3, 7)}
     assert out.columns == docs.columns and out.count() == sum(r.passes for r in M.report(docs).select("passes").collect())
 
 
