@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import free_name, materialize, release
 
 #: Labelled rows that the trees and weights are fitted on, at most: those with the smallest hashes of their doc_id.
 SAMPLE_ROWS = 20_000
@@ -27,16 +27,17 @@ LASSO = 0.002
 
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
     """``docs`` with a column per statistic of its whole text (null as empty), and their names."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumn("__text", text).withColumn("__words", F.array_remove(F.split(F.trim(F.col("__text")), "[ \\t\\n\\r\\f\\x0B]+"), "")).withColumn("__lines", F.split("__text", "\n"))
-    t, n = F.col("__text"), F.greatest(F.length("__text"), F.lit(1))
-    words = F.greatest(F.size("__words"), F.lit(1))
+    text, words_of, lines_of, stats = (free_name(docs, c) for c in ("q_text", "q_words", "q_lines", "q_stats"))
+    df = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
+    df = df.withColumn(words_of, F.array_remove(F.split(F.trim(F.col(text)), "[ \\t\\n\\r\\f\\x0B]+"), "")).withColumn(lines_of, F.split(text, "\n"))
+    t, n = F.col(text), F.greatest(F.length(text), F.lit(1))
+    words = F.greatest(F.size(words_of), F.lit(1))
     without = lambda pattern: F.length(F.regexp_replace(t, pattern, ""))
     found = {
         "chars": F.log1p(F.length(t).cast("double")),
-        "mean_word": (F.length(t) - F.size("__words")) / words,
-        "distinct_words": F.size(F.array_distinct("__words")) / words,
-        "distinct_lines": F.size(F.array_distinct("__lines")) / F.greatest(F.size("__lines"), F.lit(1)),
+        "mean_word": (F.length(t) - F.size(words_of)) / words,
+        "distinct_words": F.size(F.array_distinct(words_of)) / words,
+        "distinct_lines": F.size(F.array_distinct(lines_of)) / F.greatest(F.size(lines_of), F.lit(1)),
         "upper": (n - without("\\p{Lu}+")) / n,
         "digits": (n - without("[0-9]+")) / n,
         "symbols": (n - without("[^\\p{L}\\p{N}\\s.,]+")) / n,
@@ -45,8 +46,10 @@ def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list
         "pipes": (n - F.length(F.replace(t, F.lit("|"), F.lit("")))) / words,
     }
     # Through explode, no later filter is moved below the statistics, where it would work them out again for every rule.
-    measured = df.withColumn("__stats", F.explode(F.array(F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in found.items()]))))
-    return measured.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__stats.{k}").alias(f"__q_{k}") for k in found]), [f"__q_{k}" for k in found]
+    measured = df.withColumn(stats, F.explode(F.array(F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in found.items()]))))
+    # Rules name the statistics, so the columns are called the same for every table; one of that name in the input comes back by keep_good.
+    names = [f"q_stat_{k}" for k in found]
+    return measured.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"{stats}.{k}").alias(m) for k, m in zip(found, names, strict=True)]), names
 
 
 def held_out(id_col: Column, of: int, remainder: int) -> Column:
@@ -130,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every document.
 
-    Null text is scored as empty. Rows that share a doc_id are scored each for itself. Without labels the score is 0.5.
+    Null text is scored as empty, a very long one whole. Rows that share a doc_id, repeated rows too, are scored each for itself,
+    equal texts equally. Without labels the score is 0.5. Other columns are ignored, whatever their names. No rows: no rows.
     """
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     counted, _ = statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
@@ -138,7 +142,14 @@ def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are predicted to be of quality, with all their columns."""
+    """The rows of ``docs`` that are predicted to be of quality, with all their columns, whatever their names.
+
+    Null and empty texts are scored as empty, very long ones whole; repeated rows are scored each for itself and so share their fate. No
+    rows: no rows. Without labels the score is 0.5, so all rows stay.
+    """
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    counted, names = statistics(docs, text_col)
-    return counted.where(model.score() >= 0.5).drop(*names)
+    whole = free_name(docs, "q_row")
+    # The whole row rides in one struct, apart from the names of the statistics.
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.col(text_col).alias("text"))
+    counted, _ = statistics(held, "text")
+    return counted.where(model.score() >= 0.5).select(f"{whole}.*")

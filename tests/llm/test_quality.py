@@ -53,4 +53,7 @@ def test_odd_rows_and_missing_labels(spark, docs, rows, empty):
     one = spark.createDataFrame([(0, 1, 0), (2, None, 0), (None, 0, 1)], LABELS)
     assert all(0 <= r.score <= 1 for r in Q.report(docs, one).collect())
     assert Q.report(empty, none).count() == 0
-    assert Q.keep_good(docs, none).columns == docs.columns
+    odd = docs.selectExpr("*", "1 as q_text", "2 as q_stat_chars", "3 as q_row", "4 as __text")
+    kept = Q.keep_good(odd, none)
+    assert kept.columns == odd.columns and kept.dtypes == odd.dtypes and kept.count() == len(rows)
+    assert Q.keep_good(empty, none).count() == 0
