@@ -48,12 +48,13 @@ def orbit(df: DataFrame) -> Column:
     return F.struct(F.lit(0).cast("long").alias("id"), *[c.alias(n) for n, c in fields.items()])
 
 
-def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced: DataFrame, solar: DataFrame | None = None, threshold: int = HISTORY_THRESHOLD, observation: tuple[str, str] = ("", "")) -> DataFrame:
+def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced: DataFrame, solar: DataFrame | None = None, threshold: int = HISTORY_THRESHOLD, observation: tuple[str, str] = ("", ""), as_of: bool = False) -> DataFrame:
     """One alert per source, thirteen fields.
 
     A source with an object carries it (null if the object is unknown), its history if the object has more than one source (null
     otherwise, or if no history was loaded) and its forced history if it has ``threshold`` sources (an empty list otherwise). A
-    source without one carries its solar-system record and orbit.
+    source without one carries its solar-system record and orbit. With ``as_of``, ``sources`` may hold many visits, and of
+    ``history`` each alert takes what is older than its own source.
     """
     prv = histories(history, "prvDiaSources", ["midpointMjdTai", "diaSourceId"]).withColumnRenamed("diaObjectId", "_h")
     fps = histories(forced, "prvDiaForcedSources", ["midpointMjdTai", "diaForcedSourceId"]).withColumnRenamed("diaObjectId", "_f")
@@ -66,13 +67,14 @@ def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced:
     has = F.col("diaObjectId") != 0
     empty_forced = F.array().cast(joined.schema["prvDiaForcedSources"].dataType)
     reason, target = (null_if(F.lit(x), "") for x in observation)
+    past = F.filter("prvDiaSources", lambda r: r.getField("midpointMjdTai") < F.col("diaSource.midpointMjdTai")) if as_of else F.col("prvDiaSources")
     null = F.lit(None).cast("string")
     return joined.select(
         "diaSourceId",
         F.lit(reason if isinstance(reason, Column) else None).cast("string").alias("observation_reason"),
         F.lit(target if isinstance(target, Column) else None).cast("string").alias("target_name"),
         "diaSource",
-        F.when(has & (F.col("_n") > 1), F.col("prvDiaSources")).alias("prvDiaSources"),
+        F.when(has & (F.col("_n") > 1), past).alias("prvDiaSources"),
         F.when(has & (F.col("_n") >= threshold), F.coalesce("prvDiaForcedSources", empty_forced)).otherwise(empty_forced).alias("prvDiaForcedSources"),
         null.alias("prvDiaNondetectionLimits"),
         F.when(has, F.col("diaObject")).alias("diaObject"),

@@ -11,10 +11,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.schemas import require_integer
-from .crossmatch import VISIT, MatchConfig, drop_unplaced, scored, unmatched_cost
+from .crossmatch import VISIT, MatchConfig, drop_unplaced, scored, unmatched_price
 
 MATCHES = "visit long, detector int, diaSourceId long, diaObjectId long, score double"
 
@@ -92,8 +93,10 @@ def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
 def match(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """visit, detector, diaSourceId, diaObjectId and score of the matched pairs. No pair crosses a visit and detector, the unit of a task."""
     require_integer(objects, "diaObjectId")
-    pairs = scored(sources, objects, config)
-    priced = pairs.join(unmatched_cost(pairs, config), VISIT).select(F.col("visit").cast("long"), F.col("detector").cast("int"), "diaSourceId", "diaObjectId", "score", "unmatched")
+    # The price over the same partitions as the grouped map, so the range join runs once and its pairs are shuffled once.
+    price = unmatched_price(config, W.partitionBy(*VISIT))
+    pairs = scored(sources, objects, config).select(F.col("visit").cast("long"), F.col("detector").cast("int"), "diaSourceId", "diaObjectId", "score", "by_likelihood")
+    priced = pairs.select("visit", "detector", "diaSourceId", "diaObjectId", "score", price.alias("unmatched"))
     return priced.groupBy(*VISIT).applyInPandas(_assign, MATCHES)
 
 
@@ -107,6 +110,7 @@ class Association:
 
 
 def associate(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> Association:
+    """Match ``sources`` with the ``objects`` loaded for them; an object counts as unassociated in a visit if it is among these and not matched there."""
     placed = drop_unplaced(sources).drop("diaObjectId")
     found = match(sources, objects, config).select("diaSourceId", "diaObjectId")
     labelled = placed.join(found, "diaSourceId", "left").withColumn("diaObjectId", F.coalesce("diaObjectId", F.lit(0).cast("long")))

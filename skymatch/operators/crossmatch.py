@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.geometry import chord, ra_difference, unit_vector
 from ..functions.nullsafe import finite, known
@@ -106,7 +107,12 @@ def scored(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchCo
     return pairs.select(*VISIT, "diaSourceId", "diaObjectId", F.when(F.col("by_likelihood"), nll(config)).otherwise(F.col("chord")).alias("score"), "chord", "by_likelihood")
 
 
+def unmatched_price(config: MatchConfig = MatchConfig(), over: WindowSpec | None = None) -> Column:
+    """The price of leaving a source unmatched, above every score: an aggregate of pairs, or the same over a window."""
+    most = lambda c: F.max(c) if over is None else F.max(c).over(over)
+    return F.when(most("by_likelihood"), most("score") + 1).otherwise(F.lit(1.01 * math.radians(config.radius / 3600) + 1e-300))
+
+
 def unmatched_cost(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """Per visit and detector, the price of leaving a source unmatched: above every score."""
-    r = math.radians(config.radius / 3600)
-    return pairs.groupBy(*VISIT).agg(F.when(F.max("by_likelihood"), F.max("score") + 1).otherwise(F.lit(1.01 * r + 1e-300)).alias("unmatched"))
+    """Per visit and detector, the price of leaving a source unmatched."""
+    return pairs.groupBy(*VISIT).agg(unmatched_price(config).alias("unmatched"))

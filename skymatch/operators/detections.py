@@ -76,6 +76,7 @@ def exposure_faults(exposures: DataFrame, template: bool = False) -> DataFrame:
 
 
 def require_exposures(exposures: DataFrame, template: bool = False) -> None:
-    """All faults of the exposures in one error."""
-    if found := exposure_faults(exposures, template).limit(20).collect():
-        raise ValueError("; ".join(f"visit {r['visit']} detector {r['detector']}: {', '.join(r['faults'])}" for r in found))
+    """All faults of up to twenty exposures in one error, with the number of exposures that have any."""
+    faults = exposure_faults(exposures, template)
+    if found := faults.limit(20).collect():
+        raise ValueError(f"{faults.count()} exposures can't be used: " + "; ".join(f"visit {r['visit']} detector {r['detector']}: {', '.join(r['faults'])}" for r in found))

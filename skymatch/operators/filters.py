@@ -24,6 +24,7 @@ class FilterConfig:
     remove_trailed: bool = True
     #: Arcseconds per second: ten degrees a day.
     max_trail_rate: float = 36000 / 3600 / 24
+    #: Arcseconds a pixel and seconds where neither the catalog nor an exposure tells.
     pixel_scale: float = 0.2
     exposure_time: float = 30.0
 
@@ -41,10 +42,20 @@ def snr_mask(flux: str, least: float) -> Column:
     return lt(ieee_div(F.col(flux), F.col(f"{flux}Err")), least)
 
 
-def trail_limit(config: FilterConfig, scale: Column | float | None = None) -> Column:
-    """Longest trail in pixels that is kept."""
-    scale = config.pixel_scale if scale is None else scale
-    return F.lit(config.max_trail_rate * config.exposure_time) / (scale if isinstance(scale, Column) else F.lit(scale))
+def with_trail_limit(df: DataFrame, config: FilterConfig, exposures: DataFrame | None = None) -> DataFrame:
+    """``df`` with _trail_limit, the longest trail in pixels that is kept: by the scale that the visit's own catalog shows and the time of its exposure.
+
+    ``exposures`` (visit, detector, exposureTime) has a row per exposure; a visit without one, or without a time, takes the default.
+    A table without visits or positions shows no scale, so it takes both defaults.
+    """
+    if not {*VISIT, "id", "x", "y", "coord_ra", "coord_dec"} <= set(df.columns):
+        return df.withColumn("_trail_limit", F.lit(config.max_trail_rate * config.exposure_time / config.pixel_scale))
+    scales = catalog_pixel_scale(df, config.pixel_scale)
+    time = F.lit(config.exposure_time)
+    if exposures is not None:
+        scales = scales.join(exposures.select(*VISIT, F.col("exposureTime").cast("double").alias("_time")), VISIT, "left")
+        time = F.coalesce("_time", time)
+    return df.join(scales.select(*VISIT, (config.max_trail_rate * time / F.col("pixel_scale")).alias("_trail_limit")), VISIT)
 
 
 def trail_mask(limit: Column) -> Column:
@@ -71,20 +82,20 @@ def rules(df: DataFrame, config: FilterConfig = FilterConfig()) -> dict[str, Col
     return out
 
 
-def classified(df: DataFrame, config: FilterConfig = FilterConfig(), scale: Column | float | None = None) -> DataFrame:
+def classified(df: DataFrame, config: FilterConfig = FilterConfig(), exposures: DataFrame | None = None) -> DataFrame:
     """``df`` with is_rejected (by any rule but trails), is_long (by its trail alone) and reason (the first rule that rejects)."""
     masks = rules(df, config)
     long = F.lit(False)
     if config.remove_trailed:
-        limit = trail_limit(config, scale)
-        long = trail_mask(limit)
+        df = with_trail_limit(df, config, exposures)
+        long = trail_mask(F.col("_trail_limit"))
         if "footprint" in df.columns:
-            long = long | footprint_trail_mask(limit)
+            long = long | footprint_trail_mask(F.col("_trail_limit"))
     reason = F.lit(None).cast("string")
     for name, mask in reversed([*masks.items(), ("trail", long)]):
         reason = F.when(mask, name).otherwise(reason)
     rejected = any_flag(masks.values(), null_as=False)
-    return df.withColumns({"is_rejected": rejected, "is_long": long, "reason": reason})
+    return df.withColumns({"is_rejected": rejected, "is_long": long, "reason": reason}).drop("_trail_limit")
 
 
 @dataclass
@@ -96,14 +107,14 @@ class ThreeWay:
     long_trailed: DataFrame
 
 
-def three_way(df: DataFrame, config: FilterConfig = FilterConfig(), scale: Column | float | None = None) -> ThreeWay:
-    marked, own = classified(df, config, scale), df.columns
+def three_way(df: DataFrame, config: FilterConfig = FilterConfig(), exposures: DataFrame | None = None) -> ThreeWay:
+    marked, own = classified(df, config, exposures), df.columns
     return ThreeWay(marked.where(~F.col("is_rejected") & ~F.col("is_long")).select(own), marked.where("is_rejected").select(own), marked.where("is_long").select(own))
 
 
-def attribution(df: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
+def attribution(df: DataFrame, config: FilterConfig = FilterConfig(), exposures: DataFrame | None = None) -> DataFrame:
     """How many sources each rule was the first to reject."""
-    return classified(df, config).where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n"))
+    return classified(df, config, exposures).where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def catalog_pixel_scale(df: DataFrame, default: float = 0.2, tolerance: float = 0.1) -> DataFrame:

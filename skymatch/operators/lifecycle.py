@@ -67,6 +67,11 @@ def create_objects(unmatched: DataFrame, config: QualityConfig = QualityConfig()
     return Created(named, conform(named, "diaObject").withColumn("nDiaSources", F.lit(1).cast("long")), bad)
 
 
+def excess_new(created: DataFrame, most: int) -> DataFrame:
+    """visit, detector and number of the sources that found objects there (``created``), where they are more than ``most``."""
+    return created.groupBy("visit", "detector").agg(F.count("*").alias("n")).where(F.col("n") > most)
+
+
 def too_many_new(created: DataFrame, most: int) -> None:
     """More new objects than ``most`` is an error, before anything is written; 0 turns the test off."""
     if most > 0 and (n := created.count()) > most:

@@ -56,15 +56,19 @@ def on_image(ephemerides: DataFrame, wcs: Wcs, box: Box, margin: int = IMAGE_MAR
 def match(sources: DataFrame, ephemerides: DataFrame, most_error: float = 60.0) -> DataFrame:
     """diaSourceId, ssObjectId and separation in arcseconds: each object's nearest source within its error, and each source's nearest such object.
 
-    ``ephemerides`` may carry visit and detector; then they must agree. Errors above ``most_error`` arcseconds are cut to it.
+    ``ephemerides`` may carry visit and detector; then they must agree. Those with an error above ``most_error`` arcseconds are
+    joined by themselves, in cells as wide as the largest of them asks for.
     """
-    error = F.least(F.coalesce(F.col("`Err(arcsec)`"), F.lit(DEFAULT_ERROR)), F.lit(most_error))
+    error = F.coalesce(F.col("`Err(arcsec)`"), F.lit(DEFAULT_ERROR))
     on = [c for c in ("visit", "detector") if c in ephemerides.columns]
     lx, ly, lz = unit_vector(F.col("ephRa"), F.col("ephDec"))
     rx, ry, rz = unit_vector(F.col("ra"), F.col("dec"))
     left = ephemerides.select(*on, "ssObjectId", F.radians(error / 3600).alias("_r"), lx.alias("lx"), ly.alias("ly"), lz.alias("lz"))
     right = sources.select(*on, "diaSourceId", rx.alias("rx"), ry.alias("ry"), rz.alias("rz"))
-    pairs = range_join(left, right, F.col("_r"), math.radians(most_error / 3600), on=on)
+    most, largest = math.radians(most_error / 3600), ephemerides.agg(F.max(error)).first()[0] or 0.0
+    pairs = range_join(left.where(F.col("_r") <= most), right, F.col("_r"), most, on=on)
+    if largest > most_error:
+        pairs = pairs.unionByName(range_join(left.where(F.col("_r") > most), right, F.col("_r"), math.radians(largest / 3600), cell_radii=2.0, on=on))
     first = W.partitionBy(*on, "ssObjectId").orderBy("chord", "diaSourceId")
     second = W.partitionBy("diaSourceId").orderBy("chord", "ssObjectId")
     best = pairs.withColumn("n", F.row_number().over(first)).where("n = 1").withColumn("n", F.row_number().over(second)).where("n = 1")
@@ -101,8 +105,9 @@ def elements(table: DataFrame) -> DataFrame:
 
 
 def packed_to_id(designation: Column) -> Column:
-    """A packed designation of up to seven ASCII characters as a long: its bytes, the first one highest."""
-    return F.conv(F.hex(F.rtrim(F.substring(designation, 1, 7))), 16, 10).cast("long")
+    """A packed designation of up to seven ASCII characters as a long: its bytes, the first one highest. A longer one is an error."""
+    text = F.rtrim(designation)
+    return F.when(F.length(text) > 7, F.raise_error(F.concat(F.lit("not a packed designation: "), text)).cast("long")).otherwise(F.conv(F.hex(text), 16, 10).cast("long"))
 
 
 def id_to_packed(number: Column) -> Column:

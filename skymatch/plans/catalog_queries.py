@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, Polygon, Wcs
-from ..operators import alerts, detections, filters, lifecycle, metrics, solarsystem, stats
+from ..operators import alerts, detections, forced, lifecycle, metrics, solarsystem, stats
 from ..sources import store
 from ..sources.schemas import conform
 from .fixtures import dia_objects, dia_sources, forced_sources, raw_detections, with_sql
@@ -70,28 +70,14 @@ def associated_union(spark, d):
     return lifecycle.union_associated(solar, s.where("diaSourceId % 5 <> 0")).select("diaSourceId", "diaObjectId", "ssObjectId", "visit")
 
 
-QUALITY = filters.QualityConfig(bad_flags=("glint_trail",), reliability=0.1, flux="psfFlux")
-
-
-@_query("create_objects", f"{_SRC} select diaSourceId as diaObjectId, round(ra, 9) as ra, round(dec, 9) as dec, cast(1 as bigint) as nDiaSources from dia_source where diaSourceId % 23 = 1 and not coalesce(glint_trail, false) and not coalesce(not isnan(reliability) and reliability < 0.1, false)")
-def create_objects(spark, d):
-    made = lifecycle.create_objects(dia_sources(spark, d).drop("trueId").where("diaSourceId % 23 = 1"), QUALITY)
-    return made.objects.select("diaObjectId", F.round("ra", 9).alias("ra"), F.round("dec", 9).alias("dec"), "nDiaSources")
-
-
-@_query("new_object_guard", f"{_SRC} select visit, count(*) as n from dia_source where diaSourceId % 23 = 1 group by visit having count(*) > 3")
-def new_object_guard(spark, d):
-    return dia_sources(spark, d).where("diaSourceId % 23 = 1").groupBy("visit").agg(F.count("*").alias("n")).where("n > 3")
-
-
 @_query("object_counts", f"{_SRC} select o.diaObjectId, n.n as nDiaSources from dia_object o left join (select trueId, count(*) as n from dia_source group by trueId) n on o.diaObjectId = n.trueId")
 def object_counts(spark, d):
     return lifecycle.count_sources(dia_objects(spark, d), _named(spark, d)).select("diaObjectId", "nDiaSources")
 
 
-@_query("single_source_objects", f"{_SRC} select count(*) as totalUnassociatedDiaObjects from (select trueId from dia_source where visit = 3 group by trueId having count(*) = 1)")
+@_query("single_source_objects", f"{_SRC} select count(*) as totalUnassociatedDiaObjects from (select trueId from dia_source group by trueId having count(*) = 1)")
 def single_source_objects(spark, d):
-    return metrics.single_source_objects(lifecycle.count_sources(dia_objects(spark, d), _named(spark, d).where("visit = 3")))
+    return metrics.single_source_objects(lifecycle.count_sources(dia_objects(spark, d), _named(spark, d)))
 
 
 WCS = Wcs((150.05, 2.03), (500.0, 500.0), ((-1e-4, 0.0), (0.0, 1e-4)))
@@ -159,42 +145,85 @@ def load_objects_region(spark, d):
 
 @_query(
     "load_history_asof",
-    f"""{_SRC}, v as (select visit, max(midpointMjdTai) as t from dia_source where visit % 5 = 0 group by visit)
+    f"""{_SRC}, v as (select visit, max(midpointMjdTai) as t from dia_source group by visit)
 select v.visit, count(*) as n, count(distinct trueId) as n_objects, round(max(s.midpointMjdTai), 6) as latest from v join dia_source s on s.midpointMjdTai < v.t and s.midpointMjdTai > v.t - 7 group by v.visit""",
 )
 def load_history_asof(spark, d):
     s = _named(spark, d)
-    visits = s.where("visit % 5 = 0").groupBy("visit").agg(F.max("midpointMjdTai").alias("visitMjd"))
+    visits = s.groupBy("visit").agg(F.max("midpointMjdTai").alias("visitMjd"))
     found = store.history_as_of(visits, s.drop("visit"), 7.0)
     return found.groupBy("visit").agg(F.count("*").alias("n"), F.count_distinct("diaObjectId").alias("n_objects"), F.round(F.max("midpointMjdTai"), 6).alias("latest"))
 
 
-@_query("load_forced", f"{_BOTH} select count(*) as n, count(distinct visit) as n_visits, count(distinct diaObjectId) as n_objects from forced where midpointMjdTai < 56500 and midpointMjdTai > 56500 - 365 and diaObjectId in (select diaObjectId from dia_object where diaObjectId % 4 = 0)")
+@_query("load_forced", f"{_BOTH}, k as (select diaForcedSourceId, min(visit) as visit, min(diaObjectId) as oid from forced where midpointMjdTai < 56500 and midpointMjdTai > 56500 - 365 and diaObjectId in (select diaObjectId from dia_object) group by diaForcedSourceId) select count(*) as n, count(distinct oid) as n_objects from k")
 def load_forced(spark, d):
-    objects = dia_objects(spark, d).where("diaObjectId % 4 = 0")
-    found = store.before(forced_sources(spark, d), 56500.0).join(objects.select("diaObjectId"), "diaObjectId", "left_semi")
-    return found.agg(F.count("*").alias("n"), F.count_distinct("visit").alias("n_visits"), F.count_distinct("diaObjectId").alias("n_objects"))
+    found = store.forced_before(forced_sources(spark, d), dia_objects(spark, d), 56500.0)
+    return found.agg(F.count("*").alias("n"), F.count_distinct("diaObjectId").alias("n_objects"))
+
+
+@_query("load_sources", f"{_SRC}, t as (select max(midpointMjdTai) as t from dia_source) select diaSourceId, trueId as diaObjectId, visit from dia_source, t where midpointMjdTai < t.t and midpointMjdTai > t.t - 365")
+def load_sources(spark, d):
+    s = _named(spark, d)
+    return store.sources_before(s, dia_objects(spark, d), s.agg(F.max("midpointMjdTai")).first()[0]).select("diaSourceId", "diaObjectId", "visit")
+
+
+@_query("forced_trim", f"{_BOTH}, f as (select f.diaForcedSourceId, f.diaObjectId, o.ra, o.dec from forced f join dia_object o on o.diaObjectId = f.diaObjectId), u as (select distinct trueId from dia_source) select diaForcedSourceId, count(*) as n from f where ({_PX} >= -0.5 and {_PX} < 999.5 and {_PY} >= -0.5 and {_PY} < 799.5) or diaObjectId in (select trueId from u) group by diaForcedSourceId")
+def forced_trim(spark, d):
+    placed = forced_sources(spark, d).join(dia_objects(spark, d).select("diaObjectId", "ra", "dec"), "diaObjectId")
+    return forced.trim(placed, _named(spark, d), WCS, BOX).groupBy("diaForcedSourceId").agg(F.count("*").alias("n"))
+
+
+@_query("ephemerides_on_image", f"{with_sql('dia_object')} select diaObjectId as ssObjectId from dia_object where {_PX} >= -20.5 and {_PX} < 1019.5 and {_PY} >= -20.5 and {_PY} < 819.5")
+def ephemerides_on_image(spark, d):
+    e = dia_objects(spark, d).select(F.col("diaObjectId").alias("ssObjectId"), F.col("ra").alias("ephRa"), F.col("dec").alias("ephDec"))
+    return solarsystem.on_image(e, WCS, BOX, 20).select("ssObjectId")
+
+
+@_query("enrich_constants", f"{with_sql('raw')} select id, visit, case when visit % 2 = 0 then 'g' else 'r' end as band, 60000e0 + visit as midpointMjdTai, 60100e0 as timeProcessedMjdTai, cast(0 as bigint) as diaObjectId from raw where visit % 7 <> 0")
+def enrich_constants(spark, d):
+    raw = raw_detections(spark, d).withColumns({"band": F.lit("x"), "midpointMjdTai": F.lit(0.0)})
+    e = raw.where("visit % 7 <> 0").select("visit", "detector").distinct().withColumns({"band": F.when(F.col("visit") % 2 == 0, "g").otherwise("r"), "midpointMjdTai": F.lit(60000.0) + F.col("visit")})
+    return detections.enriched(raw, e, 60100.0).select("id", "visit", "band", "midpointMjdTai", "timeProcessedMjdTai", "diaObjectId")
+
+
+@_query("peak_significance", f"{with_sql('raw')} select id, case when id % 4 = 0 then -1e0 else cast(id % 50 as double) end as snr from raw")
+def peak_significance(spark, d):
+    peaks = F.when(F.col("id") % 4 != 0, F.array(F.struct((F.col("id") % 50).cast("double").alias("significance")), F.struct(F.lit(99.0).alias("significance")))).otherwise(F.array().cast("array<struct<significance:double>>"))
+    raw = raw_detections(spark, d).withColumn("footprint", F.struct(peaks.alias("peaks")))
+    return raw.select("id", F.nanvl(detections.peak_significance(F.col("footprint")), F.lit(-1.0)).alias("snr"))
+
+
+@_query("counter_text", f"{_SRC} select diaSourceId, case when glint_trail is not null then visit end as n from dia_source")
+def counter_text(spark, d):
+    return dia_sources(spark, d).select("diaSourceId", metrics.whole(F.when(F.col("glint_trail").isNotNull(), F.col("visit").cast("string"))).alias("n"))
+
+
+@_query("designation_ids", f"{with_sql('dia_object')} select diaObjectId, 'K' || lpad(cast(diaObjectId % 100000 as varchar), 5, '0') as packed from dia_object")
+def designation_ids(spark, d):
+    """Packed designations to ids and back."""
+    packed = F.concat(F.lit("K"), F.lpad((F.col("diaObjectId") % 100000).cast("string"), 5, "0"))
+    return dia_objects(spark, d).select("diaObjectId", solarsystem.id_to_packed(solarsystem.packed_to_id(packed)).alias("packed"))
 
 
 def _alerts(spark, d):
+    """An alert for every source of every visit, with the history before it."""
     s = _named(spark, d)
-    now, past = s.where("visit = 20"), s.where("visit < 20")
-    now = now.withColumn("diaObjectId", F.when(F.col("diaSourceId") % 6 == 0, F.lit(0).cast("long")).otherwise(F.col("diaObjectId")))
-    objects = lifecycle.count_sources(dia_objects(spark, d), s.where("visit <= 20"))
+    now = s.withColumn("diaObjectId", F.when(F.col("diaSourceId") % 6 == 0, F.lit(0).cast("long")).otherwise(F.col("diaObjectId")))
+    objects = lifecycle.count_sources(dia_objects(spark, d), s)
     forced = lifecycle.first_rows(forced_sources(spark, d), ["diaForcedSourceId"], ORDER).drop("partkey", "suppkey")
     solar = now.where("diaObjectId = 0").select("diaSourceId", F.lit(5).cast("long").alias("ssObjectId"), F.lit("2015 MK4").alias("MPCORB_unpacked_primary_provisional_designation"), F.lit(1.5).alias("MPCORB_q"))
-    return alerts.assemble(now, objects, past, forced, solar)
+    return alerts.assemble(now, objects, s, forced, solar, as_of=True)
 
 
-_ALERT = f"""{_BOTH}, a as (select *, case when diaSourceId % 6 = 0 then 0 else trueId end as oid from dia_source where visit = 20),
-c as (select trueId, count(*) as n from dia_source where visit <= 20 group by trueId), h as (select trueId, count(*) as n, min(diaSourceId) as first from dia_source where visit < 20 group by trueId),
+_ALERT = f"""{_BOTH}, a as (select *, case when diaSourceId % 6 = 0 then 0 else trueId end as oid, rank() over (partition by trueId order by midpointMjdTai) - 1 as past from dia_source),
+c as (select trueId, count(*) as n from dia_source group by trueId),
 f as (select diaObjectId, count(distinct diaForcedSourceId) as n from forced group by diaObjectId)"""
 
 
 @_query(
     "alert_history_sizes",
-    f"""{_ALERT} select diaSourceId, case when oid <> 0 and c.n > 1 then coalesce(h.n, -1) else -1 end as n_history, case when oid <> 0 and c.n >= 2 then coalesce(f.n, 0) else 0 end as n_forced
-from a left join c on c.trueId = oid left join h on h.trueId = oid left join f on f.diaObjectId = oid""",
+    f"""{_ALERT} select diaSourceId, case when oid <> 0 and c.n > 1 then past else -1 end as n_history, case when oid <> 0 and c.n >= 2 then coalesce(f.n, 0) else 0 end as n_forced
+from a left join c on c.trueId = oid left join f on f.diaObjectId = oid""",
 )
 def alert_history_sizes(spark, d):
     n = lambda c: F.coalesce(F.size(c), F.lit(-1)).cast("long")
@@ -220,16 +249,19 @@ def alert_assembly(spark, d):
 
 @_query(
     "solar_match",
-    f"""{_SRC}, e as (select diaObjectId as ssObjectId, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z, dec from dia_object where diaObjectId % 10 = 0),
-s as (select diaSourceId, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z, dec from dia_source where visit = 7),
-p as (select ssObjectId, diaSourceId, sqrt((s.x - e.x) * (s.x - e.x) + (s.y - e.y) * (s.y - e.y) + (s.z - e.z) * (s.z - e.z)) as c from e join s on s.dec between e.dec - 0.001 and e.dec + 0.001),
-a as (select *, row_number() over (partition by ssObjectId order by c, diaSourceId) as n from p where c <= radians(2e0 / 3600)),
+    f"""{_SRC}, e as (select diaObjectId as ssObjectId, 1 + diaObjectId % 31 as visit, case when diaObjectId % 50 = 0 then 90e0 else 2e0 end as err, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z, dec from dia_object),
+s as (select visit, diaSourceId, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z, dec from dia_source),
+p as (select ssObjectId, diaSourceId, err, sqrt((s.x - e.x) * (s.x - e.x) + (s.y - e.y) * (s.y - e.y) + (s.z - e.z) * (s.z - e.z)) as c from e join s on s.visit = e.visit and s.dec between e.dec - 0.03 and e.dec + 0.03),
+a as (select *, row_number() over (partition by ssObjectId order by c, diaSourceId) as n from p where c <= radians(err / 3600)),
 b as (select *, row_number() over (partition by diaSourceId order by c, ssObjectId) as m from a where n = 1)
 select diaSourceId, ssObjectId from b where m = 1""",
 )
 def solar_match(spark, d):
-    ephemerides = dia_objects(spark, d).where("diaObjectId % 10 = 0").select(F.col("diaObjectId").alias("ssObjectId"), F.col("ra").alias("ephRa"), F.col("dec").alias("ephDec"), F.lit(2.0).alias("Err(arcsec)"))
-    return solarsystem.match(dia_sources(spark, d).where("visit = 7"), ephemerides).select("diaSourceId", "ssObjectId")
+    """Every object in one visit; one in fifty has a position error beyond the width of the common cells."""
+    error = F.when(F.col("diaObjectId") % 50 == 0, 90.0).otherwise(2.0)
+    visit = (1 + F.col("diaObjectId") % 31).alias("visit")
+    ephemerides = dia_objects(spark, d).select(F.col("diaObjectId").alias("ssObjectId"), visit, F.lit(0).alias("detector"), F.col("ra").alias("ephRa"), F.col("dec").alias("ephDec"), error.alias("Err(arcsec)"))
+    return solarsystem.match(dia_sources(spark, d), ephemerides).select("diaSourceId", "ssObjectId")
 
 
 @_query(

@@ -14,15 +14,21 @@ from .fixtures import dia_objects, dia_sources, raw_detections, with_sql
 QUERIES: dict = {}
 ORACLES: dict = {}
 CONFIG = filters.FilterConfig()
-LIMIT = CONFIG.max_trail_rate * CONFIG.exposure_time / CONFIG.pixel_scale
 
 _RAW, _SRC = with_sql("raw"), with_sql("dia_object", "dia_source")
 _FLAG = "(coalesce(base_PixelFlags_flag_crCenter, false) or coalesce(base_PixelFlags_flag_high_varianceCenterAll, false))"
 _FLUX, _ERR, _LEN = "ip_diffim_forced_PsfFlux_instFlux", "ip_diffim_forced_PsfFlux_instFluxErr", "ext_trailedSources_Naive_length"
 _SNR = f"coalesce(case when {_ERR} = 0 then {_FLUX} < 0 else {_FLUX} / {_ERR} < -2.0 end, false)"
-_TRAIL = f"""(coalesce(not isnan({_LEN}) and {_LEN} >= {LIMIT!r}, false) or coalesce(ext_trailedSources_Naive_flag_off_image, false)
+_TRAIL = f"""(coalesce(not isnan({_LEN}) and {_LEN} >= most, false) or coalesce(ext_trailedSources_Naive_flag_off_image, false)
   or (coalesce(ext_trailedSources_Naive_flag_suspect_long_trail, false) and coalesce(ext_trailedSources_Naive_flag_edge, false)))"""
-_FOOT = f"(ext_trailedSources_Naive_flag and sqrt(cast((maxX - minX + 1) * (maxX - minX + 1) + (maxY - minY + 1) * (maxY - minY + 1) as double)) >= {LIMIT!r})"
+_FOOT = "(ext_trailedSources_Naive_flag and sqrt(cast((maxX - minX + 1) * (maxX - minX + 1) + (maxY - minY + 1) * (maxY - minY + 1) as double)) >= most)"
+#: Per visit the scale by the law of cosines, and the longest trail in pixels; one visit in four has no exposure.
+_SCALE = f"""{_RAW}, l as (select visit, arg_min(struct_pack(x := x, y := y, a := coord_ra, d := coord_dec), x * 1e9 + id) as l, count(*) as n from raw group by visit),
+q as (select raw.visit, x, y, id, coord_ra, coord_dec, l.l, l.n, sqrt((x - l.l.x) * (x - l.l.x) + (y - l.l.y) * (y - l.l.y)) as px from raw join l on raw.visit = l.visit),
+m as (select visit, arg_max(struct_pack(a := coord_ra, d := coord_dec, px := px, l := l, n := n), struct_pack(px := px, id := id)) as f from q group by visit),
+s as (select visit, f, degrees(acos(least(greatest(sin(f.d) * sin(f.l.d) + cos(f.d) * cos(f.l.d) * cos(f.a - f.l.a), -1e0), 1e0))) * 3600 as sep from m),
+z as (select visit, case when f.n > 1 and f.px > 0 and abs(sep / f.px - 0.2e0) / 0.2e0 <= 0.1e0 then sep / f.px else 0.2e0 end as scale from s)"""
+_LIMITED = f"""{_SCALE}, t as (select raw.*, {CONFIG.max_trail_rate!r} * (case when raw.visit % 4 = 0 then {CONFIG.exposure_time!r} else 20.3e0 + raw.visit end) / z.scale as most from raw join z on z.visit = raw.visit)"""
 
 
 def _query(name: str, sql: str | None = None):
@@ -55,43 +61,47 @@ def filter_snr(spark, d):
     return raw_detections(spark, d).where(filters.snr_mask(CONFIG.flux, CONFIG.min_snr)).select("id")
 
 
-@_query("filter_trail", f"{_RAW} select id from raw where {_TRAIL}")
+def _exposures(raw):
+    return raw.where("visit % 4 <> 0").select("visit", "detector", (F.lit(20.3) + F.col("visit")).alias("exposureTime")).distinct()
+
+
+@_query("filter_trail", f"{_LIMITED} select id from t where {_TRAIL}")
 def filter_trail(spark, d):
-    return raw_detections(spark, d).where(filters.trail_mask(filters.trail_limit(CONFIG))).select("id")
+    raw = raw_detections(spark, d)
+    return filters.with_trail_limit(raw, CONFIG, _exposures(raw)).where(filters.trail_mask(F.col("_trail_limit"))).select("id")
 
 
-@_query("filter_footprint", f"{_RAW} select id from raw where {_FOOT}")
+@_query("filter_footprint", f"{_LIMITED} select id from t where {_FOOT}")
 def filter_footprint(spark, d):
-    return _boxed(raw_detections(spark, d)).where(filters.footprint_trail_mask(filters.trail_limit(CONFIG))).select("id")
+    raw = _boxed(raw_detections(spark, d))
+    return filters.with_trail_limit(raw, CONFIG, _exposures(raw)).where(filters.footprint_trail_mask(F.col("_trail_limit"))).select("id")
 
 
 @_query(
     "filter_three_way",
-    f"""{_RAW}, c as (select id, {_FLAG} or {_SNR} as rejected, {_TRAIL} or {_FOOT} as long from raw)
+    f"""{_LIMITED}, c as (select id, {_FLAG} or {_SNR} as rejected, {_TRAIL} or {_FOOT} as long from t)
 select id, 'kept' as part from c where not rejected and not long union all select id, 'rejected' from c where rejected union all select id, 'long' from c where long""",
 )
 def filter_three_way(spark, d):
-    t = filters.three_way(_boxed(raw_detections(spark, d)))
+    raw = _boxed(raw_detections(spark, d))
+    t = filters.three_way(raw, exposures=_exposures(raw))
     part = lambda df, name: df.select("id", F.lit(name).alias("part"))
     return part(t.kept, "kept").unionByName(part(t.rejected, "rejected")).unionByName(part(t.long_trailed, "long"))
 
 
 @_query(
     "filter_attribution",
-    f"""{_RAW} select reason, count(*) as n from (select case when coalesce(sky_source, false) then 'sky' when {_FLAG} then 'flags' when {_SNR} then 'snr' when {_TRAIL} then 'trail' end as reason from raw)
+    f"""{_LIMITED} select reason, count(*) as n from (select case when coalesce(sky_source, false) then 'sky' when {_FLAG} then 'flags' when {_SNR} then 'snr' when {_TRAIL} or {_FOOT} then 'trail' end as reason from t)
 where reason is not null group by reason""",
 )
 def filter_attribution(spark, d):
-    return filters.attribution(raw_detections(spark, d), filters.FilterConfig(remove_sky=True))
+    raw = _boxed(raw_detections(spark, d))
+    return filters.attribution(raw, filters.FilterConfig(remove_sky=True), _exposures(raw))
 
 
 @_query(
     "pixel_scale",
-    f"""{_RAW}, l as (select visit, arg_min(struct_pack(x := x, y := y, a := coord_ra, d := coord_dec), x * 1e9 + id) as l, count(*) as n from raw group by visit),
-q as (select raw.visit, x, y, id, coord_ra, coord_dec, l.l, l.n, sqrt((x - l.l.x) * (x - l.l.x) + (y - l.l.y) * (y - l.l.y)) as px from raw join l on raw.visit = l.visit),
-m as (select visit, arg_max(struct_pack(a := coord_ra, d := coord_dec, px := px, l := l, n := n), struct_pack(px := px, id := id)) as f from q group by visit),
-s as (select visit, f, degrees(acos(least(greatest(sin(f.d) * sin(f.l.d) + cos(f.d) * cos(f.l.d) * cos(f.a - f.l.a), -1e0), 1e0))) * 3600 as sep from m)
-select visit, round(case when f.n > 1 and f.px > 0 and abs(sep / f.px - 0.2e0) / 0.2e0 <= 0.1e0 then sep / f.px else 0.2e0 end, 5) as pixel_scale from s""",
+    f"{_SCALE} select visit, round(scale, 5) as pixel_scale from z",
 )
 def pixel_scale(spark, d):
     return filters.catalog_pixel_scale(raw_detections(spark, d)).select("visit", F.round("pixel_scale", 5).alias("pixel_scale"))

@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import assign, crossmatch, metrics
+from ..operators import assign, crossmatch, filters, lifecycle, metrics
+from ..sources.schemas import conform, empty
 from .fixtures import dia_objects, dia_sources, with_sql
 
 QUERIES: dict = {}
@@ -120,16 +121,25 @@ def assign_unmatched(spark, d):
     return assign.associate(*_catalogs(spark, d)).unmatched.select("visit", "diaSourceId")
 
 
-_COUNTS = f"""{with_sql("dia_object", "dia_source")}, c as (select visit, count(distinct trueId) as numUpdatedDiaObjects, (select count(*) from dia_object) - count(distinct trueId) as numUnassociatedDiaObjects,
-  count(distinct case when diaSourceId % 23 = 1 then diaSourceId end) as numNewDiaObjects, cast(0 as bigint) as numTotalSolarSystemObjects, cast(0 as bigint) as numAssociatedSsObjects from dia_source group by visit)"""
+#: Good sources that no object was matched with found new objects.
+GOOD = "not coalesce(glint_trail, false) and not coalesce(not isnan(reliability) and reliability < 0.1, false)"
+QUALITY = filters.QualityConfig(bad_flags=("glint_trail",), reliability=0.1, flux="psfFlux")
+NEW = f"{MATCHES}, new as (select * from dia_source where diaSourceId not in (select diaSourceId from m) and {GOOD})"
+_COUNTS = f"""{NEW}, c as (select t.visit, coalesce(u.n, 0) as numUpdatedDiaObjects, (select count(*) from dia_object) - coalesce(u.n, 0) as numUnassociatedDiaObjects,
+  coalesce(k.n, 0) as numNewDiaObjects, coalesce(e.n, 0) as numTotalSolarSystemObjects, coalesce(a.n, 0) as numAssociatedSsObjects
+  from (select distinct visit from dia_source) t left join (select visit, count(*) as n from m group by visit) u on u.visit = t.visit
+  left join (select visit, count(*) as n from new group by visit) k on k.visit = t.visit left join (select 1 + diaObjectId % 31 as visit, count(*) as n from dia_object group by all) e on e.visit = t.visit
+  left join (select visit, count(*) as n from m where diaSourceId % 5 = 0 group by visit) a on a.visit = t.visit)"""
 
 
 def _counts(spark, d):
+    """Counts of all visits from the association, the new objects, and made-up ids of the solar system."""
     sources, objects = _catalogs(spark, d)
-    n = objects.agg(F.count("*")).scalar()
-    zero = F.lit(0).cast("long")
-    seen = sources.groupBy("visit", "detector").agg(F.count_distinct("trueId").alias("numUpdatedDiaObjects"), F.count_distinct(F.when(F.col("diaSourceId") % 23 == 1, F.col("diaSourceId"))).alias("numNewDiaObjects"))
-    return seen.withColumns({"numUnassociatedDiaObjects": n - F.col("numUpdatedDiaObjects"), "numTotalSolarSystemObjects": zero, "numAssociatedSsObjects": zero})
+    found = assign.associate(sources, objects)
+    made = lifecycle.create_objects(found.unmatched.drop("trueId"), QUALITY)
+    associated = found.matched.withColumn("ssObjectId", F.when(F.col("diaSourceId") % 5 == 0, F.lit(7)).otherwise(F.lit(0)))
+    ephemerides = objects.select((1 + F.col("diaObjectId") % 31).alias("visit"), F.lit(0).alias("detector"))
+    return metrics.visit_counts(associated, made.sources, found.counts, ephemerides)
 
 
 @_query("frac_updated", f"{_COUNTS} select visit, round(case when numUpdatedDiaObjects > 0 or numUnassociatedDiaObjects > 0 then numUpdatedDiaObjects / (numUpdatedDiaObjects + numUnassociatedDiaObjects) end, 9) as frac from c")
@@ -143,7 +153,35 @@ def frac_updated(spark, d):
   select visit, 'numNewDiaObjects' as metric, cast(numNewDiaObjects as double) as value from c union all
   select visit, 'numUnassociatedDiaObjects', cast(numUnassociatedDiaObjects as double) from c union all
   select visit, 'fracUpdatedDiaObjects', numUpdatedDiaObjects / (numUpdatedDiaObjects + numUnassociatedDiaObjects) from c union all
-  select visit, 'numTotalSolarSystemObjects', 0.0e0 from c union all select visit, 'numAssociatedSsObjects', 0.0e0 from c)""",
+  select visit, 'numTotalSolarSystemObjects', cast(numTotalSolarSystemObjects as double) from c union all select visit, 'numAssociatedSsObjects', cast(numAssociatedSsObjects as double) from c)""",
 )
 def visit_metrics(spark, d):
     return metrics.metrics(_counts(spark, d)).select("visit", "metric", F.round("value", 9).alias("value"))
+
+
+@_query("create_objects", f"{NEW} select diaSourceId as diaObjectId, round(ra, 9) as ra, round(dec, 9) as dec, cast(1 as bigint) as nDiaSources from new")
+def create_objects(spark, d):
+    made = lifecycle.create_objects(assign.associate(*_catalogs(spark, d)).unmatched.drop("trueId"), QUALITY)
+    return made.objects.select("diaObjectId", F.round("ra", 9).alias("ra"), F.round("dec", 9).alias("dec"), "nDiaSources")
+
+
+@_query("new_object_guard", f"{NEW} select visit, count(*) as n from new group by visit having count(*) > 3")
+def new_object_guard(spark, d):
+    made = lifecycle.create_objects(assign.associate(*_catalogs(spark, d)).unmatched.drop("trueId"), QUALITY)
+    return lifecycle.excess_new(made.sources, 3).select("visit", "n")
+
+
+@_query(
+    "merge_visit",
+    f"""{NEW}, a as (select diaSourceId, diaObjectId from m union all select diaSourceId, diaSourceId from new), o as (select diaObjectId from dia_object union select diaSourceId from new)
+select o.diaObjectId, count(a.diaSourceId) as nDiaSources, count(a.diaSourceId) > 0 as updated from o left join a on a.diaObjectId = o.diaObjectId group by o.diaObjectId""",
+)
+def merge_visit(spark, d):
+    """All sources and new objects merged into an empty history and all objects. A made-up id that both a source and an object have is one object."""
+    sources, objects = _catalogs(spark, d)
+    found = assign.associate(sources, objects)
+    made = lifecycle.create_objects(found.unmatched.drop("trueId"), QUALITY)
+    associated = lifecycle.union_associated(found.matched, made.sources)
+    merged = lifecycle.merge_visit(empty(spark, "diaSource"), associated, conform(objects, "diaObject"), made.objects.join(objects.select("diaObjectId"), "diaObjectId", "left_anti"))
+    updated = merged.updated_ids.withColumn("updated", F.lit(True))
+    return merged.objects.join(updated, "diaObjectId", "left").select("diaObjectId", F.coalesce("nDiaSources", F.lit(0)).alias("nDiaSources"), F.coalesce("updated", F.lit(False)).alias("updated"))

@@ -1,7 +1,8 @@
 """The catalogs at rest: loads by region and time, writes of a visit, and the log of runs that makes replays safe.
 
-Tables are Parquet folders. Objects are versions: a visit appends the rows that it changed, and a load takes each object's latest.
-Positions are stored with a coarse sky cell that loads prune by.
+Tables are Parquet folders. Objects are versions: a visit adds the rows that it changed, and a load takes each object's latest.
+Every visit and detector writes to a folder of its own, which a repeated write replaces, so a run that failed before its log
+entry does no harm when it is repeated. Positions are stored with a coarse sky cell that loads prune by.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from .schemas import KEYS, SCHEMAS, conform, empty, empty_forced
 
 #: Days of history; padding of a region in arcseconds when loading, refreshing and exporting; degrees of a stored cell.
 HISTORY_DAYS, LOAD_PADDING, REFRESH_PADDING, CELL_DEGREES = 365.0, 20.0, 2.0, 5
+#: Arcseconds that an object's position may move over its versions.
+MOST_MOVED = 60.0
 WRITTEN, DONE = "WRITTEN", "DONE"
 
 
@@ -70,6 +73,21 @@ def history_as_of(visits: DataFrame, sources: DataFrame, days: float = HISTORY_D
     return v.join(s, [*on, "_b"]).where((F.col("midpointMjdTai") < F.col("visitMjd")) & (F.col("midpointMjdTai") > F.col("visitMjd") - days)).drop("_b")
 
 
+def _rows_before(table: str, rows: DataFrame, objects: DataFrame, mjd: float) -> DataFrame:
+    found = before(rows, mjd).join(objects.select("diaObjectId"), "diaObjectId", "left_semi")
+    return conform(first_values(found.drop("cell"), KEYS[table], ["midpointMjdTai"]), table)
+
+
+def sources_before(rows: DataFrame, objects: DataFrame, mjd: float) -> DataFrame:
+    """The objects' sources of the window before ``mjd``, one row per source."""
+    return _rows_before("diaSource", rows, objects, mjd)
+
+
+def forced_before(rows: DataFrame, objects: DataFrame, mjd: float) -> DataFrame:
+    """The same for forced sources."""
+    return _rows_before("diaForcedSource", rows, objects, mjd)
+
+
 @dataclass
 class Loaded:
     objects: DataFrame
@@ -91,19 +109,18 @@ class Catalog:
         if not self._exists(table):
             out = empty(self.spark, table)
             return out.withColumn("cell", F.lit(0)) if "ra" in out.columns else out
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{table}")
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{table}").drop("run")
 
     def load_objects(self, region: Polygon) -> DataFrame:
-        found = latest_objects(in_region(self.read("diaObject"), region))
+        """Objects whose newest version lies in the region. Versions are looked for MOST_MOVED around it, so none of them is taken for the newest by mistake."""
+        found = latest_objects(in_region(self.read("diaObject"), region.padded(MOST_MOVED))).where(region.contains(F.col("ra"), F.col("dec")))
         return conform(first_values(found, KEYS["diaObject"], ["diaObjectId"]), "diaObject")
 
     def load_sources(self, objects: DataFrame, mjd: float) -> DataFrame:
-        found = before(self.read("diaSource"), mjd).join(objects.select("diaObjectId"), "diaObjectId", "left_semi")
-        return conform(first_values(found.drop("cell"), KEYS["diaSource"], ["midpointMjdTai"]), "diaSource")
+        return sources_before(self.read("diaSource"), objects, mjd)
 
     def load_forced(self, objects: DataFrame, mjd: float) -> DataFrame:
-        found = before(self.read("diaForcedSource"), mjd).join(objects.select("diaObjectId"), "diaObjectId", "left_semi")
-        return conform(first_values(found.drop("cell"), KEYS["diaForcedSource"], ["midpointMjdTai"]), "diaForcedSource")
+        return forced_before(self.read("diaForcedSource"), objects, mjd)
 
     def load(self, region: Polygon, mjd: float, padding: float = LOAD_PADDING, forced: bool = True) -> Loaded:
         """Objects of the padded region, and their sources and forced sources of the window before ``mjd``."""
@@ -123,7 +140,7 @@ class Catalog:
         return refresh(preloaded, fresh)
 
     def write(self, visit: int, detector: int, processed_mjd: float, objects: DataFrame, sources: DataFrame, forced: DataFrame) -> float:
-        """Append a visit's rows; the log says WRITTEN afterwards. A visit that was written before is an error."""
+        """Write a visit's rows; the log says WRITTEN afterwards. A visit that was written and logged before is an error."""
         if self.status(visit, detector):
             raise RuntimeError(f"visit {visit} detector {detector} was already written")
         stored = {
@@ -134,7 +151,7 @@ class Catalog:
         for table, df in stored.items():
             out = conform(df, table).withColumn("cell", sky_cell(F.col("ra"), F.col("dec")))
             drop = all_null_columns(out.drop(*KEYS[table], "cell", "midpointMjdTai", "ra", "dec"))
-            out.drop(*drop).write.mode("append").partitionBy("cell").parquet(f"{self.path}/{table}")
+            out.drop(*drop).write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/{table}/run={visit}_{detector}")
         self.log(visit, detector, WRITTEN)
         return processed_mjd
 

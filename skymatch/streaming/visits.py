@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import Polygon
+from ..functions.geometry import Polygon, unit_vector
 from ..operators import assign, lifecycle, stats
-from ..operators.crossmatch import MatchConfig
+from ..operators.crossmatch import MatchConfig, drop_unplaced
 from ..sources.schemas import conform
 from ..sources.store import DONE, WRITTEN, AfterWriteError, Catalog
 
@@ -32,12 +34,22 @@ class VisitResult:
 
 
 def region_of(sources: DataFrame) -> Polygon | None:
-    """A region around the sources of one visit and detector: the corners of their box in right ascension and declination."""
-    r = sources.agg(F.min("ra"), F.max("ra"), F.min("dec"), F.max("dec")).first()
-    if r[0] is None:
+    """An octagon around the sources of one visit and detector, from their mean direction and the farthest of them; RA 0 and the poles are like any place."""
+    x, y, z = unit_vector(F.col("ra"), F.col("dec"))
+    placed = drop_unplaced(sources).select(x.alias("x"), y.alias("y"), z.alias("z"))
+    centre = np.array([v or 0.0 for v in placed.agg(F.avg("x"), F.avg("y"), F.avg("z")).first()])
+    if not centre.any():
         return None
-    step = 1e-4
-    return Polygon.of_degrees([(r[0] - step, r[2] - step), (r[1] + step, r[2] - step), (r[1] + step, r[3] + step), (r[0] - step, r[3] + step)])
+    centre /= np.linalg.norm(centre)
+    chord = placed.agg(F.max(F.sqrt(sum((F.col(c) - float(v)) ** 2 for c, v in zip("xyz", centre, strict=True))))).first()[0]
+    angle = math.radians(1e-4) + 2 * math.asin(min(1.0, chord / 2)) / math.cos(math.pi / 8)
+    if angle > math.radians(80):
+        raise ValueError("the sources of a visit and detector lie all over the sky")
+    one = np.cross(centre, np.eye(3)[np.abs(centre).argmin()])
+    one /= np.linalg.norm(one)
+    two = np.cross(centre, one)
+    turns = [k * math.pi / 4 for k in range(8)]
+    return Polygon.hull([math.cos(angle) * centre + math.sin(angle) * (math.cos(t) * one + math.sin(t) * two) for t in turns])
 
 
 def process_visit(catalog: Catalog, sources: DataFrame, visit: int, detector: int, config: VisitConfig = VisitConfig(), after: Callable[[DataFrame, DataFrame], None] | None = None) -> VisitResult | None:

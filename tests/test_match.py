@@ -110,3 +110,35 @@ def test_range_join_equals_all_pairs(spark):
     v = np.array([[math.cos(math.radians(d)) * math.cos(math.radians(a)), math.cos(math.radians(d)) * math.sin(math.radians(a)), math.sin(math.radians(d))] for _, a, d in pos])
     far = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
     assert got == {(int(i), int(j)) for i, j in zip(*np.where(far <= r), strict=True)}
+
+
+@pytest.mark.parametrize("points", [[(359.9, 1.0), (359.99, 1.1), (0.01, 0.9), (0.1, 1.0)], [(10.0, 89.9), (130.0, 89.95), (250.0, 89.9)], [(77.0, -45.0)]])
+def test_region_of_holds_all_sources(spark, points):
+    from skymatch.streaming.visits import region_of
+
+    df = spark.createDataFrame(points, "ra double, dec double")
+    region = region_of(df)
+    assert df.where(region.contains(F.col("ra"), F.col("dec"))).count() == len(points)
+    far = spark.createDataFrame([(180.0, 0.0), (5.0, 3.0), (0.0, 80.0)], "ra double, dec double")
+    assert far.where(region.contains(F.col("ra"), F.col("dec"))).count() == 0
+    assert region_of(df.where("ra > 1000")) is None
+
+
+def test_newest_version_decides_and_writes_repeat(spark, tmp_path):
+    from skymatch.functions.geometry import Polygon
+    from skymatch.sources.schemas import empty
+    from skymatch.sources.store import Catalog
+
+    catalog = Catalog(spark, str(tmp_path / "catalog"))
+    old = spark.createDataFrame([(1, 10.001, 5.001), (2, 10.002, 5.002)], "diaObjectId bigint, ra double, dec double")
+    new = spark.createDataFrame([(1, 10.012, 5.001)], "diaObjectId bigint, ra double, dec double")
+    none = empty(spark, "diaSource"), empty(spark, "diaForcedSource")
+    catalog.write(1, 0, 60000.0, old, *none)
+    log, catalog.log = catalog.log, lambda *_: (_ for _ in ()).throw(OSError("no log"))
+    with pytest.raises(OSError):
+        catalog.write(2, 0, 60001.0, new, *none)
+    catalog.log = log
+    catalog.write(2, 0, 60001.0, new, *none)  # a run that failed before its log entry is written again
+    assert catalog.read("diaObject").count() == 3
+    region = Polygon.of_degrees([(10.0, 5.0), (10.01, 5.0), (10.01, 5.01), (10.0, 5.01)])
+    assert [r.diaObjectId for r in catalog.load_objects(region).collect()] == [2]
