@@ -169,9 +169,12 @@ class Wcs:
             out.append((ra % 360, math.degrees(math.asin((depth * s + eta * c) / math.sqrt(xi * xi + eta * eta + depth * depth)))))
         return Polygon.of_degrees(out)
 
-    def local_matrix(self) -> list[list[float]]:
-        """The CD matrix in arcseconds per pixel."""
-        return [[3600 * x for x in row] for row in self.cd]
+    def local_matrix(self, x: Column, y: Column) -> Column:
+        """Change of ra and dec, in degrees, per pixel of x and of y around a point: [ra by x, ra by y, dec by x, dec by y]."""
+        half = 0.5
+        (ra_r, dec_r), (ra_l, dec_l) = self.pixel_to_sky(x + half, y), self.pixel_to_sky(x - half, y)
+        (ra_u, dec_u), (ra_d, dec_d) = self.pixel_to_sky(x, y + half), self.pixel_to_sky(x, y - half)
+        return F.array(ra_difference(ra_r, ra_l), ra_difference(ra_u, ra_d), dec_r - dec_l, dec_u - dec_d)
 
 
 def pixel_scale(cd: tuple[Column, Column, Column, Column]) -> Column:

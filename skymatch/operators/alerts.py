@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,11 +141,12 @@ def avro_bodies(alerts: DataFrame) -> DataFrame:
     """diaSourceId and the Avro body (without a schema) of every alert."""
     fields = [(f.name, _writer(f.dataType)) for f in alerts.schema]
 
-    @F.udf("binary")
-    def encode(alert):
-        return b"".join(w(alert[n]) for n, w in fields)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [b"".join(w(alert[n]) for n, w in fields) for alert in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("diaSourceId"), pa.array(bodies, pa.binary())], names=["diaSourceId", "body"])
 
-    return alerts.select("diaSourceId", encode(F.struct(*alerts.columns)).alias("body"))
+    return alerts.mapInArrow(encode, "diaSourceId long, body binary")
 
 
 def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:

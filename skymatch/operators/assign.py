@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -100,21 +100,31 @@ def match(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchCon
     return priced.groupBy(*VISIT).applyInPandas(_assign, MATCHES)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Association:
-    """Sources with their object, sources without, and the counts per visit and detector."""
+    """All placed sources with the id of their object, 0 for none, and the number of objects that were there to be matched."""
 
-    matched: DataFrame
-    unmatched: DataFrame
-    counts: DataFrame
+    labelled: DataFrame
+    n_objects: Column
+
+    @property
+    def matched(self) -> DataFrame:
+        return self.labelled.where("diaObjectId <> 0")
+
+    @property
+    def unmatched(self) -> DataFrame:
+        return self.labelled.where("diaObjectId = 0")
+
+    @property
+    def counts(self) -> DataFrame:
+        """Per visit and detector. An object that is not matched there counts as unassociated."""
+        counts = self.labelled.groupBy(*VISIT).agg(F.count(F.when(F.col("diaObjectId") != 0, 1)).alias("nUpdatedDiaObjects"), F.count(F.when(F.col("diaObjectId") == 0, 1)).alias("nUnmatchedDiaSources"))
+        return counts.withColumn("nUnassociatedDiaObjects", self.n_objects - F.col("nUpdatedDiaObjects"))
 
 
 def associate(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> Association:
-    """Match ``sources`` with the ``objects`` loaded for them; an object counts as unassociated in a visit if it is among these and not matched there."""
+    """Match ``sources`` with the ``objects`` loaded for them."""
     placed = drop_unplaced(sources).drop("diaObjectId")
     found = match(sources, objects, config).select("diaSourceId", "diaObjectId")
     labelled = placed.join(found, "diaSourceId", "left").withColumn("diaObjectId", F.coalesce("diaObjectId", F.lit(0).cast("long")))
-    n_objects = objects.agg(F.count("*")).scalar()
-    counts = labelled.groupBy(*VISIT).agg(F.count(F.when(F.col("diaObjectId") != 0, 1)).alias("nUpdatedDiaObjects"), F.count(F.when(F.col("diaObjectId") == 0, 1)).alias("nUnmatchedDiaSources"))
-    counts = counts.withColumn("nUnassociatedDiaObjects", n_objects - F.col("nUpdatedDiaObjects"))
-    return Association(labelled.where("diaObjectId <> 0"), labelled.where("diaObjectId = 0"), counts)
+    return Association(labelled, objects.agg(F.count("*")).scalar())

@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, Wcs
 from ..sources.schemas import conform, empty_forced
 
 DROPPED = ("coord_ra", "coord_dec")
+#: Forced sources of one image are numbered below this.
+MOST_ON_IMAGE = 1 << 20
+
+
+@dataclass(frozen=True)
+class Exposure:
+    """What a visit and detector tells of its image. ``difference`` and ``direct`` hold its pixels as :func:`psf_fluxes` takes them; without them nothing is measured."""
+
+    visit: int
+    detector: int
+    band: str
+    midpoint_mjd: float
+    wcs: Wcs
+    box: Box
+    calibration: float = 1.0
+    calibration_err: float = 0.0
+    psf_sigma: float = 1.5
+    shutter_close: float | None = None
+    difference: DataFrame | None = None
+    direct: DataFrame | None = None
 
 
 def with_history(objects: DataFrame, threshold: int = 2) -> DataFrame:
@@ -70,6 +93,26 @@ def trim(forced: DataFrame, updated_ids: DataFrame, wcs: Wcs, box: Box) -> DataF
     return marked.where(F.coalesce(box.contains(x, y), F.lit(False)) | F.col("_u").isNotNull()).drop("_u")
 
 
+def measure(objects: DataFrame, updated_ids: DataFrame, exposure: Exposure, processed_mjd: float, threshold: int = 2) -> DataFrame:
+    """Standard forced sources of all objects with enough history, on both images of an exposure, trimmed to the image and the updated objects."""
+    if exposure.difference is None or exposure.direct is None:
+        return conform(empty_forced(objects.sparkSession), "diaForcedSource")
+    x, y = exposure.wcs.sky_to_pixel(F.col("ra"), F.col("dec"))
+    at = with_history(objects, threshold).select(F.lit(exposure.visit).cast("long").alias("visit"), F.lit(exposure.detector).alias("detector"), F.col("diaObjectId").alias("id"), "ra", "dec", x.alias("x"), y.alias("y"))
+    at = at.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    own = ["visit", "detector", "id", "x", "y"]
+    difference, direct = (psf_fluxes(at.select(own), images, exposure.psf_sigma) for images in (exposure.difference, exposure.direct))
+    # The objects of one image, which is the unit of a task already, are numbered in the order of their ids.
+    n = F.row_number().over(W.partitionBy("visit", "detector").orderBy("id"))
+    number = F.when(n < MOST_ON_IMAGE, n).otherwise(F.raise_error(F.lit("too many forced sources on one image")).cast("int"))
+    first = F.lit((exposure.visit * 1000 + exposure.detector) * MOST_ON_IMAGE).cast("long")
+    named = at.select("id", (first + number).alias("diaForcedSourceId"), F.radians("ra").alias("coord_ra"), F.radians("dec").alias("coord_dec"))
+    placed = difference.join(named, "id").withColumnRenamed("id", "diaObjectId").drop("visit", "detector")
+    about = {"visit": exposure.visit, "detector": exposure.detector, "band": exposure.band, "midpointMjdTai": exposure.midpoint_mjd, "calibration": exposure.calibration, "calibration_err": exposure.calibration_err}
+    merged = merge_measurements(placed, direct.withColumnRenamed("id", "diaObjectId"), about, processed_mjd)
+    return trim(merged, updated_ids, exposure.wcs, exposure.box)
+
+
 def load_or_empty(objects: DataFrame, forced: DataFrame | None) -> DataFrame:
     """Forced sources of the given objects, the two-column empty table where none are wanted."""
     if forced is None:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Stands for a number of alerts, or their delay, where none were asked for.
 NOT_PRODUCED = -1
 
 

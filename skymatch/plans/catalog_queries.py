@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, Polygon, Wcs
 from ..operators import alerts, detections, forced, lifecycle, metrics, solarsystem, stats
 from ..sources import store
-from ..sources.schemas import conform
+from ..sources.schemas import conform, empty
 from .fixtures import dia_objects, dia_sources, forced_sources, raw_detections, with_sql
 from .match_queries import MATCHES
 
@@ -134,7 +135,13 @@ def max_slope(spark, d):
 
 
 REGION = Polygon.of_degrees([(150.0, 2.0), (150.06, 2.0), (150.08, 2.05), (150.01, 2.06)])
-_INSIDE = " and ".join(f"cos(radians(dec)) * cos(radians(ra)) * ({float(n[0])!r}) + cos(radians(dec)) * sin(radians(ra)) * ({float(n[1])!r}) + sin(radians(dec)) * ({float(n[2])!r}) >= 0" for n in REGION.padded(20.0).normals())
+
+
+def _inside(region: Polygon) -> str:
+    return " and ".join(f"cos(radians(dec)) * cos(radians(ra)) * ({float(n[0])!r}) + cos(radians(dec)) * sin(radians(ra)) * ({float(n[1])!r}) + sin(radians(dec)) * ({float(n[2])!r}) >= 0" for n in region.normals())
+
+
+_INSIDE, _INSIDE_SMALL = _inside(REGION.padded(20.0)), _inside(REGION.padded(2.0))
 
 
 @_query("load_objects_region", f"{with_sql('dia_object')} select diaObjectId from dia_object where {_INSIDE}")
@@ -167,6 +174,62 @@ def load_sources(spark, d):
     return store.sources_before(s, dia_objects(spark, d), s.agg(F.max("midpointMjdTai")).first()[0]).select("diaSourceId", "diaObjectId", "visit")
 
 
+def _checkpoint(spark) -> str:
+    """A new folder that all executors share."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/skymatch-{uuid.uuid4().hex}"
+
+
+@_query(
+    "catalog_load",
+    f"""{_BOTH}, o as (select diaObjectId from dia_object where {_INSIDE}), t as (select max(midpointMjdTai) as t from dia_source)
+select 'diaObject' as stored, diaObjectId as oid, diaObjectId as id from o
+union all select 'diaSource', trueId, diaSourceId from dia_source, t where midpointMjdTai < t.t and trueId in (select diaObjectId from o)
+union all select distinct 'diaForcedSource', diaObjectId, diaForcedSourceId from forced, t where midpointMjdTai < t.t and midpointMjdTai > t.t - 365 and diaObjectId in (select diaObjectId from o)""",
+)
+def catalog_load(spark, d):
+    """All tables written to a catalog, and the objects of a region loaded from it with their history."""
+    catalog, s = store.Catalog(spark, _checkpoint(spark)), _named(spark, d)
+    placed = forced_sources(spark, d).withColumns({"ra": F.lit(150.0), "dec": F.lit(2.0)})
+    catalog.write(1, 1, 0.0, dia_objects(spark, d), s, placed)
+    found = catalog.load(REGION, s.agg(F.max("midpointMjdTai")).first()[0])
+    tables = {"diaObject": found.objects, "diaSource": found.sources, "diaForcedSource": found.forced}
+    parts = [df.select(F.lit(t).alias("stored"), F.col("diaObjectId").alias("oid"), F.col(f"{t}Id").alias("id")) for t, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@_query(
+    "catalog_refresh",
+    f"{with_sql('dia_object')} select diaObjectId, round(case when {_INSIDE_SMALL} then dec else dec + 1 end, 9) as dec from dia_object where diaObjectId % 2 = 0 or {_INSIDE_SMALL}",
+)
+def catalog_refresh(spark, d):
+    """Half of the objects, loaded before with other declinations; those in the region are loaded anew."""
+    catalog, o = store.Catalog(spark, _checkpoint(spark)), dia_objects(spark, d)
+    catalog.write(1, 1, 0.0, o, empty(spark, "diaSource"), empty(spark, "diaForcedSource"))
+    early = conform(o.where("diaObjectId % 2 = 0").withColumn("dec", F.col("dec") + 1), "diaObject")
+    return catalog.refreshed(early, REGION).select("diaObjectId", F.round("dec", 9).alias("dec"))
+
+
+@_query("exposure_region", f"{with_sql('dia_object')} select diaObjectId from dia_object where {_PX} >= 0 and {_PX} <= 999 and {_PY} >= 0 and {_PY} <= 799")
+def exposure_region(spark, d):
+    """Objects in the region of an image; great circles are straight lines of a tangent plane, so the box of pixels says the same."""
+    return store.in_region(dia_objects(spark, d), WCS.corners(BOX)).select("diaObjectId")
+
+
+@_query(
+    "transform_sources",
+    f"""{with_sql('raw')} select id as diaSourceId, visit, 'g' as band, round(degrees(coord_ra), 9) as ra, round(degrees(coord_dec), 9) as dec, cast(null as float) as psfFlux,
+  round(cast(cast(ip_diffim_forced_PsfFlux_instFlux * 2e0 as float) as double), 2) as scienceFlux, cast(0 as bigint) as diaObjectId, base_PixelFlags_flag_crCenter as pixelFlags_crCenter, ext_trailedSources_Naive_flag_edge as trail_flag_edge
+from raw where not coalesce(sky_source, false)""",
+)
+def transform_sources(spark, d):
+    """Raw detections to standard sources, without those of the empty sky, flags under their standard names."""
+    raw = raw_detections(spark, d).withColumns({"base_LocalPhotoCalib": F.lit(2.0), "base_LocalPhotoCalibErr": F.lit(0.1)})
+    e = raw.select("visit", "detector").distinct().withColumns({"band": F.lit("g"), "midpointMjdTai": F.lit(60000.0)})
+    names = ("base_PixelFlags_flag_crCenter", "ext_trailedSources_Naive_flag_edge")
+    out = detections.transform(raw, e, 60100.0, detections.TransformConfig(remove_sky=True, flag_names=names))
+    return out.select("diaSourceId", "visit", "band", F.round("ra", 9).alias("ra"), F.round("dec", 9).alias("dec"), "psfFlux", F.round(F.col("scienceFlux").cast("double"), 2).alias("scienceFlux"), "diaObjectId", "pixelFlags_crCenter", "trail_flag_edge")
+
+
 @_query("forced_trim", f"{_BOTH}, f as (select f.diaForcedSourceId, f.diaObjectId, o.ra, o.dec from forced f join dia_object o on o.diaObjectId = f.diaObjectId), u as (select distinct trueId from dia_source) select diaForcedSourceId, count(*) as n from f where ({_PX} >= -0.5 and {_PX} < 999.5 and {_PY} >= -0.5 and {_PY} < 799.5) or diaObjectId in (select trueId from u) group by diaForcedSourceId")
 def forced_trim(spark, d):
     placed = forced_sources(spark, d).join(dia_objects(spark, d).select("diaObjectId", "ra", "dec"), "diaObjectId")
@@ -278,11 +341,9 @@ def exposure_faults(spark, d):
 @_query("stream_visits", f"{MATCHES} select m.visit, m.diaSourceId, m.diaObjectId, round(p.score, 3) as score from m join p on p.diaSourceId = m.diaSourceId and p.diaObjectId = m.diaObjectId")
 def stream_visits(spark, d):
     """All sources as a stream of files, a visit never split, matched batch by batch against the objects."""
-    import uuid
-
     from ..streaming.visits import match_stream
 
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/skymatch-stream-{uuid.uuid4().hex}"
+    root = _checkpoint(spark)
     s = dia_sources(spark, d).drop("trueId")
     s.repartitionByRange(4, "visit").write.parquet(f"{root}/in")
     found = match_stream(spark, f"{root}/in", s.schema, dia_objects(spark, d), f"{root}/out", f"{root}/checkpoint")

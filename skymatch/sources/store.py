@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import Polygon
 from ..operators.lifecycle import first_values, nullify_ids
-from .schemas import KEYS, SCHEMAS, conform, empty, empty_forced
+from .schemas import KEYS, SCHEMAS, conform, empty, empty_forced, schema
 
 #: Days of history; padding of a region in arcseconds when loading, refreshing and exporting; degrees of a stored cell.
 HISTORY_DAYS, LOAD_PADDING, REFRESH_PADDING, CELL_DEGREES = 365.0, 20.0, 2.0, 5
@@ -101,15 +102,29 @@ class Catalog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def _place(self, name: str):
+        """Path and file system of a folder of the catalogs."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
     def _exists(self, table: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
-        return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+        p, files = self._place(table)
+        return files.exists(p)
+
+    def remove(self, folder: str) -> None:
+        """Take away a folder of working tables."""
+        if not folder.startswith("_work/"):
+            raise ValueError(f"{folder} is no working folder")
+        p, files = self._place(folder)
+        files.delete(p, True)
 
     def read(self, table: str) -> DataFrame:
         if not self._exists(table):
             out = empty(self.spark, table)
             return out.withColumn("cell", F.lit(0)) if "ra" in out.columns else out
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{table}").drop("run")
+        # With the schema given no file is opened to plan a load, and a table whose visits had no rows is an empty one.
+        stored = T.StructType([*schema(table), T.StructField("run", T.StringType()), T.StructField("cell", T.IntegerType())])
+        return self.spark.read.schema(stored).parquet(f"{self.path}/{table}").drop("run")
 
     def load_objects(self, region: Polygon) -> DataFrame:
         """Objects whose newest version lies in the region. Versions are looked for MOST_MOVED around it, so none of them is taken for the newest by mistake."""
@@ -145,13 +160,12 @@ class Catalog:
             raise RuntimeError(f"visit {visit} detector {detector} was already written")
         stored = {
             "diaObject": objects.withColumn("validityStartMjdTai", F.lit(processed_mjd)),
-            "diaSource": nullify_ids(sources, "diaObjectId", "ssObjectId", "parentDiaSourceId"),
+            "diaSource": nullify_ids(conform(sources, "diaSource"), "diaObjectId", "ssObjectId", "parentDiaSourceId"),
             "diaForcedSource": forced,
         }
         for table, df in stored.items():
             out = conform(df, table).withColumn("cell", sky_cell(F.col("ra"), F.col("dec")))
-            drop = all_null_columns(out.drop(*KEYS[table], "cell", "midpointMjdTai", "ra", "dec"))
-            out.drop(*drop).write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/{table}/run={visit}_{detector}")
+            out.write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/{table}/run={visit}_{detector}")
         self.log(visit, detector, WRITTEN)
         return processed_mjd
 
@@ -166,11 +180,11 @@ class Catalog:
         seen = {r["status"] for r in self.spark.read.parquet(f"{self.path}/runs").where((F.col("visit") == visit) & (F.col("detector") == detector)).collect()}
         return DONE if DONE in seen else WRITTEN if WRITTEN in seen else None
 
-    def export(self, region: Polygon, path: str, mjd: float) -> None:
-        """Objects, sources and forced sources of a patch of sky as files of their own."""
+    def export(self, region: Polygon, path: str, mjd: float, tract: int, patch: int) -> None:
+        """Objects of a patch of sky, with their sources and forced sources of the window before ``mjd``, in a folder of each table that a repeated export replaces."""
         loaded = self.load(region, mjd, padding=REFRESH_PADDING)
         for name, df in (("diaObject", loaded.objects), ("diaSource", loaded.sources), ("diaForcedSource", loaded.forced)):
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            df.write.mode("overwrite").parquet(f"{path}/{name}/tract={tract}/patch={patch}")
 
 
 def all_null_columns(df: DataFrame) -> list[str]:
