@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontam, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_codec, topk, toxicity
+from . import decontam, filter_audit, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_codec, topk, toxicity
 from .common import table
 
 
@@ -61,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"), width=35)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sharding": op2_sharding,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_codec": op9_token_codec,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -162,12 +167,37 @@ t as (select distinct item_id, list_slice(w, p, p + 4) as g from (select item_id
 n as (select item_id, count(*) as n from t group by item_id),
 c as (select doc_id, item_id, count(*) as c from s join t on s.g = t.g group by doc_id, item_id)
 select doc_id, c.item_id, n as n_shingles, c as n_common, c / n as containment from c join n on n.item_id = c.item_id where 100 * c >= 80 * n"""
+OP11_SQL = """with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+    coalesce(min(doc_id) over (partition by coalesce(text, '')) < doc_id, false) as e from documents
+), f as (
+  select doc_id, part, case when len(w) < 100 then 'A' else '' end || case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end
+    || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) then 'C' else '' end || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end || case when e then 'E' else '' end as fails from d
+), l as (
+  select doc_id, bool_or(coalesce(quality = 1, false)) as good, bool_or(coalesce(toxic = 1, false)) as toxic from labels group by doc_id
+), g as (
+  select part, fails, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n from f left join l using (doc_id) group by all
+), x as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as c
+), o as (
+  select a.c || b.c || p.c || q.c || r.c as filter_order from x a, x b, x p, x q, x r where len(list_distinct([a.c, b.c, p.c, q.c, r.c])) = 5
+), m as (
+  select *, coalesce(list_min(list_transform(string_split(nullif(fails, ''), ''), lambda y: instr(filter_order, y))), 6) as gone from g, o
+), s as (
+  select part, filter_order, step, filter_order[step] as c, sum(case when gone > step then n else 0 end) as kept, sum(case when gone = step then n else 0 end) as removed,
+    sum(case when gone < step and contains(fails, filter_order[step]) then n else 0 end) as redundant, sum(case when fails = filter_order[step] then n else 0 end) as unique_fails,
+    sum(case when gone = step and good then n else 0 end) as good_lost, sum(case when gone = step and toxic then n else 0 end) as toxic_lost
+  from m, (select unnest([1, 2, 3, 4, 5]) as step) group by all
+)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, c) as bigint) as shapley from s"""
 ORACLES: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op4_near_dedup": OP4_SQL,
     "op5_decontamination": OP5_SQL,
     "op7_top_k": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
     "mixing_targets": OP3_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
