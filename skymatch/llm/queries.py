@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontam, filter_audit, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_codec, topk, toxicity
+from . import collocations, decontam, filter_audit, license_scan, mixing, near_dedup, quality, secret_scan, sharding, substring_dedup, token_codec, topk, toxicity
 from .common import table
 
 
@@ -65,6 +65,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sharding": op2_sharding,
@@ -78,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_codec": op9_token_codec,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -191,6 +201,31 @@ OP11_SQL = """with d as (
 )
 select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
   cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, c) as bigint) as shapley from s"""
+OP13_SQL = f"""with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents
+), w as (
+  select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from p
+), f as (
+  select lang, k, g, count(*) as f from (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) as g from w, (select unnest([1, 2, 3]) as k)) group by all
+), n as (
+  select lang, sum(f) as n from f where k = 1 group by lang
+), c as (
+  select lang, k, g, f as a from f where k > 1 and f >= 10
+), u as (
+  select *, unnest(range(1, k)) as cut from c
+), s as (
+  select u.lang, u.g, u.k, a, cut, l.f as l, r.f as r, cast(1000000 as hugeint) * a * a // (cast(l.f as hugeint) * r.f) as score
+  from u join f l on l.lang = u.lang and l.g = list_slice(u.g, 1, cut) join f r on r.lang = u.lang and r.g = list_slice(u.g, cut + 1, u.k)
+), b as (
+  select * from (select *, row_number() over (partition by lang, g order by score, cut) as nth from s) where nth = 1
+), h as (
+  select lang, g, max(a) as most from (select lang, a, unnest([list_slice(g, 1, 2), list_slice(g, 2, 3)]) as g from c where k = 3) group by all
+), t as (
+  select lang, array_to_string(g, ' ') as phrase, a, l, r, score from b left join h using (lang, g) where (100 * most >= 50 * a) is not true
+), o as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from t
+)
+select o.lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from o join n using (lang) where rank <= 2000"""
 ORACLES: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op4_near_dedup": OP4_SQL,
@@ -198,6 +233,7 @@ ORACLES: dict[str, str] = {
     "op7_top_k": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op13_collocations": OP13_SQL,
     "mixing_targets": OP3_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
