@@ -1,103 +1,142 @@
 """Minimum-cost assignment of sources to objects, each used once at most.
 
 Every source may stay unmatched at a price above any score. The pairs of a visit and detector fall apart into connected
-components, each solved by itself; components of one source and one object are matched at once.
+components. Where a component has one source or one object, the cheapest pair is the assignment, which built-in functions
+find. The others are numbered by a distributed component search and solved one after another, each by itself: a task holds
+one component, not a visit, so a visit with most of all sources is spread like many small ones.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from ..sources.schemas import require_integer
-from .crossmatch import VISIT, MatchConfig, drop_unplaced, scored, unmatched_price
+from .components import connected_components
+from .crossmatch import VISIT, MatchConfig, drop_unplaced, scored, unmatched_cost
 
 MATCHES = "visit long, detector int, diaSourceId long, diaObjectId long, score double"
 
 
-def solve(cost: np.ndarray) -> np.ndarray:
-    """Column of each row in the cheapest complete assignment of rows to columns (rows <= columns), by shortest augmenting paths."""
-    rows, cols = cost.shape
-    row_price, col_price = np.zeros(rows), np.zeros(cols)
-    owner = np.full(cols, -1)
-    for first in range(rows):
-        dist, via, done = np.full(cols, np.inf), np.full(cols, -1), np.zeros(cols, dtype=bool)
-        row, at, sofar = first, -1, 0.0
+def solve(source: np.ndarray, target: np.ndarray, cost: np.ndarray, price: float) -> np.ndarray:
+    """Positions of the pairs of the cheapest assignment; a source left out costs ``price``.
+
+    Shortest augmenting paths over the pairs alone, so memory follows their number. A way out through the price is an own target of each source.
+    """
+    rows, source = np.unique(source, return_inverse=True)
+    columns, target = np.unique(target, return_inverse=True)
+    low = min(0.0, float(cost.min(initial=0.0)), price)  # every source pays it, whatever it is given
+    pairs: list[list[tuple[int, float, int]]] = [[(len(columns) + r, price - low, -1)] for r in range(len(rows))]
+    for i, (r, c, x) in enumerate(zip(source.tolist(), target.tolist(), cost.tolist(), strict=True)):
+        pairs[r].append((c, x - low, i))
+    row_price, col_price = [0.0] * len(rows), [0.0] * (len(columns) + len(rows))
+    owner: dict[int, int] = {}  # row of a column, and the pair that says so
+    by: dict[int, int] = {}
+    for first in range(len(rows)):
+        dist: dict[int, float] = {}
+        via: dict[int, tuple[int, int]] = {}  # row and pair by which a column is reached
+        done: dict[int, float] = {}
+        heap: list[tuple[float, int]] = []
+        row, sofar = first, 0.0
         while True:
-            reduced = sofar + cost[row] - row_price[row] - col_price
-            better = ~done & (reduced < dist)
-            dist[better], via[better] = reduced[better], at
-            at = int(np.where(done, np.inf, dist).argmin())
-            sofar = dist[at]
-            done[at] = True
-            if owner[at] < 0:
+            for c, x, i in pairs[row]:
+                reduced = sofar + x - row_price[row] - col_price[c]
+                if c not in done and reduced < dist.get(c, np.inf):
+                    dist[c], via[c] = reduced, (row, i)
+                    heapq.heappush(heap, (reduced, c))
+            sofar, at = heapq.heappop(heap)
+            while at in done:
+                sofar, at = heapq.heappop(heap)
+            if at not in owner:
                 break
+            done[at] = sofar
             row = owner[at]
         row_price[first] += sofar
-        for c in np.flatnonzero(done):
-            if c != at and owner[c] >= 0:
-                row_price[owner[c]] += sofar - dist[c]
-            col_price[c] -= sofar - dist[c]
-        while at >= 0:
-            before = via[at]
-            owner[at] = owner[before] if before >= 0 else first
-            at = before
-    out = np.full(rows, -1)
-    out[owner[owner >= 0]] = np.flatnonzero(owner >= 0)
-    return out
-
-
-def components(source: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
-    """Positions of the pairs of each connected component."""
-    parent: dict[tuple[str, int], tuple[str, int]] = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for s, o in zip(source.tolist(), target.tolist(), strict=True):
-        parent[find(("s", s))] = find(("o", o))
-    groups: dict[tuple[str, int], list[int]] = {}
-    for i, s in enumerate(source.tolist()):
-        groups.setdefault(find(("s", s)), []).append(i)
-    return [np.array(g) for g in groups.values()]
-
-
-def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["diaSourceId", "diaObjectId"], ignore_index=True)
-    source, target, score, price = (pdf[c].to_numpy() for c in ("diaSourceId", "diaObjectId", "score", "unmatched"))
-    kept: list[int] = []
-    for at in components(source, target):
-        if len(at) == 1:
-            kept.append(int(at[0]))
+        for c, d in done.items():
+            row_price[owner[c]] += sofar - d
+            col_price[c] -= sofar - d
+        given = {r: c for c, r in ((c, owner[c]) for c in done)}  # columns that may change hands
+        while True:
+            row, i = via[at]
+            owner[at], by[at] = row, i
+            if row == first:
+                break
+            at = given[row]
+    return np.array(sorted(i for i in by.values() if i >= 0), dtype=np.int64)
+
+
+def _solve_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components one after another; the rows of a task come in their order, and one of them is held at a time beside a batch."""
+    held: list[pa.RecordBatch] = []
+
+    def solved(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        visit, detector, number, source, target = (rows.column(c).to_numpy() for c in ("visit", "detector", "component", "diaSourceId", "diaObjectId"))
+        cost, price = (rows.column(c).to_numpy() for c in ("score", "unmatched"))
+        changes = (np.diff(visit) != 0) | (np.diff(detector) != 0) | (np.diff(number) != 0)
+        bounds = np.concatenate([[0], np.flatnonzero(changes) + 1, [rows.num_rows]])
+        kept = [low + solve(source[low:high], target[low:high], cost[low:high], price[low]) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+        return rows.select(["visit", "detector", "diaSourceId", "diaObjectId", "score"]).take(pa.array(np.concatenate(kept))).combine_chunks().to_batches(max_chunksize=None)
+
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        s, i = np.unique(source[at], return_inverse=True)
-        o, j = np.unique(target[at], return_inverse=True)
-        low = min(0.0, float(score[at].min()))
-        cost = np.full((len(s), len(o) + len(s)), 1e18)
-        cost[i, j] = score[at] - low
-        cost[np.arange(len(s)), len(o) + np.arange(len(s))] = price[at[0]] - low
-        chosen = solve(cost)
-        where = {(a, b): k for a, b, k in zip(i.tolist(), j.tolist(), at.tolist(), strict=True)}
-        kept += [where[a, b] for a, b in enumerate(chosen.tolist()) if b < len(o)]
-    return pdf.loc[sorted(kept), ["visit", "detector", "diaSourceId", "diaObjectId", "score"]]
+        keys = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("visit", "detector", "component")]
+        same = np.all([k == k[-1] for k in keys], axis=0)
+        last = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0  # begin of the last component
+        if held:
+            before = [held[-1].column(held[-1].schema.get_field_index(c))[-1].as_py() for c in ("visit", "detector", "component")]
+            if last == 0 and before == [k[-1] for k in keys]:
+                held.append(batch)
+                continue
+        if held or last:
+            yield from solved(pa.Table.from_batches([*held, batch[:last]]))
+        held = [batch[last:]]
+    if held:
+        yield from solved(pa.Table.from_batches(held))
+
+
+def _degrees(pairs: DataFrame) -> DataFrame:
+    """With is_star, whether the component of a pair has one source or one object, and is_best, whether the pair is its cheapest.
+
+    The windows span the pairs of one source or object of a visit, which the density of the sky bounds and not the number of rows.
+    """
+    of_source, of_object = W.partitionBy(*VISIT, "diaSourceId"), W.partitionBy(*VISIT, "diaObjectId")
+    best_of_source = F.row_number().over(of_source.orderBy("score", "diaObjectId")) == 1
+    best_of_object = F.row_number().over(of_object.orderBy("score", "diaSourceId")) == 1
+    counted = pairs.withColumn("_sources", F.count("*").over(of_object))
+    counted = counted.withColumns({"_objects": F.count("*").over(of_source), "_lone_source": F.max("_sources").over(of_source) == 1, "_first": best_of_source})
+    counted = counted.withColumns({"_lone_object": F.max("_objects").over(of_object) == 1, "_second": best_of_object})
+    found = F.when(F.col("_lone_source"), F.col("_first")).otherwise(F.col("_lone_object") & F.col("_second"))
+    return counted.select(*pairs.columns, (F.col("_lone_source") | F.col("_lone_object")).alias("is_star"), found.alias("is_best"))
+
+
+def pair_components(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with component, the smallest source of the connected component of its visit and detector."""
+    node = lambda kind, c: F.struct(*VISIT, F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    found = connected_components(pairs.select(node(0, "diaSourceId").alias("u"), node(1, "diaObjectId").alias("v")))
+    of_source = found.where("node.kind = 0").select(*(F.col(f"node.{c}").alias(c) for c in VISIT), F.col("node.id").alias("diaSourceId"), F.col("component.id").alias("component"))
+    return pairs.join(of_source, [*VISIT, "diaSourceId"])
 
 
 def match(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """visit, detector, diaSourceId, diaObjectId and score of the matched pairs. No pair crosses a visit and detector, the unit of a task."""
+    """visit, detector, diaSourceId, diaObjectId and score of the matched pairs. No pair crosses a visit and detector."""
     require_integer(objects, "diaObjectId")
-    # The price over the same partitions as the grouped map, so the range join runs once and its pairs are shuffled once.
-    price = unmatched_price(config, W.partitionBy(*VISIT))
     pairs = scored(sources, objects, config).select(F.col("visit").cast("long"), F.col("detector").cast("int"), "diaSourceId", "diaObjectId", "score", "by_likelihood")
-    priced = pairs.select("visit", "detector", "diaSourceId", "diaObjectId", "score", price.alias("unmatched"))
-    return priced.groupBy(*VISIT).applyInPandas(_assign, MATCHES)
+    marked = materialize(_degrees(pairs), "pairs")
+    columns = ["visit", "detector", "diaSourceId", "diaObjectId", "score"]
+    stars = marked.where("is_star and is_best").select(columns)
+    rest = pair_components(marked.where("not is_star").select(columns)).join(unmatched_cost(marked, config), VISIT)
+    ordered = rest.repartition(*VISIT, "component").sortWithinPartitions(*VISIT, "component", "diaSourceId", "diaObjectId")
+    return stars.unionByName(ordered.mapInArrow(_solve_all, MATCHES))
 
 
 @dataclass(frozen=True)

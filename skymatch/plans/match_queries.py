@@ -105,6 +105,17 @@ def assign_matches(spark, d):
     return assign.match(*_catalogs(spark, d)).select("visit", "diaSourceId", "diaObjectId", F.round("score", 3).alias("score"))
 
 
+#: The same with a week's nights as one visit: components of many sources, and four visits for all of them.
+_WEEK = "cast((day(ts) - 1) // 8 + 1 as bigint) as visit"
+
+
+@_query("assign_crowded", f"{MATCHES.replace('cast(day(ts) as bigint) as visit', _WEEK)} select m.visit, m.diaSourceId, m.diaObjectId, round(p.score, 3) as score from m join p on p.diaSourceId = m.diaSourceId and p.diaObjectId = m.diaObjectId")
+def assign_crowded(spark, d):
+    sources, objects = _catalogs(spark, d)
+    crowded = sources.withColumn("visit", F.floor((F.col("visit") - 1) / 8) + 1)
+    return assign.match(crowded, objects).select("visit", "diaSourceId", "diaObjectId", F.round("score", 3).alias("score"))
+
+
 @_query(
     "assign_counts",
     f"""{MATCHES}, t as (select visit, count(*) as n from dia_source group by visit), mm as (select visit, count(*) as n from m group by visit)

@@ -1,9 +1,9 @@
 """Range join, scores and assignment."""
 
-import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,14 +86,75 @@ def test_float_ids_are_an_error(spark):
         assign.match(sources(spark, []), spark.createDataFrame([], O.replace("diaObjectId bigint", "diaObjectId double")))
 
 
+def cheapest(source, target, cost, price):
+    """Least cost over all ways of giving sources objects, or none."""
+    pairs = {}
+    for s, t, c in zip(source, target, cost, strict=True):
+        pairs.setdefault(s, {})[t] = c
+
+    def walk(left, used):
+        if not left:
+            return 0.0
+        ways = [price + walk(left[1:], used)]
+        ways += [c + walk(left[1:], used | {t}) for t, c in pairs[left[0]].items() if t not in used]
+        return min(ways)
+
+    return walk(sorted(pairs), frozenset())
+
+
+def total(source, cost, price, kept):
+    return cost[kept].sum() + price * (len(set(source.tolist())) - len(kept))
+
+
 def test_solver_is_optimal():
     rng = np.random.default_rng(3)
-    for _ in range(200):
-        n, m = rng.integers(1, 5), rng.integers(5, 7)
-        cost = rng.normal(size=(n, m))
-        got = assign.solve(cost - cost.min())
-        best = min(sum(cost[i, p[i]] for i in range(n)) for p in itertools.permutations(range(m), int(n)))
-        assert len(set(got.tolist())) == n and cost[np.arange(n), got].sum() == pytest.approx(best)
+    for _ in range(300):
+        n, m = rng.integers(1, 6), rng.integers(1, 6)
+        at = np.argwhere(rng.random((n, m)) < rng.choice([0.3, 0.7, 1.0]))
+        if not len(at):
+            continue
+        source, target = at[:, 0] * 7, at[:, 1] * 5
+        cost = rng.choice([rng.normal(size=len(at)), rng.integers(0, 3, len(at)) - 1.0])
+        price = float(cost.max() + rng.choice([0.1, 1.0]))
+        kept = assign.solve(source, target, cost, price)
+        assert len(set(source[kept])) == len(set(target[kept])) == len(kept)
+        assert total(source, cost, price, kept) == pytest.approx(cheapest(source, target, cost, price))
+
+
+def test_one_crowded_visit_by_components(spark):
+    """All sources in one visit: chains that share objects, stars of both kinds and lone pairs, against all ways."""
+    rng = np.random.default_rng(8)
+    o, s = [], []
+    for field in range(30):
+        n_objects, n_sources = int(rng.integers(1, 5)), int(rng.integers(1, 6))
+        o += [(100 * field + i + 1, 10.0 + 0.01 * field, (0.7 * i + rng.uniform(-0.2, 0.2)) * SEC, None, None) for i in range(n_objects)]
+        s += [(1000 * field + i, 10.0 + 0.01 * field, (rng.uniform(-0.5, 0.7 * n_objects)) * SEC, None, None) for i in range(n_sources)]
+    chord = 2 * math.sin(math.radians(SEC) / 2)
+    price = 1.01 * math.radians(SEC) + 1e-300
+    got = assign.match(sources(spark, s), spark.createDataFrame(o, O)).collect()
+    far = {(a, b): 2 * math.sin(abs(math.radians(d - e)) / 2) for a, ra, d, *_ in s for b, rb, e, *_ in o if ra == rb}
+    for field in range(30):
+        mine = [(a, b, c) for (a, b), c in far.items() if a // 1000 == field and c <= chord]
+        if not mine:
+            continue
+        kept = [r for r in got if r.diaSourceId // 1000 == field]
+        assert len({r.diaSourceId for r in kept}) == len({r.diaObjectId for r in kept}) == len(kept)
+        found = sum(far[r.diaSourceId, r.diaObjectId] for r in kept) + price * (len({a for a, *_ in mine}) - len(kept))
+        assert found == pytest.approx(cheapest(*zip(*mine, strict=True), price))
+    shuffled = sources(spark, s[::-1]).repartition(3)
+    again = assign.match(shuffled, spark.createDataFrame(o, O)).collect()
+    assert sorted((r.diaSourceId, r.diaObjectId) for r in again) == sorted((r.diaSourceId, r.diaObjectId) for r in got)
+
+
+def test_components_may_span_batches():
+    rows = [(1, 1, s, o, 0.1 * abs(s - o), s // 4, 5.0) for s in range(40) for o in (s, s + 1) if (s + 1) // 4 == s // 4]
+    names = ["visit", "detector", "diaSourceId", "diaObjectId", "score", "component", "unmatched"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+    for size in (1, 3, 6, 7, 60):
+        parts = [batch[i : i + size] for i in range(0, len(rows), size)] + [batch[:0]]
+        got = [r for b in assign._solve_all(parts) for r in b.to_pylist()]
+        assert sorted((r["diaSourceId"], r["diaObjectId"]) for r in got) == sorted((s, s) for _, _, s, o, *_ in rows if s == o)
 
 
 def test_range_join_equals_all_pairs(spark):
