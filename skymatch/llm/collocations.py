@@ -28,14 +28,18 @@ from pyspark.sql import functions as F
 from .common import materialize, mix, shuffle_partitions
 
 #: Places, and bytes of different words, after which a shard is counted and a new one begun (at the end of a piece).
-SHARD_PLACES = 1 << 20
+SHARD_PLACES = 1 << 19
 SHARD_BYTES = 32 << 20
+#: Bytes of a text that are laid out at a time, up to the end of a piece.
+TEXT_BYTES = 1 << 20
 #: Bitmap bytes of the first words that are extended together.
-TOGETHER = 1 << 17
+TOGETHER = 1 << 15
 #: Buckets per shuffle partition: phrases spread evenly over the partitions, and a pack still holds many.
-BUCKETS = 4
+BUCKETS = 2
 NO_LANG = "und"
 
+#: Stands between pieces; no character has this byte.
+_GAP = b"\xff"
 _PIECES = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
 
@@ -46,7 +50,7 @@ class _Codes(dict):
 
     def __missing__(self, word: bytes) -> int:
         self.bytes += len(word)
-        code = self[word] = len(self)
+        code = self[word] = len(self) - 1
         return code
 
 
@@ -55,17 +59,18 @@ class Shard:
 
     def __init__(self) -> None:
         self.codes = _Codes()
+        self.codes[_GAP] = -1
         self.places = array("i")
 
     def add(self, words: list[bytes]) -> bool:
-        """Lay a piece out; true once the shard is full."""
+        """Lay words and gaps out, with a gap at the end; true once the shard is full."""
         self.places.extend(map(self.codes.__getitem__, words))
         self.places.append(-1)
         return len(self.places) >= SHARD_PLACES or self.codes.bytes >= SHARD_BYTES
 
     def laid_out(self) -> tuple[list[bytes], np.ndarray]:
         """Words in byte order, and the places with codes in that order."""
-        words = sorted(self.codes)
+        words = sorted(w for w in self.codes if w != _GAP)
         rank = np.empty(len(words) + 1, dtype=np.int64)
         rank[[self.codes[w] for w in words]] = np.arange(len(words))
         rank[-1] = -1
@@ -143,40 +148,44 @@ def packs(lang: str, shard: Shard, longest: int, buckets: int) -> Iterator[pa.Re
         found.setdefault(phrases.shape[1], []).append((phrases.astype(np.int32), bits))
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     vocabulary = pa.array(words, pa.large_binary())
-    texts, bucket, bits = [], [], []
-    for length in sorted(found):
-        codes = np.concatenate([p for p, _ in found[length]])
-        key = np.zeros(len(codes), dtype=np.uint64)
-        for j in range(length):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[:, j]])
-        columns = [vocabulary.take(pa.array(codes[:, j])) for j in range(length)]
-        texts.append(pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if length > 1 else columns[0])
-        bucket.append((key % np.uint64(buckets)).astype(np.int64))
-        bits += [n for _, n in found[length]]
-    if not texts:
-        return
-    n, bucket = np.concatenate(bits), np.concatenate(bucket)
-    order = np.lexsort((n, bucket))
-    n, bucket = n[order], bucket[order]
-    first = np.flatnonzero((np.diff(n, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))
-    lists = pa.ListArray.from_arrays(pa.array([*first, len(n)], pa.int32()), pa.concat_arrays(texts).take(pa.array(order)))
-    joined = pc.binary_join(lists, pa.scalar(b"\n", pa.large_binary()))
     names = ["lang", "bucket", "n", "phrases"]
 
     def rows(bucket: np.ndarray, n: np.ndarray, phrases: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(bucket, pa.int32()), pa.array(n, pa.int64()), phrases.cast(pa.binary())], names=names)
 
-    yield rows(np.zeros(1), np.array([np.count_nonzero(places >= 0)]), pa.array([b""]))
-    for low in range(0, len(first), 4096):
-        yield rows(bucket[first[low : low + 4096]], n[first[low : low + 4096]], joined[low : low + 4096])
+    if found:
+        yield rows(np.zeros(1), np.array([np.count_nonzero(places >= 0)]), pa.array([b""]))
+    for length in sorted(found):
+        codes, bits = np.concatenate([p for p, _ in found[length]]), np.concatenate([n for _, n in found.pop(length)])
+        key = np.zeros(len(codes), dtype=np.uint64)
+        for j in range(length):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[:, j]])
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((bits, bucket))
+        n, bucket, codes = bits[order], bucket[order], codes[order]
+        columns = [vocabulary.take(pa.array(codes[:, j])) for j in range(length)]
+        texts = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if length > 1 else columns[0]
+        first = np.flatnonzero((np.diff(n, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([*first, len(n)], pa.int32()), texts), pa.scalar(b"\n", pa.large_binary()))
+        del codes, columns, texts, order, key
+        for low in range(0, len(first), 4096):
+            yield rows(bucket[first[low : low + 4096]], n[first[low : low + 4096]], joined[low : low + 4096])
 
 
 def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """Words of the pieces of a text, A-Z lower-cased: no line feed is left in a piece, so bytes.split() parts at blanks and tabs."""
-    for piece in text.lower().translate(_PIECES).split(b"\n"):
-        words = piece.split()
+    """Words of a text, A-Z lower-cased, with gaps between its pieces; a long text in several lists, none of which cuts a piece.
+
+    bytes.split() parts at blanks and tabs alone, for the other four characters at which it does are gaps by then.
+    """
+    text = text.lower().translate(_PIECES)
+    low = 0
+    while low < len(text):
+        high = text.find(b"\n", low + TEXT_BYTES)
+        high = len(text) if high < 0 else high
+        words = text[low:high].replace(b"\n", b" " + _GAP + b" ").split()
         if words:
             yield words
+        low = high + 1
 
 
 def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:

@@ -103,6 +103,16 @@ def test_bitmaps_count_all_phrases(lines, longest, together):
     assert got == want
 
 
+def test_long_texts_are_laid_out_in_parts(monkeypatch):
+    text = b"One two, three four\x0b five" * 7
+    whole = [x for part in collocations.pieces(text) for x in part]
+    monkeypatch.setattr(collocations, "TEXT_BYTES", 9)
+    parts = list(collocations.pieces(text))
+    assert len(parts) > 7 and [w for part in parts for w in part if w != b"\xff"] == [w for w in whole if w != b"\xff"]
+    cut = [piece for part in parts for piece in b" ".join(part).split(b" \xff ")]
+    assert [p for p in cut if p] == b" ".join(whole).split(b" \xff ")
+
+
 def test_shards_are_closed_and_summed(monkeypatch):
     monkeypatch.setattr(collocations, "SHARD_PLACES", 10)
     shard = collocations.Shard()
