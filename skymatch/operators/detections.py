@@ -17,6 +17,8 @@ class TransformConfig:
     remove_sky: bool = False
     pack_flags: bool = False
     flag_names: tuple[str, ...] = ()
+    #: A source whose visit and detector have no exposure is an error; else its band and midpoint are unknown.
+    require_exposure: bool = False
 
 
 def bbox_size(x: Column, y: Column, box: Column) -> Column:
@@ -40,10 +42,17 @@ def midpoint(begin: Column, end: Column, allow_unbounded: bool = False) -> Colum
     return F.when(begin.isNull() | end.isNull(), F.raise_error(F.lit("the timespan is unbounded")).cast("double")).otherwise(begin + (end - begin) / 2)
 
 
-def enriched(df: DataFrame, exposures: DataFrame, processed_mjd: float) -> DataFrame:
-    """With band and midpoint of the exposure (one row per visit and detector), processing time, and ids not yet given."""
-    e = exposures.select("visit", "detector", "band", "midpointMjdTai")
-    both = df.drop("band", "midpointMjdTai").join(e, ["visit", "detector"])
+def enriched(df: DataFrame, exposures: DataFrame, processed_mjd: float, require_exposure: bool = False) -> DataFrame:
+    """With band and midpoint of the exposure (one row per visit and detector), processing time, and ids not yet given.
+
+    Every row stays. Where there is no exposure, band and midpoint are null, or ``require_exposure`` makes it an error.
+    """
+    e = exposures.select("visit", "detector", "band", "midpointMjdTai", F.lit(True).alias("_exposed"))
+    both = df.drop("band", "midpointMjdTai").join(e, ["visit", "detector"], "left")
+    if require_exposure:
+        where = F.concat(F.lit("no exposure of visit "), F.coalesce(F.col("visit").cast("string"), F.lit("null")), F.lit(" detector "), F.coalesce(F.col("detector").cast("string"), F.lit("null")))
+        both = both.withColumn("band", F.when(F.col("_exposed"), F.col("band")).otherwise(F.raise_error(where).cast("string")))
+    both = both.drop("_exposed")
     zero = F.lit(0).cast("long")
     return both.withColumns({"timeProcessedMjdTai": F.lit(processed_mjd), "diaObjectId": zero, "ssObjectId": zero, "detector": F.col("detector").cast("short")})
 
@@ -51,7 +60,7 @@ def enriched(df: DataFrame, exposures: DataFrame, processed_mjd: float) -> DataF
 def transform(raw: DataFrame, exposures: DataFrame, processed_mjd: float, config: TransformConfig = TransformConfig()) -> DataFrame:
     """Standard sources of raw detections, with a boolean column per flag under its standard name, or packed into ``flags``."""
     df = raw.where(~sky_mask(raw)) if config.remove_sky else raw
-    df = enriched(df, exposures, processed_mjd)
+    df = enriched(df, exposures, processed_mjd, config.require_exposure)
     if "footprint" in df.columns:
         box = F.col("footprint")
         df = df.withColumns({"bboxSize": bbox_size(F.col("slot_Centroid_x"), F.col("slot_Centroid_y"), box), "snr": peak_significance(box)})

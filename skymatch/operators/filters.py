@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nullsafe import any_flag, ge, ieee_div, le, lt
+from ..scratch import materialize
 from ..sources.schemas import require
 
 VISIT = ["visit", "detector"]
@@ -46,16 +47,18 @@ def with_trail_limit(df: DataFrame, config: FilterConfig, exposures: DataFrame |
     """``df`` with _trail_limit, the longest trail in pixels that is kept: by the scale that the visit's own catalog shows and the time of its exposure.
 
     ``exposures`` (visit, detector, exposureTime) has a row per exposure; a visit without one, or without a time, takes the default.
-    A table without visits or positions shows no scale, so it takes both defaults.
+    A table without visits or positions shows no scale, so it takes both defaults, as does a source of an unknown visit or detector.
     """
+    default = F.lit(config.max_trail_rate * config.exposure_time / config.pixel_scale)
     if not {*VISIT, "id", "x", "y", "coord_ra", "coord_dec"} <= set(df.columns):
-        return df.withColumn("_trail_limit", F.lit(config.max_trail_rate * config.exposure_time / config.pixel_scale))
+        return df.withColumn("_trail_limit", default)
     scales = catalog_pixel_scale(df, config.pixel_scale)
     time = F.lit(config.exposure_time)
     if exposures is not None:
         scales = scales.join(exposures.select(*VISIT, F.col("exposureTime").cast("double").alias("_time")), VISIT, "left")
         time = F.coalesce("_time", time)
-    return df.join(scales.select(*VISIT, (config.max_trail_rate * time / F.col("pixel_scale")).alias("_trail_limit")), VISIT)
+    limits = scales.select(*VISIT, (config.max_trail_rate * time / F.col("pixel_scale")).alias("_trail_limit"))
+    return df.join(limits, VISIT, "left").withColumn("_trail_limit", F.coalesce("_trail_limit", default))
 
 
 def trail_mask(limit: Column) -> Column:
@@ -108,7 +111,7 @@ class ThreeWay:
 
 
 def three_way(df: DataFrame, config: FilterConfig = FilterConfig(), exposures: DataFrame | None = None) -> ThreeWay:
-    marked, own = classified(df, config, exposures), df.columns
+    marked, own = materialize(classified(df, config, exposures), "classified"), df.columns  # read three times
     return ThreeWay(marked.where(~F.col("is_rejected") & ~F.col("is_long")).select(own), marked.where("is_rejected").select(own), marked.where("is_long").select(own))
 
 

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, Wcs
 from ..sources.schemas import conform, empty_forced
 
 DROPPED = ("coord_ra", "coord_dec")
-#: Forced sources of one image are numbered below this.
-MOST_ON_IMAGE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -32,9 +30,23 @@ class Exposure:
     calibration_err: float = 0.0
     psf_sigma: float = 1.5
     shutter_close: float | None = None
+    program: str | None = None
     difference: DataFrame | None = None
     direct: DataFrame | None = None
 
+    def faults(self) -> list[str]:
+        """Everything that it lacks to be used."""
+        finite = lambda v: v is not None and math.isfinite(v)
+        found = {
+            "no photometric calibration": not finite(self.calibration) or self.calibration <= 0 or not finite(self.calibration_err),
+            "no world coordinates": self.wcs is None,
+            "no band": not self.band,
+            "no bounding box": self.box is None,
+            "no point spread function": not finite(self.psf_sigma) or self.psf_sigma <= 0,
+            "no date": not finite(self.midpoint_mjd),
+        }
+        return [what for what, lacking in found.items() if lacking]
+
 
 def with_history(objects: DataFrame, threshold: int = 2) -> DataFrame:
     """Objects with enough sources; an unknown count is not enough."""
@@ -93,6 +105,12 @@ def trim(forced: DataFrame, updated_ids: DataFrame, wcs: Wcs, box: Box) -> DataF
     return marked.where(F.coalesce(box.contains(x, y), F.lit(False)) | F.col("_u").isNotNull()).drop("_u")
 
 
+def forced_id(visit: Column, detector: Column, object_id: Column) -> Column:
+    """A positive id from visit, detector and object, whatever their size: the same whenever it is worked out. Ids are told apart within an object, the key
+    of the table, where 63 bits never meet in practice."""
+    return F.xxhash64(visit.cast("long"), detector.cast("long"), object_id.cast("long")).bitwiseAND(F.lit((1 << 63) - 1))
+
+
 def measure(objects: DataFrame, updated_ids: DataFrame, exposure: Exposure, processed_mjd: float, threshold: int = 2) -> DataFrame:
     """Standard forced sources of all objects with enough history, on both images of an exposure, trimmed to the image and the updated objects."""
     if exposure.difference is None or exposure.direct is None:
@@ -102,11 +120,7 @@ def measure(objects: DataFrame, updated_ids: DataFrame, exposure: Exposure, proc
     at = at.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     own = ["visit", "detector", "id", "x", "y"]
     difference, direct = (psf_fluxes(at.select(own), images, exposure.psf_sigma) for images in (exposure.difference, exposure.direct))
-    # The objects of one image, which is the unit of a task already, are numbered in the order of their ids.
-    n = F.row_number().over(W.partitionBy("visit", "detector").orderBy("id"))
-    number = F.when(n < MOST_ON_IMAGE, n).otherwise(F.raise_error(F.lit("too many forced sources on one image")).cast("int"))
-    first = F.lit((exposure.visit * 1000 + exposure.detector) * MOST_ON_IMAGE).cast("long")
-    named = at.select("id", (first + number).alias("diaForcedSourceId"), F.radians("ra").alias("coord_ra"), F.radians("dec").alias("coord_dec"))
+    named = at.select("id", forced_id(F.col("visit"), F.col("detector"), F.col("id")).alias("diaForcedSourceId"), F.radians("ra").alias("coord_ra"), F.radians("dec").alias("coord_dec"))
     placed = difference.join(named, "id").withColumnRenamed("id", "diaObjectId").drop("visit", "detector")
     about = {"visit": exposure.visit, "detector": exposure.detector, "band": exposure.band, "midpointMjdTai": exposure.midpoint_mjd, "calibration": exposure.calibration, "calibration_err": exposure.calibration_err}
     merged = merge_measurements(placed, direct.withColumnRenamed("id", "diaObjectId"), about, processed_mjd)

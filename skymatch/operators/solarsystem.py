@@ -105,9 +105,9 @@ def elements(table: DataFrame) -> DataFrame:
 
 
 def packed_to_id(designation: Column) -> Column:
-    """A packed designation of up to seven ASCII characters as a long: its bytes, the first one highest. A longer one is an error."""
+    """A packed designation of up to seven ASCII characters as a long: its bytes, the first one highest. A longer one has no id (null); it does not end the job."""
     text = F.rtrim(designation)
-    return F.when(F.length(text) > 7, F.raise_error(F.concat(F.lit("not a packed designation: "), text)).cast("long")).otherwise(F.conv(F.hex(text), 16, 10).cast("long"))
+    return F.when(F.length(text) <= 7, F.conv(F.hex(text), 16, 10).cast("long"))
 
 
 def id_to_packed(number: Column) -> Column:

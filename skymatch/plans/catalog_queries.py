@@ -147,7 +147,7 @@ _INSIDE, _INSIDE_SMALL = _inside(REGION.padded(20.0)), _inside(REGION.padded(2.0
 @_query("load_objects_region", f"{with_sql('dia_object')} select diaObjectId from dia_object where {_INSIDE}")
 def load_objects_region(spark, d):
     objects = dia_objects(spark, d).withColumn("cell", store.sky_cell(F.col("ra"), F.col("dec")))
-    return store.in_region(objects, REGION.padded(20.0)).select("diaObjectId")
+    return store.in_region(objects.where(F.col("cell").isin(store.cells_of(REGION.padded(20.0)))), REGION.padded(20.0)).select("diaObjectId")
 
 
 @_query(
@@ -162,6 +162,40 @@ def load_history_asof(spark, d):
     return found.groupBy("visit").agg(F.count("*").alias("n"), F.count_distinct("diaObjectId").alias("n_objects"), F.round(F.max("midpointMjdTai"), 6).alias("latest"))
 
 
+#: A field per night, each elsewhere and 72 arcseconds wide.
+_FIELDS = "select visit, max(midpointMjdTai) as visitMjd, 150e0 + (visit % 7) * 0.02e0 as fieldRa, 2e0 + (visit % 3) * 0.01e0 as fieldDec, 0.02e0 as fieldRadius from dia_source group by visit"
+
+
+@_query(
+    "history_in_fields",
+    f"""{_SRC}, v as ({_FIELDS}), p as (select *, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z from dia_source),
+w as (select *, cos(radians(fieldDec)) * cos(radians(fieldRa)) as fx, cos(radians(fieldDec)) * sin(radians(fieldRa)) as fy, sin(radians(fieldDec)) as fz from v)
+select w.visit, p.diaSourceId, p.trueId as diaObjectId from w join p on p.midpointMjdTai < visitMjd and p.midpointMjdTai > visitMjd - 7
+  and sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) <= 2 * sin(radians(fieldRadius) / 2)""",
+)
+def history_in_fields(spark, d):
+    """The sources of the week before in every night's field: joined by sky cell and week."""
+    s = _named(spark, d)
+    visits = s.groupBy("visit").agg(F.max("midpointMjdTai").alias("visitMjd"))
+    fields = visits.withColumns({"fieldRa": F.lit(150.0) + (F.col("visit") % 7) * 0.02, "fieldDec": F.lit(2.0) + (F.col("visit") % 3) * 0.01, "fieldRadius": F.lit(0.02)})
+    return store.history_in_fields(fields, s, 7.0, 0.02).select("visit", "diaSourceId", "diaObjectId")
+
+
+@_query("catalog_versions", f"{_SRC} select 'third commit' as state, visit, count(*) as n from dia_source where visit < 18 group by visit union all select 'merged', visit, count(*) from dia_source group by visit")
+def catalog_versions(spark, d):
+    """The sources committed in five parts and merged; an older version is read beside the newest."""
+    catalog, s = store.Catalog(spark, _checkpoint(spark), cell_degrees=0.02), _named(spark, d)
+    objects, forced_none = dia_objects(spark, d), empty(spark, "diaForcedSource")
+    versions = []
+    for part in range(5):
+        mine = s.where(F.floor(F.col("visit") / 6) == part) if part < 4 else s.where("visit >= 24")
+        catalog.write(part, 0, 60000.0 + part, objects if part == 0 else objects.limit(0), mine, forced_none)
+        versions.append(catalog.state().version)
+    catalog.merge_commits(fan_in=5)
+    count = lambda c, name: c.read("diaSource").groupBy("visit").agg(F.count("*").alias("n")).select(F.lit(name).alias("state"), "visit", "n")
+    return count(catalog.at(versions[2]), "third commit").unionByName(count(catalog, "merged"))
+
+
 @_query("load_forced", f"{_BOTH}, k as (select diaForcedSourceId, min(visit) as visit, min(diaObjectId) as oid from forced where midpointMjdTai < 56500 and midpointMjdTai > 56500 - 365 and diaObjectId in (select diaObjectId from dia_object) group by diaForcedSourceId) select count(*) as n, count(distinct oid) as n_objects from k")
 def load_forced(spark, d):
     found = store.forced_before(forced_sources(spark, d), dia_objects(spark, d), 56500.0)
@@ -187,8 +221,8 @@ union all select 'diaSource', trueId, diaSourceId from dia_source, t where midpo
 union all select distinct 'diaForcedSource', diaObjectId, diaForcedSourceId from forced, t where midpointMjdTai < t.t and midpointMjdTai > t.t - 365 and diaObjectId in (select diaObjectId from o)""",
 )
 def catalog_load(spark, d):
-    """All tables written to a catalog, and the objects of a region loaded from it with their history."""
-    catalog, s = store.Catalog(spark, _checkpoint(spark)), _named(spark, d)
+    """All tables committed to a catalog, and the objects of a region loaded from it with their history: cells and periods are pruned."""
+    catalog, s = store.Catalog(spark, _checkpoint(spark), cell_degrees=0.02), _named(spark, d)
     placed = forced_sources(spark, d).withColumns({"ra": F.lit(150.0), "dec": F.lit(2.0)})
     catalog.write(1, 1, 0.0, dia_objects(spark, d), s, placed)
     found = catalog.load(REGION, s.agg(F.max("midpointMjdTai")).first()[0])
@@ -242,7 +276,7 @@ def ephemerides_on_image(spark, d):
     return solarsystem.on_image(e, WCS, BOX, 20).select("ssObjectId")
 
 
-@_query("enrich_constants", f"{with_sql('raw')} select id, visit, case when visit % 2 = 0 then 'g' else 'r' end as band, 60000e0 + visit as midpointMjdTai, 60100e0 as timeProcessedMjdTai, cast(0 as bigint) as diaObjectId from raw where visit % 7 <> 0")
+@_query("enrich_constants", f"{with_sql('raw')} select id, visit, case when visit % 7 = 0 then null when visit % 2 = 0 then 'g' else 'r' end as band, case when visit % 7 <> 0 then 60000e0 + visit end as midpointMjdTai, 60100e0 as timeProcessedMjdTai, cast(0 as bigint) as diaObjectId from raw")
 def enrich_constants(spark, d):
     raw = raw_detections(spark, d).withColumns({"band": F.lit("x"), "midpointMjdTai": F.lit(0.0)})
     e = raw.where("visit % 7 <> 0").select("visit", "detector").distinct().withColumns({"band": F.when(F.col("visit") % 2 == 0, "g").otherwise("r"), "midpointMjdTai": F.lit(60000.0) + F.col("visit")})
@@ -338,6 +372,24 @@ def exposure_faults(spark, d):
     return detections.exposure_faults(e).select("visit", F.array_join("faults", ",").alias("faults"))
 
 
+@_query(
+    "stream_statistics",
+    f"""{_SRC}, s as (select *, midpointMjdTai - lag(midpointMjdTai) over w as dt, psfFlux - lag(psfFlux) over w as df from dia_source window w as (partition by trueId, band order by midpointMjdTai, diaSourceId))
+select trueId as diaObjectId, band, round(sum(psfFlux / (psfFluxErr * psfFluxErr)) / sum(1 / (psfFluxErr * psfFluxErr)), 6) as mean, count(*) as n, round(stddev_samp(psfFlux), 5) as sigma, round(min(psfFlux), 6) as low, round(max(psfFlux), 6) as high,
+  round(max(case when dt > 0 then df / dt end), 3) as slope, round(sum(scienceFlux / (scienceFluxErr * scienceFluxErr)) / sum(1 / (scienceFluxErr * scienceFluxErr)), 6) as total from s group by trueId, band""",
+)
+def stream_statistics(spark, d):
+    """All sources as a stream of files that mix early and late visits; the state's statistics at its end."""
+    from ..streaming.state import statistics_stream
+
+    root, s = _checkpoint(spark), _named(spark, d)
+    s.repartition(4, F.hash("diaSourceId")).write.parquet(f"{root}/in")
+    found = statistics_stream(spark, f"{root}/in", s.schema, f"{root}/out", f"{root}/checkpoint", groups=64).where("band is not null")
+    named = {"mean": "psfFluxMean", "sigma": "psfFluxSigma", "low": "psfFluxMin", "high": "psfFluxMax", "slope": "psfFluxMaxSlope", "total": "scienceFluxMean"}
+    digits = {"sigma": 5, "slope": 3}
+    return found.select("diaObjectId", "band", F.col("psfFluxNdata").alias("n"), *[F.round(c, digits.get(o, 6)).alias(o) for o, c in named.items()])
+
+
 @_query("stream_visits", f"{MATCHES} select m.visit, m.diaSourceId, m.diaObjectId, round(p.score, 3) as score from m join p on p.diaSourceId = m.diaSourceId and p.diaObjectId = m.diaObjectId")
 def stream_visits(spark, d):
     """All sources as a stream of files, a visit never split, matched batch by batch against the objects."""

@@ -5,20 +5,24 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Polygon, unit_vector
 from ..operators import alerts, assign, forced, lifecycle, solarsystem, stats
+from ..operators.delivery import Delivery, deliver
 from ..operators.crossmatch import MatchConfig, drop_unplaced
-from ..operators.filters import QualityConfig
+from ..operators.filters import QualityConfig, check_bands
 from ..operators.forced import Exposure
 from ..operators.metrics import NOT_PRODUCED, visit_counts
-from ..sources.schemas import conform, empty_forced
+from ..sources.schemas import BANDS, conform, empty_forced
 from ..sources.store import DONE, WRITTEN, AfterWriteError, Catalog, Loaded
+from .rounds import plan_rounds
 
 
 @dataclass(frozen=True)
@@ -38,7 +42,15 @@ class VisitConfig:
     most_new_objects: int = 0
     filter_quality: bool = False
     quality: QualityConfig = field(default_factory=QualityConfig)
-    statistics: tuple[str, ...] = ("meanFlux", "sigmaFlux")
+    statistics: tuple[str, ...] = tuple(stats.STATISTICS)
+    #: Bands that sources may have; none means any.
+    bands: tuple[str, ...] = BANDS
+    #: Visits that may run at once, where their fields are apart.
+    side_by_side: int = 1
+    #: How the alerts among the outputs are sent; without it they lie in their table alone.
+    delivery: Delivery | None = None
+    #: Columns of a visit's rows without any value are not stored.
+    drop_empty: bool = False
     #: Pixels around the image within which objects take part; sources that an object needs to be measured on later images.
     image_buffer: int = 10
     history_threshold: int = 2
@@ -145,9 +157,13 @@ def process_visit(
         return None
     if status == WRITTEN:
         raise AfterWriteError(f"visit {visit} detector {detector} was written but not finished")
+    if exposure is not None and (faults := exposure.faults()):
+        raise ValueError(f"visit {visit} detector {detector} can't be used: {', '.join(faults)}")
     started = time.time()
     ours = left.put("sources", sources.where((F.col("visit") == visit) & (F.col("detector") == detector)))
     try:
+        if config.bands:
+            check_bands(ours, config.bands)
         region = exposure.wcs.corners(exposure.box) if exposure is not None else region_of(ours)
         mjd = exposure.midpoint_mjd if exposure is not None else ours.agg(F.max("midpointMjdTai")).first()[0]
         if region is None:
@@ -180,17 +196,21 @@ def process_visit(
         if exposure is not None:
             current = lifecycle.refresh(merged.objects, summary)
             measured = left.put("forcedSources", steps.measure(current, merged.updated_ids, exposure, mjd, config.history_threshold))
-        valid_from = catalog.write(visit, detector, mjd, summary, associated, measured)
+        valid_from = catalog.write(visit, detector, mjd, summary, associated, measured, before=objects, drop_empty=config.drop_empty)
         try:
             summary_now = summary.withColumn("validityStartMjdTai", F.lit(valid_from))
             n_alerts = delay = NOT_PRODUCED
+            sending: dict[str, int] = {}
             if "alerts" in config.outputs:
                 about = None
                 if known is not None:
                     about = solar.select("diaSourceId", "ssObjectId").join(known, "ssObjectId")
                 past = loaded.forced if "midpointMjdTai" in loaded.forced.columns else conform(loaded.forced, "diaForcedSource")
                 packed = steps.package(associated, summary_now, history, past.unionByName(measured), about, threshold=config.history_threshold)
-                n_alerts = left.put("alerts", packed).count()
+                packed = left.put("alerts", packed)
+                n_alerts = packed.count()
+                if config.delivery is not None:
+                    sending |= deliver(packed, config.delivery)
                 if exposure is not None and exposure.shutter_close is not None:
                     delay = time.time() - exposure.shutter_close
             table = visit_counts(associated, created.sources, found.counts, None if known is None else known.select(F.lit(visit).cast("long").alias("visit"), F.lit(detector).alias("detector")))
@@ -202,23 +222,50 @@ def process_visit(
             raise AfterWriteError(f"visit {visit} detector {detector}: {error}") from error
         catalog.log(visit, detector, DONE)
         counts = {k: v for k, v in counts.items() if k not in ("visit", "detector")}
-        return VisitResult(visit, detector, counts | {"numAlerts": n_alerts, "secondsSinceShutterClose": delay, "seconds": time.time() - started})
+        return VisitResult(visit, detector, counts | sending | {"numAlerts": n_alerts, "secondsSinceShutterClose": delay, "seconds": time.time() - started})
     finally:
         left.clear()
 
 
 def process_batch(catalog: Catalog, batch: DataFrame, config: VisitConfig = VisitConfig(), after: Callable[[DataFrame, DataFrame], None] | None = None, given: Callable[[int, int], VisitInput] = lambda visit, detector: VisitInput(), outputs: str | None = None) -> list[VisitResult]:
-    """All visits of a batch in time order: a visit must see the objects that the one before created. ``given`` finds what a visit has besides its sources."""
-    visits = batch.groupBy("visit", "detector").agg(F.min("midpointMjdTai").alias("t")).orderBy("t", "visit", "detector").collect()
-    results = [process_visit(catalog, batch, v["visit"], v["detector"], config, after, given(v["visit"], v["detector"]), outputs) for v in visits]
+    """All visits of a batch in time order: a visit must see the objects that the one before created there. ``given`` finds what a visit has besides its sources.
+
+    With ``side_by_side`` above one, visits whose fields are apart run at once (``rounds``), each in a thread that only waits for its Spark jobs.
+    """
+
+    def run(visit: int, detector: int) -> VisitResult | None:
+        return process_visit(catalog, batch, visit, detector, config, after, given(visit, detector), outputs)
+
+    if config.side_by_side > 1:
+        results: list[VisitResult | None] = []
+        with ThreadPoolExecutor(config.side_by_side) as threads:
+            for at_once in plan_rounds(batch):
+                started = [threads.submit(inheritable_thread_target(batch.sparkSession)(run), *v) for v in at_once]
+                wait(started)  # all of a round end, also where one fails, before the error is raised
+                results += [s.result() for s in started]
+    else:
+        visits = batch.groupBy("visit", "detector").agg(F.min("midpointMjdTai").alias("t")).orderBy("t", "visit", "detector").collect()
+        results = [run(v["visit"], v["detector"]) for v in visits]
+    catalog.merge_commits()
     return [r for r in results if r is not None]
 
 
-def run_stream(spark: SparkSession, source_path: str, schema: str, catalog: Catalog, checkpoint: str, config: VisitConfig = VisitConfig(), after: Callable[[DataFrame, DataFrame], None] | None = None) -> list[VisitResult]:
-    """Process every file of detections that has arrived under ``source_path`` and was not processed yet."""
+def run_stream(
+    spark: SparkSession,
+    source_path: str,
+    schema: str,
+    catalog: Catalog,
+    checkpoint: str,
+    config: VisitConfig = VisitConfig(),
+    after: Callable[[DataFrame, DataFrame], None] | None = None,
+    given: Callable[[int, int], VisitInput] = lambda visit, detector: VisitInput(),
+    outputs: str | None = None,
+) -> list[VisitResult]:
+    """Process every file of detections that has arrived under ``source_path`` and was not processed yet. ``given`` finds the exposure, the ephemerides and
+    the preloaded catalogs of each visit."""
     results: list[VisitResult] = []
     stream = spark.readStream.schema(schema).parquet(source_path)
-    query = stream.writeStream.foreachBatch(lambda batch, _: results.extend(process_batch(catalog, batch, config, after))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(lambda batch, _: results.extend(process_batch(catalog, batch, config, after, given, outputs))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return results
 

@@ -41,6 +41,23 @@ def test_three_way(spark):
     assert {r.reason: r.n for r in filters.attribution(df, filters.FilterConfig(remove_sky=True)).collect()} == {"sky": 5, "flags": 6, "snr": 2, "trail": 4}
 
 
+def test_sources_of_unknown_visits_stay(spark):
+    rows = [(i, None if i % 3 == 0 else 1, None if i % 5 == 0 else 2, 80.0 if i % 2 else 1.0, float(i * 10), 0.0, math.radians(i * 10 * 0.2 / 3600), 0.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "id bigint, visit bigint, detector int, ext_trailedSources_Naive_length double, x double, y double, coord_ra double, coord_dec double")
+    df = df.withColumns({f"ext_trailedSources_Naive_flag_{n}": F.lit(False) for n in ("off_image", "suspect_long_trail", "edge")})
+    t = filters.three_way(df, filters.FilterConfig(bad_flags=(), remove_negative=False))
+    assert sorted(r.id for r in t.kept.collect()) == list(range(0, 30, 2)) and sorted(r.id for r in t.long_trailed.collect()) == list(range(1, 30, 2))
+
+
+def test_sources_without_an_exposure_stay_or_are_an_error(spark):
+    df = spark.createDataFrame([(1, 1, 1), (2, 9, 1), (3, None, 1)], "id bigint, visit bigint, detector int")
+    e = spark.createDataFrame([(1, 1, "g", 60000.5)], "visit bigint, detector int, band string, midpointMjdTai double")
+    got = {r.id: (r.band, r.midpointMjdTai) for r in detections.enriched(df, e, 60001.0).collect()}
+    assert got == {1: ("g", 60000.5), 2: (None, None), 3: (None, None)}
+    with pytest.raises(Exception, match="no exposure of visit 9 detector 1"):
+        detections.enriched(df.where("id < 3"), e, 60001.0, require_exposure=True).collect()
+
+
 def test_reliability_and_quality(spark):
     s = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
     scored = filters.with_reliability(s, spark.createDataFrame([(1, 0.2, "v"), (2, NAN, "v"), (3, 0.9, "v")], "id bigint, score double, version string"))
@@ -114,7 +131,9 @@ def test_chebyshev_and_positions(spark):
 
 
 def test_designations(spark):
-    df = spark.createDataFrame([("K15MK4Q",), ("00001",)], "d string").withColumn("i", solarsystem.packed_to_id(F.col("d")))
+    df = spark.createDataFrame([("K15MK4Q",), ("00001",), ("2015 MK4",)], "d string").withColumn("i", solarsystem.packed_to_id(F.col("d")))
+    assert df.where("i is null").first().d == "2015 MK4"
+    df = df.where("i is not null")
     got = df.select("d", "i", solarsystem.id_to_packed(F.col("i")).alias("back")).collect()
     assert got[0].i == 21164728253101137 and all(r.back == r.d for r in got)
 

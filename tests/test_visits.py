@@ -10,6 +10,7 @@ from skymatch.functions.geometry import Box, Polygon, Wcs
 from skymatch.operators import forced, stats
 from skymatch.operators.forced import Exposure
 from skymatch.sources import store
+from skymatch.sources.schemas import empty
 from skymatch.streaming.visits import OUTPUTS, Steps, VisitConfig, VisitInput, process_batch, process_visit
 
 SOURCE = "diaSourceId bigint, visit bigint, detector int, ra double, dec double, psfFlux double, psfFluxErr double, midpointMjdTai double, band string"
@@ -120,8 +121,9 @@ def test_preloaded_objects_are_refreshed(spark, tmp_path):
 def test_refresh_that_fails_keeps_the_preloaded(spark, tmp_path):
     catalog, said = store.Catalog(spark, str(tmp_path / "c")), []
     objects = spark.createDataFrame([(1, 10.0, 1.0)], "diaObjectId bigint, ra double, dec double")
-    (tmp_path / "c" / "diaObject").mkdir(parents=True)
-    (tmp_path / "c" / "diaObject" / "bad.parquet").write_text("no table")
+    catalog.write(1, 1, 60000.0, objects, empty(spark, "diaSource"), empty(spark, "diaForcedSource"))
+    for file in (tmp_path / "c" / "diaObject").rglob("*.parquet"):
+        file.write_text("no table")
     region = Polygon.of_degrees([(9, 0), (11, 0), (11, 2), (9, 2)])
     assert catalog.refreshed(objects, region, said.append).collect() == objects.collect() and len(said) == 1
 
@@ -137,6 +139,31 @@ def test_export(spark, tmp_path):
     assert sorted(r.diaSourceId for r in read("diaSource").collect()) == [100, 101, 102, 200, 201, 202]
 
 
+def test_visits_that_cannot_be_used_stop_before_any_write(spark, tmp_path):
+    catalog = store.Catalog(spark, str(tmp_path / "c"))
+    sources = spark.createDataFrame(rows(1, 0.0), SOURCE)
+    bad = dataclasses.replace(exposure(spark, 1), band="", calibration=0.0, psf_sigma=float("nan"))
+    with pytest.raises(ValueError, match="no photometric calibration, no band, no point spread function"):
+        process_visit(catalog, sources, 1, 1, given=VisitInput(bad))
+    with pytest.raises(ValueError, match="bands"):
+        process_visit(catalog, sources.withColumn("band", F.lit("x")), 1, 1)
+    assert catalog.status(1, 1) is None and catalog.state().version == 0
+
+
+def test_a_visit_stores_all_statistics(spark, tmp_path):
+    catalog = store.Catalog(spark, str(tmp_path / "c"))
+    process_batch(catalog, spark.createDataFrame(rows(1, 0.0) + rows(2, 1e-5), SOURCE), VisitConfig(drop_empty=True))
+    got = store.latest_objects(catalog.read("diaObject")).where("diaObjectId = 100").first()
+    assert (got.g_psfFluxMean, got.g_psfFluxMin, got.g_psfFluxMax, got.g_psfFluxMaxSlope, got.g_psfFluxErrMean, got.g_psfFluxNdata) == pytest.approx((6.5, 6.0, 7.0, 1.0, 1.0, 2))
+    assert got.g_psfFluxSigma == pytest.approx(0.5**0.5) and got.g_scienceFluxMean is None and got.r_psfFluxMean is None
+
+
+def test_forced_ids_of_long_visit_numbers(spark):
+    df = spark.createDataFrame([(2025010100123, d, i) for d in (7, 1007) for i in range(50)], "visit bigint, detector int, id bigint")
+    ids = [r[0] for r in df.select(forced.forced_id(F.col("visit"), F.col("detector"), F.col("id"))).collect()]
+    assert len(set(ids)) == 100 and min(ids) >= 0
+
+
 def test_local_matrix(spark):
     got = spark.range(1).select(SKY.local_matrix(F.lit(128.0), F.lit(128.0))).first()[0]
     assert got == pytest.approx([-STEP / math.cos(math.radians(1.0)), 0.0, 0.0, STEP], abs=1e-9)
