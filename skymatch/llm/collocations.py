@@ -35,7 +35,9 @@ TEXT_BYTES = 1 << 20
 #: Bitmap bytes of the first words that are extended together.
 TOGETHER = 1 << 15
 #: Buckets per shuffle partition: phrases spread evenly over the partitions, and a pack still holds many.
-BUCKETS = 2
+BUCKETS = 8
+#: Parts whose best phrases are ranked together.
+TOGETHER_PARTS = 8
 NO_LANG = "und"
 
 #: Stands between pieces; no character has this byte.
@@ -251,11 +253,14 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     counts = materialize(phrase_counts(docs, longest, least), "phrases")
     phrases = counts.where(F.col("phrase") != "")
     kept = scored(phrases).join(covered(phrases), ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("most") < share * F.col("a"), F.lit(True)))
-    # The best of every part of a language first, so that no task ranks a whole one.
+    # The best of every part of a language first, then of every few parts together: no task ranks more than a few times ``top`` phrases.
     parts = 8 * shuffle_partitions(docs.sparkSession)
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
-    in_part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))).orderBy(*order)
-    best = kept.withColumn("_nth", F.row_number().over(in_part)).where(F.col("_nth") <= top)
+    best = kept
+    while parts > 1:
+        in_part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))).orderBy(*order)
+        best = best.withColumn("_nth", F.row_number().over(in_part)).where(F.col("_nth") <= top)
+        parts //= TOGETHER_PARTS
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = counts.where(F.col("phrase") == "").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
