@@ -64,22 +64,30 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1]
 
 
-_BEST = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_BEST = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+
+def _wide_scores(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Scores in numbers of any size; one that a long can't hold is an error."""
+    scores = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in x.tolist()]
+    if any(abs(s) >= 2**63 for s in scores):
+        raise OverflowError("an inner product is beyond 64 bits")
+    return np.array(scores, dtype=np.int64)
 
 
 class Search:
     """The k best vectors of each query of a block among the vectors shown so far."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int):
-        self.ids, self.x, self.turn, self.k = ids, x, turn, k
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int):
+        self.keys, self.ids, self.x, self.turn, self.k = keys, ids, x, turn, k
         self.rotated = x.astype(np.float64) @ turn
         self.length = np.sqrt((self.rotated**2).sum(axis=1))
         self.rest = np.sqrt(np.maximum(0, (self.rotated[:, HEAD:] ** 2).sum(axis=1)))
         self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
         self.least = np.full(len(ids), -np.inf)
 
-    def show(self, ids: np.ndarray, x: np.ndarray) -> None:
-        """``x``: more vectors, by descending length within a task."""
+    def show(self, keys: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        """``x``: more vectors, by descending length within a task; ``keys`` number their rows."""
         rotated = x.astype(np.float64) @ self.turn
         length = np.sqrt((rotated**2).sum(axis=1))
         rest = np.sqrt(np.maximum(0, (rotated[:, HEAD:] ** 2).sum(axis=1)))
@@ -92,10 +100,13 @@ class Search:
         # Whole-number scores; floats are exact up to 2^53.
         top = float(np.abs(self.x).max(initial=0)) * float(np.abs(x).max(initial=0)) * self.x.shape[1]
         for row, q in zip(may, alive.tolist(), strict=True):
-            at = np.flatnonzero(row & (ids != self.ids[q]))
+            at = np.flatnonzero(row & (keys != self.keys[q]))
             if not len(at):
                 continue
-            scores = (x[at].astype(np.float64) @ self.x[q].astype(np.float64)).astype(np.int64) if top < 2**53 else x[at] @ self.x[q]
+            if top < 2**53:
+                scores = (x[at].astype(np.float64) @ self.x[q].astype(np.float64)).astype(np.int64)
+            else:
+                scores = x[at] @ self.x[q] if top < 2**62 else _wide_scores(x[at], self.x[q])
             if len(at) > self.k:
                 order = np.lexsort((ids[at], -scores))[: self.k]
                 at, scores = at[order], scores[order]
@@ -104,19 +115,18 @@ class Search:
                 self.least[q] = -self.best[q][-1][0]
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        found = [(int(q), v, -s) for q, best in zip(self.ids, self.best, strict=True) for s, v in best]
+        found = [(int(key), int(q), v, -s) for key, q, best in zip(self.keys, self.ids, self.best, strict=True) for s, v in best]
         for a in range(0, len(found), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[a : a + 10_000], strict=True)], schema=_BEST)
 
 
 def _search(queries, width: int, k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, x, turn = queries.value
-        search = Search(ids, x, turn, k)
+        search = Search(*queries.value, k)
         for batch in batches:
             for a in range(0, batch.num_rows, STEP):
                 piece = batch.slice(a, STEP)
-                search.show(piece.column(0).to_numpy(zero_copy_only=False), _matrix(piece.column(1), width))
+                search.show(*(piece.column(i).to_numpy(zero_copy_only=False) for i in range(2)), _matrix(piece.column(2), width))
         yield from search.rows()
 
     return run
@@ -125,28 +135,29 @@ def _search(queries, width: int, k: int):
 def top_k(table: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score: for each row whose id is divisible by ``every``, the k best others by score, then id.
 
-    Ties, zero vectors and repeated rows are ranked like any; a row never finds rows of its own id. Vectors of unequal
-    length are compared as if filled up with zeros. Components are taken to stay below 2^31 after scaling.
+    Ties and zero vectors are ranked like any. Rows are told apart by where they lie, not by their id: of repeated rows each is a query of its own, with
+    ranks of its own, and finds the others. Vectors of unequal length are compared as if filled up with zeros. A score beyond 64 bits is an error. Extra
+    columns are not read. An empty table, or one without whole vectors, gives no rows.
     """
     spark = table.sparkSession
     vectors = whole_vectors(table, id_col, vector_col)
     norm = F.aggregate("x", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
     # Dealt evenly, then sorted by descending length in each task.
-    kept = materialize(vectors.withColumn("norm", norm), "topk-vectors")
+    kept = materialize(vectors.withColumns({"norm": norm, "key": F.monotonically_increasing_id()}), "topk-vectors")
     width = kept.agg(F.coalesce(F.max(F.size("x")), F.lit(0))).first()[0]
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     turn = rotation(kept, width)
     asked = kept.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    dealt = kept.repartition(shuffle_partitions(spark), F.xxhash64("vec_id")).sortWithinPartitions(F.desc("norm")).select("vec_id", "x")
+    dealt = kept.repartition(shuffle_partitions(spark), F.xxhash64("key")).sortWithinPartitions(F.desc("norm")).select("key", "vec_id", "x")
     found = None
     for i in range(blocks):
         # Blocks of the query set, of bounded size, one after the other against all rows.
-        block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).select("vec_id", "x").toArrow()
-        queries = (block.column("vec_id").to_numpy(), np.concatenate([_matrix(c, width) for c in block.column("x").chunks] or [np.zeros((0, width), dtype=np.int64)]), turn)
-        part = dealt.mapInArrow(_search(spark.sparkContext.broadcast(queries), width, k), "query_id long, vec_id long, score long")
+        block = asked.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == i).select("key", "vec_id", "x").toArrow()
+        queries = (block.column("key").to_numpy(), block.column("vec_id").to_numpy(), np.concatenate([_matrix(c, width) for c in block.column("x").chunks] or [np.zeros((0, width), dtype=np.int64)]), turn)
+        part = dealt.mapInArrow(_search(spark.sparkContext.broadcast(queries), width, k), "query_row long, query_id long, vec_id long, score long")
         found = part if found is None else found.unionByName(part)
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
