@@ -31,12 +31,15 @@ class ItemIndex:
     def __init__(self, items: Iterable[tuple[int, str | None]], threshold: int = THRESHOLD):
         of = WordHashes()
         self.threshold, self.ids = threshold, []
+        self.short: set[int] = set()  # lengths of the items of fewer words than a shingle, each one shingle of its own
         sets = [np.empty(0, dtype=np.uint64)]
         for item_id, text in items:
             words = of.of(alnum_words(text))
-            if len(words) >= SHINGLE:
+            if len(words):
                 self.ids.append(item_id)
                 sets.append(shingles(words, SHINGLE))
+                if len(words) < SHINGLE:
+                    self.short.add(len(words))
         self.all, self.sizes = np.concatenate(sets), np.array([len(x) for x in sets[1:]], dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         lacking = self.sizes - -(-threshold * self.sizes // 100)
@@ -50,6 +53,12 @@ class ItemIndex:
         order = order[np.argsort(self.all[order], kind="stable")]
         self.keys, self.items = self.all[order], item[order]
 
+    def document(self, words: np.ndarray) -> np.ndarray:
+        """Shingles of a document that items can share with it, by the hashes of its words: of five words, and of the lengths of short items."""
+        lengths = [n for n in (*sorted(self.short), SHINGLE) if n <= len(words)]
+        sets = [shingles(words, n) for n in lengths]
+        return np.unique(np.concatenate(sets)) if len(sets) > 1 else sets[0] if sets else np.empty(0, dtype=np.uint64)
+
     def found(self, x: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, its shingles, those of them in ``x``) for the items contained in the document set ``x``."""
         low, high = np.searchsorted(self.keys, x, "left"), np.searchsorted(self.keys, x, "right")
@@ -86,9 +95,8 @@ def _probe(shared):
         def rows():
             for doc_id, text in rows_of(batches, "doc_id", "text"):
                 words = of.of(alnum_words(text))
-                if len(words) >= SHINGLE:
-                    for item in index.found(shingles(words, SHINGLE)):
-                        yield doc_id, *item
+                for item in index.found(index.document(words)):
+                    yield doc_id, *item
 
         yield from batches_of(rows(), _PAIRS)
 
@@ -102,7 +110,7 @@ def _clean(shared, text_col: str):
             keep = []
             for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
                 words = of.of(alnum_words(text))
-                keep.append(len(words) < SHINGLE or not index.found(shingles(words, SHINGLE)))
+                keep.append(not index.found(index.document(words)))
             yield batch.filter(pa.array(keep, type=pa.bool_()))
 
     return run
@@ -111,8 +119,9 @@ def _clean(shared, text_col: str):
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, n_shingles, n_common, containment) for each item that stands in a document.
 
-    Words are lower-cased runs of letters, digits and non-ASCII characters. Items and documents of fewer than five words, null
-    and empty texts match nothing. Rows that share an id are reported each for itself. Empty tables give no rows.
+    Words are lower-cased runs of letters, digits and non-ASCII characters. An item of fewer than five words is one shingle, which stands in a document
+    where its words follow one another there. Null, empty and blank texts match nothing. Very long texts are read whole. Rows that share an id are reported
+    each for itself, ties and repeats included. Extra columns are not read, so their names can't clash. Empty tables give no rows.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -125,7 +134,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHO
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item stands, with all their columns."""
+    """The rows of ``docs`` in which no item stands, with all their columns, whatever these are called; rows with null or empty texts stay, repeated rows stay
+    or go together, very long texts are read whole. An empty benchmark removes nothing."""
     out = docs
     for index in indexes(benchmark, threshold):
         out = out.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index), text_col), docs.schema)

@@ -92,7 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _WORDS7 = """with q as (
-  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+  select row_number() over () as key, vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 )"""
 OP3_SQL = """with recursive d as (
@@ -111,10 +111,10 @@ OP3_SQL = """with recursive d as (
 )
 select o.source, cast(o.cap0 as bigint) as source_size, round(least(o.cap, f.level * o.weight), 4) as target from o, f"""
 OP7_SQL = _WORDS7 + """, s as (
-  select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) as score
-  from q a join q b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+  select a.key, a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from q a join q b on a.key <> b.key where a.vec_id % 100 = 0
 ), r as (
-  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+  select query_id, cast(row_number() over (partition by key order by score desc, vec_id) as integer) as rank, vec_id, score from s
 )
 select query_id, rank, vec_id, score from r where rank <= 10"""
 OP10_SQL = """with w as (
@@ -172,8 +172,9 @@ OP4_SQL = f"""with recursive w as (
 select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) as component_id, w.doc_id = least(w.doc_id, coalesce(m.b, w.doc_id)) as kept
 from w left join n on n.doc_id = w.doc_id left join m on m.a = w.doc_id"""
 OP5_SQL = f"""with w as (select doc_id, {_ALNUM} as w from documents), v as (select item_id, {_ALNUM} as w from benchmark),
-s as (select distinct doc_id, list_slice(w, p, p + 4) as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as p from w where len(w) >= 5)),
-t as (select distinct item_id, list_slice(w, p, p + 4) as g from (select item_id, w, unnest(range(1, len(w) - 3)) as p from v where len(w) >= 5)),
+i as (select item_id, w, least(len(w), 5) as k from v where len(w) > 0),
+s as (select distinct doc_id, list_slice(w, p, p + k - 1) as g from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as p from w, (select distinct k from i) where len(w) >= k)),
+t as (select distinct item_id, list_slice(w, p, p + k - 1) as g from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as p from i)),
 n as (select item_id, count(*) as n from t group by item_id),
 c as (select doc_id, item_id, count(*) as c from s join t on s.g = t.g group by doc_id, item_id)
 select doc_id, c.item_id, n as n_shingles, c as n_common, c / n as containment from c join n on n.item_id = c.item_id where 100 * c >= 80 * n"""

@@ -6,9 +6,9 @@ from skymatch.llm.common import alnum_words
 ITEMS = "item_id bigint, text string"
 
 
-def grams(text):
+def grams(text, n=5):
     w = alnum_words(text)
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
 def test_pairs_match_all_against_all(spark, docs, rows):
@@ -22,18 +22,27 @@ def test_pairs_match_all_against_all(spark, docs, rows):
         for _ in range(rng.choice([0, 0, 1, 3])):
             piece[rng.randrange(len(piece))] = "changed"
         items.append((i, " ".join(piece)))
-    items += [(100, None), (101, ""), (102, "too short item"), (103, long[0]), (103, long[0])]
+    items += [(100, None), (101, ""), (102, "too short item"), (103, long[0]), (103, long[0]), (104, "SINGLE!"), (106, ", ?")]
+    items += [(110 + n, " ".join(long[n].split()[7 : 7 + n])) for n in range(1, 6)]
     got = sorted((str(r.doc_id), r.item_id, r.n_shingles, r.n_common) for r in D.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect())
     want = []
     for doc_id, text, *_ in rows:
-        x = grams(text)
         for item, t in items:
-            y = grams(t)
+            n = max(1, min(5, len(alnum_words(t))))
+            x, y = grams(text, n), grams(t, n)
             if y and 100 * len(x & y) >= 80 * len(y):
                 want.append((str(doc_id), item, len(y), len(x & y)))
     assert got == sorted(want) and want
 
 
+def test_short_items(spark):
+    docs = spark.createDataFrame([(1, "The Answer: four, yes."), (2, "answer yes four"), (3, "four yes"), (4, None), (5, "a four yes b answer four yes")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "answer four yes"), (2, "four  yes")], ITEMS)
+    got = {(r.doc_id, r.item_id, r.n_shingles, r.containment) for r in D.contaminated(docs, items).collect()}
+    assert got == {(1, 1, 1, 1.0), (5, 1, 1, 1.0), (1, 2, 1, 1.0), (3, 2, 1, 1.0), (5, 2, 1, 1.0)}
+    assert sorted(r.doc_id for r in D.decontaminate(docs, items).collect()) == [2, 4]
+
+
 def test_parts_give_the_same(spark, docs, rows, monkeypatch):
     items = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows[:20])], ITEMS)
     whole = sorted(map(tuple, D.contaminated(docs, items).collect()), key=str)
