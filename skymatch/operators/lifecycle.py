@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, Wcs
 from ..functions.nullsafe import null_if
-from ..sources.schemas import KEYS, conform
+from ..sources.schemas import KEYS, conform, quoted
 from .filters import QualityConfig, quality_split
 
 
 def first_values(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: in every column the first value that is not null, in the given order."""
     rest = [c for c in df.columns if c not in keys]
-    at = F.struct(*order)
-    firsts = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in rest]
+    at = f"struct({', '.join(map(quoted, order))})"
+    firsts = [F.expr(f"min_by({c}, case when {c} is not null then {at} end) as {c}") for c in map(quoted, rest)]
     return df.groupBy(*keys).agg(*firsts).select(df.columns)
 
 

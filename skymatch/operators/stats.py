@@ -60,10 +60,12 @@ def band_statistics(sources: DataFrame, names: list[str] | None = None, bands: t
         raise ValueError(f"no statistics {unknown}")
     aggregates = {c: a for n in names for c, a in STATISTICS[n]().items()}
     rows = with_slopes(sources) if "maxSlopeFlux" in names else sources
-    wide = rows.groupBy("diaObjectId").pivot("band", list(bands)).agg(*[a.alias(c) for c, a in aggregates.items()])
-    if len(aggregates) == 1:
-        wide = wide.withColumnsRenamed({b: f"{b}_{next(iter(aggregates))}" for b in bands})
-    return wide
+    # A row per band first, then the bands of an object side by side: a tenth of the expressions of an aggregate per band and statistic.
+    long = rows.groupBy("diaObjectId", "band").agg(*[a.alias(c) for c, a in aggregates.items()])
+    entry = F.when(F.col("band").isin(*bands), F.struct("band", F.struct(*aggregates).alias("s")))
+    wide = long.groupBy("diaObjectId").agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
+    of_band = lambda b: F.try_element_at("_m", F.lit(b))
+    return wide.select("diaObjectId", *[of_band(b).getField(c).alias(f"{b}_{c}") for b in bands for c in aggregates])
 
 
 def mean_positions(sources: DataFrame) -> DataFrame:

@@ -267,7 +267,8 @@ class Catalog:
         parts = ["cell"] if table == "diaObject" else ["cell", "period"]
         if drop_empty:
             df = df.drop(*[c for c in all_null_columns(df) if c not in (*parts, "cells", f"{table}Id")])
-        df.write.mode("overwrite").partitionBy(*parts).parquet(f"{self.path}/{table}/commit={folder}")
+        # Few files a cell: rows are brought together by cell and period, small ones share a task, and a crowded one is split over several.
+        df.hint("rebalance", *[F.col(c) for c in parts]).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.path}/{table}/commit={folder}")
 
     def log(self, visit: int, detector: int, status: str, folder: str | None = None) -> None:
         """Say what became of a visit; with the folder of its rows this makes them visible."""
@@ -294,9 +295,7 @@ class Catalog:
             old = [f for f, n in state.live.items() if n == level]
             folder = f"merged-{level + 1}-{uuid.uuid4().hex}"
             for table in TABLES:
-                rows = self._read(table, old).drop("commit")
-                # Ranges split a crowded cell by its objects.
-                self._put(table, folder, rows.repartitionByRange(*(("cell",) if table == "diaObject" else ("cell", "period")), "diaObjectId"))
+                self._put(table, folder, self._read(table, old).drop("commit"))
             self.entries.append({"kind": "merge", "folder": folder, "level": level + 1, "replaces": old})
             replaced += old
 
