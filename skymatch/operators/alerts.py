@@ -49,13 +49,13 @@ def orbit(df: DataFrame) -> Column:
     return F.struct(F.lit(0).cast("long").alias("id"), *[c.alias(n) for n, c in fields.items()])
 
 
-def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced: DataFrame, solar: DataFrame | None = None, threshold: int = HISTORY_THRESHOLD, observation: tuple[str, str] = ("", ""), as_of: bool = False) -> DataFrame:
+def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced: DataFrame, solar: DataFrame | None = None, threshold: int = HISTORY_THRESHOLD, observation: tuple[str, str] = ("", ""), as_of: bool = False, stamps: DataFrame | None = None) -> DataFrame:
     """One alert per source, thirteen fields.
 
     A source with an object carries it (null if the object is unknown), its history if the object has more than one source (null
     otherwise, or if no history was loaded) and its forced history if it has ``threshold`` sources (an empty list otherwise). A
     source without one carries its solar-system record and orbit. With ``as_of``, ``sources`` may hold many visits, and of
-    ``history`` each alert takes what is older than its own source.
+    ``history`` each alert takes what is older than its own source. ``stamps``: diaSourceId and the bytes of the three cutouts.
     """
     prv = histories(history, "prvDiaSources", ["midpointMjdTai", "diaSourceId"]).withColumnRenamed("diaObjectId", "_h")
     fps = histories(forced, "prvDiaForcedSources", ["midpointMjdTai", "diaForcedSourceId"]).withColumnRenamed("diaObjectId", "_f")
@@ -65,6 +65,8 @@ def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced:
     if solar is not None:
         record = solar.select(F.col("diaSourceId").alias("_s"), F.struct(*[c for c in solar.columns if not c.startswith(ORBIT_PREFIX)]).alias("ssSource"), orbit(solar).alias("mpc_orbits"))
         joined = joined.join(record, F.col("diaSourceId") == F.col("_s"), "left")
+    if stamps is not None:
+        joined = joined.join(stamps.withColumnRenamed("diaSourceId", "_c"), F.col("diaSourceId") == F.col("_c"), "left")
     has = F.col("diaObjectId") != 0
     empty_forced = F.array().cast(joined.schema["prvDiaForcedSources"].dataType)
     reason, target = (null_if(F.lit(x), "") for x in observation)
@@ -81,9 +83,7 @@ def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced:
         F.when(has, F.col("diaObject")).alias("diaObject"),
         (F.when(~has, F.col("ssSource")) if solar is not None else null).alias("ssSource"),
         (F.when(~has, F.col("mpc_orbits")) if solar is not None else null).alias("MPCORB"),
-        F.lit(None).cast("binary").alias("cutoutDifference"),
-        F.lit(None).cast("binary").alias("cutoutScience"),
-        F.lit(None).cast("binary").alias("cutoutTemplate"),
+        *[(F.lit(None) if stamps is None else F.col(c)).cast("binary").alias(c) for c in ("cutoutDifference", "cutoutScience", "cutoutTemplate")],
     )
 
 

@@ -18,7 +18,7 @@ DROPPED = ("coord_ra", "coord_dec")
 
 @dataclass(frozen=True)
 class Exposure:
-    """What a visit and detector tells of its image. ``difference`` and ``direct`` hold its pixels as :func:`psf_fluxes` takes them; without them nothing is measured."""
+    """What a visit and detector tells of its image. ``difference``, ``direct`` and ``template`` hold its pixels as :func:`psf_fluxes` takes them; without the first two nothing is measured, and alerts carry stamps of those that are there."""
 
     visit: int
     detector: int
@@ -30,9 +30,10 @@ class Exposure:
     calibration_err: float = 0.0
     psf_sigma: float = 1.5
     shutter_close: float | None = None
-    program: str | None = None
+    rotation: float | None = None
     difference: DataFrame | None = None
     direct: DataFrame | None = None
+    template: DataFrame | None = None
 
     def faults(self) -> list[str]:
         """Everything that it lacks to be used."""

@@ -19,6 +19,7 @@ from ..operators.delivery import Delivery, deliver
 from ..operators.crossmatch import MatchConfig, drop_unplaced
 from ..operators.filters import QualityConfig, check_bands
 from ..operators.forced import Exposure
+from ..operators.stamps import alert_stamps
 from ..operators.metrics import NOT_PRODUCED, visit_counts
 from ..sources.schemas import BANDS, conform, empty_forced
 from ..sources.store import DONE, WRITTEN, AfterWriteError, Catalog, Loaded
@@ -206,7 +207,8 @@ def process_visit(
                 if known is not None:
                     about = solar.select("diaSourceId", "ssObjectId").join(known, "ssObjectId")
                 past = loaded.forced if "midpointMjdTai" in loaded.forced.columns else conform(loaded.forced, "diaForcedSource")
-                packed = steps.package(associated, summary_now, history, past.unionByName(measured), about, threshold=config.history_threshold)
+                seen = None if exposure is None else alert_stamps(associated, exposure)
+                packed = steps.package(associated, summary_now, history, past.unionByName(measured), about, threshold=config.history_threshold, stamps=seen)
                 packed = left.put("alerts", packed)
                 n_alerts = packed.count()
                 if config.delivery is not None:

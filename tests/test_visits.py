@@ -65,6 +65,8 @@ def test_whole_visit(spark, tmp_path):
     assert sorted(alerts) == [200 + i for i in range(6)]
     assert all([h.diaSourceId for h in alerts[200 + i].prvDiaSources] == [100 + i] and len(alerts[200 + i].prvDiaForcedSources) == 1 for i in range(5))
     assert alerts[200].diaObject.validityStartMjdTai == 60002.0
+    # The sources lie 36 pixels apart on an image of 256: stamps of all of them, of the two images that there are.
+    assert all(len(a.cutoutDifference) % 2880 == 0 and len(a.cutoutScience) % 2880 == 0 and a.cutoutTemplate is None for a in alerts.values())
     assert alerts[205].diaObject is None and alerts[205].ssSource.ssObjectId == 77 and alerts[205].MPCORB.q == 1.5
 
 
