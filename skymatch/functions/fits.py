@@ -44,3 +44,15 @@ def unit(pixels: np.ndarray, header: Mapping[str, bool | int | float | str | Non
 def image_file(pixels: np.ndarray, header: Mapping[str, bool | int | float | str | None], **extensions: np.ndarray) -> bytes:
     """A whole file: an image and named extensions of pixels alone."""
     return unit(pixels, header) + b"".join(unit(x, {}, name.upper()) for name, x in extensions.items())
+
+
+def first_pixels(data: bytes) -> np.ndarray:
+    """Pixels of the first image of a file that :func:`image_file` made."""
+    cards: list[str] = []
+    while not cards or not cards[-1].startswith("END "):
+        cards.append(data[len(cards) * CARD : (len(cards) + 1) * CARD].decode("ascii"))
+    last = len(cards) - 1
+    sizes = {line[:8].strip(): int(line[10:]) for line in cards[:last] if line.startswith("NAXIS")}
+    begin = -(-(last + 1) * CARD // RECORD) * RECORD
+    n = sizes["NAXIS1"] * sizes["NAXIS2"]
+    return np.frombuffer(data, dtype=">f8", count=n, offset=begin).reshape(sizes["NAXIS2"], sizes["NAXIS1"])

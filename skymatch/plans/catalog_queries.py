@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions import fits
 from ..functions.geometry import Box, Polygon, Wcs
-from ..operators import alerts, detections, forced, lifecycle, metrics, solarsystem, stats
+from ..operators import alerts, detections, forced, lifecycle, metrics, solarsystem, stamps, stats
 from ..sources import store
 from ..sources.schemas import conform, empty
 from .fixtures import dia_objects, dia_sources, forced_sources, raw_detections, with_sql
@@ -372,6 +374,48 @@ def exposure_faults(spark, d):
     return detections.exposure_faults(e).select("visit", F.array_join("faults", ",").alias("faults"))
 
 
+@_query(
+    "alert_cutouts",
+    f"""{with_sql('raw')}, c as (select id, visit, cast(floor(x / 10 + 0.5) as bigint) as a, cast(floor(y / 10 + 0.5) as bigint) as b, 30 + id % 9 as e from raw),
+p as (select id, visit, e, a - e // 2 + dx as px, b - e // 2 + dy as py from c, (select unnest(range(0, 38)) as dx), (select unnest(range(0, 38)) as dy) where a <= 99 and b <= 99 and dx < e and dy < e)
+select id, cast(any_value(e) as bigint) as side, count(*) as n, cast(sum(2 * ((px * 3 + py * 7 + visit) % 101)) as bigint) as total from p where px between 0 and 99 and py between 0 and 99 group by id""",
+)
+def alert_cutouts(spark, d):
+    """A stamp of every raw detection on an image per visit that is worked out from its number; side, pixels on the image and their sum as read from the FITS bytes."""
+    raw = raw_detections(spark, d)
+    grid = F.sequence(F.lit(0).cast("long"), F.lit(9999).cast("long"))
+    pixels = F.transform(grid, lambda p: ((p % 100 * 3 + F.floor(p / 100) * 7 + F.col("visit")) % 101).cast("double"))
+    images = raw.select("visit", "detector").distinct().select("visit", "detector", F.lit(100).alias("width"), pixels.alias("pixels"), F.array_repeat(F.lit(1.0), 10_000).alias("variance"))
+    flat = F.array(*map(F.lit, (-1e-4, 0.0, 0.0, 1e-4)))
+    at = raw.select("visit", "detector", "id", (F.col("x") / 10).alias("x"), (F.col("y") / 10).alias("y"), (30 + F.col("id") % 9).cast("int").alias("extent"), F.lit(150.0).alias("ra"), F.lit(2.0).alias("dec"), flat.alias("matrix"))
+    about = forced.Exposure(0, 0, "g", 60000.0, WCS, Box(0, 0, 99, 99), calibration=2.0)
+
+    def measured(batches):
+        for df in batches:
+            firsts = [fits.first_pixels(bytes(b)) for b in df["stamp"]]
+            yield df[["id"]].assign(side=[len(p) for p in firsts], n=[int(np.isfinite(p).sum()) for p in firsts], total=[int(np.nansum(p)) for p in firsts])
+
+    return stamps.stamps(at, images, about).where("stamp is not null").mapInPandas(measured, "id long, side long, n long, total long")
+
+
+@_query(
+    "visit_conflicts",
+    f"""{_SRC}, p as (select visit, (trueId - 1) // 3 % 50 as detector, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z from dia_source),
+m as (select visit, detector, avg(x) as x, avg(y) as y, avg(z) as z from p group by visit, detector),
+c as (select visit, detector, x / sqrt(x * x + y * y + z * z) as x, y / sqrt(x * x + y * y + z * z) as y, z / sqrt(x * x + y * y + z * z) as z from m),
+f as (select c.visit, c.detector, any_value(c.x) as x, any_value(c.y) as y, any_value(c.z) as z, 2 * asin(max(sqrt((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y) + (p.z - c.z) * (p.z - c.z))) / 2) as angle
+  from c join p on p.visit = c.visit and p.detector = c.detector group by c.visit, c.detector)
+select a.visit, a.detector, b.visit as visit2, b.detector as detector2 from f a join f b on (a.visit, a.detector) < (b.visit, b.detector)
+where 2 * asin(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) / 2) <= a.angle + b.angle + radians(5 / 3600)""",
+)
+def visit_conflicts(spark, d):
+    """Fields of fifty detectors a night that touch within five arcseconds, which can't be worked on side by side."""
+    from ..streaming import rounds
+
+    s = dia_sources(spark, d)
+    return rounds.conflicts(rounds.fields_of(s.withColumn("detector", F.expr("(trueId - 1) div 3 % 50"))), margin=5.0)
+
+
 @_query(
     "stream_statistics",
     f"""{_SRC}, s as (select *, midpointMjdTai - lag(midpointMjdTai) over w as dt, psfFlux - lag(psfFlux) over w as df from dia_source window w as (partition by trueId, band order by midpointMjdTai, diaSourceId))
