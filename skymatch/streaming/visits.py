@@ -78,6 +78,8 @@ class VisitResult:
     visit: int
     detector: int
     counts: dict[str, float]
+    #: Seconds that each table of the visit took to be worked out and written, and ``catalog`` for the commit.
+    steps: dict[str, float] = field(default_factory=dict)
 
 
 class Outputs:
@@ -92,11 +94,14 @@ class Outputs:
             raise ValueError(f"a visit has no outputs {unknown}")
         if names and path is None:
             raise ValueError("outputs need a folder")
+        self.seconds: dict[str, float] = {}
         self.catalog, self.path, self.names, self.run = catalog, path, names, f"run={visit}_{detector}"
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         at = f"{self.path}/{name}/{self.run}" if name in self.names else f"{self.catalog.path}/_work/{self.run}/{name}"
+        began = time.time()
         df.write.mode("overwrite").parquet(at)
+        self.seconds[name] = time.time() - began
         return df.sparkSession.read.schema(df.schema).parquet(at)
 
     def clear(self) -> None:
@@ -197,7 +202,9 @@ def process_visit(
         if exposure is not None:
             current = lifecycle.refresh(merged.objects, summary)
             measured = left.put("forcedSources", steps.measure(current, merged.updated_ids, exposure, mjd, config.history_threshold))
+        began = time.time()
         valid_from = catalog.write(visit, detector, mjd, summary, associated, measured, before=objects, drop_empty=config.drop_empty)
+        left.seconds["catalog"] = time.time() - began
         try:
             summary_now = summary.withColumn("validityStartMjdTai", F.lit(valid_from))
             n_alerts = delay = NOT_PRODUCED
@@ -224,7 +231,7 @@ def process_visit(
             raise AfterWriteError(f"visit {visit} detector {detector}: {error}") from error
         catalog.log(visit, detector, DONE)
         counts = {k: v for k, v in counts.items() if k not in ("visit", "detector")}
-        return VisitResult(visit, detector, counts | sending | {"numAlerts": n_alerts, "secondsSinceShutterClose": delay, "seconds": time.time() - started})
+        return VisitResult(visit, detector, counts | sending | {"numAlerts": n_alerts, "secondsSinceShutterClose": delay, "seconds": time.time() - started}, left.seconds)
     finally:
         left.clear()
 

@@ -48,6 +48,7 @@ def test_whole_visit(spark, tmp_path):
     assert [one.counts[n] for n in names] == [6, 0, 0, 0, 0, 6]
     assert [two.counts[n] for n in names] == [0, 5, 1, 1, 1, 6]  # source 205 is the solar-system object, so object 105 was not seen
     assert two.counts["secondsSinceShutterClose"] > 0
+    assert {"objects", "history", "labelled", "associatedSources", "updatedObjects", "forcedSources", "alerts", "catalog"} <= set(two.steps) and 0 < sum(two.steps.values()) < two.counts["seconds"]
 
     objects = {r.diaObjectId: r for r in store.latest_objects(catalog.read("diaObject")).collect()}
     assert {i: r.nDiaSources for i, r in objects.items()} == {100 + i: 2 if i < 5 else 1 for i in range(6)}
