@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import itertools
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,12 @@ class Terms:
         self.vocabulary = vocabulary
         stems = [t.removeprefix(MARK) for t in vocabulary if t.startswith(MARK)]
         self.heads = {t[: min(BEGINNINGS)] for t in stems}
+        # Beginnings of the words of the vocabulary, so that texts need looking up other words' alone.
+        self.begun: dict[int, list[int]] = {}
+        for word, i in self.beginnings(vocabulary):
+            self.begun.setdefault(vocabulary[word], []).append(i)
+        self.begins = np.zeros(len(vocabulary) + 1, dtype=bool)
+        self.begins[list(self.begun)] = True
 
     def beginnings(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, int]]:
         """Words with each of their beginnings that is a term."""
@@ -79,25 +85,35 @@ class Terms:
                 if (i := get(term)) is not None:
                     yield word, i
 
-    def present(self, text: str | None) -> set[int]:
+    def _looked_up(self, words: Collection[bytes]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """The term of each word (-1: none), and every beginning that is a term with the place of its word."""
+        terms = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        more = [(i, at) for at in np.flatnonzero(self.begins[terms]).tolist() for i in self.begun[int(terms[at])]]
+        if self.heads:
+            place = {w: at for at, (w, known) in enumerate(zip(words, (terms >= 0).tolist(), strict=True)) if not known}
+            more += [(i, place[w]) for w, i in self.beginnings(place)]
+        return terms, more
+
+    def present(self, text: str | None) -> np.ndarray:
         """The terms of the vocabulary that stand in the text."""
-        words = set(alnum_words(text))
-        found = set(map(self.vocabulary.get, words))
-        found.discard(None)
-        return found.union(i for _, i in self.beginnings(words))
+        terms, more = self._looked_up(set(alnum_words(text)))
+        terms = terms[terms >= 0]
+        return np.union1d(terms, [i for i, _ in more]) if more else terms
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The terms of the vocabulary in the text, in ascending order, how often each stands there, and how often each other word."""
         times = Counter(alnum_words(text))
         n = np.fromiter(times.values(), dtype=np.int64, count=len(times))
-        terms = np.fromiter(map(self.vocabulary.get, times, itertools.repeat(-1)), dtype=np.int64, count=len(times))
-        more = [(i, times[w]) for w, i in self.beginnings(times)]
-        if more:
-            terms, n = np.append(terms, [i for i, _ in more]), np.append(n, [k for _, k in more])
+        terms, more = self._looked_up(times)
         known = terms >= 0
-        others = n[~known]
-        terms, which = np.unique(terms[known], return_inverse=True)
-        return terms, np.bincount(which, n[known], minlength=len(terms)), others
+        others, terms, n_terms = n[~known], terms[known], n[known]
+        if more:
+            terms = np.append(terms, [i for i, _ in more])
+            n_terms = np.append(n_terms, n[[at for _, at in more]])
+            terms, which = np.unique(terms, return_inverse=True)
+            return terms, np.bincount(which, n_terms, minlength=len(terms)), others
+        order = np.argsort(terms)
+        return terms[order], n_terms[order], others
 
 
 def _frequencies(shared):
@@ -107,8 +123,7 @@ def _frequencies(shared):
         n, total, terms = np.zeros(len(shared.value), dtype=np.int64), 0, Terms(shared.value)
         for (text,) in rows_of(batches, "text"):
             total += 1
-            at = terms.present(text)
-            n[np.fromiter(at, dtype=np.int64, count=len(at))] += 1
+            n[terms.present(text).astype(np.int64)] += 1
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([total, *n[some].tolist()], pa.int64())], names=["term", "n"])
 

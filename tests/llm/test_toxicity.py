@@ -1,5 +1,7 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from skymatch.llm import toxicity as T
@@ -97,3 +99,59 @@ def test_blocks_are_ruled_out_without_loss(monkeypatch):
         want = [i for i in np.lexsort((np.arange(400), -every)) if every[i] > 0][:5]
         assert np.allclose(cosines, every[want]) and [index.ids[p] for p in at] == want, (q, place)
     assert index.scored < 0.6 * 100 * len(index.dense)
+
+
+def test_report_by_brute_force(spark):
+    """Every evidence and score, from dense loops over all words of all texts; repeated and very long rows among them."""
+    rows, labels = corpus(240, seed=4)
+    rows += [(500, rows[1][1]), (501, rows[1][1]), (502, " ".join(t for _, t in rows)), (502, "vile " * 3000), (503, None)]
+    labels += [(500, 1, 0), (501, 0, 1), (502, 0, 1), (503, 0, 0)]
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, LABELS)
+    index = T.fit(docs, marks)
+    counts = [Counter(re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode())) for _, t in rows]
+    marked = [t[1:] for t in index.vocabulary if t.startswith(b"^")]
+
+    def held(times):
+        out = dict(times)
+        for stem in marked:
+            n = sum(k for w, k in times.items() if w.startswith(stem) and w != stem and len(stem) in T.BEGINNINGS)
+            if n:
+                out[b"^" + stem] = n
+        return out
+
+    kept = [held(c) for c in counts]
+    idf = {t: np.log((1 + len(rows)) / (1 + sum(t in k for k in kept))) + 1 for t in index.vocabulary}
+    factor = {t: index.idf[i] / idf[t] for t, i in index.vocabulary.items()}
+    assert all(f >= 1 - 1e-9 for f in factor.values()) and b"vile" in {t for t, f in factor.items() if f > 1.5}
+    rare = np.log((1 + len(rows)) / 2) + 1
+    known = list(index.vocabulary)
+
+    def vector(times):
+        w = np.array([(1 + np.log(times[t])) * idf[t] * factor[t] if t in times else 0.0 for t in known])
+        others = sum(((1 + np.log(n)) * rare) ** 2 for t, n in times.items() if t not in index.vocabulary)
+        norm = np.sqrt((w**2).sum() + others)
+        return w / norm if norm else w
+
+    vectors = [vector(k) for k in kept]
+    toxic = {i: t for i, _, t in labels}
+    examples = [e for e, (i, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 4 != 2]
+    base = np.mean([toxic[rows[e][0]] for e in examples])
+    assert len(index.ids) == len(examples)
+    matrix = np.array([vectors[e] for e in examples])
+    want = {}
+    for (i, text), v in zip(rows, vectors, strict=True):
+        cosines = matrix @ v
+        best = [e for e in np.lexsort(([rows[e][0] for e in examples], -np.round(cosines, 6))) if cosines[e] > 0][:15]
+        w = 1 / (1.05 - np.minimum(cosines[best], 1))
+        raw = (w @ np.array([toxic[rows[examples[e]][0]] for e in best]) + base / 1.05) / (w.sum() + 1 / 1.05) if best else base
+        score = np.interp(raw, index.knots, index.levels) if best and len(index.knots) else raw
+        want.setdefault(i, []).append((float(score), sorted(np.round(cosines[best], 5).tolist()), {rows[examples[e]][0]: round(float(cosines[e]), 5) for e in range(len(examples))}))
+    got = T.report(docs, marks).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        # Equal cosines may be told apart by rounding, so neighbours are held by their cosines.
+        assert any(abs(r.score - score) < 1e-3 and (i_is_repeated(rows, r.doc_id) or np.allclose(sorted(of[e] for e in r.evidence), cosines, atol=3e-5)) for score, cosines, of in want[r.doc_id]), r
+
+
+def i_is_repeated(rows, doc_id):
+    return sum(i == doc_id for i, _ in rows) > 1
