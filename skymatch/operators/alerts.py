@@ -95,7 +95,7 @@ def confluent(schema_id: Column, body: Column) -> Column:
 # --- Avro bodies: no Avro connector is assumed, so records are encoded in the Python workers -----------------------
 
 
-def _zigzag(n: int) -> bytes:
+def zigzag(n: int) -> bytes:
     n = (n << 1) ^ (n >> 63)
     out = bytearray()
     while n > 0x7F:
@@ -122,31 +122,34 @@ def _writer(kind: T.DataType) -> Callable[[Any], bytes]:
         body = lambda v: b"".join(w(v[n]) for n, w in parts)
     elif isinstance(kind, T.ArrayType):
         item = _writer(kind.elementType)
-        body = lambda v: (_zigzag(len(v)) + b"".join(map(item, v)) if v else b"") + b"\x00"
+        body = lambda v: (zigzag(len(v)) + b"".join(map(item, v)) if v else b"") + b"\x00"
     elif isinstance(kind, T.DoubleType | T.FloatType):
         code = "<d" if isinstance(kind, T.DoubleType) else "<f"
         body = lambda v: struct.pack(code, v)
     elif isinstance(kind, T.BooleanType):
         body = lambda v: b"\x01" if v else b"\x00"
     elif isinstance(kind, T.StringType):
-        body = lambda v: _zigzag(len(v.encode())) + v.encode()
+        body = lambda v: zigzag(len(v.encode())) + v.encode()
     elif isinstance(kind, T.BinaryType):
-        body = lambda v: _zigzag(len(v)) + bytes(v)
+        body = lambda v: zigzag(len(v)) + bytes(v)
     else:
-        body = lambda v: _zigzag(int(v))
+        body = lambda v: zigzag(int(v))
     return lambda v: b"\x00" if v is None else b"\x02" + body(v)
 
 
-def avro_bodies(alerts: DataFrame) -> DataFrame:
-    """diaSourceId and the Avro body (without a schema) of every alert."""
+def avro_bodies(alerts: DataFrame, beside: dict[str, Column] | None = None) -> DataFrame:
+    """diaSourceId and the Avro body (without a schema) of every alert, and the columns ``beside`` that are worked out from it."""
     fields = [(f.name, _writer(f.dataType)) for f in alerts.schema]
+    rows = alerts.withColumns(beside or {})
+    kept = ["diaSourceId", *(beside or {})]
+    made = T.StructType([*(rows.schema[c] for c in kept), T.StructField("body", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = [b"".join(w(alert[n]) for n, w in fields) for alert in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("diaSourceId"), pa.array(bodies, pa.binary())], names=["diaSourceId", "body"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(bodies, pa.binary())], names=[*kept, "body"])
 
-    return alerts.mapInArrow(encode, "diaSourceId long, body binary")
+    return rows.mapInArrow(encode, made)
 
 
 def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:
@@ -206,11 +209,6 @@ def messages(alerts: DataFrame, schema_id: int) -> DataFrame:
     )
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Alert files by visit and detector."""
-    alerts.withColumns({"visit": F.col("diaSource.visit"), "detector": F.col("diaSource.detector")}).write.mode("append").partitionBy("visit", "detector").parquet(path)
-
-
 def produce(alerts: DataFrame, schema_id: int, servers: str, topic: str, options: dict[str, str] | None = None, failures: str | None = None) -> str:
     """Send to a Kafka topic by Spark's connector; if that fails and ``failures`` is given, write the messages there instead.
 

@@ -346,6 +346,32 @@ def alert_assembly(spark, d):
     )
 
 
+@_query(
+    "alert_files",
+    f"""{_ALERT} select diaSourceId, visit, detector, 703 as programId, nullif(oid, 0) as objectId, c.n as nDiaSources, case when oid <> 0 and c.n > 1 then past else -1 end as n_history, case when oid = 0 then '2015MK4' end as packed, round(psfFlux, 6) as psfFlux
+from a left join c on c.trueId = oid""",
+)
+def alert_files(spark, d):
+    """Every alert, written to an Avro container per visit and detector and read back from the files' bytes."""
+    from ..sources import containers
+
+    folder = f"{_checkpoint(spark)}/alerts"
+    made = alerts.with_program(_alerts(spark, d), 703)
+    containers.write_alert_files(made, folder)
+    source, history = F.col("diaSource"), F.col("prvDiaSources")
+    return containers.read_alert_files(spark, folder, made.schema).select(
+        "diaSourceId",
+        source["visit"].alias("visit"),
+        source["detector"].alias("detector"),
+        "programId",
+        F.col("diaObject.diaObjectId").alias("objectId"),
+        F.col("diaObject.nDiaSources").alias("nDiaSources"),
+        F.when(history.isNull(), -1).otherwise(F.size(history)).cast("long").alias("n_history"),
+        F.col("MPCORB.packed_primary_provisional_designation").alias("packed"),
+        F.round("diaSource.psfFlux", 6).alias("psfFlux"),
+    )
+
+
 @_query(
     "solar_match",
     f"""{_SRC}, e as (select diaObjectId as ssObjectId, 1 + diaObjectId % 31 as visit, case when diaObjectId % 50 = 0 then 90e0 else 2e0 end as err, cos(radians(dec)) * cos(radians(ra)) as x, cos(radians(dec)) * sin(radians(ra)) as y, sin(radians(dec)) as z, dec from dia_object),
