@@ -72,8 +72,8 @@ class PackedFlags:
         return df.withColumns({n: F.getbit(F.col(column), F.lit(b)) == 1 for n, b in self._bits(column).items()})
 
 
-def flag_columns(df: DataFrame, names: list[str]) -> dict[str, Column]:
+def flag_columns(df: DataFrame, names: list[str], rules: Mapping[str, str] = RENAMES) -> dict[str, Column]:
     """Standard name and column of every flag; a raw catalog without one of them is an error."""
     if missing := [n for n in names if n not in df.columns]:
         raise KeyError(f"flags are missing: {missing}")
-    return {renamed(n): F.col(n) for n in names}
+    return {renamed(n, rules): F.col(n) for n in names}

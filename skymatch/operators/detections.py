@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from ..functions import flags, photometry
 from ..sources.schemas import DIA_SOURCE, conform
 from .filters import sky_mask
 
+if TYPE_CHECKING:
+    from ..sources.plan_files import Plan
+
 
 @dataclass(frozen=True)
 class TransformConfig:
@@ -57,18 +61,24 @@ def enriched(df: DataFrame, exposures: DataFrame, processed_mjd: float, require_
     return both.withColumns({"timeProcessedMjdTai": F.lit(processed_mjd), "diaObjectId": zero, "ssObjectId": zero, "detector": F.col("detector").cast("short")})
 
 
-def transform(raw: DataFrame, exposures: DataFrame, processed_mjd: float, config: TransformConfig = TransformConfig()) -> DataFrame:
-    """Standard sources of raw detections, with a boolean column per flag under its standard name, or packed into ``flags``."""
+def transform(raw: DataFrame, exposures: DataFrame, processed_mjd: float, config: TransformConfig = TransformConfig(), plan: Plan | None = None) -> DataFrame:
+    """Standard sources of raw detections, with a boolean column per flag under its standard name, or packed into ``flags``.
+
+    A ``plan`` read from files stands for the built-in projection, bits and rename rules.
+    """
+    projection, layout, rules = (photometry.PROJECTION, {"flags": flags.FLAG_BITS}, flags.RENAMES) if plan is None else (plan.projection, plan.layout, plan.renames)
     df = raw.where(~sky_mask(raw)) if config.remove_sky else raw
     df = enriched(df, exposures, processed_mjd, config.require_exposure)
     if "footprint" in df.columns:
         box = F.col("footprint")
         df = df.withColumns({"bboxSize": bbox_size(F.col("slot_Centroid_x"), F.col("slot_Centroid_y"), box), "snr": peak_significance(box)})
-    named = flags.flag_columns(df, list(config.flag_names))
+    named = flags.flag_columns(df, list(config.flag_names), rules)
     if config.pack_flags:
-        df = df.withColumn("flags", flags.pack({n: flags.FLAG_BITS[n] for n in config.flag_names}))
+        if unknown := [n for n in config.flag_names if not any(n in bits for bits in layout.values())]:
+            raise KeyError(f"flags without a bit: {unknown}")
+        df = df.withColumns({column: flags.pack({n: bits[n] for n in config.flag_names if n in bits}) for column, bits in layout.items()})
         named = {}
-    out = df.select(*photometry.projection(df.columns), *[c.alias(f"_flag_{n}") for n, c in named.items()])
+    out = df.select(*photometry.projection(df.columns, projection), *[c.alias(f"_flag_{n}") for n, c in named.items()])
     standard = [F.col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in DIA_SOURCE]
     full = out.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(standard, DIA_SOURCE, strict=True)], *[F.col(f"_flag_{n}").alias(n) for n in named if n not in DIA_SOURCE.names])
     return full if named else conform(full, "diaSource")
