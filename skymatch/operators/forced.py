@@ -9,11 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from ..functions.geometry import Box, Wcs
 from ..sources.schemas import conform, empty_forced
 
 DROPPED = ("coord_ra", "coord_dec")
+#: Positions of one image that a task holds at once, on average.
+IMAGE_ROWS = 500
 
 
 @dataclass(frozen=True)
@@ -54,11 +57,22 @@ def with_history(objects: DataFrame, threshold: int = 2) -> DataFrame:
     return objects.where(F.col("nDiaSources") >= threshold)
 
 
+def with_images(positions: DataFrame, images: DataFrame, most: int = IMAGE_ROWS) -> PandasCogroupedOps:
+    """Positions and their image side by side, in parts of about ``most`` positions of a visit and detector, each with a copy of the image: a crowded image is no large task."""
+    counts = positions.groupBy("visit", "detector").agg(F.ceil(F.count("*") / most).alias("_parts")).select(F.col("visit").alias("_v"), F.col("detector").alias("_d"), "_parts")
+    same = F.col("visit").eqNullSafe(F.col("_v")) & F.col("detector").eqNullSafe(F.col("_d"))
+    dealt = positions.join(F.broadcast(counts), same).drop("_v", "_d").withColumn("_part", F.pmod(F.xxhash64("id"), "_parts"))
+    copies = images.join(F.broadcast(counts), same).drop("_v", "_d").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    keys = ["visit", "detector", "_part"]
+    ours, theirs = (df.select(*[F.col(c).alias(c) for c in df.columns if c != "_parts"]) for df in (dealt, copies))
+    return ours.groupBy(*keys).cogroup(theirs.groupBy(*keys))
+
+
 def psf_fluxes(positions: DataFrame, images: DataFrame, sigma: float, radius: int = 12) -> DataFrame:
     """Flux and error of a Gaussian of width ``sigma`` at (x, y) on an image, by weighted sums over its pixels.
 
-    ``positions``: visit, detector, id, x, y. ``images``: visit, detector, width, pixels and variance (row-wise arrays). One task
-    holds one image with its positions. Positions whose pixels lie outside have null results.
+    ``positions``: visit, detector, id, x, y. ``images``: visit, detector, width, pixels and variance (row-wise arrays). A task
+    holds one image with a part of its positions. Positions whose pixels lie outside have null results.
     """
 
     def run(key: tuple, where: pd.DataFrame, image: pd.DataFrame) -> pd.DataFrame:
@@ -79,8 +93,7 @@ def psf_fluxes(positions: DataFrame, images: DataFrame, sigma: float, radius: in
             out.loc[out.index[i], ["flux", "fluxErr"]] = [float((psf * pixels[cut]).sum()) / norm, float(np.sqrt((psf**2 * variance[cut]).sum())) / norm]
         return out
 
-    grouped = positions.groupBy("visit", "detector").cogroup(images.groupBy("visit", "detector"))
-    return grouped.applyInPandas(run, "visit long, detector int, id long, flux double, fluxErr double")
+    return with_images(positions, images).applyInPandas(run, "visit long, detector int, id long, flux double, fluxErr double")
 
 
 def calibrated(flux: str, err: str, calib: float, calib_err: float = 0.0) -> tuple[Column, Column]:
@@ -157,6 +170,6 @@ def cutouts(extents: DataFrame, images: DataFrame) -> DataFrame:
             cells.append(square.ravel().tolist())
         return out.assign(pixels=cells)
 
-    return extents.groupBy("visit", "detector").cogroup(images.groupBy("visit", "detector")).applyInPandas(run, "visit long, detector int, id long, pixels array<double>")
+    return with_images(extents, images).applyInPandas(run, "visit long, detector int, id long, pixels array<double>")
 
 

@@ -1,6 +1,6 @@
 """Small images around sources as the alerts carry them: calibrated pixels and errors, the sky's grid there, and the profile of a point.
 
-One task holds one image with the sources on it. A source whose centre lies off the image has no stamp; pixels of a stamp that lie off it are NaN.
+A task holds one image with some of the sources on it. A source whose centre lies off the image has no stamp; pixels of a stamp that lie off it are NaN.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fits import image_file
 from .alerts import cutout_extent
-from .forced import Exposure
+from .forced import Exposure, with_images
 
 #: Pixels to each side of the centre of the profile.
 PROFILE_RADIUS = 10
@@ -84,7 +84,7 @@ def stamps(at: DataFrame, images: DataFrame, exposure: Exposure) -> DataFrame:
             found.append(image_file(square * calibration, header, err=errors * calibration, psf=profile(width_at(grid, x, y, pixels.shape, mean), x, y)))
         return out.assign(stamp=found)
 
-    return at.groupBy("visit", "detector").cogroup(images.groupBy("visit", "detector")).applyInPandas(run, "id long, stamp binary")
+    return with_images(at, images).applyInPandas(run, "id long, stamp binary")
 
 
 def alert_stamps(sources: DataFrame, exposure: Exposure) -> DataFrame:
