@@ -60,13 +60,16 @@ def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced:
     prv = histories(history, "prvDiaSources", ["midpointMjdTai", "diaSourceId"]).withColumnRenamed("diaObjectId", "_h")
     fps = histories(forced, "prvDiaForcedSources", ["midpointMjdTai", "diaForcedSourceId"]).withColumnRenamed("diaObjectId", "_f")
     obj = objects.select(F.col("diaObjectId").alias("_o"), F.col("nDiaSources").alias("_n"), F.struct(*objects.columns).alias("diaObject"))
+    # What is joined by source comes first, so that no list is shuffled after it was attached.
     own = sources.select("diaSourceId", "diaObjectId", _record(sources).alias("diaSource"))
-    joined = own.join(obj, F.col("diaObjectId") == F.col("_o"), "left").join(prv, F.col("diaObjectId") == F.col("_h"), "left").join(fps, F.col("diaObjectId") == F.col("_f"), "left")
     if solar is not None:
         record = solar.select(F.col("diaSourceId").alias("_s"), F.struct(*[c for c in solar.columns if not c.startswith(ORBIT_PREFIX)]).alias("ssSource"), orbit(solar).alias("mpc_orbits"))
-        joined = joined.join(record, F.col("diaSourceId") == F.col("_s"), "left")
+        own = own.join(record, F.col("diaSourceId") == F.col("_s"), "left")
     if stamps is not None:
-        joined = joined.join(stamps.withColumnRenamed("diaSourceId", "_c"), F.col("diaSourceId") == F.col("_c"), "left")
+        own = own.join(stamps.withColumnRenamed("diaSourceId", "_c"), F.col("diaSourceId") == F.col("_c"), "left")
+    # Sources without an object take nothing from these joins; keys of their own spread them over the tasks.
+    spread = own.withColumn("_k", F.when(F.col("diaObjectId") != 0, F.col("diaObjectId")).otherwise(-1 - F.pmod(F.xxhash64("diaSourceId"), F.lit(1 << 20))))
+    joined = spread.join(obj, F.col("_k") == F.col("_o"), "left").join(prv, F.col("_k") == F.col("_h"), "left").join(fps, F.col("_k") == F.col("_f"), "left")
     has = F.col("diaObjectId") != 0
     empty_forced = F.array().cast(joined.schema["prvDiaForcedSources"].dataType)
     reason, target = (null_if(F.lit(x), "") for x in observation)
@@ -115,6 +118,11 @@ def avro_schema(kind: T.DataType, name: str = "alert") -> Any:
     return simple[type(kind)]
 
 
+def _array_block(n: int, items: bytes) -> bytes:
+    """The items of an array in one block that tells its length, so that a reader can pass over it."""
+    return zigzag(-n) + zigzag(len(items)) + items if n else b""
+
+
 def _writer(kind: T.DataType) -> Callable[[Any], bytes]:
     """Encoder of one value, null or not, of a Spark type."""
     if isinstance(kind, T.StructType):
@@ -122,7 +130,7 @@ def _writer(kind: T.DataType) -> Callable[[Any], bytes]:
         body = lambda v: b"".join(w(v[n]) for n, w in parts)
     elif isinstance(kind, T.ArrayType):
         item = _writer(kind.elementType)
-        body = lambda v: (zigzag(len(v)) + b"".join(map(item, v)) if v else b"") + b"\x00"
+        body = lambda v: _array_block(len(v), b"".join(map(item, v))) + b"\x00"
     elif isinstance(kind, T.DoubleType | T.FloatType):
         code = "<d" if isinstance(kind, T.DoubleType) else "<f"
         body = lambda v: struct.pack(code, v)
@@ -137,23 +145,39 @@ def _writer(kind: T.DataType) -> Callable[[Any], bytes]:
     return lambda v: b"\x00" if v is None else b"\x02" + body(v)
 
 
+def encoded_fields(batch: pa.RecordBatch, schema: T.StructType) -> Iterator[list[bytes]]:
+    """The encoded fields of every row. A list that is that of the row before, as in the alerts of one object, is the same bytes object and not encoded again."""
+    columns: list[Iterator[bytes]] = []
+
+    def lists(column: pa.Array, write: Callable[[Any], bytes]) -> Iterator[bytes]:
+        last, data = None, b""
+        for value in column:
+            if last is None or not value.equals(last):
+                last, data = value, write(value.as_py())
+            yield data
+
+    for f in schema:
+        column, write = batch.column(batch.schema.get_field_index(f.name)), _writer(f.dataType)
+        columns.append(lists(column, write) if isinstance(f.dataType, T.ArrayType) else map(write, column.to_pylist()))
+    return map(list, zip(*columns, strict=True))
+
+
 def avro_bodies(alerts: DataFrame, beside: dict[str, Column] | None = None) -> DataFrame:
     """diaSourceId and the Avro body (without a schema) of every alert, and the columns ``beside`` that are worked out from it."""
-    fields = [(f.name, _writer(f.dataType)) for f in alerts.schema]
-    rows = alerts.withColumns(beside or {})
+    schema, rows = alerts.schema, alerts.withColumns(beside or {})
     kept = ["diaSourceId", *(beside or {})]
     made = T.StructType([*(rows.schema[c] for c in kept), T.StructField("body", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = [b"".join(w(alert[n]) for n, w in fields) for alert in batch.to_pylist()]
+            bodies = [b"".join(fields) for fields in encoded_fields(batch, schema)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(bodies, pa.binary())], names=[*kept, "body"])
 
     return rows.mapInArrow(encode, made)
 
 
-def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:
-    """The value of a body made by :func:`avro_bodies`, and where it ends."""
+def decode_avro(kind: T.DataType, data: bytes, at: int = 0, wanted: set[str] | None = None) -> tuple[Any, int]:
+    """The value of a body made by :func:`avro_bodies`, and where it ends. Of a record, only the fields ``wanted`` if given; the others are passed over."""
 
     def number(at: int) -> tuple[int, int]:
         shift = n = 0
@@ -168,6 +192,26 @@ def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:
             return None, at + 1
         return plain(kind, at + 1)
 
+    def after(kind: T.DataType, at: int) -> int:
+        """Where a value ends; the blocks of a list are passed over by their length, where they tell it."""
+        if isinstance(kind, T.ArrayType) and data[at] != 0:
+            n, at = number(at + 1)
+            while n:
+                if n < 0:
+                    size, at = number(at)
+                    at += size
+                else:
+                    for _ in range(n):
+                        at = after(kind.elementType, at)
+                n, at = number(at)
+            return at
+        if isinstance(kind, T.StructType) and data[at] != 0:
+            at += 1
+            for f in kind:
+                at = after(f.dataType, at)
+            return at
+        return value(kind, at)[1]
+
     def plain(kind: T.DataType, at: int) -> tuple[Any, int]:
         if isinstance(kind, T.StructType):
             out = {}
@@ -178,6 +222,8 @@ def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:
             out = []
             n, at = number(at)
             while n:
+                if n < 0:
+                    n, (_, at) = -n, number(at)
                 for _ in range(n):
                     v, at = value(kind.elementType, at)
                     out.append(v)
@@ -196,6 +242,14 @@ def decode_avro(kind: T.DataType, data: bytes, at: int = 0) -> tuple[Any, int]:
             return bytes(data[at : at + n]), at + n
         return n, at
 
+    if wanted is not None and isinstance(kind, T.StructType):
+        some = {}
+        for f in kind:
+            if f.name in wanted:
+                some[f.name], at = value(f.dataType, at)
+            else:
+                at = after(f.dataType, at)
+        return some, at
     return plain(kind, at)
 
 
