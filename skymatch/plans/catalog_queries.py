@@ -357,9 +357,10 @@ def alert_files(spark, d):
 
     folder = f"{_checkpoint(spark)}/alerts"
     made = alerts.with_program(_alerts(spark, d), 703)
-    containers.write_alert_files(made, folder)
+    containers.write_alert_files(made, folder, counted=dia_sources(spark, d).select("visit", "detector"))
     source, history = F.col("diaSource"), F.col("prvDiaSources")
-    return containers.read_alert_files(spark, folder, made.schema).select(
+    read = made.select("diaSourceId", "diaSource", "prvDiaSources", "diaObject", "MPCORB", "programId").schema
+    return containers.read_alert_files(spark, folder, read).select(
         "diaSourceId",
         source["visit"].alias("visit"),
         source["detector"].alias("detector"),

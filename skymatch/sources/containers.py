@@ -18,18 +18,21 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..operators.alerts import avro_bodies, avro_schema, decode_avro, zigzag
-from ..scratch import materialize, release
+from ..operators.alerts import avro_bodies, avro_schema, decode_avro, encoded_fields, zigzag  # noqa: F401
+from ..scratch import materialize
 
 # Fixed values of the container format.
 MAGIC, SYNC_BYTES, CODECS = b"Obj\x01", 16, ("null", "deflate")
 #: Bytes of records at which a block ends, alerts of a file, bytes of a file that a task reads.
 BLOCK_BYTES, MOST_ROWS, SPLIT_BYTES = 1 << 20, 10_000, 64 << 20
+#: Bytes of an encoded field from which it is compressed before the rows are shuffled, and not again when they are written.
+LARGE_BYTES = 1 << 15
+_LAST = b"\x03\x00"  # the last, empty, part of a compressed block that was put together
 
 
 def _place(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -50,14 +53,64 @@ def block(bodies: list[bytes], codec: str, marker: bytes) -> bytes:
     return zigzag(len(bodies)) + zigzag(len(data)) + data + marker
 
 
+def _piece(data: bytes) -> bytes:
+    """Compressed bytes that end at a whole byte and refer to nothing before them, so that pieces can be put side by side."""
+    raw = zlib.compressobj(6, zlib.DEFLATED, -15)
+    return raw.compress(data) + raw.flush(zlib.Z_FULL_FLUSH)
+
+
+def _encoded(alerts: DataFrame, keys: dict[str, Column], codec: str) -> DataFrame:
+    """diaSourceId, keys, body and size of every alert. A body with a large field is compressed (``packed``); ``size`` is that of the plain one."""
+    schema, kept = alerts.schema, ["diaSourceId", *keys]
+    rows = alerts.withColumns(keys)
+    made = T.StructType([*(rows.schema[c] for c in kept), T.StructField("body", T.BinaryType()), T.StructField("packed", T.BooleanType()), T.StructField("size", T.LongType())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, shrunk = b"", b""
+        for batch in batches:
+            bodies, packed, sizes, at, held = [], [], [], 0, 0
+            for i, fields in enumerate(encoded_fields(batch, schema)):
+                sizes.append(sum(map(len, fields)))
+                packed.append(codec == "deflate" and any(len(f) >= LARGE_BYTES for f in fields))
+                if packed[-1]:
+                    out, small = [], []
+                    for f in fields:
+                        if len(f) < LARGE_BYTES:
+                            small.append(f)
+                            continue
+                        if f is not last:
+                            last, shrunk = f, _piece(f)
+                        out += [_piece(b"".join(small)), shrunk]
+                        small = []
+                    bodies.append(b"".join([*out, _piece(b"".join(small))]))
+                else:
+                    bodies.append(b"".join(fields))
+                held += len(bodies[-1])
+                if held >= 16 * BLOCK_BYTES or i == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c))[at : i + 1] for c in kept), pa.array(bodies, pa.binary()), pa.array(packed), pa.array(sizes, pa.int64())], names=[*kept, "body", "packed", "size"])
+                    bodies, packed, sizes, at, held = [], [], [], i + 1, 0
+
+    return rows.mapInArrow(encode, made)
+
+
+def _mixed_block(held: list[tuple[bytes, bool]], codec: str, marker: bytes) -> bytes:
+    """A block of bodies of which some are compressed already."""
+    if not any(packed for _, packed in held):
+        return block([body for body, _ in held], codec, marker)
+    data = b"".join(b"".join(b for b, _ in run) if packed else _piece(b"".join(b for b, _ in run)) for packed, run in itertools.groupby(held, key=lambda h: h[1])) + _LAST
+    return zigzag(len(held)) + zigzag(len(data)) + data + marker
+
+
 _WRITTEN = "visit long, detector long, file string, alerts long, bytes long"
 
 
-def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", most_rows: int = MOST_ROWS) -> DataFrame:
+def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", most_rows: int = MOST_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Write ``{visit}_{detector}.avro`` files to a folder that all tasks reach; returns visit, detector, file, alerts and bytes of each.
 
     Visit and detector are those of the alert's source; a null one is written as ``null``. Beyond ``most_rows`` alerts the further
     files of a visit and detector are named ``{visit}_{detector}_{n}.avro``. Files of the same name are replaced. No alerts: no files.
+    ``counted``: visit and detector of every alert, from which the files are counted; without it the alerts are worked out twice.
+    Each alert's bytes are shuffled once; large lists are compressed before, and once for the alerts of an object that follow each other.
     """
     if codec not in CODECS:
         raise ValueError(f"codec {codec} is none of {CODECS}")
@@ -66,18 +119,18 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     unfinished = f"{root}/_unfinished-{run}"
     fs.create_dir(unfinished, recursive=True)
     keys = {"_visit": F.col("diaSource.visit").cast("long"), "_detector": F.col("diaSource.detector").cast("long")}
-    bodies = materialize(avro_bodies(alerts, keys), "alert-bodies")
-    files = bodies.groupBy("_visit", "_detector").agg(F.ceil(F.count("*") / most_rows).alias("_files"))
+    own = counted.select(F.col("visit").cast("long").alias("_v"), F.col("detector").cast("long").alias("_d")) if counted is not None else alerts.select(keys["_visit"].alias("_v"), keys["_detector"].alias("_d"))
+    files = own.groupBy("_v", "_d").agg(F.ceil(F.count("*") / most_rows).alias("_files"))
     same = F.col("_visit").eqNullSafe(F.col("_v")) & F.col("_detector").eqNullSafe(F.col("_d"))
-    parted = bodies.join(files.select(F.col("_visit").alias("_v"), F.col("_detector").alias("_d"), "_files"), same)
-    parted = parted.select("_visit", "_detector", F.pmod(F.xxhash64("diaSourceId"), "_files").alias("_file"), "diaSourceId", "body")
+    parted = _encoded(alerts, keys, codec).join(F.broadcast(files), same, "left")
+    parted = parted.select("_visit", "_detector", F.pmod(F.xxhash64("diaSourceId"), F.coalesce("_files", F.lit(1))).alias("_file"), "diaSourceId", "body", "packed", "size")
 
     def name(visit: int | None, detector: int | None, part: int) -> str:
         return "_".join("null" if x is None else str(x) for x in (visit, detector)) + (f"_{part}" if part else "") + ".avro"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _place(folder)
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("_visit", "_detector", "_file", "body")), strict=True))
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("_visit", "_detector", "_file", "body", "packed", "size")), strict=True))
         for key, group in itertools.groupby(rows, key=lambda row: row[:3]):
             file = name(*key)
             marker = hashlib.md5(file.encode()).digest()
@@ -85,14 +138,14 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
             n, size, held = 0, 0, []
             with store.open_output_stream(own, compression=None) as out:
                 out.write(header(schema, codec, marker))
-                for *_, body in group:
-                    held.append(body)
-                    n, size = n + 1, size + len(body)
+                for *_, body, packed, plain in group:
+                    held.append((body, packed))
+                    n, size = n + 1, size + plain
                     if size >= BLOCK_BYTES:
-                        out.write(block(held, codec, marker))
+                        out.write(_mixed_block(held, codec, marker))
                         size, held = 0, []
                 if held:
-                    out.write(block(held, codec, marker))
+                    out.write(_mixed_block(held, codec, marker))
                 length = out.tell()
             store.move(own, f"{top}/{file}")
             visit, detector, _ = key
@@ -101,7 +154,6 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     order = ["_visit", "_detector", "_file"]
     made = materialize(parted.repartition(*order).sortWithinPartitions(*order, "diaSourceId", "body").mapInArrow(write, _WRITTEN), "alert-files")
     fs.delete_dir(unfinished)
-    release(bodies)
     return made
 
 
@@ -206,7 +258,7 @@ class _AlertReader(DataSourceReader):
                 records = zlib.decompress(records, -15) if codec == "deflate" else records
                 place = 0
                 for _ in range(n):
-                    record, place = decode_avro(kind, records, place)
+                    record, place = decode_avro(kind, records, place, set(names))
                     yield tuple(record.get(c) for c in names)
 
 
@@ -237,7 +289,7 @@ class AlertSource(DataSource):
 
 
 def read_alert_files(spark: SparkSession, folder: str, schema: T.StructType | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The alerts of all files of a folder; fields that a file lacks are null. An empty folder needs a schema."""
+    """The alerts of all files of a folder; fields that a file lacks are null, and those that ``schema`` lacks are not decoded. An empty folder needs a schema."""
     spark.dataSource.register(AlertSource)
     reader = spark.read.format("alert_files").option("splitBytes", str(split_bytes))
     return (reader.schema(schema) if schema is not None else reader).load(folder)
