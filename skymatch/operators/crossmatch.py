@@ -28,6 +28,7 @@ class MatchConfig:
     error_floor: float = 0.05
     error_fallback: float = 0.2
     cell_radii: float = 20.0
+    patch_radii: float = 200.0
 
 
 def drop_unplaced(sources: DataFrame) -> DataFrame:
@@ -52,19 +53,34 @@ def range_join(left: DataFrame, right: DataFrame, radius: Column | float, most:
     for axis in "xyz":
         copies = copies.withColumn(f"c{axis}", F.explode(touched(f"l{axis}")))
     placed = right.withColumns({f"c{axis}": cell(f"r{axis}") for axis in "xyz"})
-    pairs = copies.join(placed, ["cx", "cy", "cz", *(on or [])])
+    # Both sides are shuffled by cube: beside a broadcast the pairs would be made in as few tasks as the sources have files.
+    pairs = copies.join(placed.hint("merge"), ["cx", "cy", "cz", *(on or [])])
     length = chord(tuple(F.col(f"l{a}") for a in "xyz"), tuple(F.col(f"r{a}") for a in "xyz"))
     return pairs.withColumn("chord", length).where(F.col("chord") <= radius).drop("cx", "cy", "cz")
 
 
-def candidates(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """All (visit, detector, source, object) pairs within the radius, with positions, errors and chord."""
+def _joined(sources: DataFrame, objects: DataFrame, config: MatchConfig) -> DataFrame:
     x, y, z = unit_vector(F.col("ra"), F.col("dec"))
     placed = drop_unplaced(sources)
     left = placed.select(*VISIT, "diaSourceId", F.col("ra").alias("sRa"), F.col("dec").alias("sDec"), _error(sources, "raErr", "sRaErr"), _error(sources, "decErr", "sDecErr"), x.alias("lx"), y.alias("ly"), z.alias("lz"))
     right = objects.where(known(F.col("ra")) & known(F.col("dec"))).select("diaObjectId", F.col("ra").alias("oRa"), F.col("dec").alias("oDec"), _error(objects, "raErr", "oRaErr"), _error(objects, "decErr", "oDecErr"), x.alias("rx"), y.alias("ry"), z.alias("rz"))
     r = math.radians(config.radius / 3600)
-    return range_join(left, right, r, r, config.cell_radii).drop("lx", "ly", "lz", "rx", "ry", "rz")
+    return range_join(left, right, r, r, config.cell_radii)
+
+
+def candidates(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
+    """All (visit, detector, source, object) pairs within the radius, with positions, errors and chord."""
+    return _joined(sources, objects, config).drop("lx", "ly", "lz", "rx", "ry", "rz")
+
+
+PATCH = ["px", "py", "pz"]
+
+
+def _patches(pairs: DataFrame, config: MatchConfig) -> DataFrame:
+    """With the patch (a wide cube) of a pair's object, and ``open``: whether objects of other patches may be near the source too."""
+    width, reach = config.patch_radii * math.radians(config.radius / 3600), 1.01 * math.radians(config.radius / 3600)
+    whole = [F.floor((F.col(f"l{a}") - reach) / width) == F.floor((F.col(f"l{a}") + reach) / width) for a in "xyz"]
+    return pairs.withColumns({f"p{a}": F.floor(F.col(f"r{a}") / width) for a in "xyz"} | {"open": ~(whole[0] & whole[1] & whole[2])})
 
 
 def _error(df: DataFrame, name: str, alias: str) -> Column:
@@ -101,10 +117,11 @@ def error_modes(sources: DataFrame, objects: DataFrame) -> DataFrame:
     return ours.select(*VISIT, (F.col("ours") & theirs).alias("by_likelihood"))
 
 
-def scored(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """visit, detector, diaSourceId, diaObjectId and score of all candidates, in the mode of their visit and detector."""
-    pairs = candidates(sources, objects, config).join(error_modes(sources, objects), VISIT)
-    return pairs.select(*VISIT, "diaSourceId", "diaObjectId", F.when(F.col("by_likelihood"), nll(config)).otherwise(F.col("chord")).alias("score"), "chord", "by_likelihood")
+def scored(sources: DataFrame, objects: DataFrame, config: MatchConfig = MatchConfig(), patches: bool = False) -> DataFrame:
+    """visit, detector, diaSourceId, diaObjectId and score of all candidates, in the mode of their visit and detector; with their patch if asked for."""
+    pairs = _joined(sources, objects, config).join(F.broadcast(error_modes(sources, objects)), VISIT)
+    kept = [*PATCH, "open"] if patches else []
+    return (_patches(pairs, config) if patches else pairs).select(*VISIT, *kept, "diaSourceId", "diaObjectId", F.when(F.col("by_likelihood"), nll(config)).otherwise(F.col("chord")).alias("score"), "chord", "by_likelihood")
 
 
 def unmatched_price(config: MatchConfig = MatchConfig(), over: WindowSpec | None = None) -> Column:

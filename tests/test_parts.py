@@ -1,10 +1,13 @@
 """Crowded images and visits are worked on in parts."""
 
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skymatch.operators import alerts, forced
+from skymatch.operators import alerts, assign, forced
+from skymatch.operators.crossmatch import MatchConfig
 from skymatch.sources import containers
 
 
@@ -52,3 +55,15 @@ def test_large_lists_are_compressed_once_and_passed_over(spark, tmp_path, monkey
     body = bytes(alerts.avro_bodies(made.where("diaSourceId = 0")).first().body)
     monkeypatch.setattr(alerts.struct, "unpack_from", lambda *a: read.append(1) or (0.0,))
     assert alerts.decode_avro(made.schema, body, 0, {"name"}) == ({"name": "n0"}, len(body)) and not read
+
+
+def test_components_are_solved_in_their_patch_and_across_its_edges(spark, monkeypatch):
+    """Chains of sources and objects over an edge of narrow patches, against wide ones where nothing reaches the distributed search."""
+    rng = random.Random(5)
+    at = lambda: (10 + rng.uniform(0, 14) / 3600, rng.uniform(1000, 1014) / 3600)
+    objects = spark.createDataFrame([(i, *at()) for i in range(60)], "diaObjectId bigint, ra double, dec double")
+    sources = spark.createDataFrame([(i, 1 + i % 2, 3, *at()) for i in range(120)], "diaSourceId bigint, visit bigint, detector int, ra double, dec double")
+    searched, search = [], assign.pair_components
+    monkeypatch.setattr(assign, "pair_components", lambda pairs: searched.append(pairs.count()) or search(pairs))
+    wide, narrow = ({tuple(r) for r in assign.match(sources, objects, MatchConfig(patch_radii=n)).collect()} for n in (20_000.0, 4.0))
+    assert wide == narrow and len(wide) > 50 and searched[0] == 0 < searched[1]
