@@ -1,6 +1,7 @@
 """The catalogs at rest: loads by region and time, commits of a visit, older versions, and merges of small commits.
 
-Tables are Parquet folders, parted by sky cell and, for sources, by periods of days. Objects are versions: a visit adds the rows that it changed, and a
+Tables are Parquet folders, parted by sky cell and, for sources, by periods of days. A commit that would leave its cells almost empty puts square blocks of
+them in one folder, under the block's first cell; the block's side is part of the commit's name, so the number of folders follows the rows and not the sky. Objects are versions: a visit adds the rows that it changed, and a
 load takes each object's latest. A version lies in the cell of its position and in every cell where an object was before, so each of an object's cells
 holds its newest version, however far it moved. Sources and forced sources lie in a cell of their object. A load reads the cells of its objects and the
 periods of its window alone. All tables of a visit become visible with one entry of the log (``commits``); a write that failed before it does no harm.
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,10 @@ HISTORY_DAYS, LOAD_PADDING, REFRESH_PADDING, CELL_DEGREES, PERIOD_DAYS = 365.0,
 NOWHERE = -1
 #: Commits of one level that are merged into one of the next.
 FAN_IN = 32
+#: Cells share folders only where the whole sky has more cells than this, and so that a folder holds this many rows on average; a table may always have the least number of folders.
+FEW_CELLS, FOLDER_ROWS, LEAST_FOLDERS = 100_000, 50_000, 64
+#: Sides of blocks of cells: each divides the next.
+SIDES = tuple(1 << n for n in range(15))
 
 
 class AfterWriteError(RuntimeError):
@@ -44,6 +50,22 @@ def _steps(degrees: float) -> int:
     return math.ceil(360 / degrees) + 1
 
 
+def block_of(cell, side: int, degrees: float = CELL_DEGREES):
+    """The first cell of the block of ``side`` times ``side`` cells that a cell (a number or a column) lies in."""
+    if side == 1:
+        return cell
+    n = _steps(degrees)
+    if isinstance(cell, int):
+        return cell if cell == NOWHERE else cell // n // side * side * n + cell % n // side * side
+    stripe = F.floor(F.floor(cell / n) / side) * side
+    return F.when(cell == NOWHERE, cell).otherwise(stripe * n + F.floor(F.pmod(cell, F.lit(n)) / side) * side).cast("long")
+
+
+def side_of(folder: str) -> int:
+    """Side of a commit's blocks of cells, from its name."""
+    return int(folder.rpartition("-side")[2]) if "-side" in folder else 1
+
+
 def period(mjd: Column) -> Column:
     return F.coalesce(F.floor(mjd / PERIOD_DAYS).cast("int"), F.lit(NOWHERE))
 
@@ -182,23 +204,47 @@ class Catalog:
         return self.spark.read.schema(self._stored(table)).option("basePath", at).parquet(*[f"{at}/commit={f}" for f in folders])
 
     def read(self, table: str) -> DataFrame:
-        """All rows of a table with the cell that they lie in; objects lie in each cell that they have been in."""
+        """All rows of a table with the cell of the folder that they lie in; objects lie in each cell that they have been in."""
         return self._read(table, list(self.state().live)).drop("commit")
 
+    def _read_cells(self, table: str, cells: list[int]) -> DataFrame:
+        """Rows of the folders that hold the cells."""
+        found = [self._read(table, folders).where(F.col("cell").isin(sorted({block_of(c, side, self.cell_degrees) for c in cells}))) for side, folders in self._by_side(list(self.state().live)).items()]
+        return reduce(DataFrame.unionByName, found or [self._read(table, [])]).drop("commit")
+
+    @staticmethod
+    def _by_side(folders: list[str]) -> dict[int, list[str]]:
+        return {side: [f for f in folders if side_of(f) == side] for side in sorted(set(map(side_of, folders)))}
+
+    def _side(self, tables: dict[str, DataFrame], least: int = 1) -> int:
+        """The smallest side, ``least`` or more, with which the folders of no table are many for its rows."""
+        if math.ceil(180 / self.cell_degrees) * _steps(self.cell_degrees) <= FEW_CELLS:
+            return least
+        found = least
+        for table, df in tables.items():
+            parts = self._parts(table)
+            cells = df.groupBy(*parts).agg(F.count("*").alias("n"))
+            blocks = [F.count_distinct(block_of(F.col("cell"), side, self.cell_degrees), *parts[1:]) for side in SIDES]
+            rows, *counts = cells.agg(F.sum("n"), *blocks).first()
+            most = max(LEAST_FOLDERS, (rows or 0) // FOLDER_ROWS)
+            found = max(found, next((side for side, n in zip(SIDES, counts, strict=True) if n <= most), SIDES[-1]))
+        return found
+
     def load_objects(self, region: Polygon) -> DataFrame:
         """Objects whose newest version lies in the region, with the cells that they have been in."""
-        versions = self.read("diaObject").where(F.col("cell").isin(cells_of(region, self.cell_degrees))).drop("cell")
+        versions = self._read_cells("diaObject", cells_of(region, self.cell_degrees)).drop("cell")
         found = in_region(latest_objects(versions), region)
         return conform(first_values(found, KEYS["diaObject"], ["diaObjectId"]), T.StructType([*schema("diaObject"), T.StructField("cells", T.ArrayType(T.LongType()))]))
 
     def _history(self, table: str, objects: DataFrame, mjd: float) -> DataFrame:
         """Rows of the cells that the objects have been in and of the periods of the window."""
-        rows = self.read(table).where(F.col("period").between(math.floor((mjd - HISTORY_DAYS) / PERIOD_DAYS), math.floor(mjd / PERIOD_DAYS)))
+        rows = None
         if "cells" in objects.columns:
             seen = objects.select(F.explode_outer("cells").alias("cell")).distinct().collect()  # cells of the sky, not objects
             if all(r["cell"] is not None for r in seen):
-                rows = rows.where(F.col("cell").isin([r["cell"] for r in seen]))
-        return rows.drop("cell", "period")
+                rows = self._read_cells(table, [r["cell"] for r in seen])
+        rows = self.read(table) if rows is None else rows
+        return rows.where(F.col("period").between(math.floor((mjd - HISTORY_DAYS) / PERIOD_DAYS), math.floor(mjd / PERIOD_DAYS))).drop("cell", "period")
 
     def load_sources(self, objects: DataFrame, mjd: float) -> DataFrame:
         """The objects' sources of the window before ``mjd``. Objects without ``cells`` are looked for in all cells."""
@@ -253,18 +299,39 @@ class Catalog:
             rows = conform(df, table).join(home, F.col("diaObjectId") == F.col("_id"), "left")
             return rows.withColumns({"cell": F.coalesce("_home", own), "period": period(F.col("midpointMjdTai"))}).drop("_id", "_home")
 
-        folder = f"{visit}-{detector}-{uuid.uuid4().hex}"
-        for table, df in (
-            ("diaObject", now.withColumn("cell", F.explode("cells"))),
-            ("diaSource", placed(nullify_ids(conform(sources, "diaSource"), "diaObjectId", "ssObjectId", "parentDiaSourceId"), "diaSource")),
-            ("diaForcedSource", placed(forced, "diaForcedSource")),
-        ):
-            self._put(table, folder, df, drop_empty)
+        tables = {
+            "diaObject": now.withColumn("cell", F.explode("cells")),
+            "diaSource": placed(nullify_ids(conform(sources, "diaSource"), "diaObjectId", "ssObjectId", "parentDiaSourceId"), "diaSource"),
+            "diaForcedSource": placed(forced, "diaForcedSource"),
+        }
+        side = self._side(tables)
+        folder = self._named(f"{visit}-{detector}", side)
+        for table, df in tables.items():
+            self._put(table, folder, self._in_blocks(table, df, 1, side), drop_empty)
         self.log(visit, detector, WRITTEN, folder)
         return processed_mjd
 
+    @staticmethod
+    def _parts(table: str) -> list[str]:
+        return ["cell"] if table == "diaObject" else ["cell", "period"]
+
+    @staticmethod
+    def _named(what: str, side: int) -> str:
+        """A new name for a commit."""
+        return f"{what}-{uuid.uuid4().hex}" + (f"-side{side}" if side > 1 else "")
+
+    def _in_blocks(self, table: str, df: DataFrame, before: int, side: int) -> DataFrame:
+        """Rows of folders of one side moved to those of a larger one. Of a version that several of them hold, a block takes one row."""
+        if side == before:
+            return df
+        block = lambda c, n=side: block_of(c, n, self.cell_degrees)
+        if table == "diaObject":
+            near = F.filter(F.transform("cells", lambda c: block(c, before)), lambda c: block(c) == block(F.col("cell")))
+            df = df.where(F.col("cell") == F.array_min(near))
+        return df.withColumn("cell", block(F.col("cell")))
+
     def _put(self, table: str, folder: str, df: DataFrame, drop_empty: bool = False) -> None:
-        parts = ["cell"] if table == "diaObject" else ["cell", "period"]
+        parts = self._parts(table)
         if drop_empty:
             df = df.drop(*[c for c in all_null_columns(df) if c not in (*parts, "cells", f"{table}Id")])
         # Few files a cell: rows are brought together by cell and period, small ones share a task, and a crowded one is split over several.
@@ -293,9 +360,11 @@ class Catalog:
                 self.entries.checkpoint()
                 return replaced
             old = [f for f, n in state.live.items() if n == level]
-            folder = f"merged-{level + 1}-{uuid.uuid4().hex}"
+            side = self._side({t: self._read(t, old) for t in TABLES}, max(map(side_of, old)))
+            folder = self._named(f"merged-{level + 1}", side)
             for table in TABLES:
-                self._put(table, folder, self._read(table, old).drop("commit"))
+                rows = [self._in_blocks(table, self._read(table, fs), n, side) for n, fs in self._by_side(old).items()]
+                self._put(table, folder, reduce(DataFrame.unionByName, rows).drop("commit"))
             self.entries.append({"kind": "merge", "folder": folder, "level": level + 1, "replaces": old})
             replaced += old
 

@@ -160,3 +160,36 @@ def test_cells_of_circles(spark, degrees):
     inside = spark.createDataFrame(points, "i int, ra double, dec double").withColumn("cell", store.sky_cell(F.col("ra"), F.col("dec"), degrees))
     assert inside.join(fields, "i").where(~F.array_contains("cells", F.col("cell"))).count() == 0
     assert fields.where(F.size("cells") != F.size(F.array_distinct("cells"))).count() == 0
+
+
+def test_many_cells_share_few_folders(spark, tmp_path):
+    """Cells that are almost empty lie in common folders, and loads, older versions and merges say the same as with a folder each."""
+    stripe = [(i, 10.005 + 0.01 * (i % 20), 1.005 + 0.01 * (i // 20), 1) for i in range(400)]
+    sources = [(1000 + i, i, ra, dec, 60000.5 - 40 * (i % 3), "g", 1) for i, ra, dec, _ in stripe]
+    forced = [(5000 + i, i, ra, dec, 60000.5, 1) for i, ra, dec, _ in stripe]
+    region = Polygon.of_degrees([(10.03, 1.03), (10.09, 1.03), (10.09, 1.09), (10.03, 1.09)])
+    found = {}
+    for degrees in (0.01, 1.0):
+        catalog = store.Catalog(spark, str(tmp_path / str(degrees)), cell_degrees=degrees)
+        catalog.write(1, 0, 60001.0, *rows(spark, stripe, sources, forced))
+        catalog.write(2, 0, 60002.0, *rows(spark, [(0, 10.051, 1.051, 2), (63, 15.0, 5.0, 2)], [(3000, 0, 10.051, 1.051, 60001.0, "g", 2)]))  # one comes into the region and one leaves it
+        load = lambda c: [ids(c.load_objects(region)), ids(c.load(region, 60003.0).sources, "diaSourceId"), ids(c.load(region, 60003.0).forced, "diaForcedSourceId")]  # noqa: B023, E731
+        found[degrees] = [load(catalog), load(catalog.at(1))]
+        catalog.merge_commits(fan_in=2)
+        found[degrees] += [load(catalog), catalog.read("diaSource").count()]
+        if degrees == 0.01:
+            for table in store.TABLES:
+                for commit in glob.glob(f"{catalog.path}/{table}/commit=*"):
+                    assert len(glob.glob(f"{commit}/**/*.parquet", recursive=True)) <= store.LEAST_FOLDERS
+            merged = catalog.read("diaObject").where("diaObjectId = 0").collect()
+            assert len(merged) == len({(r.cell, r.nDiaSources) for r in merged})  # a folder holds a version once
+    assert found[0.01] == found[1.0] and found[0.01][0] == found[0.01][2] and found[0.01][0][0] != found[0.01][1][0]
+    assert 0 in found[0.01][0][0] and 63 in found[0.01][1][0] and 63 not in found[0.01][0][0]
+
+
+@pytest.mark.parametrize("side", [2, 64])
+def test_blocks_of_cells_as_numbers_and_columns(spark, side):
+    cells = [-1, 0, 1, 7, 18001, 18000 * 91 + 17, 162_018_000]
+    got = spark.createDataFrame([(c,) for c in cells], "cell long").select("cell", store.block_of(F.col("cell"), side, 0.02).alias("b")).collect()
+    assert [store.block_of(r.cell, side, 0.02) for r in got] == [r.b for r in got]
+    assert all(store.block_of(store.block_of(c, side, 0.02), side * 2, 0.02) == store.block_of(c, side * 2, 0.02) for c in cells)
