@@ -72,3 +72,51 @@ def test_a_late_source_parts_a_slope():
     assert state.band_results(three)[6] == 34.0 and state.band_results(three)[2] == 4
     empty, _ = state.add_sources(state._NEW_BAND, frame([(1, 1.0, NAN)]))
     assert state.band_results(empty) == (None, None, 0, None, None, None, None, 1.0, None, None)
+
+
+class Store:
+    """A map state that counts the calls."""
+
+    def __init__(self):
+        self.values, self.calls = {}, 0
+
+    def containsKey(self, key):  # noqa: N802
+        self.calls += 1
+        return key in self.values
+
+    def getValue(self, key):  # noqa: N802
+        self.calls += 1
+        return self.values[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.values[key] = value
+
+
+def test_calls_follow_the_pages_and_not_the_objects(monkeypatch):
+    """Sliced batches of many objects against one pass over all rows, with a bounded number of calls to the state."""
+    monkeypatch.setattr(state, "SLICE_ROWS", 700)
+    rng = random.Random(4)
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    frame = pd.DataFrame([(i, rng.randrange(1, 900), rng.choice(["g", "r", None]), rng.uniform(0, 360), rng.uniform(-80, 80), 60000.0 + rng.randrange(30), rng.uniform(0, 9), rng.uniform(1, 2), rng.uniform(0, 9), 1.0) for i in range(4000)], columns=names)
+
+    def run(parts, pages):
+        processor = state.ObjectStatistics(pages)
+        store = Store()
+        processor.init(type("Handle", (), {"getMapState": lambda self, *a: store})())
+        last = {}
+        for part in parts:
+            chunks = iter([part.iloc[i : i + 300] for i in range(0, len(part), 300)])
+            for out in processor.handleInputRows((0,), chunks, None):
+                got = {(r[0], r[1] if isinstance(r[1], str) else None): r[2:] for r in out.itertuples(index=False, name=None)}
+                assert len(got) == len(out)
+                last |= got
+        return last, store.calls
+
+    again = [frame.iloc[:2500], frame.iloc[2000:]]  # some come again
+    small, calls = run(again, 16)
+    whole, _ = run([frame], 1)
+    assert calls <= 2 * 3 * 16 and small.keys() == whole.keys() and {k[0] for k in small} == set(frame["diaObjectId"])
+    for key, values in whole.items():
+        for a, b in zip(small[key], values, strict=True):
+            assert pd.isna(a) == pd.isna(b) and (pd.isna(a) or a == pytest.approx(b, rel=1e-9)), key
