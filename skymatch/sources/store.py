@@ -26,6 +26,8 @@ from .schemas import KEYS, SCHEMAS, conform, empty, empty_forced, schema
 
 #: Days of history; padding of a region in arcseconds when loading, refreshing and exporting; degrees of a stored cell; days of a stored period.
 HISTORY_DAYS, LOAD_PADDING, REFRESH_PADDING, CELL_DEGREES, PERIOD_DAYS = 365.0, 20.0, 2.0, 5.0, 30.0
+#: Parts of the sources of a window, and tasks over which those of all windows are spread.
+HISTORY_PARTS, HISTORY_TASKS = 64, 192
 #: Cell of rows without a position, and period of rows without a time.
 NOWHERE = -1
 #: Commits of one level that are merged into one of the next.
@@ -105,10 +107,13 @@ def history_as_of(visits: DataFrame, sources: DataFrame, days: float = HISTORY_D
     """Per visit (visit, visitMjd), the sources of the window before it. ``visits`` may carry further columns to join on, such as a cell."""
     on = [c for c in visits.columns if c in sources.columns and c not in ("visit", "visitMjd")]
     past = sources.drop("visit") if "visit" in sources.columns else sources
-    # Whole windows as buckets make it an equi-join: the past of a visit lies in its own bucket or the one before.
+    # Whole windows as buckets make it an equi-join: the past of a visit lies in its own bucket or the one before. A bucket's sources are dealt by object,
+    # with a copy of its visits each, into a fixed number of tasks: few buckets are no large tasks.
     v = visits.withColumn("_b", F.floor(F.col("visitMjd") / days)).withColumn("_b", F.explode(F.array(F.col("_b"), F.col("_b") - 1)))
-    s = past.withColumn("_b", F.floor(F.col("midpointMjdTai") / days))
-    return v.join(s, [*on, "_b"]).where((F.col("midpointMjdTai") < F.col("visitMjd")) & (F.col("midpointMjdTai") > F.col("visitMjd") - days)).drop("_b")
+    v = v.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HISTORY_PARTS - 1).cast("long"))))
+    s = past.withColumns({"_b": F.floor(F.col("midpointMjdTai") / days), "_part": F.pmod(F.xxhash64("diaObjectId"), F.lit(HISTORY_PARTS).cast("long"))})
+    s = s.repartition(HISTORY_TASKS, *on, "_b", "_part")
+    return v.join(s, [*on, "_b", "_part"]).where((F.col("midpointMjdTai") < F.col("visitMjd")) & (F.col("midpointMjdTai") > F.col("visitMjd") - days)).drop("_b", "_part")
 
 
 def field_cells(ra: Column, dec: Column, radius: Column, degrees: float) -> Column:

@@ -193,3 +193,21 @@ def test_blocks_of_cells_as_numbers_and_columns(spark, side):
     got = spark.createDataFrame([(c,) for c in cells], "cell long").select("cell", store.block_of(F.col("cell"), side, 0.02).alias("b")).collect()
     assert [store.block_of(r.cell, side, 0.02) for r in got] == [r.b for r in got]
     assert all(store.block_of(store.block_of(c, side, 0.02), side * 2, 0.02) == store.block_of(c, side * 2, 0.02) for c in cells)
+
+
+def test_history_of_one_window_is_spread_over_tasks(spark):
+    """A window's sources are no single task, and the pairs are those of all rows compared."""
+    rng = random.Random(5)
+    sources = [(i, rng.randrange(1, 300), 60001.0 + rng.random() * 6) for i in range(1500)] + [(9000, 3, None)]
+    visits = [(1, 60004.0), (2, 60007.5), (3, 60001.0)]
+    s, v = spark.createDataFrame(sources, "diaSourceId long, diaObjectId long, midpointMjdTai double"), spark.createDataFrame(visits, "visit long, visitMjd double")
+    small = "spark.sql.autoBroadcastJoinThreshold"  # tables of this size would else be copied to every task
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")
+    try:
+        found = store.history_as_of(v, s, 7.0).select("visit", "diaSourceId", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set(small, before)
+    assert sorted((r.visit, r.diaSourceId) for r in found) == sorted((n, i) for n, t in visits for i, _, m in sources if m is not None and t - 7 < m < t)
+    sizes = [sum(r.task == task for r in found) for task in {r.task for r in found}]
+    assert len(sizes) > 20 and max(sizes) < len(found) / 8
