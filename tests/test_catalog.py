@@ -252,3 +252,14 @@ def test_stream(spark, tmp_path):
     got = run_stream(spark, str(tmp_path / "in"), df.schema, catalog, str(tmp_path / "k"))
     assert [(r.visit, r.counts["numNewDiaObjects"]) for r in got] == [(1, 6)] and catalog.status(1, 1) == store.DONE
     assert run_stream(spark, str(tmp_path / "in"), df.schema, catalog, str(tmp_path / "k")) == []
+
+
+def test_pixels_of_updated_objects_are_not_worked_out(spark):
+    class Spoiled:
+        def sky_to_pixel(self, ra, dec):
+            x = F.when(ra > 0, F.raise_error(F.lit("a pixel")).cast("double")).otherwise(F.lit(0.0))
+            return x, x
+
+    rows = spark.createDataFrame([(1, 7, 10.0, 1.0), (2, 7, 10.0, 1.0), (3, 8, -1.0, 1.0)], "diaForcedSourceId long, diaObjectId long, ra double, dec double")
+    kept = forced.trim(rows, spark.createDataFrame([(7,), (7,)], "diaObjectId long"), Spoiled(), geometry.Box(0, 0, 9, 9))
+    assert sorted(r.diaForcedSourceId for r in kept.collect()) == [1, 2, 3]
