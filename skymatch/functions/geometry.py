@@ -22,8 +22,8 @@ def chord(p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
 
 
 def ra_difference(a: Column, b: Column) -> Column:
-    """a - b wrapped to [-180, 180)."""
-    return F.pmod(a - b + 180.0, F.lit(360.0)) - 180.0
+    """a - b wrapped to [-180, 180), rounded step by step as in SQL that has no ``pmod``: near-equal scores then rank alike."""
+    return ((a - b + 180.0) % 360.0 + 360.0) % 360.0 - 180.0
 
 
 def separation_cos(ra: Column, dec: Column, ra0: float, dec0: float) -> Column:

@@ -121,6 +121,42 @@ def test_solver_is_optimal():
         assert total(source, cost, price, kept) == pytest.approx(cheapest(source, target, cost, price))
 
 
+def first_of_equals(source, target, cost, price):
+    """All ways, added up in the order of the sources: least sum, then the way whose first different source is left out or has the smaller object."""
+    ways = [(0.0, (), ())]
+    for s in sorted(set(source.tolist())):
+        mine = [(price, -1)] + [(c, t) for a, t, c in zip(source.tolist(), target.tolist(), cost.tolist(), strict=True) if a == s]
+        ways = [(x + c, choice + (t,), used + ((t,) if t >= 0 else ())) for x, choice, used in ways for c, t in mine if t not in used]
+    return min(ways)[1]
+
+
+def test_of_equal_assignments_the_stated_one_is_returned():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        n, m = rng.integers(1, 6), rng.integers(1, 5)
+        at = np.argwhere(rng.random((n, m)) < rng.choice([0.6, 1.0]))
+        if not len(at):
+            continue
+        source, target = at[:, 0] * 7 + 3, at[:, 1] * 5 + 1
+        cost = rng.choice([0.1, 0.2, 0.3, 0.7], len(at)) - rng.choice([0.0, 19.3])
+        price = float(cost.max() + 1)
+        shuffled = rng.permutation(len(at))
+        source, target, cost = source[shuffled], target[shuffled], cost[shuffled]
+        want = first_of_equals(source, target, cost, price)
+        for kept in (assign.solve(source, target, cost, price), assign._solved(pa.table({"diaSourceId": source, "diaObjectId": target, "score": cost, "unmatched": np.full(len(cost), price)}), np.zeros(len(cost), dtype=np.int64))):
+            got = dict(zip(source[kept].tolist(), target[kept].tolist(), strict=True))
+            assert tuple(got.get(s, -1) for s in sorted(set(source.tolist()))) == want
+
+
+def test_scores_differ_from_sql_by_no_more_than_the_logarithm(spark):
+    """Right ascensions are subtracted with the roundings of the SQL."""
+    rows = [(150 + i * 1e-5 + 1e-4 * k / 7, 150 + i * 1e-5) for i in range(50) for k in (-1, 1)]
+    from skymatch.functions.geometry import ra_difference
+
+    got = [r[0] for r in spark.createDataFrame(rows, "a double, b double").select(ra_difference(F.col("a"), F.col("b"))).collect()]
+    assert got == [math.fmod(math.fmod(a - b + 180, 360) + 360, 360) - 180 for a, b in rows]
+
+
 def test_one_crowded_visit_by_components(spark):
     """All sources in one visit: chains that share objects, stars of both kinds and lone pairs, against all ways."""
     rng = np.random.default_rng(8)
