@@ -5,8 +5,11 @@ examples: per kind, and for unlabelled candidates as background, a prefix tree o
 classes agree within a Hoeffding bound (probabilistic grammar inference). A candidate is scored by its mean log-odds against the background under the best
 automaton; a span is added where that is as high as for all but a fiftieth of the examples kept aside, and the odds are large in all.
 
-Examples are at most ``SAMPLE`` distinct values per kind, those of smallest hash over all documents, read up to ``DEPTH`` characters; every candidate of
-every text is scored, whole. Without ``LEAST_EXAMPLES`` of a kind it has no automaton.
+Examples are all distinct values of all documents, none is left out. Their prefixes are counted by Spark; of the prefix tree, what at least one in ``PATHS``
+examples of its kind goes through is merged (all of it up to ``PATHS`` examples). Then all examples run through the automaton, and what goes on where it has no
+way yet is counted and merged in its turn, until no such way is that frequent; a rarer class leads nowhere else. States are told apart within ``DEPTH`` characters. The
+probabilities are those of all whole examples run through the finished automaton, thresholds are exact quantiles over all examples kept aside. Without
+``LEAST_EXAMPLES`` of a kind it has no automaton.
 
 Rows: one per row of documents, repeated rows and rows without doc_id too; a null text is empty. Positions are code points. Other columns are not read, so
 their names can't clash. An empty table gives no rows.
@@ -14,6 +17,7 @@ their names can't clash. An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -31,8 +35,9 @@ from .common import materialize
 KINDS = ("assign", "access", "hex")
 FOUND = "format"
 BACKGROUND = "background"
-#: Distinct values that an automaton is learned from and calibrated on, at most; characters read of each; fewest values.
-SAMPLE = 4_000
+NAMES = (*KINDS, BACKGROUND)
+#: One in how many examples may make a path of the tree; characters within which states are told apart; fewest values.
+PATHS = 4_096
 DEPTH = 128
 LEAST_EXAMPLES = 40
 #: Significance of the Hoeffding bound, pseudo-count of what a state has not seen, fewest nats of odds in all.
@@ -51,6 +56,8 @@ _CONTINUATION = bytes(range(0x80, 0xC0))
 #: Classes of characters, the alphabet of the automata.
 CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+", "/", "_", ".", "=", "-")
 END = len(CLASSES)
+#: Stands for the end of an example that goes on beyond ``DEPTH``.
+CUT = END + 1
 _CLASS_OF = np.zeros(256, dtype=np.int64)
 for _i, _chars in enumerate(CLASSES):
     _CLASS_OF[list(_chars.encode())] = _i
@@ -167,11 +174,12 @@ class Automaton:
                 else:
                     self.targets[a][c] = t
 
-    def merge(self, alpha: float = ALPHA) -> list[int]:
-        """Merge compatible states, breadth first from the root; the states that stay."""
+    def merge(self, alpha: float = ALPHA, settled: int = 1) -> list[int]:
+        """Merge compatible states, breadth first from the first ``settled`` ones (the root); the states that stay."""
         bound = math.sqrt(0.5 * math.log(2 / alpha))
-        settled, known = [0], {0}
-        edge = [(0, c) for c in sorted(self.targets[0])]
+        settled = list(range(settled))
+        known = set(settled)
+        edge = [(s, c) for s in settled for c in sorted(self.targets[s]) if self.targets[s][c] not in known]
         while edge:
             state, c = edge.pop(0)
             new = self.targets[state][c]
@@ -189,30 +197,191 @@ class Automaton:
                 edge += [(s, x) for s in settled for x in sorted(self.targets[s]) if self.targets[s][x] not in known and (s, x) not in edge]
         return settled
 
-    def tables(self, states: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """[state, class or end]: log-probabilities with pseudo-counts, and targets; an unseen class leads nowhere else."""
+    def arrays(self, states: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """[state, class or end]: counts, and targets (-1 for none)."""
         number = {s: i for i, s in enumerate(states)}
-        logs, targets = np.zeros((len(states), END + 1)), np.repeat(np.arange(len(states))[:, None], END + 1, axis=1)
+        counts, targets = np.zeros((len(states), END + 1), dtype=np.int64), np.full((len(states), END + 1), -1)
         for s, i in number.items():
-            seen = np.array([self.counts[s].get(c, 0) for c in range(END + 1)], dtype=float)
-            logs[i] = np.log((seen + UNSEEN) / (seen.sum() + UNSEEN * (END + 1)))
+            for c, n in self.counts[s].items():
+                counts[i, c] = n
             for c, t in self.targets[s].items():
                 targets[i, c] = number[t]
-        return logs, targets
+        return counts, targets
+
+    def tables(self, states: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """[state, class or end]: log-probabilities and targets."""
+        return _tables(*self.arrays(states))
+
+
+def _tables(counts: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities with pseudo-counts, and targets; an unseen class leads nowhere else."""
+    logs = np.log((counts + UNSEEN) / (counts.sum(axis=1, keepdims=True) + UNSEEN * (END + 1)))
+    return logs, np.where(targets < 0, np.arange(len(targets))[:, None], targets)
 
 
 def learn(values: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of the automaton merged from these values; their order does not matter."""
+    """Tables of the automaton merged from the whole tree of these values; their order does not matter."""
     tree = Automaton()
     for value in sorted(values):
         tree.add(_CLASS_OF[np.frombuffer(value[:DEPTH], np.uint8)].tolist())
     return tree.tables(tree.merge())
 
 
-def _learn_kind(rows: pd.DataFrame) -> pd.DataFrame:
-    logs, targets = learn(bytes(v) for v in rows["value"])
-    state, symbol = np.indices(logs.shape)
-    return pd.DataFrame({"kind": rows["kind"].iloc[0], "state": state.ravel(), "symbol": symbol.ravel(), "target": targets.ravel(), "logp": logs.ravel()})
+_CLASS_BYTES = bytes(_CLASS_OF.astype(np.uint8))
+_HEAD = 3  # bytes of kind and state before the classes
+_COUNTS = [f"n{c}" for c in range(END + 1)]
+
+
+def _padded(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as rows of an array, and their lengths."""
+    length = np.array([len(x) for x in seqs], dtype=np.int64)
+    out = np.full((len(seqs), length.max(initial=0)), 255, dtype=np.uint8)
+    out[np.arange(out.shape[1]) < length[:, None]] = np.frombuffer(b"".join(seqs), np.uint8)
+    return out, length
+
+
+def _frontier(automata: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """Of every example that leaves the automaton of its kind: kind, state, the classes from there on and how it ends, as one byte string."""
+
+    def leave(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, out = batch.column(0).to_numpy(), []
+            values = batch.column(1).to_pylist()
+            for kind, (_, targets) in automata.items():
+                seqs = [v[:DEPTH].translate(_CLASS_BYTES) + bytes([END if len(v) <= DEPTH else CUT]) for v in (values[i] for i in np.flatnonzero(kinds == kind))]
+                rows, length = _padded(seqs)
+                state, active = np.zeros(len(seqs), dtype=np.int64), np.arange(len(seqs))
+                for i in range(rows.shape[1]):
+                    active = active[length[active] > i + 1]
+                    to = targets[state[active], rows[active, i]]
+                    out += [bytes([kind]) + int(state[r]).to_bytes(_HEAD - 1, "big") + seqs[r][i:] for r in active[to < 0]]
+                    active = active[to >= 0]
+                    state[active] = to[to >= 0]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["seq"])
+
+    return leave
+
+
+def _prefixes(least: list[int]):
+    """Of sorted different strings with their numbers: prefixes that ``least`` (by kind) go through, with the counts of what comes next. A prefix that also stands at an
+    end of a batch, where its rest may be in another, is given whatever its count."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seqs, times = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            rows, length = _padded(seqs)
+            needed = np.array(least)[rows[:, 0]]
+            active, new = np.arange(len(seqs)), np.append(True, (rows[1:, :_HEAD] != rows[:-1, :_HEAD]).any(axis=1))
+            found, counts = [], []
+            for depth in range(_HEAD, rows.shape[1]):
+                run = np.cumsum(new) - 1
+                first = active[new]
+                next_counts = np.bincount(run * (CUT + 1) + rows[active, depth], times[active], minlength=len(first) * (CUT + 1)).astype(np.int64).reshape(-1, CUT + 1)
+                kept = next_counts.sum(axis=1) >= needed[first]
+                kept[run[(active == 0) | (active == len(seqs) - 1)]] = True
+                found += [seqs[i][:depth] for i in first[kept]]
+                counts.append(next_counts[kept, : END + 1])
+                on = kept[run] & (length[active] > depth + 1)
+                active, run = active[on], run[on]
+                if not len(active):
+                    break
+                new = np.append(True, (run[1:] != run[:-1]) | (rows[active[1:], depth] != rows[active[:-1], depth]))
+            table = np.concatenate(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()), pa.array(found, pa.binary()), *(pa.array(table[:, c]) for c in range(END + 1))], names=["kind", "seq", *_COUNTS])
+
+    return count
+
+
+def _grow(automata: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """The automaton of a kind with the counted prefixes hung on its states and merged."""
+
+    def grow(nodes: pd.DataFrame) -> pd.DataFrame:
+        kind = int(nodes["kind"].iloc[0])
+        counts, targets = automata[kind]
+        tree = Automaton(counts.sum(axis=1).tolist(), [{c: int(n) for c, n in enumerate(r) if n} for r in counts], [{c: int(t) for c, t in enumerate(r) if t >= 0} for r in targets])
+        number: dict[bytes, int] = {}
+        rows = sorted(((bytes(x), [int(n) for n in r]) for x, *r in nodes[["seq", *_COUNTS]].itertuples(index=False)), key=lambda x: (len(x[0]), x[0]))
+        for prefix, following in rows:
+            following = {c: n for c, n in enumerate(following) if n}
+            if len(prefix) == _HEAD:  # the root, before anything was counted
+                tree.counts[0], tree.arrivals[0] = following, sum(following.values())
+            else:
+                parent = prefix[:-1]
+                number[prefix] = tree.targets[number[parent] if len(parent) > _HEAD else int.from_bytes(parent[1:], "big")][prefix[-1]] = len(tree.arrivals)
+                tree.arrivals.append(sum(following.values()))
+                tree.counts.append(following)
+                tree.targets.append({})
+        counts, targets = tree.arrays(tree.merge(settled=len(counts)))
+        state, symbol = np.indices(counts.shape)
+        return pd.DataFrame({"kind": kind, "state": state.ravel(), "symbol": symbol.ravel(), "target": targets.ravel(), "n": counts.ravel()})
+
+    return grow
+
+
+def _run(automata: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """Counts of every state's next classes and ends, all examples run through whole."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {kind: np.zeros(len(counts) * (END + 1), dtype=np.int64) for kind, (counts, _) in automata.items()}
+        for batch in batches:
+            kinds, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for kind, (counts, targets) in automata.items():
+                targets = _tables(counts, targets)[1]
+                mine = [values[i] for i in np.flatnonzero(kinds == kind)]
+                for at, c in _steps(mine, targets):
+                    seen[kind] += np.bincount(at * (END + 1) + c, minlength=len(seen[kind]))
+        for kind, n in seen.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, dtype=np.int32)), pa.array((at // (END + 1)).astype(np.int32)), pa.array((at % (END + 1)).astype(np.int32)), pa.array(n[at])], names=["kind", "state", "symbol", "n"])
+
+    return run
+
+
+def _arrays(rows: pd.DataFrame, states: int) -> np.ndarray:
+    out = np.zeros((states, END + 1), dtype=np.int64)
+    out[rows["state"], rows["symbol"]] = rows["n"]
+    return out
+
+
+def automata_of(examples: DataFrame, sizes: dict[int, int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Tables of the automata of all kinds (``sizes``: their numbers of examples) from all rows of ``examples`` (kind, value), which are different."""
+    least = [max(1, math.ceil(sizes.get(kind, 0) / PATHS)) for kind in range(len(NAMES))]
+    empty = (np.zeros((1, END + 1), dtype=np.int64), np.full((1, END + 1), -1))
+    automata = dict.fromkeys(sorted(sizes), empty)
+    growing, shortest = set(sizes), _HEAD
+    while growing:
+        part = {kind: automata[kind] for kind in growing}
+        left = examples.where(F.col("kind").isin(sorted(growing))).mapInArrow(_frontier(part), "seq binary").groupBy("seq").count()
+        ordered = left.repartitionByRange("seq").sortWithinPartitions("seq")
+        nodes = ordered.mapInArrow(_prefixes(least), "kind int, seq binary, " + ", ".join(f"{c} long" for c in _COUNTS))
+        nodes = nodes.groupBy("kind", "seq").agg(*(F.sum(c).alias(c) for c in _COUNTS)).where(sum(F.col(c) for c in _COUNTS) >= F.array(*map(F.lit, least))[F.col("kind")]).where(F.length("seq") >= shortest)
+        rows = nodes.groupBy("kind").applyInPandas(_grow(part), "kind int, state int, symbol int, target int, n long").toPandas()  # a few hundred states
+        growing, shortest = set(), _HEAD + 1  # every further round gives some state a way that it lacked, and goes beyond it
+        for kind, grown in rows.groupby("kind"):
+            states = int(grown["state"].max()) + 1
+            targets = np.full((states, END + 1), -1)
+            targets[grown["state"], grown["symbol"]] = grown["target"]
+            automata[int(kind)] = _arrays(grown, states), targets
+            if least[int(kind)] > 1:  # else nothing is left to be counted
+                growing.add(int(kind))
+    seen = examples.mapInArrow(_run(automata), "kind int, state int, symbol int, n long").groupBy("kind", "state", "symbol").agg(F.sum("n").alias("n")).toPandas()
+    return {NAMES[kind]: _tables(_arrays(seen[seen["kind"] == kind], len(targets)), targets) for kind, (_, targets) in automata.items()}
+
+
+def _steps(values: list[bytes], targets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """States and classes (or ends) of these values, all of them advancing together."""
+    length = np.array([len(v) for v in values], dtype=np.int64)
+    order = np.argsort(-length, kind="stable")
+    classes = _CLASS_OF[np.frombuffer(b"".join(values), np.uint8)]
+    at = (np.cumsum(length) - length)[order]
+    state = np.zeros(len(values), dtype=np.int64)
+    for i, n in enumerate(np.searchsorted(-length[order], -np.arange(length.max(initial=0)))):  # values longer than i
+        c = classes[at[:n] + i]
+        yield state[:n].copy(), c
+        state[:n] = targets[state[:n], c]
+    yield state, np.full(len(values), END)
 
 
 def log_likelihoods(values: list[bytes], logs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -257,35 +426,52 @@ class Grammars:
         return best, taken
 
 
+def _odds_keys(grammars: Grammars):
+    """Kind and mean log-odds of every example, as whole numbers of the same order."""
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for kind in np.unique(kinds):
+                mine = [values[i] for i in np.flatnonzero(kinds == kind)]
+                mean = grammars.odds(mine, NAMES[kind]) / np.array([len(v) + 1 for v in mine]) + 0.0
+                bits = mean.view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mine), kind, dtype=np.int32)), pa.array(bits ^ ((bits >> 63) & np.int64(2**63 - 1)))], names=["kind", "key"])
+
+    return score
+
+
+def _ranked(keys: DataFrame, ranks: dict[int, int]) -> dict[int, float]:
+    """Per kind the number of this rank (from 0), found 16 bits at a time from the counts of equal beginnings."""
+    ranks, begins = dict(ranks), dict.fromkeys(ranks, None)
+    for shift in (48, 32, 16, 0):
+        mine = [(F.col("kind") == kind) & (F.lit(True) if begin is None else F.shiftright("key", shift + 16) == begin) for kind, begin in begins.items()]
+        counted = keys.where(functools.reduce(lambda a, b: a | b, mine)).groupBy("kind", F.shiftright("key", shift).alias("begin")).count()
+        for kind, part in counted.toPandas().groupby("kind"):  # 65,536 rows of a kind at most
+            part = part.sort_values("begin")
+            before = part["count"].cumsum() - part["count"]
+            i = int((before <= ranks[kind]).sum()) - 1
+            begins[kind], ranks[kind] = int(part["begin"].iloc[i]), ranks[kind] - int(before.iloc[i])
+    keys_found = np.array(list(begins.values()), dtype=np.int64)
+    return dict(zip(begins, (keys_found ^ ((keys_found >> 63) & np.int64(2**63 - 1))).view(np.float64).tolist(), strict=True))
+
+
 def fit(found: DataFrame) -> Grammars:
     """Automata of the kinds that ``found`` has examples of. Three of four values are learned from, the fourth calibrates."""
-    labelled = found.select(F.explode(F.arrays_zip("kinds", "vals")).alias("x")).select("x.kinds", F.col("x.vals").alias("value"))
-    sources = [(name, labelled.where(F.col("kinds") == i).select("value")) for i, name in enumerate(KINDS)]
-    sources.append((BACKGROUND, found.select(F.explode("cands").alias("value"))))
-    drawn = None
-    for name, values in sources:
-        few = values.distinct().withColumn("h", F.xxhash64("value")).orderBy("h", "value").limit(SAMPLE).select(F.lit(name).alias("kind"), "value", (F.pmod("h", F.lit(4)) == 0).alias("aside"))
-        drawn = few if drawn is None else drawn.unionByName(few)
-    sample = materialize(drawn, "secret-sample")
-    rows = sample.where(~F.col("aside")).groupBy("kind").applyInPandas(_learn_kind, "kind string, state int, symbol int, target int, logp double").toPandas()  # a few hundred states
-    tables = {}
-    for kind, part in rows.groupby("kind"):
-        shape = (part["state"].max() + 1, END + 1)
-        logs, targets = np.zeros(shape), np.zeros(shape, dtype=np.int64)
-        logs[part["state"], part["symbol"]], targets[part["state"], part["symbol"]] = part["logp"], part["target"]
-        tables[kind] = (logs, targets)
-    values: dict[str, list[bytes]] = {}
-    aside: dict[str, list[bytes]] = {}
-    for kind, value, kept in sample.orderBy("kind", "value").collect():  # SAMPLE values of each kind at most
-        values.setdefault(kind, []).append(bytes(value))
-        if kept:
-            aside.setdefault(kind, []).append(bytes(value))
-    grammars = Grammars(tables, {})
-    for kind in KINDS:
-        if kind in tables and len(values[kind]) >= LEAST_EXAMPLES:
-            held = aside.get(kind) or values[kind]
-            mean = np.sort(grammars.odds(held, kind) / np.array([len(v) + 1 for v in held]))
-            grammars.least[kind] = float(mean[len(mean) // 50])
+    labelled = found.select(F.explode(F.arrays_zip("kinds", "vals")).alias("x")).select(F.col("x.kinds").alias("kind"), F.col("x.vals").alias("value"))
+    others = found.select(F.lit(len(KINDS)).alias("kind"), F.explode("cands").alias("value"))
+    examples = materialize(labelled.unionByName(others).distinct().withColumn("aside", F.pmod(F.xxhash64("value"), F.lit(4)) == 0), "secret-examples")
+    counted = {(r.kind, r.aside): r["count"] for r in examples.groupBy("kind", "aside").count().collect()}
+    grammars = Grammars(automata_of(examples.where("not aside").select("kind", "value"), {kind: n for (kind, aside), n in counted.items() if not aside}), {})
+    ranks, held = {}, F.lit(False)
+    for kind, name in enumerate(KINDS):
+        learned, aside = counted.get((kind, False), 0), counted.get((kind, True), 0)
+        if learned and learned + aside >= LEAST_EXAMPLES:
+            ranks[kind] = (aside or learned) // 50
+            held |= (F.col("kind") == kind) & (F.col("aside") if aside else F.lit(True))
+    if ranks:
+        keys = materialize(examples.where(held).select("kind", "value").mapInArrow(_odds_keys(grammars), "kind int, key long"), "secret-odds")
+        grammars.least = {KINDS[kind]: least for kind, least in sorted(_ranked(keys, ranks).items())}
     return grammars
 
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,83 @@ def test_counts_survive_merging():
         assert set(tree.targets[s]) == set(tree.counts[s]) - {secret_scan.END} and set(tree.targets[s].values()) <= set(states)
     assert sum(tree.counts[s].get(secret_scan.END, 0) for s in states) == 300
     assert math.isclose(np.exp(tree.tables(states)[0]).sum(), len(states))
+
+
+def crowd(n, seed=6):
+    """Different values of one kind: three formats and a few very long ones."""
+    rng = random.Random(seed)
+    out = {key(rng, rng.randrange(6, 60)) for _ in range(n)} | {key(rng, 30, "ABCXYZ") + "-" + key(rng, 9, "0123456789") for _ in range(n // 2)} | {key(rng, 4, "xyz") + "_" + key(rng, 12) for _ in range(n // 9)}
+    return sorted(x.encode() for x in out | {key(rng, 400) + "." + key(rng, 3, "XYZ") for _ in range(9)})
+
+
+@pytest.mark.parametrize("paths", [10**9, 50])
+def test_automata_come_from_all_examples(spark, monkeypatch, paths):
+    """The automaton of the whole tree where none of it is rare; in any case the probabilities of all examples, whole, run through the finished automaton."""
+    monkeypatch.setattr(secret_scan, "PATHS", paths)
+    values = {0: crowd(700), 3: [("word" + key(random.Random(i), 9, "ehinorst")).encode() for i in range(3000)]}
+    values[3] = sorted(set(values[3]))
+    rows = [(kind, value) for kind, those in values.items() for value in those]
+    examples = spark.createDataFrame(rows, "kind int, value binary").repartition(7)
+    found = secret_scan.automata_of(examples, {kind: len(those) for kind, those in values.items()})
+    assert set(found) == {"assign", "background"}
+    for kind, those in values.items():
+        logs, targets = found[secret_scan.NAMES[kind]]
+        counts = np.zeros(logs.shape)
+        for value in those:
+            state = 0
+            for c in secret_scan._CLASS_OF[np.frombuffer(value, np.uint8)]:
+                counts[state, c] += 1
+                state = targets[state, c]
+            counts[state, secret_scan.END] += 1
+        assert np.allclose(np.exp(logs), (counts + secret_scan.UNSEEN) / (counts.sum(axis=1, keepdims=True) + secret_scan.UNSEEN * counts.shape[1]))
+        if paths > 50 and kind == 3:
+            plain = secret_scan.learn(those)
+            assert np.array_equal(targets, plain[1]) and np.allclose(logs, plain[0])
+    assert len(found["assign"][0]) > 3
+
+
+def test_prefixes_are_counted_across_batches():
+    rng = random.Random(2)
+    seqs = sorted({bytes([rng.randrange(2), 0, 0, *(rng.randrange(2) for _ in range(rng.randrange(7))), secret_scan.END]) for _ in range(150)})
+    times = [rng.randrange(1, 4) for _ in seqs]
+    want = {}
+    for seq, n in zip(seqs, times, strict=True):
+        for depth in range(3, len(seq)):
+            want.setdefault(seq[:depth], np.zeros(secret_scan.END + 1, dtype=int))[seq[depth]] += n
+    for size in (1, 4, 33, 1000):
+        batch = pa.RecordBatch.from_arrays([pa.array(seqs, pa.binary()), pa.array(times)], names=["seq", "count"])
+        got = {}
+        for out in secret_scan._prefixes([9, 5])(batch[i : i + size] for i in range(0, len(seqs), size)):
+            for kind, seq, *counts in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                assert kind == seq[0]
+                got[seq] = got.get(seq, 0) + np.array(counts)
+        frequent = {x: c for x, c in want.items() if c.sum() >= [9, 5][x[0]]}
+        assert {x: c.tolist() for x, c in got.items() if c.sum() >= [9, 5][x[0]]} == {x: c.tolist() for x, c in frequent.items()}
+
+
+def test_thresholds_are_quantiles_over_all_examples(spark):
+    """More examples than the 4,000 that an earlier version drew."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"token={key(rng, rng.randrange(8, 60), HEX + 'XYZ_')} {key(rng, 14, 'aeimnorst')}" for _ in range(12))) for i in range(700)]
+    found = materialize(secret_scan.finds(spark.createDataFrame(rows, SCHEMA)), "finds")
+    grammars = secret_scan.fit(found)
+    mine = found.select(F.explode(F.arrays_zip("kinds", "vals")).alias("x")).where("x.kinds = 0").select(F.col("x.vals").alias("value")).distinct()
+    aside = [bytes(r.value) for r in mine.where(F.pmod(F.xxhash64("value"), F.lit(4)) == 0).collect()]
+    assert mine.count() > 8_000 and len(aside) > 1_500
+    mean = np.sort(grammars.odds(aside, "assign") / np.array([len(v) + 1 for v in aside]))
+    assert grammars.least["assign"] == mean[len(mean) // 50]
+
+
+def test_rare_ways_that_are_frequent_together_end_the_rounds(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "PATHS", 40)
+    calls, grow = [], secret_scan._grow
+
+    def counted(automata):
+        calls.append(automata)
+        assert len(calls) < 9
+        return grow(automata)
+
+    monkeypatch.setattr(secret_scan, "_grow", counted)
+    values = [b"a" * n for n in range(1, 121)] + [b"aaa" + x + b"a" * n for x in (b"+", b"/", b"_", b".", b"=") for n in (3, 4)]
+    found = secret_scan.automata_of(spark.createDataFrame([(0, v) for v in values], "kind int, value binary"), {0: len(values)})
+    assert np.allclose(np.exp(found["assign"][0]).sum(axis=1), 1)
