@@ -60,11 +60,12 @@ def assemble(sources: DataFrame, objects: DataFrame, history: DataFrame, forced:
     prv = histories(history, "prvDiaSources", ["midpointMjdTai", "diaSourceId"]).withColumnRenamed("diaObjectId", "_h")
     fps = histories(forced, "prvDiaForcedSources", ["midpointMjdTai", "diaForcedSourceId"]).withColumnRenamed("diaObjectId", "_f")
     obj = objects.select(F.col("diaObjectId").alias("_o"), F.col("nDiaSources").alias("_n"), F.struct(*objects.columns).alias("diaObject"))
-    # What is joined by source comes first, so that no list is shuffled after it was attached.
+    # What is joined by source comes first, so that no list is shuffled after it was attached; sources with an object don't pass through the join with the solar system.
     own = sources.select("diaSourceId", "diaObjectId", _record(sources).alias("diaSource"))
     if solar is not None:
         record = solar.select(F.col("diaSourceId").alias("_s"), F.struct(*[c for c in solar.columns if not c.startswith(ORBIT_PREFIX)]).alias("ssSource"), orbit(solar).alias("mpc_orbits"))
-        own = own.join(record, F.col("diaSourceId") == F.col("_s"), "left")
+        known = F.coalesce(F.col("diaObjectId") != 0, F.lit(False))
+        own = own.where(known).unionByName(own.where(~known).join(record, F.col("diaSourceId") == F.col("_s"), "left"), allowMissingColumns=True)
     if stamps is not None:
         own = own.join(stamps.withColumnRenamed("diaSourceId", "_c"), F.col("diaSourceId") == F.col("_c"), "left")
     # Sources without an object take nothing from these joins; keys of their own spread them over the tasks.

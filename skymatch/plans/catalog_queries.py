@@ -309,7 +309,8 @@ def _alerts(spark, d):
     s = _named(spark, d)
     now = s.withColumn("diaObjectId", F.when(F.col("diaSourceId") % 6 == 0, F.lit(0).cast("long")).otherwise(F.col("diaObjectId")))
     objects = lifecycle.count_sources(dia_objects(spark, d), s)
-    forced = lifecycle.first_rows(forced_sources(spark, d), ["diaForcedSourceId"], ORDER).drop("partkey", "suppkey")
+    # An id belongs to one object, so rows go to the task of their object once, for their copies and for the lists.
+    forced = lifecycle.first_rows(forced_sources(spark, d).repartition("diaObjectId"), ["diaObjectId", "diaForcedSourceId"], ORDER).drop("partkey", "suppkey")
     solar = now.where("diaObjectId = 0").select("diaSourceId", F.lit(5).cast("long").alias("ssObjectId"), F.lit("2015 MK4").alias("MPCORB_unpacked_primary_provisional_designation"), F.lit(1.5).alias("MPCORB_q"))
     return alerts.assemble(now, objects, s, forced, solar, as_of=True)
 

@@ -59,36 +59,98 @@ def _piece(data: bytes) -> bytes:
     return raw.compress(data) + raw.flush(zlib.Z_FULL_FLUSH)
 
 
-def _encoded(alerts: DataFrame, keys: dict[str, Column], codec: str) -> DataFrame:
-    """diaSourceId, keys, body and size of every alert. A body with a large field is compressed (``packed``); ``size`` is that of the plain one."""
+#: Where the large fields of a body are: each stands after the next ``plain`` bytes of the body, as ``size`` bytes of ``file`` from ``at`` on.
+_PARTS = "array<struct<plain: bigint, size: bigint, digest: binary, file: string, at: bigint>>"
+
+
+class _Large:
+    """The large fields of a task, each different one once, in a file of a folder that all tasks reach."""
+
+    def __init__(self, folder: str):
+        self.folder, self.name = folder, f"large-{uuid.uuid4().hex}"
+        self.out: pa.NativeFile | None = None
+        self.at: dict[bytes, int] = {}
+
+    def place(self, data: bytes) -> dict[str, Any]:
+        digest = hashlib.md5(data).digest()
+        if digest not in self.at:
+            if self.out is None:
+                store, top = _place(self.folder)
+                self.out = store.open_output_stream(f"{top}/{self.name}", compression=None)
+            self.at[digest] = self.out.tell()
+            self.out.write(data)
+        return {"size": len(data), "digest": digest, "file": self.name, "at": self.at[digest]}
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+
+
+def _whole(body: bytes, parts: list[dict[str, Any]] | None, store: pafs.FileSystem, top: str) -> bytes:
+    """A body with its large fields."""
+    out, at = [], 0
+    for part in parts or []:
+        with store.open_input_file(f"{top}/{part['file']}") as file:
+            file.seek(part["at"])
+            data = file.read(part["size"])
+        if len(data) != part["size"]:
+            raise ValueError(f"{part['file']} ends within a field")
+        out += [body[at : at + part["plain"]], data]
+        at += part["plain"]
+    return b"".join([*out, body[at:]])
+
+
+def _encoded(alerts: DataFrame, keys: dict[str, Column], codec: str, folder: str | None = None) -> DataFrame:
+    """diaSourceId, keys, body, size and parts of every alert. A body with a large field is compressed (``packed``); ``size`` is that of the plain one.
+
+    With a ``folder``, large fields are written there and not into the body; ``parts`` says where they are. The alerts of an object have the same lists, so each is
+    written once by a task and not once for every alert.
+    """
     schema, kept = alerts.schema, ["diaSourceId", *keys]
     rows = alerts.withColumns(keys)
-    made = T.StructType([*(rows.schema[c] for c in kept), T.StructField("body", T.BinaryType()), T.StructField("packed", T.BooleanType()), T.StructField("size", T.LongType())])
+    made = T.StructType([*(rows.schema[c] for c in kept), T.StructField("body", T.BinaryType()), T.StructField("packed", T.BooleanType()), T.StructField("size", T.LongType()), T.StructField("parts", T._parse_datatype_string(_PARTS))])
+    deflated = codec == "deflate"
+    parts_type = pa.list_(pa.struct([("plain", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("file", pa.string()), ("at", pa.int64())]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, shrunk = b"", b""
-        for batch in batches:
-            bodies, packed, sizes, at, held = [], [], [], 0, 0
-            for i, fields in enumerate(encoded_fields(batch, schema)):
-                sizes.append(sum(map(len, fields)))
-                packed.append(codec == "deflate" and any(len(f) >= LARGE_BYTES for f in fields))
-                if packed[-1]:
-                    out, small = [], []
-                    for f in fields:
-                        if len(f) < LARGE_BYTES:
-                            small.append(f)
-                            continue
-                        if f is not last:
-                            last, shrunk = f, _piece(f)
-                        out += [_piece(b"".join(small)), shrunk]
-                        small = []
-                    bodies.append(b"".join([*out, _piece(b"".join(small))]))
-                else:
-                    bodies.append(b"".join(fields))
-                held += len(bodies[-1])
-                if held >= 16 * BLOCK_BYTES or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c))[at : i + 1] for c in kept), pa.array(bodies, pa.binary()), pa.array(packed), pa.array(sizes, pa.int64())], names=[*kept, "body", "packed", "size"])
-                    bodies, packed, sizes, at, held = [], [], [], i + 1, 0
+        last, shrunk, place = b"", b"", {}
+        shrink = _piece if deflated else bytes
+        large = _Large(folder) if folder is not None else None
+        try:
+            for batch in batches:
+                bodies, packed, sizes, parts, at, held = [], [], [], [], 0, 0
+                for i, fields in enumerate(encoded_fields(batch, schema)):
+                    sizes.append(sum(map(len, fields)))
+                    has = (deflated or large is not None) and any(len(f) >= LARGE_BYTES for f in fields)
+                    packed.append(has and deflated)
+                    own: list[dict[str, Any]] = []
+                    if has:
+                        out, small = [], []
+                        for f in fields:
+                            if len(f) < LARGE_BYTES:
+                                small.append(f)
+                                continue
+                            if f is not last:
+                                last, shrunk = f, shrink(f)
+                                place = large.place(shrunk) if large is not None else {}
+                            out.append(shrink(b"".join(small)))
+                            if large is None:
+                                out.append(shrunk)
+                            else:
+                                own.append(place | {"plain": sum(map(len, out)) - sum(part["plain"] for part in own)})
+                            small = []
+                        bodies.append(b"".join([*out, shrink(b"".join(small))]))
+                    else:
+                        bodies.append(b"".join(fields))
+                    parts.append(own or None)
+                    held += len(bodies[-1])
+                    if held >= 16 * BLOCK_BYTES or i == batch.num_rows - 1:
+                        columns = [pa.array(bodies, pa.binary()), pa.array(packed), pa.array(sizes, pa.int64()), pa.array(parts, parts_type)]
+                        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c))[at : i + 1] for c in kept), *columns], names=[*kept, "body", "packed", "size", "parts"])
+                        bodies, packed, sizes, parts, at, held = [], [], [], [], i + 1, 0
+        finally:
+            if large is not None:
+                large.close()
 
     return rows.mapInArrow(encode, made)
 
@@ -110,7 +172,8 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     Visit and detector are those of the alert's source; a null one is written as ``null``. Beyond ``most_rows`` alerts the further
     files of a visit and detector are named ``{visit}_{detector}_{n}.avro``. Files of the same name are replaced. No alerts: no files.
     ``counted``: visit and detector of every alert, from which the files are counted; without it the alerts are worked out twice.
-    Each alert's bytes are shuffled once; large lists are compressed before, and once for the alerts of an object that follow each other.
+    Each alert's bytes are shuffled once, without its large lists: those are compressed and written before, once for the alerts of an object, to a folder beside the
+    files that goes at the end.
     """
     if codec not in CODECS:
         raise ValueError(f"codec {codec} is none of {CODECS}")
@@ -122,15 +185,15 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     own = counted.select(F.col("visit").cast("long").alias("_v"), F.col("detector").cast("long").alias("_d")) if counted is not None else alerts.select(keys["_visit"].alias("_v"), keys["_detector"].alias("_d"))
     files = own.groupBy("_v", "_d").agg(F.ceil(F.count("*") / most_rows).alias("_files"))
     same = F.col("_visit").eqNullSafe(F.col("_v")) & F.col("_detector").eqNullSafe(F.col("_d"))
-    parted = _encoded(alerts, keys, codec).join(F.broadcast(files), same, "left")
-    parted = parted.select("_visit", "_detector", F.pmod(F.xxhash64("diaSourceId"), F.coalesce("_files", F.lit(1))).alias("_file"), "diaSourceId", "body", "packed", "size")
+    parted = _encoded(alerts, keys, codec, unfinished).join(F.broadcast(files), same, "left")
+    parted = parted.select("_visit", "_detector", F.pmod(F.xxhash64("diaSourceId"), F.coalesce("_files", F.lit(1))).alias("_file"), "diaSourceId", "body", "packed", "size", "parts")
 
     def name(visit: int | None, detector: int | None, part: int) -> str:
         return "_".join("null" if x is None else str(x) for x in (visit, detector)) + (f"_{part}" if part else "") + ".avro"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _place(folder)
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("_visit", "_detector", "_file", "body", "packed", "size")), strict=True))
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("_visit", "_detector", "_file", "body", "packed", "size", "parts")), strict=True))
         for key, group in itertools.groupby(rows, key=lambda row: row[:3]):
             file = name(*key)
             marker = hashlib.md5(file.encode()).digest()
@@ -138,8 +201,8 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
             n, size, held = 0, 0, []
             with store.open_output_stream(own, compression=None) as out:
                 out.write(header(schema, codec, marker))
-                for *_, body, packed, plain in group:
-                    held.append((body, packed))
+                for *_, body, packed, plain, parts in group:
+                    held.append((_whole(body, parts, store, f"{top}/_unfinished-{run}"), packed))
                     n, size = n + 1, size + plain
                     if size >= BLOCK_BYTES:
                         out.write(_mixed_block(held, codec, marker))
@@ -152,7 +215,7 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
             yield pa.RecordBatch.from_pydict({"visit": pa.array([visit], pa.int64()), "detector": pa.array([detector], pa.int64()), "file": [file], "alerts": pa.array([n], pa.int64()), "bytes": pa.array([length], pa.int64())})
 
     order = ["_visit", "_detector", "_file"]
-    made = materialize(parted.repartition(*order).sortWithinPartitions(*order, "diaSourceId", "body").mapInArrow(write, _WRITTEN), "alert-files")
+    made = materialize(parted.repartition(*order).sortWithinPartitions(*order, "diaSourceId", "body", "parts").mapInArrow(write, _WRITTEN), "alert-files")
     fs.delete_dir(unfinished)
     return made
 
