@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.alerts import avro_bodies, avro_schema, decode_avro, encoded_fields, zigzag  # noqa: F401
-from ..scratch import materialize
+from ..scratch import materialize, new_path, release, shuffles_removed
 
 # Fixed values of the container format.
 MAGIC, SYNC_BYTES, CODECS = b"Obj\x01", 16, ("null", "deflate")
@@ -32,6 +32,8 @@ MAGIC, SYNC_BYTES, CODECS = b"Obj\x01", 16, ("null", "deflate")
 BLOCK_BYTES, MOST_ROWS, SPLIT_BYTES = 1 << 20, 10_000, 64 << 20
 #: Bytes of an encoded field from which it is compressed before the rows are shuffled, and not again when they are written.
 LARGE_BYTES = 1 << 15
+#: Rounds in which files are written at most; each has two files for every task that can run at a time, at least.
+ROUNDS = 8
 _LAST = b"\x03\x00"  # the last, empty, part of a compressed block that was put together
 
 
@@ -173,7 +175,7 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     files of a visit and detector are named ``{visit}_{detector}_{n}.avro``. Files of the same name are replaced. No alerts: no files.
     ``counted``: visit and detector of every alert, from which the files are counted; without it the alerts are worked out twice.
     Each alert's bytes are shuffled once, without its large lists: those are compressed and written before, once for the alerts of an object, to a folder beside the
-    files that goes at the end.
+    files that goes at the end. Encoded alerts are kept in parts; the files of one part after another are written, and the part and its shuffle go before the next.
     """
     if codec not in CODECS:
         raise ValueError(f"codec {codec} is none of {CODECS}")
@@ -183,7 +185,10 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
     fs.create_dir(unfinished, recursive=True)
     keys = {"_visit": F.col("diaSource.visit").cast("long"), "_detector": F.col("diaSource.detector").cast("long")}
     own = counted.select(F.col("visit").cast("long").alias("_v"), F.col("detector").cast("long").alias("_d")) if counted is not None else alerts.select(keys["_visit"].alias("_v"), keys["_detector"].alias("_d"))
-    files = own.groupBy("_v", "_d").agg(F.ceil(F.count("*") / most_rows).alias("_files"))
+    files = materialize(own.groupBy("_v", "_d").agg(F.ceil(F.count("*") / most_rows).alias("_files")), "alert-counts")
+    spark = alerts.sparkSession
+    n_files = files.agg(F.sum("_files")).first()[0] or 0
+    n_rounds = max(1, min(ROUNDS, n_files // (2 * spark.sparkContext.defaultParallelism)))
     same = F.col("_visit").eqNullSafe(F.col("_v")) & F.col("_detector").eqNullSafe(F.col("_d"))
     parted = _encoded(alerts, keys, codec, unfinished).join(F.broadcast(files), same, "left")
     parted = parted.select("_visit", "_detector", F.pmod(F.xxhash64("diaSourceId"), F.coalesce("_files", F.lit(1))).alias("_file"), "diaSourceId", "body", "packed", "size", "parts")
@@ -215,9 +220,19 @@ def write_alert_files(alerts: DataFrame, folder: str, codec: str = "deflate", mo
             yield pa.RecordBatch.from_pydict({"visit": pa.array([visit], pa.int64()), "detector": pa.array([detector], pa.int64()), "file": [file], "alerts": pa.array([n], pa.int64()), "bytes": pa.array([length], pa.int64())})
 
     order = ["_visit", "_detector", "_file"]
-    made = materialize(parted.repartition(*order).sortWithinPartitions(*order, "diaSourceId", "body", "parts").mapInArrow(write, _WRITTEN), "alert-files")
+    parts, made = new_path(spark, "alert-bodies"), new_path(spark, "alert-files")
+    with shuffles_removed(spark):
+        rounded = parted.withColumn("_round", F.pmod(F.xxhash64(*order), F.lit(n_rounds)).cast("int"))
+        rounded.write.partitionBy("_round").option("compression", "zstd").parquet(parts)
+        there = spark.read.schema(rounded.schema).parquet(parts).select("_round").distinct().collect()
+        for n in sorted(row["_round"] for row in there):
+            part = spark.read.schema(parted.schema).parquet(f"{parts}/_round={n}")
+            dealt = part.repartition(*order).sortWithinPartitions(*order, "diaSourceId", "body", "parts")
+            dealt.mapInArrow(write, _WRITTEN).write.mode("append").option("compression", "zstd").parquet(made)
+            release(part)
+    release(files)
     fs.delete_dir(unfinished)
-    return made
+    return spark.read.schema(_WRITTEN).parquet(made) if there else spark.createDataFrame([], _WRITTEN)
 
 
 def spark_type(schema: Any) -> T.DataType:

@@ -76,3 +76,19 @@ def test_sources_with_unknown_object_have_no_solar_record(spark):
     made = alerts.assemble(sources, objects, sources, sources.withColumnRenamed("diaSourceId", "diaForcedSourceId"), solar)
     got = {r.diaSourceId: r for r in made.collect()}
     assert sorted(got) == [1, 2, 3, 4] and [i for i in got if got[i].ssSource is not None] == [2] and got[2].MPCORB.designation == "2015 MK4" and got[1].diaObject.nDiaSources == 3
+
+
+def test_files_are_written_in_rounds_and_parts_go(spark, tmp_path, monkeypatch):
+    """Many files in several rounds: all alerts, and neither parts nor shuffle files nor a changed setting are left."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, root = spark.conf.get(name), containers.new_path(spark, "x").rsplit("/", 1)[0]
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    made = spark.createDataFrame([(i, (i % 90, 2), [(i / 3, i)] * (i % 3), f"n{i}", None) for i in range(400)], KIND)
+    rounds, release = [], containers.release
+    monkeypatch.setattr(containers, "release", lambda df: rounds.extend(f.rsplit("/", 2)[-2] for f in df.inputFiles()[:1] if "_round=" in f) or release(df))
+    out = containers.write_alert_files(made, str(tmp_path / "a"), counted=made.select("diaSource.*"))
+    assert {(r.visit, r.detector, r.file, r.alerts) for r in out.collect()} == {(v, 2, f"{v}_2.avro", 4 + (v < 40)) for v in range(90)}
+    assert len(rounds) == len(set(rounds)) == containers.ROUNDS and spark.conf.get(name) == setting
+    assert sorted(map(str, containers.read_alert_files(spark, str(tmp_path / "a")).collect())) == sorted(map(str, made.collect()))
+    new = sorted(set(os.listdir(root)) - before)
+    assert [f.split("-")[1] for f in new if any(x.endswith(".parquet") for _, _, files in os.walk(f"{root}/{f}") for x in files)] == ["files"]
